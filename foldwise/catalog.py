@@ -35,3 +35,67 @@ def folds_kfold(spark, sf_dir):
 @query("folds_stratified")
 def folds_stratified(spark, sf_dir):
     return train(spark, sf_dir).select("id", "y_bin", F.col("sfold").alias("fold"))
+
+
+# ---------------------------------------------------------------- numeric operators
+from foldwise.functions.scalar import rnd  # noqa: E402
+from foldwise.operators import numeric as num  # noqa: E402
+from foldwise.operators.base import expand_fits  # noqa: E402
+from foldwise.operators.stats import fit_folds_of  # noqa: E402
+
+K = fx.K
+_NS_CACHE: dict = {}
+
+
+def numeric_stats(spark, sf_dir, cols=None, fold_col="fold"):
+    cols = tuple(cols or fx.NUMERIC)
+    key = (spark.sparkContext.applicationId, sf_dir, cols, fold_col)
+    if key not in _NS_CACHE:
+        _NS_CACHE[key] = num.NumericStats(train(spark, sf_dir), list(cols), fit_folds_of(K), fold_col)
+    return _NS_CACHE[key]
+
+
+def transformed(spark, sf_dir, fitted, digits=6, keep=("id", "fit_fold", "role")):
+    out = fitted.apply(expand_fits(ctx(spark, sf_dir), K))
+    vals = [rnd(n, digits).alias(n) if digits is not None else F.col(n) for n in fitted.names()]
+    return out.select(*keep, *vals)
+
+
+@query("standardize_cv")
+def standardize_cv(spark, sf_dir):
+    return transformed(spark, sf_dir, num.fit_standardize(numeric_stats(spark, sf_dir)))
+
+
+@query("robust_scale_cv")
+def robust_scale_cv(spark, sf_dir):
+    return transformed(spark, sf_dir, num.fit_robust_scale(numeric_stats(spark, sf_dir)))
+
+
+@query("signed_log")
+def signed_log_q(spark, sf_dir):
+    return transformed(spark, sf_dir, num.fit_signed_log(numeric_stats(spark, sf_dir)))
+
+
+@query("quantile_bin_long")
+def quantile_bin_long(spark, sf_dir):
+    fitted = num.fit_quantile_bin(numeric_stats(spark, sf_dir))
+    out = fitted.apply(expand_fits(ctx(spark, sf_dir), K))
+    return out.select("id", "fit_fold", "role", *fitted.names())
+
+
+@query("row_missing_count")
+def row_missing_count(spark, sf_dir):
+    fitted = num.fit_row_missing_count(fx.FEATURES)
+    return ctx(spark, sf_dir).select("id", "split", *[c.alias(n) for n, c in fitted.columns.items()])
+
+
+def _pairs(op):
+    def run(spark, sf_dir):
+        return transformed(spark, sf_dir, num.fit_pairs(numeric_stats(spark, sf_dir), op))
+    return run
+
+
+QUERIES["pair_multiply"] = _pairs("multiply_numeric_pairs")
+QUERIES["pair_ratio"] = _pairs("ratio_numeric_pairs")
+QUERIES["pair_difference"] = _pairs("difference_numeric_pairs")
+QUERIES["pair_sum"] = _pairs("sum_numeric_pairs")

@@ -113,3 +113,149 @@ def _():
 
 
 __all__ = ["QUERIES", "R", "with_ctx"]
+
+
+# ---------------------------------------------------------------- helpers
+NUMERIC = ["acctbal", "avg_qty", "avg_discount", "const_num", "acctbal_copy"]
+CATEGORICAL = ["c_mktsegment", "o_orderpriority", "n_name", "rare_cat", "is_even"]
+EPS10 = "2.220446049250313e-15"
+
+
+def lerp(a: str, b: str, t: str) -> str:
+    return (f"(CASE WHEN {t} >= 0.5 THEN {b} - ({b} - {a}) * (1 - {t}) "
+            f"ELSE {a} + ({b} - {a}) * {t} END)")
+
+
+def _positions(p: float, method: str):
+    if method == "linear":
+        h = f"((n - 1) * {p!r})"
+        lo = f"floor({h})"
+        hi = f"least(floor({h}) + 1, n - 1)"
+        t = f"CAST({h} - floor({h}) AS DOUBLE)"
+    else:
+        g = f"(n * {p!r})"
+        j = f"floor({g})"
+        lo = f"(CASE WHEN {g} > {j} THEN least({j}, n - 1) ELSE greatest(least({j} - 1, n - 1), 0) END)"
+        hi = f"least({j}, n - 1)"
+        t = f"(CASE WHEN {g} > {j} THEN CAST(0 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END)"
+    return lo, hi, t
+
+
+def quantile_cte(name: str, value: str, probs, method: str = "linear", joins: str = "",
+                 source: str = "train", fold: str = "fold") -> str:
+    """CTE ``name(fit_fold, q0, q1, ...)``: quantiles of ``value`` over the rows of
+    ``source`` outside each fit fold, from explicit order statistics."""
+    sel = []
+    for i, p in enumerate(probs):
+        lo, hi, t = _positions(p, method)
+        a = f"max(CASE WHEN r = {lo} THEN x END)"
+        b = f"max(CASE WHEN r = {hi} THEN x END)"
+        sel.append(f"{lerp(a, b, t)} AS q{i}")
+    return f"""{name} AS (
+  SELECT fit_fold, {', '.join(sel)} FROM (
+    SELECT fit_fold, x, row_number() OVER (PARTITION BY fit_fold ORDER BY x) - 1 AS r,
+      count(*) OVER (PARTITION BY fit_fold) AS n
+    FROM (SELECT fits.fit_fold, {value} AS x FROM {source} s CROSS JOIN fits {joins}
+          WHERE s.{fold} <> fits.fit_fold) WHERE x IS NOT NULL)
+  GROUP BY fit_fold, n)"""
+
+
+def median_ctes(cols=NUMERIC, source: str = "train", fold: str = "fold") -> list[str]:
+    return [quantile_cte(f"med_{c}", f"s.{c}", [0.5], source=source, fold=fold) for c in cols]
+
+
+def imp(c: str, alias: str = "e") -> str:
+    return f"coalesce({alias}.{c}, med_{c}.q0)"
+
+
+def med_joins(cols=NUMERIC, alias: str = "e") -> str:
+    return " ".join(f"JOIN med_{c} ON med_{c}.fit_fold = {alias}.fit_fold" for c in cols)
+
+
+def ctes(*parts: str) -> str:
+    return "WITH " + ctx_ctes() + ",\n" + ",\n".join(parts)
+
+
+# ---------------------------------------------------------------- numeric operators
+@q("standardize_cv")
+def _():
+    mom = []
+    for c in NUMERIC:
+        mom.append(f"""mom_{c} AS (
+  SELECT fits.fit_fold, avg(coalesce(s.{c}, med_{c}.q0)) AS mu, stddev_pop(coalesce(s.{c}, med_{c}.q0)) AS sd
+  FROM train s CROSS JOIN fits JOIN med_{c} ON med_{c}.fit_fold = fits.fit_fold
+  WHERE s.fold <> fits.fit_fold GROUP BY fits.fit_fold)""")
+    cols = ", ".join(
+        f"{R(f'({imp(c)} - mom_{c}.mu) / (CASE WHEN mom_{c}.sd < {EPS10} THEN 1 ELSE mom_{c}.sd END)')} "
+        f"AS standardize_numeric__{c}" for c in NUMERIC)
+    joins = med_joins() + " " + " ".join(f"JOIN mom_{c} ON mom_{c}.fit_fold = e.fit_fold" for c in NUMERIC)
+    return ctes(*median_ctes(), *mom) + f"\nSELECT e.id, e.fit_fold, e.role, {cols} FROM expanded e {joins}"
+
+
+@q("robust_scale_cv")
+def _():
+    qs = [quantile_cte(f"iq_{c}", f"coalesce(s.{c}, med_{c}.q0)", [0.25, 0.5, 0.75],
+                       joins=f"JOIN med_{c} ON med_{c}.fit_fold = fits.fit_fold") for c in NUMERIC]
+
+    def scale(c):
+        d = f"(iq_{c}.q2 - iq_{c}.q0)"
+        return f"(CASE WHEN {d} < {EPS10} THEN 1 ELSE {d} END)"
+    cols = ", ".join(f"{R(f'({imp(c)} - iq_{c}.q1) / {scale(c)}')} AS robust_scale_numeric__{c}" for c in NUMERIC)
+    joins = med_joins() + " " + " ".join(f"JOIN iq_{c} ON iq_{c}.fit_fold = e.fit_fold" for c in NUMERIC)
+    return ctes(*median_ctes(), *qs) + f"\nSELECT e.id, e.fit_fold, e.role, {cols} FROM expanded e {joins}"
+
+
+@q("signed_log")
+def _():
+    cols = ", ".join(f"{R(f'sign({imp(c)}) * ln(1 + abs({imp(c)}))')} AS signed_log_expand_numeric__{c}"
+                     for c in NUMERIC)
+    return ctes(*median_ctes()) + f"\nSELECT e.id, e.fit_fold, e.role, {cols} FROM expanded e {med_joins()}"
+
+
+def _edges_cte(c: str, n_bins: int = 5) -> str:
+    probs = [i / n_bins for i in range(n_bins + 1)]
+    return quantile_cte(f"qe_{c}", f"coalesce(s.{c}, med_{c}.q0)", probs, "averaged_cdf",
+                        joins=f"JOIN med_{c} ON med_{c}.fit_fold = fits.fit_fold")
+
+
+def _bin_expr(c: str, x: str, n_bins: int = 5) -> str:
+    """Inner kept edges <= x. Edge i is kept when it exceeds edge i-1 by more
+    than 1e-8; a kept edge is inner when some later edge is kept too."""
+    keep = {i: f"(qe_{c}.q{i} - qe_{c}.q{i - 1} > 1e-8)" for i in range(1, n_bins + 1)}
+    terms = []
+    for i in range(1, n_bins):
+        later = " OR ".join(keep[j] for j in range(i + 1, n_bins + 1))
+        terms.append(f"(CASE WHEN {keep[i]} AND ({later}) AND {x} >= qe_{c}.q{i} THEN 1 ELSE 0 END)")
+    return "CAST(" + " + ".join(terms) + " AS INTEGER)"
+
+
+@q("quantile_bin_long")
+def _():
+    cols = ", ".join(f"{_bin_expr(c, imp(c))} AS quantile_bin_numeric__{c}" for c in NUMERIC)
+    joins = med_joins() + " " + " ".join(f"JOIN qe_{c} ON qe_{c}.fit_fold = e.fit_fold" for c in NUMERIC)
+    return ctes(*median_ctes(), *[_edges_cte(c) for c in NUMERIC]) + \
+        f"\nSELECT e.id, e.fit_fold, e.role, {cols} FROM expanded e {joins}"
+
+
+@q("row_missing_count")
+def _():
+    feats = ["acctbal", "avg_qty", "avg_discount", "n_items", "const_num", "acctbal_copy",
+             "c_mktsegment", "o_orderpriority", "n_name", "rare_cat", "is_even"]
+    s = " + ".join(f"(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)" for c in feats)
+    return with_ctx(f"SELECT id, split, CAST({s} AS DOUBLE) AS row_missing_count__value FROM ctx")
+
+
+def _pair_query(op: str, word: str, fn) -> str:
+    import itertools
+    cols = []
+    for a, b in itertools.combinations(NUMERIC, 2):
+        cols.append(f"{R(fn(imp(a), imp(b)))} AS {op}__{a}_{word}_{b}")
+    return ctes(*median_ctes()) + f"\nSELECT e.id, e.fit_fold, e.role, {', '.join(cols)} FROM expanded e {med_joins()}"
+
+
+QUERIES["pair_multiply"] = _pair_query("multiply_numeric_pairs", "x", lambda a, b: f"{a} * {b}")
+QUERIES["pair_ratio"] = _pair_query(
+    "ratio_numeric_pairs", "over",
+    lambda a, b: f"(CASE WHEN {b} + 1e-8 = 0 THEN NULL ELSE {a} / ({b} + 1e-8) END)")
+QUERIES["pair_difference"] = _pair_query("difference_numeric_pairs", "minus", lambda a, b: f"{a} - {b}")
+QUERIES["pair_sum"] = _pair_query("sum_numeric_pairs", "plus", lambda a, b: f"{a} + {b}")
