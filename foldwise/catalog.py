@@ -56,7 +56,7 @@ def numeric_stats(spark, sf_dir, cols=None, fold_col="fold"):
 
 
 def transformed(spark, sf_dir, fitted, digits=6, keep=("id", "fit_fold", "role")):
-    out = fitted.apply(expand_fits(ctx(spark, sf_dir), K))
+    out = fitted.transform(ctx(spark, sf_dir), K, list(keep))
     vals = [rnd(n, digits).alias(n) if digits is not None else F.col(n) for n in fitted.names()]
     return out.select(*keep, *vals)
 
@@ -79,8 +79,7 @@ def signed_log_q(spark, sf_dir):
 @query("quantile_bin_long")
 def quantile_bin_long(spark, sf_dir):
     fitted = num.fit_quantile_bin(numeric_stats(spark, sf_dir))
-    out = fitted.apply(expand_fits(ctx(spark, sf_dir), K))
-    return out.select("id", "fit_fold", "role", *fitted.names())
+    return fitted.transform(ctx(spark, sf_dir), K, ["id", "fit_fold", "role"])
 
 
 @query("row_missing_count")
@@ -99,3 +98,53 @@ QUERIES["pair_multiply"] = _pairs("multiply_numeric_pairs")
 QUERIES["pair_ratio"] = _pairs("ratio_numeric_pairs")
 QUERIES["pair_difference"] = _pairs("difference_numeric_pairs")
 QUERIES["pair_sum"] = _pairs("sum_numeric_pairs")
+
+
+# ---------------------------------------------------------------- categorical operators
+from foldwise.operators import categorical as cat  # noqa: E402
+
+_CS_CACHE: dict = {}
+RARE_MIN_FREQUENCY = 0.04
+
+
+def category_stats(spark, sf_dir, cols=None, y_col=None, fold_col="fold"):
+    cols = tuple(cols or fx.CATEGORICAL)
+    key = (spark.sparkContext.applicationId, sf_dir, cols, y_col, fold_col)
+    if key not in _CS_CACHE:
+        tr = train(spark, sf_dir)
+        _CS_CACHE[key] = cat.CategoryStats(tr, list(cols), K, fold_col, y_col,
+                                           card=cat.cardinalities(tr, list(cols)))
+    return _CS_CACHE[key]
+
+
+def sparse_query(spark, sf_dir, fitted):
+    out = fitted.transform(ctx(spark, sf_dir), K, ["id", "fit_fold", "role"])
+    return cat.sparse_long(out, fitted.names(), ["id", "fit_fold", "role"])
+
+
+@query("frequency_encode_cv")
+def frequency_encode_cv(spark, sf_dir):
+    return transformed(spark, sf_dir, cat.fit_frequency(category_stats(spark, sf_dir)))
+
+
+@query("target_encode_cv")
+def target_encode_cv(spark, sf_dir):
+    cs = category_stats(spark, sf_dir, y_col="y_reg")
+    return transformed(spark, sf_dir, cat.fit_target(cs, 1.0), digits=1)
+
+
+@query("ordinal_encode_cv")
+def ordinal_encode_cv(spark, sf_dir):
+    return transformed(spark, sf_dir, cat.fit_ordinal(category_stats(spark, sf_dir)), digits=None)
+
+
+@query("onehot_long")
+def onehot_long(spark, sf_dir):
+    cs = category_stats(spark, sf_dir)
+    return sparse_query(spark, sf_dir, cat.fit_onehot(cs, cs.nunique_all(), 16))
+
+
+@query("rare_bucket_long")
+def rare_bucket_long(spark, sf_dir):
+    cs = category_stats(spark, sf_dir)
+    return sparse_query(spark, sf_dir, cat.fit_rare_bucket(cs, RARE_MIN_FREQUENCY))

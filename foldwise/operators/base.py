@@ -28,11 +28,19 @@ class Fitted:
     def names(self) -> list[str]:
         return [n for n in self.columns if n not in self.dropped]
 
-    def apply(self, df: DataFrame) -> DataFrame:
+    def join_lookups(self, df: DataFrame) -> DataFrame:
         for table, cond, broadcast in self.lookups:
             t = F.broadcast(table) if broadcast else table
-            df = df.join(t, cond(df, table) if callable(cond) else cond, "left")
-        return df.select("*", *[self.columns[n].alias(n) for n in self.names()])
+            df = df.join(t, cond(df, t) if callable(cond) else cond, "left")
+        return df
+
+    def project(self, df: DataFrame, keep: list[str]) -> DataFrame:
+        return df.select(*keep, *[self.columns[n].alias(n) for n in self.names()])
+
+    def transform(self, rows: DataFrame, k: int, keep: list[str], fold_col: str = "fold") -> DataFrame:
+        """Lookups join the unexpanded rows (one row per category and k values
+        per row), then rows are expanded by fit fold and projected once."""
+        return self.project(expand_fits(self.join_lookups(rows), k, fold_col), keep)
 
 
 def expand_fits(df: DataFrame, k: int, fold_col: str = "fold") -> DataFrame:

@@ -323,3 +323,71 @@ def group_fold_sums(df: DataFrame, group_cols: list[str], value_cols: list[str],
                     .alias(f"{v}_fold"))
     return df.groupBy(*group_cols).agg(*aggs)
 
+
+
+def fits_table(spark, k: int) -> DataFrame:
+    """k rows (fit_fold 1..k); broadcast everywhere, its size is the fold count."""
+    return spark.range(1, k + 1).select(F.col("id").cast("int").alias("fit_fold"))
+
+
+def complement_groups(df: DataFrame, group_cols: list[str], k: int, partial: dict,
+                      combine: dict, fold_col: str = "fold") -> DataFrame:
+    """Statistics of every group over the rows outside each fit fold.
+
+    ``partial``: name -> aggregate Column, computed once per (group, fold) with
+    map-side combining; ``combine``: name -> 'sum' | 'min' | 'max' used to merge
+    the partials of the other k-1 folds (summing the k-1 partials keeps a
+    single-row complement exact, unlike total minus fold). Output: one row per
+    (group, fit_fold) in which the group occurs, k rows per group at most.
+    """
+    spark = df.sparkSession
+    parts = df.groupBy(*group_cols, F.col(fold_col).cast("int").alias("_fold")).agg(
+        *[c.alias(n) for n, c in partial.items()])
+    fns = {"sum": F.sum, "min": F.min, "max": F.max}
+    return (parts.crossJoin(F.broadcast(fits_table(spark, k)))
+            .where(F.col("_fold") != F.col("fit_fold"))
+            .groupBy(*group_cols, "fit_fold")
+            .agg(*[fns[combine[n]](n).alias(n) for n in partial]))
+
+
+def per_fold_map(comp: DataFrame, group_cols: list[str], value_cols: list[str], name: str = "m") -> DataFrame:
+    """(group..., map fit_fold -> struct(values)); at most k entries per group."""
+    entry = F.struct(F.col("fit_fold"), F.struct(*value_cols))
+    return comp.groupBy(*group_cols).agg(F.map_from_entries(F.collect_list(entry)).alias(name))
+
+
+def fold_totals(df: DataFrame, k: int, fold_col: str = "fold", y_col: str | None = None) -> dict:
+    """{fit_fold: (rows, sum_y)} over the complement, from one k-row aggregate."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if y_col:
+        aggs.append(F.sum(F.col(y_col).cast("double")).alias("s"))
+    rows = df.groupBy(F.col(fold_col).cast("int").alias("f")).agg(*aggs).collect()
+    out = {}
+    for f in range(1, k + 1):
+        n = sum(r["n"] for r in rows if r["f"] != f)
+        s = sum((r["s"] or 0.0) for r in rows if r["f"] != f) if y_col else None
+        out[f] = (n, s)
+    return out
+
+
+def conditional_ranks(df: DataFrame, key_col: str, order_col: str, flags: list[str],
+                      partitions: int | None = None) -> DataFrame:
+    """For each row: ``rank_<flag>`` = number of rows with the same key, a smaller
+    ``order_col`` and ``flag`` true. Rows are range-partitioned on (key, order),
+    ranked inside their partition and shifted by the flag counts of earlier
+    partitions -- no window holds a whole key."""
+    spark = df.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    r = df.repartitionByRange(parts, key_col, order_col).withColumn("_b", F.spark_partition_id())
+    counts = r.groupBy(key_col, "_b").agg(*[F.sum(F.col(f).cast("long")).alias(f) for f in flags])
+    wb = Window.partitionBy(key_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(key_col, "_b", *[F.coalesce(F.sum(f).over(wb), F.lit(0)).alias(f"_off_{f}")
+                                            for f in flags])
+    wl = Window.partitionBy(key_col, "_b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    local = r.select("*", *[F.coalesce(F.sum(F.col(f).cast("long")).over(wl), F.lit(0)).alias(f"_loc_{f}")
+                            for f in flags])
+    # offsets: one row per (key, partition) -- bounded by #keys x #partitions.
+    out = local.join(F.broadcast(offsets), [key_col, "_b"])
+    for f in flags:
+        out = out.withColumn(f"rank_{f}", F.col(f"_off_{f}") + F.col(f"_loc_{f}"))
+    return out.drop("_b", *[f"_off_{f}" for f in flags], *[f"_loc_{f}" for f in flags])

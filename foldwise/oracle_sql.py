@@ -259,3 +259,99 @@ QUERIES["pair_ratio"] = _pair_query(
     lambda a, b: f"(CASE WHEN {b} + 1e-8 = 0 THEN NULL ELSE {a} / ({b} + 1e-8) END)")
 QUERIES["pair_difference"] = _pair_query("difference_numeric_pairs", "minus", lambda a, b: f"{a} - {b}")
 QUERIES["pair_sum"] = _pair_query("sum_numeric_pairs", "plus", lambda a, b: f"{a} + {b}")
+
+
+# ---------------------------------------------------------------- categorical operators
+BOOL_COLS = {"is_even"}
+
+
+def norm(c: str, alias: str = "s") -> str:
+    if c in BOOL_COLS:
+        return f"coalesce(CASE WHEN {alias}.{c} THEN 'True' WHEN NOT {alias}.{c} THEN 'False' END, '__missing__')"
+    return f"coalesce(CAST({alias}.{c} AS VARCHAR), '__missing__')"
+
+
+def nn(c: str, alias: str = "s") -> str:
+    """category text without the missing token (NULL stays NULL)."""
+    if c in BOOL_COLS:
+        return f"(CASE WHEN {alias}.{c} THEN 'True' WHEN NOT {alias}.{c} THEN 'False' END)"
+    return f"CAST({alias}.{c} AS VARCHAR)"
+
+
+TOT = """tot AS (SELECT fits.fit_fold, count(*) AS n, sum(s.y_reg) AS sy FROM train s CROSS JOIN fits
+  WHERE s.fold <> fits.fit_fold GROUP BY fits.fit_fold)"""
+
+
+def cnt_cte(c: str, name: str | None = None) -> str:
+    return f"""{name or 'cnt_' + c} AS (SELECT fits.fit_fold, {norm(c)} AS v, count(*) AS n, sum(s.y_reg) AS sy
+  FROM train s CROSS JOIN fits WHERE s.fold <> fits.fit_fold GROUP BY 1, 2)"""
+
+
+@q("frequency_encode_cv")
+def _():
+    cols = ", ".join(f"{R(f'coalesce(CAST(cnt_{c}.n AS DOUBLE) / tot.n, 0)')} AS frequency_encode_categoricals__{c}"
+                     for c in CATEGORICAL)
+    joins = "JOIN tot ON tot.fit_fold = e.fit_fold " + " ".join(
+        f"LEFT JOIN cnt_{c} ON cnt_{c}.fit_fold = e.fit_fold AND cnt_{c}.v = {norm(c, 'e')}" for c in CATEGORICAL)
+    return ctes(TOT, *[cnt_cte(c) for c in CATEGORICAL]) + \
+        f"\nSELECT e.id, e.fit_fold, e.role, {cols} FROM expanded e {joins}"
+
+
+@q("target_encode_cv")
+def _():
+    gm = "(tot.sy / tot.n)"
+    cols = ", ".join(
+        f"{R(f'coalesce((cnt_{c}.sy + 1.0 * {gm}) / (cnt_{c}.n + 1.0), {gm})', 1)} AS target_encode_categoricals__{c}"
+        for c in CATEGORICAL)
+    joins = "JOIN tot ON tot.fit_fold = e.fit_fold " + " ".join(
+        f"LEFT JOIN cnt_{c} ON cnt_{c}.fit_fold = e.fit_fold AND cnt_{c}.v = {norm(c, 'e')}" for c in CATEGORICAL)
+    return ctes(TOT, *[cnt_cte(c) for c in CATEGORICAL]) + \
+        f"\nSELECT e.id, e.fit_fold, e.role, {cols} FROM expanded e {joins}"
+
+
+def mode_ctes(c: str) -> list[str]:
+    return [f"""nn_{c} AS (SELECT fits.fit_fold, {nn(c)} AS v, count(*) AS n FROM train s CROSS JOIN fits
+  WHERE s.fold <> fits.fit_fold AND s.{c} IS NOT NULL GROUP BY 1, 2)""",
+            f"""mode_{c} AS (SELECT fit_fold, v FROM (SELECT fit_fold, v, row_number() OVER
+  (PARTITION BY fit_fold ORDER BY n DESC, v) AS rn FROM nn_{c}) WHERE rn = 1)""",
+            f"""idx_{c} AS (SELECT fit_fold, v, row_number() OVER (PARTITION BY fit_fold ORDER BY v) - 1 AS ix
+  FROM nn_{c})"""]
+
+
+@q("ordinal_encode_cv")
+def _():
+    parts, cols, joins = [], [], []
+    for c in CATEGORICAL:
+        parts += mode_ctes(c)
+        cols.append(f"CAST(CASE WHEN e.{c} IS NULL THEN mi_{c}.ix ELSE coalesce(idx_{c}.ix, -1) END AS DOUBLE)"
+                    f" AS ordinal_encode_categoricals__{c}")
+        joins.append(f"JOIN mode_{c} ON mode_{c}.fit_fold = e.fit_fold "
+                     f"JOIN idx_{c} mi_{c} ON mi_{c}.fit_fold = e.fit_fold AND mi_{c}.v = mode_{c}.v "
+                     f"LEFT JOIN idx_{c} ON idx_{c}.fit_fold = e.fit_fold AND idx_{c}.v = {nn(c, 'e')}")
+    return ctes(*parts) + f"\nSELECT e.id, e.fit_fold, e.role, {', '.join(cols)} FROM expanded e {' '.join(joins)}"
+
+
+@q("onehot_long")
+def _():
+    op = "onehot_encode_low_cardinality_categoricals"
+    parts, sels = [], []
+    for c in CATEGORICAL:
+        parts += mode_ctes(c)
+        vimp = f"coalesce({nn(c, 'e')}, mode_{c}.v)"
+        sels.append(f"""SELECT e.id, e.fit_fold, e.role, '{op}__{c}_' || {vimp} AS feature, CAST(1 AS DOUBLE) AS value
+  FROM expanded e JOIN mode_{c} ON mode_{c}.fit_fold = e.fit_fold
+  LEFT JOIN nn_{c} ON nn_{c}.fit_fold = e.fit_fold AND nn_{c}.v = {vimp}
+  WHERE nn_{c}.v IS NOT NULL AND (SELECT count(DISTINCT {nn(c, 't')}) FROM train t) <= 16""")
+    return ctes(*parts) + "\n" + "\nUNION ALL\n".join(sels)
+
+
+@q("rare_bucket_long")
+def _():
+    op = "rare_category_bucket"
+    sels = []
+    for c in CATEGORICAL:
+        sels.append(f"""SELECT e.id, e.fit_fold, e.role, '{op}__{c}_' || {norm(c, 'e')} AS feature, CAST(1 AS DOUBLE) AS value
+  FROM expanded e JOIN tot ON tot.fit_fold = e.fit_fold
+  JOIN cnt_{c} ON cnt_{c}.fit_fold = e.fit_fold AND cnt_{c}.v = {norm(c, 'e')}
+  WHERE CAST(cnt_{c}.n AS DOUBLE) / tot.n < 0.04""")
+    return ctes(TOT, *[cnt_cte(c) for c in CATEGORICAL]) + "\n" + "\nUNION ALL\n".join(sels)
