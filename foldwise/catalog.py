@@ -148,3 +148,58 @@ def onehot_long(spark, sf_dir):
 def rare_bucket_long(spark, sf_dir):
     cs = category_stats(spark, sf_dir)
     return sparse_query(spark, sf_dir, cat.fit_rare_bucket(cs, RARE_MIN_FREQUENCY))
+
+
+# ---------------------------------------------------------------- interactions and pruning
+from foldwise.operators import interactions as ix  # noqa: E402
+from foldwise.operators import prune as pr  # noqa: E402
+from foldwise.operators.base import merge  # noqa: E402
+
+
+def long_dense(df, names, keep=("id", "fit_fold", "role"), digits=6):
+    """Dense feature columns -> (keep..., feature, value), NULL (ineligible) dropped."""
+    arr = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).cast("double").alias("value")) for n in names])
+    out = df.select(*keep, F.inline(arr)).where(F.col("value").isNotNull())
+    return out.withColumn("value", rnd("value", digits)) if digits is not None else out
+
+
+@query("cross_cat_long")
+def cross_cat_long(spark, sf_dir):
+    plan = ix.CrossPlan(category_stats(spark, sf_dir), 10)
+    fitted = ix.fit_cross_categoricals(plan)
+    out = fitted.transform(plan.prepare(ctx(spark, sf_dir)), K, ["id", "fit_fold", "role"])
+    return cat.sparse_long(out, fitted.names(), ["id", "fit_fold", "role"])
+
+
+@query("frequency_cross_cv")
+def frequency_cross_cv(spark, sf_dir):
+    plan = ix.CrossPlan(category_stats(spark, sf_dir), 10)
+    fitted = ix.fit_frequency_crosses(plan)
+    out = fitted.transform(plan.prepare(ctx(spark, sf_dir)), K, ["id", "fit_fold", "role"])
+    return long_dense(out, fitted.names())
+
+
+@query("cross_bin_long")
+def cross_bin_long(spark, sf_dir):
+    fitted = ix.fit_cross_binned(numeric_stats(spark, sf_dir), category_stats(spark, sf_dir), 5, 10)
+    return sparse_query(spark, sf_dir, fitted)
+
+
+@query("group_deviation_cv")
+def group_deviation_cv(spark, sf_dir):
+    fitted = ix.fit_group_deviation(numeric_stats(spark, sf_dir), category_stats(spark, sf_dir), 20)
+    out = fitted.transform(ctx(spark, sf_dir), K, ["id", "fit_fold", "role"])
+    return long_dense(out, fitted.names())
+
+
+@query("high_corr_prune")
+def high_corr_prune(spark, sf_dir):
+    """F21 on the dense block standardize_numeric + frequency_encode_categoricals."""
+    fitted = merge(num.fit_standardize(numeric_stats(spark, sf_dir)),
+                   cat.fit_frequency(category_stats(spark, sf_dir)))
+    names = fitted.names()
+    block = fitted.transform(ctx(spark, sf_dir), K, ["fit_fold", "role"]).where(F.col("role") == "train")
+    corr = pr.correlations(block, names)
+    dropped = pr.dropped_features(corr, names, list(range(1, K + 1)), 0.98)
+    rows = [(f, n, int(n in dropped[f])) for f in range(1, K + 1) for n in names]
+    return spark.createDataFrame(rows, "fit_fold int, feature string, dropped int")

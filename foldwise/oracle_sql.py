@@ -355,3 +355,124 @@ def _():
   JOIN cnt_{c} ON cnt_{c}.fit_fold = e.fit_fold AND cnt_{c}.v = {norm(c, 'e')}
   WHERE CAST(cnt_{c}.n AS DOUBLE) / tot.n < 0.04""")
     return ctes(TOT, *[cnt_cte(c) for c in CATEGORICAL]) + "\n" + "\nUNION ALL\n".join(sels)
+
+
+# ---------------------------------------------------------------- interactions and pruning
+import itertools as _it  # noqa: E402
+
+
+def nu_cte() -> str:
+    cols = ", ".join(f"count(DISTINCT {nn(c)}) AS u_{c}" for c in CATEGORICAL)
+    return f"nu AS (SELECT fits.fit_fold, {cols} FROM train s CROSS JOIN fits WHERE s.fold <> fits.fit_fold GROUP BY 1)"
+
+
+def xv(a: str, b: str, alias: str = "s") -> str:
+    return f"({norm(a, alias)} || '__x__' || {norm(b, alias)})"
+
+
+def xc_cte(a: str, b: str) -> str:
+    return f"""xc_{a}_{b} AS (SELECT fits.fit_fold, {xv(a, b)} AS v, count(*) AS n FROM train s CROSS JOIN fits
+  WHERE s.fold <> fits.fit_fold GROUP BY 1, 2)"""
+
+
+PAIRS = list(_it.combinations(CATEGORICAL, 2))
+
+
+@q("cross_cat_long")
+def _():
+    op = "cross_low_cardinality_categoricals"
+    sels = [f"""SELECT e.id, e.fit_fold, e.role, '{op}__{op}__{a}__x__{b}_' || {xv(a, b, 'e')} AS feature,
+  CAST(1 AS DOUBLE) AS value FROM expanded e JOIN nu ON nu.fit_fold = e.fit_fold
+  JOIN xc_{a}_{b} x ON x.fit_fold = e.fit_fold AND x.v = {xv(a, b, 'e')}
+  WHERE nu.u_{a} <= 10 AND nu.u_{b} <= 10""" for a, b in PAIRS]
+    return ctes(nu_cte(), *[xc_cte(a, b) for a, b in PAIRS]) + "\n" + "\nUNION ALL\n".join(sels)
+
+
+@q("frequency_cross_cv")
+def _():
+    op = "frequency_encode_categorical_crosses"
+    sels = [f"""SELECT e.id, e.fit_fold, e.role, '{op}__{a}__x__{b}' AS feature,
+  {R(f'coalesce(CAST(x.n AS DOUBLE) / tot.n, 0)')} AS value
+  FROM expanded e JOIN nu ON nu.fit_fold = e.fit_fold JOIN tot ON tot.fit_fold = e.fit_fold
+  LEFT JOIN xc_{a}_{b} x ON x.fit_fold = e.fit_fold AND x.v = {xv(a, b, 'e')}
+  WHERE nu.u_{a} <= 10 AND nu.u_{b} <= 10""" for a, b in PAIRS]
+    return ctes(TOT, nu_cte(), *[xc_cte(a, b) for a, b in PAIRS]) + "\n" + "\nUNION ALL\n".join(sels)
+
+
+def _bin_of(c: str, x: str) -> str:
+    return _bin_expr(c, x)
+
+
+@q("cross_bin_long")
+def _():
+    op = "cross_categorical_with_binned_numeric"
+    parts = [nu_cte(), *median_ctes(), *[_edges_cte(c) for c in NUMERIC]]
+    sels = []
+    for x in NUMERIC:
+        for c in CATEGORICAL:
+            parts.append(f"""xb_{x}_{c} AS (SELECT DISTINCT fits.fit_fold, {_bin_of(x, imp(x, 's'))} AS b, {norm(c)} AS v
+  FROM train s CROSS JOIN fits JOIN med_{x} ON med_{x}.fit_fold = fits.fit_fold
+  JOIN qe_{x} ON qe_{x}.fit_fold = fits.fit_fold WHERE s.fold <> fits.fit_fold)""")
+            b = _bin_of(x, imp(x))
+            sels.append(f"""SELECT e.id, e.fit_fold, e.role,
+  '{op}__{op}__{x}__x__{c}_bin_' || CAST({b} AS VARCHAR) || '__x__' || {norm(c, 'e')} AS feature,
+  CAST(1 AS DOUBLE) AS value
+  FROM expanded e JOIN nu ON nu.fit_fold = e.fit_fold JOIN med_{x} ON med_{x}.fit_fold = e.fit_fold
+  JOIN qe_{x} ON qe_{x}.fit_fold = e.fit_fold
+  JOIN xb_{x}_{c} xb ON xb.fit_fold = e.fit_fold AND xb.b = {b} AND xb.v = {norm(c, 'e')}
+  WHERE nu.u_{c} <= 10""")
+    return ctes(*parts) + "\n" + "\nUNION ALL\n".join(sels)
+
+
+@q("group_deviation_cv")
+def _():
+    op = "groupwise_deviation_features"
+    parts = [nu_cte(), *median_ctes()]
+    for x in NUMERIC:
+        parts.append(f"""gl_{x} AS (SELECT fits.fit_fold, avg({imp(x, 's')}) AS mu, stddev_samp({imp(x, 's')}) AS sd
+  FROM train s CROSS JOIN fits JOIN med_{x} ON med_{x}.fit_fold = fits.fit_fold
+  WHERE s.fold <> fits.fit_fold GROUP BY 1)""")
+    sels = []
+    for x in NUMERIC:
+        for c in CATEGORICAL:
+            parts.append(f"""gd_{x}_{c} AS (SELECT fits.fit_fold, {norm(c)} AS v, avg({imp(x, 's')}) AS mu,
+  coalesce(stddev_samp({imp(x, 's')}), 0) AS sd
+  FROM train s CROSS JOIN fits JOIN med_{x} ON med_{x}.fit_fold = fits.fit_fold
+  WHERE s.fold <> fits.fit_fold GROUP BY 1, 2)""")
+            mean = f"coalesce(g.mu, gl_{x}.mu)"
+            sd = f"(CASE WHEN g.v IS NULL THEN gl_{x}.sd ELSE g.sd END)"
+            sels.append(f"""SELECT e.id, e.fit_fold, e.role, '{op}__{x}_dev_by_{c}' AS feature,
+  {R(f'({imp(x)} - {mean}) / ({sd} + 1e-8)')} AS value
+  FROM expanded e JOIN nu ON nu.fit_fold = e.fit_fold JOIN med_{x} ON med_{x}.fit_fold = e.fit_fold
+  JOIN gl_{x} ON gl_{x}.fit_fold = e.fit_fold
+  LEFT JOIN gd_{x}_{c} g ON g.fit_fold = e.fit_fold AND g.v = {norm(c, 'e')}
+  WHERE nu.u_{c} <= 20""")
+    return ctes(*parts) + "\n" + "\nUNION ALL\n".join(sels)
+
+
+@q("high_corr_prune")
+def _():
+    feats = [f"standardize_numeric__{c}" for c in NUMERIC] + [f"frequency_encode_categoricals__{c}" for c in CATEGORICAL]
+    mom = [f"""mom_{c} AS (
+  SELECT fits.fit_fold, avg(coalesce(s.{c}, med_{c}.q0)) AS mu, stddev_pop(coalesce(s.{c}, med_{c}.q0)) AS sd
+  FROM train s CROSS JOIN fits JOIN med_{c} ON med_{c}.fit_fold = fits.fit_fold
+  WHERE s.fold <> fits.fit_fold GROUP BY fits.fit_fold)""" for c in NUMERIC]
+    fcols = [f"({imp(c)} - mom_{c}.mu) / (CASE WHEN mom_{c}.sd < {EPS10} THEN 1 ELSE mom_{c}.sd END) AS f{i}"
+             for i, c in enumerate(NUMERIC)]
+    fcols += [f"coalesce(CAST(cnt_{c}.n AS DOUBLE) / tot.n, 0) AS f{i + len(NUMERIC)}" for i, c in enumerate(CATEGORICAL)]
+    joins = (med_joins() + " " + " ".join(f"JOIN mom_{c} ON mom_{c}.fit_fold = e.fit_fold" for c in NUMERIC)
+             + " JOIN tot ON tot.fit_fold = e.fit_fold " + " ".join(
+                 f"LEFT JOIN cnt_{c} ON cnt_{c}.fit_fold = e.fit_fold AND cnt_{c}.v = {norm(c, 'e')}" for c in CATEGORICAL))
+    block = f"block AS (SELECT e.fit_fold, {', '.join(fcols)} FROM expanded e {joins} WHERE e.role = 'train')"
+    d = len(feats)
+    cor = ", ".join(f"corr(f{i}, f{j}) AS c_{i}_{j}" for i in range(d) for j in range(i + 1, d))
+    cm = f"cm AS (SELECT fit_fold, {cor} FROM block GROUP BY fit_fold)"
+
+    def big(i, j):
+        c = f"c_{i}_{j}"
+        return f"coalesce(CASE WHEN isnan({c}) THEN NULL ELSE abs({c}) > 0.98 END, false)"
+    sels = []
+    for j, name in enumerate(feats):
+        cond = " OR ".join(big(i, j) for i in range(j)) or "false"
+        sels.append(f"SELECT fit_fold, '{name}' AS feature, CAST(CASE WHEN {cond} THEN 1 ELSE 0 END AS INTEGER) AS dropped FROM cm")
+    return ctes(*median_ctes(), *mom, TOT, *[cnt_cte(c) for c in CATEGORICAL], block, cm) + "\n" + "\nUNION ALL\n".join(sels)
