@@ -203,3 +203,94 @@ def high_corr_prune(spark, sf_dir):
     dropped = pr.dropped_features(corr, names, list(range(1, K + 1)), 0.98)
     rows = [(f, n, int(n in dropped[f])) for f in range(1, K + 1) for n in names]
     return spark.createDataFrame(rows, "fit_fold int, feature string, dropped int")
+
+
+# ---------------------------------------------------------------- profiles
+from foldwise.plans import metrics as mt  # noqa: E402
+from foldwise.plans import profile as pf  # noqa: E402
+
+
+def eda_tables(spark, sf_dir):
+    c = ctx(spark, sf_dir)
+    tr = c.where(F.col("split") == "train").select("id", *fx.FEATURES, "y_reg")
+    te = c.where(F.col("split") == "test").select("id", *fx.FEATURES)
+    return tr, te
+
+
+@query("column_summary")
+def column_summary(spark, sf_dir):
+    tr, _ = eda_tables(spark, sf_dir)
+    return pf.column_summary(tr).withColumn("null_pct", rnd("null_pct", 9))
+
+
+@query("missingness")
+def missingness(spark, sf_dir):
+    tr, te = eda_tables(spark, sf_dir)
+    return pf.missingness(tr, te).withColumn("null_pct", rnd("null_pct", 9))
+
+
+@query("cardinality")
+def cardinality_q(spark, sf_dir):
+    tr, te = eda_tables(spark, sf_dir)
+    return pf.cardinality(tr, te).withColumn("null_pct", rnd("null_pct", 9))
+
+
+@query("target_summary_numeric")
+def target_summary_numeric(spark, sf_dir):
+    tr, _ = eda_tables(spark, sf_dir)
+    return pf.target_summary_numeric(tr, "y_reg").withColumn("value", rnd("value", 4))
+
+
+@query("target_summary_categorical")
+def target_summary_categorical(spark, sf_dir):
+    return pf.target_summary_categorical(train(spark, sf_dir), "y_bin").withColumn("value", rnd("value", 9))
+
+
+@query("feature_types")
+def feature_types(spark, sf_dir):
+    tr, _ = eda_tables(spark, sf_dir)
+    numeric, categorical = pf.resolve_feature_types(tr, fx.FEATURES, low_cardinality_int_threshold=20)
+    rows = [(c, "numeric" if c in numeric else "categorical") for c in fx.FEATURES]
+    rows += [(f"__count_{k}", str(v)) for k, v in pf.feature_type_counts(numeric, categorical)]
+    return spark.createDataFrame(rows, "column string, feature_type string")
+
+
+@query("run_summary")
+def run_summary(spark, sf_dir):
+    tr, te = eda_tables(spark, sf_dir)
+    return pf.run_summary(tr, te, len(fx.FEATURES)).withColumn("value", rnd("value", 9))
+
+
+@query("target_stats_regression")
+def target_stats_regression(spark, sf_dir):
+    s = pf.target_stats_regression(train(spark, sf_dir), "y_reg")
+    return s.select(*[rnd(c, 4).alias(c) for c in s.columns])
+
+
+@query("target_stats_binary")
+def target_stats_binary(spark, sf_dir):
+    return pf.target_stats_binary(train(spark, sf_dir), "y_bin").withColumn("prevalence", rnd("prevalence", 9))
+
+
+# ---------------------------------------------------------------- metrics
+def _fold_metric(fixture, metric, digits):
+    def run(spark, sf_dir):
+        fm = mt.with_train_rows(mt.fold_metrics(fixture(spark, sf_dir), metric))
+        return fm.withColumn("metric_value", rnd("metric_value", digits))
+    return run
+
+
+for _m in ("rmse", "mse", "mae", "rmsle"):
+    QUERIES[f"metric_{_m}"] = _fold_metric(fx.oof_long, _m, 4 if _m != "mse" else 1)
+QUERIES["metric_auc"] = _fold_metric(fx.oof_bin, "roc_auc", 9)
+QUERIES["metric_logloss"] = _fold_metric(fx.oof_bin, "log_loss", 9)
+QUERIES["metric_accuracy"] = _fold_metric(fx.oof_bin, "accuracy", 9)
+
+
+@query("cv_summary")
+def cv_summary(spark, sf_dir):
+    reg = mt.fold_metrics(fx.oof_long(spark, sf_dir), "rmse")
+    auc = mt.fold_metrics(fx.oof_bin(spark, sf_dir), "roc_auc")
+    s = mt.cv_summary(reg.unionByName(auc))
+    return s.select("candidate_id", "metric_name", rnd("cv_mean", 6).alias("cv_mean"),
+                    rnd("cv_std", 6).alias("cv_std"), "n_folds")

@@ -142,7 +142,7 @@ def _positions(p: float, method: str):
 
 
 def quantile_cte(name: str, value: str, probs, method: str = "linear", joins: str = "",
-                 source: str = "train", fold: str = "fold") -> str:
+                 source: str = "train", fold: str = "fold", fits: str = "fits") -> str:
     """CTE ``name(fit_fold, q0, q1, ...)``: quantiles of ``value`` over the rows of
     ``source`` outside each fit fold, from explicit order statistics."""
     sel = []
@@ -155,7 +155,7 @@ def quantile_cte(name: str, value: str, probs, method: str = "linear", joins: st
   SELECT fit_fold, {', '.join(sel)} FROM (
     SELECT fit_fold, x, row_number() OVER (PARTITION BY fit_fold ORDER BY x) - 1 AS r,
       count(*) OVER (PARTITION BY fit_fold) AS n
-    FROM (SELECT fits.fit_fold, {value} AS x FROM {source} s CROSS JOIN fits {joins}
+    FROM (SELECT fits.fit_fold, {value} AS x FROM {source} s CROSS JOIN {fits} fits {joins}
           WHERE s.{fold} <> fits.fit_fold) WHERE x IS NOT NULL)
   GROUP BY fit_fold, n)"""
 
@@ -476,3 +476,199 @@ def _():
         cond = " OR ".join(big(i, j) for i in range(j)) or "false"
         sels.append(f"SELECT fit_fold, '{name}' AS feature, CAST(CASE WHEN {cond} THEN 1 ELSE 0 END AS INTEGER) AS dropped FROM cm")
     return ctes(*median_ctes(), *mom, TOT, *[cnt_cte(c) for c in CATEGORICAL], block, cm) + "\n" + "\nUNION ALL\n".join(sels)
+
+
+# ---------------------------------------------------------------- profiles
+TRAIN_COLS = ["id", "acctbal", "avg_qty", "avg_discount", "n_items", "const_num", "acctbal_copy",
+              "c_mktsegment", "o_orderpriority", "n_name", "rare_cat", "is_even", "y_reg"]
+TEST_COLS = TRAIN_COLS[:-1]
+SPARK_TYPES = {"id": "bigint", "n_items": "bigint", "c_mktsegment": "string", "o_orderpriority": "string",
+               "n_name": "string", "rare_cat": "string", "is_even": "boolean"}
+NON_NUMBER = ["c_mktsegment", "o_orderpriority", "n_name", "rare_cat", "is_even"]
+
+
+def _col_stats(table: str, cols, dataset: str | None = None, with_dtype: bool = False) -> str:
+    sels = []
+    for c in cols:
+        ds = f"'{dataset}' AS dataset, " if dataset else ""
+        dt = f"'{SPARK_TYPES.get(c, 'double')}' AS dtype, " if with_dtype else ""
+        sels.append(f"""SELECT {ds}'{c}' AS column, {dt}CAST(count(*) - count({c}) AS BIGINT) AS null_count,
+  {R(f'CAST(count(*) - count({c}) AS DOUBLE) / count(*)', 9)} AS null_pct,
+  CAST(count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS nunique
+  FROM {table}""")
+    return "\nUNION ALL\n".join(sels)
+
+
+@q("column_summary")
+def _():
+    return with_ctx(_col_stats("train", TRAIN_COLS, with_dtype=True))
+
+
+@q("missingness")
+def _():
+    sels = []
+    for ds, cols in (("train", TRAIN_COLS), ("test", TEST_COLS)):
+        for c in cols:
+            sels.append(f"""SELECT '{ds}' AS dataset, '{c}' AS column, CAST(count(*) - count({c}) AS BIGINT) AS null_count,
+  {R(f'CAST(count(*) - count({c}) AS DOUBLE) / count(*)', 9)} AS null_pct FROM {ds}""")
+    return with_ctx("\nUNION ALL\n".join(sels))
+
+
+@q("cardinality")
+def _():
+    return with_ctx(_col_stats("train", NON_NUMBER, "train") + "\nUNION ALL\n" + _col_stats("test", NON_NUMBER, "test"))
+
+
+@q("target_summary_numeric")
+def _():
+    qc = quantile_cte("tq", "s.y_reg", [0.25, 0.5, 0.75], fits="(SELECT 0 AS fit_fold)")
+    body = f"""SELECT 'count' AS metric, {R('CAST(count(y_reg) AS DOUBLE)', 4)} AS value FROM train
+UNION ALL SELECT 'mean', {R('avg(y_reg)', 4)} FROM train
+UNION ALL SELECT 'std', {R('stddev_samp(y_reg)', 4)} FROM train
+UNION ALL SELECT 'min', {R('min(y_reg)', 4)} FROM train
+UNION ALL SELECT '25%', {R('q0', 4)} FROM tq
+UNION ALL SELECT '50%', {R('q1', 4)} FROM tq
+UNION ALL SELECT '75%', {R('q2', 4)} FROM tq
+UNION ALL SELECT 'max', {R('max(y_reg)', 4)} FROM train"""
+    return ctes(qc) + "\n" + body
+
+
+@q("target_summary_categorical")
+def _():
+    return with_ctx(f"""SELECT 'value_' || coalesce(CAST(y_bin AS VARCHAR), 'nan') || '_count' AS metric,
+  CAST(count(*) AS DOUBLE) AS value FROM train GROUP BY y_bin
+UNION ALL
+SELECT 'value_' || coalesce(CAST(y_bin AS VARCHAR), 'nan') || '_ratio',
+  {R('CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM train)', 9)} FROM train GROUP BY y_bin""")
+
+
+@q("feature_types")
+def _():
+    feats = TRAIN_COLS[1:-1]
+    ni = ("(CASE WHEN (SELECT count(DISTINCT n_items) FROM train) <= 20 AND "
+          "(SELECT count(*) FROM train WHERE n_items IS NULL) = 0 THEN 'categorical' ELSE 'numeric' END)")
+    kinds = {c: ("'numeric'" if SPARK_TYPES.get(c, "double") in ("double", "bigint") else "'categorical'")
+             for c in feats}
+    kinds["n_items"] = ni
+    rows = "\nUNION ALL\n".join(f"SELECT '{c}' AS column, {kinds[c]} AS feature_type" for c in feats)
+    body = f"""ft AS ({rows})
+SELECT "column", feature_type FROM ft
+UNION ALL SELECT '__count_numeric', CAST(count(*) FILTER (WHERE feature_type = 'numeric') AS VARCHAR) FROM ft
+UNION ALL SELECT '__count_categorical', CAST(count(*) FILTER (WHERE feature_type = 'categorical') AS VARCHAR) FROM ft
+UNION ALL SELECT '__count_total', CAST(count(*) AS VARCHAR) FROM ft"""
+    return ctes(body)
+
+
+@q("run_summary")
+def _():
+    sels = []
+    for ds, cols in (("train", TRAIN_COLS), ("test", TEST_COLS)):
+        miss = " + ".join(f"CAST(count(*) - count({c}) AS DOUBLE) / count(*)" for c in cols)
+        collist = ", ".join(cols)
+        sels += [f"SELECT '{ds}_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM {ds}",
+                 f"SELECT '{ds}_cols', CAST({len(cols)} AS DOUBLE)",
+                 f"SELECT '{ds}_missing_pct', {R(f'({miss}) / {len(cols)}', 9)} FROM {ds}",
+                 f"SELECT '{ds}_duplicate_rows', CAST((SELECT count(*) FROM {ds}) - "
+                 f"(SELECT count(*) FROM (SELECT DISTINCT {collist} FROM {ds})) AS DOUBLE)"]
+    sels.append("SELECT 'model_feature_count', CAST(11 AS DOUBLE)")
+    return with_ctx("\nUNION ALL\n".join(sels))
+
+
+@q("target_stats_regression")
+def _():
+    return with_ctx(f"SELECT {R('avg(y_reg)', 4)} AS mean, {R('stddev_pop(y_reg)', 4)} AS std, "
+                    f"{R('min(y_reg)', 4)} AS min, {R('max(y_reg)', 4)} AS max FROM train")
+
+
+@q("target_stats_binary")
+def _():
+    return with_ctx(f"SELECT count(*) FILTER (WHERE y_bin = 1) AS positive_count, "
+                    f"count(*) FILTER (WHERE y_bin <> 1) AS negative_count, "
+                    f"{R('avg(CAST(y_bin = 1 AS DOUBLE))', 9)} AS prevalence FROM train")
+
+
+# ---------------------------------------------------------------- metrics
+def D(x) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def _r1(x: str) -> str:
+    return f"(floor(({x}) * {D(10.0)} + {D(0.5)}) / {D(10.0)})"
+
+
+def _clip01(x: str) -> str:
+    return f"least(greatest({x}, {D(0.0)}), {D(1.0)})"
+
+
+REG_CANDIDATES = [
+    ("cand_a", f"y + (id % 97 - 48) * {D(10.0)}"),
+    ("cand_b", f"y + (id % 89 - 44) * {D(12.0)}"),
+    ("cand_c", f"y * {D(0.9)} + {D(15000.0)} + (id % 13 - 6) * {D(100.0)}"),
+    ("cand_d", f"{D(300000.0)} - y + (id % 7 - 3) * {D(50.0)}"),
+    ("cand_e", f"y + (id % 97 - 48) * {D(10.0)} + {D(0.5)}"),
+]
+_dd = f"(CAST(y AS DOUBLE) - {D(0.5)})"
+BIN_CANDIDATES = [
+    ("bin_a", _r1(_clip01(f"({D(0.5)} + {_dd} * {D(0.4)}) + (id % 11 - 5) * {D(0.06)}"))),
+    ("bin_b", _r1(_clip01(f"({D(0.5)} + {_dd} * {D(0.2)}) + (id % 7 - 3) * {D(0.1)}"))),
+    ("bin_c", _r1(_clip01(f"({D(0.5)} - {_dd} * {D(0.3)}) + (id % 5 - 2) * {D(0.1)}"))),
+]
+
+
+def oof_ctes() -> list[str]:
+    out = []
+    for name, label, fold, cands in (("oof", "y_reg", "fold", REG_CANDIDATES),
+                                     ("oofb", "y_bin", "sfold", BIN_CANDIDATES)):
+        out.append(f"""{name}_base AS (SELECT row_number() OVER (ORDER BY id) - 1 AS row_idx, id,
+  {label} AS y, {fold} AS fold FROM train)""")
+        sels = [f"SELECT row_idx, id, CAST(y AS DOUBLE) AS y_true, fold, '{c}' AS candidate_id, "
+                f"CAST({e} AS DOUBLE) AS y_pred FROM {name}_base" for c, e in cands]
+        out.append(f"{name} AS (" + "\nUNION ALL\n".join(sels) + ")")
+    return out
+
+
+METRIC_SQL = {
+    "rmse": "sqrt(avg((y_true - y_pred) * (y_true - y_pred)))",
+    "mse": "avg((y_true - y_pred) * (y_true - y_pred))",
+    "mae": "avg(abs(y_true - y_pred))",
+    "rmsle": "sqrt(avg((ln(1 + y_true) - ln(1 + greatest(y_pred, 0))) * (ln(1 + y_true) - ln(1 + greatest(y_pred, 0)))))",
+    "log_loss": ("-avg(y_true * ln(least(greatest(y_pred, 2.220446049250313e-16), 1 - 2.220446049250313e-16)) + "
+                 "(1 - y_true) * ln(1 - least(greatest(y_pred, 2.220446049250313e-16), 1 - 2.220446049250313e-16)))"),
+    "accuracy": "avg(CAST((y_pred >= 0.5) = (y_true = 1) AS DOUBLE))",
+}
+
+
+def _fold_metric_sql(src: str, metric: str, digits: int) -> str:
+    return ctes(*oof_ctes()) + f"""
+SELECT candidate_id, fold, '{metric}' AS metric_name, {R(METRIC_SQL[metric], digits)} AS metric_value,
+  count(*) AS valid_rows, CAST(sum(count(*)) OVER (PARTITION BY candidate_id) - count(*) AS BIGINT) AS train_rows
+FROM {src} GROUP BY candidate_id, fold"""
+
+
+for _m, _d in (("rmse", 4), ("mse", 1), ("mae", 4), ("rmsle", 4)):
+    QUERIES[f"metric_{_m}"] = _fold_metric_sql("oof", _m, _d)
+QUERIES["metric_logloss"] = _fold_metric_sql("oofb", "log_loss", 9)
+QUERIES["metric_accuracy"] = _fold_metric_sql("oofb", "accuracy", 9)
+
+AUC_CTE = """auc_s AS (SELECT candidate_id, fold, y_pred AS score, sum(y_true) AS pos, sum(1 - y_true) AS neg
+  FROM oofb GROUP BY 1, 2, 3),
+auc_r AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY candidate_id, fold ORDER BY score
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM auc_s),
+auc AS (SELECT candidate_id, fold, sum(pos * (nb + neg / 2.0)) / (sum(pos) * sum(neg)) AS v,
+  CAST(sum(pos + neg) AS BIGINT) AS valid_rows FROM auc_r GROUP BY 1, 2)"""
+
+
+@q("metric_auc")
+def _():
+    return ctes(*oof_ctes(), AUC_CTE) + f"""
+SELECT candidate_id, fold, 'roc_auc' AS metric_name, {R('v', 9)} AS metric_value, valid_rows,
+  CAST(sum(valid_rows) OVER (PARTITION BY candidate_id) - valid_rows AS BIGINT) AS train_rows FROM auc"""
+
+
+@q("cv_summary")
+def _():
+    return ctes(*oof_ctes(), AUC_CTE) + f"""
+, fm AS (SELECT candidate_id, fold, 'rmse' AS metric_name, {METRIC_SQL['rmse']} AS v FROM oof GROUP BY 1, 2
+  UNION ALL SELECT candidate_id, fold, 'roc_auc', v FROM auc)
+SELECT candidate_id, metric_name, {R('avg(v)', 6)} AS cv_mean, {R('stddev_pop(v)', 6)} AS cv_std,
+  count(*) AS n_folds FROM fm GROUP BY 1, 2"""

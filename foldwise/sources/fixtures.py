@@ -99,3 +99,50 @@ def context(spark: SparkSession, sf_dir: str, k: int = K, seed: int = SEED) -> D
 
 def fixture_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
+
+
+# Fixed offsets defining the candidate prediction fixtures (deterministic in id).
+def _reg_candidates(y, i):
+    return [
+        ("cand_a", y + (i % 97 - 48) * F.lit(10.0)),
+        ("cand_b", y + (i % 89 - 44) * F.lit(12.0)),
+        ("cand_c", y * F.lit(0.9) + F.lit(15000.0) + (i % 13 - 6) * F.lit(100.0)),
+        ("cand_d", F.lit(300000.0) - y + (i % 7 - 3) * F.lit(50.0)),
+        ("cand_e", y + (i % 97 - 48) * F.lit(10.0) + F.lit(0.5)),
+    ]
+
+
+def _r1(x):
+    return F.floor(x * F.lit(10.0) + F.lit(0.5)) / F.lit(10.0)
+
+
+def _clip01(x):
+    return F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0))
+
+
+def _bin_candidates(yb, i):
+    d = yb.cast("double") - F.lit(0.5)
+    return [
+        ("bin_a", _r1(_clip01((F.lit(0.5) + d * F.lit(0.4)) + (i % 11 - 5) * F.lit(0.06)))),
+        ("bin_b", _r1(_clip01((F.lit(0.5) + d * F.lit(0.2)) + (i % 7 - 3) * F.lit(0.1)))),
+        ("bin_c", _r1(_clip01((F.lit(0.5) - d * F.lit(0.3)) + (i % 5 - 2) * F.lit(0.1)))),
+    ]
+
+
+def _oof(spark, sf_dir, label, fold_col, cands):
+    tr = context(spark, sf_dir).where(F.col("split") == "train").select(ID, label, fold_col)
+    ranked = folds_mod.ranked(tr, ID, seed=None)
+    arr = F.array(*[F.struct(F.lit(n).alias("candidate_id"), e.cast("double").alias("y_pred"))
+                    for n, e in cands(F.col(label), F.col(ID))])
+    return ranked.select(F.col("_rank").alias("row_idx"), F.col(ID), F.col(label).cast("double").alias("y_true"),
+                         F.col(fold_col).alias("fold"), F.inline(arr))
+
+
+def oof_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regression OOF predictions of five candidates: (row_idx, id, y_true, fold, candidate_id, y_pred)."""
+    return _oof(spark, sf_dir, "y_reg", "fold", _reg_candidates)
+
+
+def oof_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary OOF scores with ties (one decimal), stratified folds."""
+    return _oof(spark, sf_dir, "y_bin", "sfold", _bin_candidates)
