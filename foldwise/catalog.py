@@ -294,3 +294,67 @@ def cv_summary(spark, sf_dir):
     s = mt.cv_summary(reg.unionByName(auc))
     return s.select("candidate_id", "metric_name", rnd("cv_mean", 6).alias("cv_mean"),
                     rnd("cv_std", 6).alias("cv_std"), "n_folds")
+
+
+# ---------------------------------------------------------------- blending and selection
+from foldwise.plans import blend as bl  # noqa: E402
+from foldwise.plans import contracts as ct  # noqa: E402
+
+REG_CANDS = ["cand_a", "cand_b", "cand_c", "cand_d", "cand_e"]
+
+
+@query("blend_weighted")
+def blend_weighted(spark, sf_dir):
+    w = bl.normalize_weights(["cand_a", "cand_b", "cand_c"], [2.0, 1.0, 1.0])
+    b = bl.blend(fx.oof_long(spark, sf_dir), w, ["row_idx"], carry=["id", "y_true", "fold"])
+    return b.withColumn("y_pred", rnd("y_pred", 6))
+
+
+@query("blend_labels")
+def blend_labels(spark, sf_dir):
+    w = bl.normalize_weights(["bin_a", "bin_b"])
+    b = bl.finalize(bl.blend(fx.oof_bin(spark, sf_dir), w, ["row_idx"], carry=["id"]), "accuracy")
+    return b.select("row_idx", "id", "label", rnd("probability", 9).alias("probability"))
+
+
+@query("blend_alignment")
+def blend_alignment(spark, sf_dir):
+    return bl.alignment_violations(fx.oof_long(spark, sf_dir), ["row_idx"], REG_CANDS)
+
+
+@query("oof_correlation")
+def oof_correlation(spark, sf_dir):
+    corr = bl.correlation_matrix(fx.oof_long(spark, sf_dir), REG_CANDS, ["row_idx"])
+    rows = [(a, b, corr[(a, b)]) for i, a in enumerate(REG_CANDS) for b in REG_CANDS[i + 1:]]
+    df = spark.createDataFrame(rows, "candidate_a string, candidate_b string, corr double")
+    return df.withColumn("corr", rnd("corr", 9))
+
+
+@query("greedy_ensemble")
+def greedy_ensemble(spark, sf_dir):
+    """B5 + B6 (rows-only check; pytest compares with a brute-force selection)."""
+    pred = fx.oof_long(spark, sf_dir)
+    corr = bl.correlation_matrix(pred, REG_CANDS, ["row_idx"])
+    kept, _ = bl.filter_correlated(corr, REG_CANDS, 0.999999)
+    w, score = bl.greedy_select(bl.gram(pred, kept, ["row_idx"]), kept, 50, "rmse")
+    return spark.createDataFrame([(c, float(v), float(score)) for c, v in w.items() if v > 0],
+                                 "candidate_id string, weight double, score double").orderBy(F.desc("weight"))
+
+
+# ---------------------------------------------------------------- contracts
+@query("submission_violations")
+def submission_violations(spark, sf_dir):
+    pred, tmpl = fx.submission_fixture(spark, sf_dir, "regression")
+    return ct.submission_violations(pred, tmpl, "id", "y_reg", "regression")
+
+
+@query("probability_violations")
+def probability_violations(spark, sf_dir):
+    pred, tmpl = fx.submission_fixture(spark, sf_dir, "probability")
+    return ct.submission_violations(pred, tmpl, "id", "y_bin", "probability")
+
+
+@query("label_violations")
+def label_violations(spark, sf_dir):
+    pred, tmpl = fx.submission_fixture(spark, sf_dir, "label")
+    return ct.submission_violations(pred, tmpl, "id", "y_bin", "label", labels=(0, 1))

@@ -672,3 +672,85 @@ def _():
   UNION ALL SELECT candidate_id, fold, 'roc_auc', v FROM auc)
 SELECT candidate_id, metric_name, {R('avg(v)', 6)} AS cv_mean, {R('stddev_pop(v)', 6)} AS cv_std,
   count(*) AS n_folds FROM fm GROUP BY 1, 2"""
+
+
+# ---------------------------------------------------------------- blending
+@q("blend_weighted")
+def _():
+    return ctes(*oof_ctes()) + f"""
+, w AS (SELECT * FROM (VALUES ('cand_a', {D(0.5)}), ('cand_b', {D(0.25)}), ('cand_c', {D(0.25)})) t(candidate_id, w))
+SELECT row_idx, id, y_true, fold, {R('sum(w.w * oof.y_pred) / sum(w.w)', 6)} AS y_pred, count(*) AS n_components
+FROM oof JOIN w ON oof.candidate_id = w.candidate_id GROUP BY row_idx, id, y_true, fold"""
+
+
+@q("blend_labels")
+def _():
+    return ctes(*oof_ctes()) + f"""
+, w AS (SELECT * FROM (VALUES ('bin_a', {D(0.5)}), ('bin_b', {D(0.5)})) t(candidate_id, w)),
+b AS (SELECT row_idx, id, sum(w.w * oofb.y_pred) / sum(w.w) AS p FROM oofb JOIN w ON oofb.candidate_id = w.candidate_id
+  GROUP BY row_idx, id)
+SELECT row_idx, id, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS label, {R('p', 9)} AS probability FROM b"""
+
+
+@q("blend_alignment")
+def _():
+    return ctes(*oof_ctes()) + """
+, g AS (SELECT row_idx, count(DISTINCT candidate_id) AS m, count(DISTINCT y_true) AS dy, count(DISTINCT fold) AS df
+  FROM oof GROUP BY row_idx)
+SELECT count(*) FILTER (WHERE m <> 5) AS misaligned_rows, count(*) FILTER (WHERE dy > 1) AS inconsistent_y_true,
+  count(*) FILTER (WHERE df > 1) AS inconsistent_fold FROM g"""
+
+
+@q("oof_correlation")
+def _():
+    cands = [c for c, _ in REG_CANDIDATES]
+    piv = ", ".join(f"max(CASE WHEN candidate_id = '{c}' THEN y_pred END) AS {c}" for c in cands)
+    sels = []
+    for i, a in enumerate(cands):
+        for b in cands[i + 1:]:
+            sels.append(f"SELECT '{a}' AS candidate_a, '{b}' AS candidate_b, {R(f'corr({a}, {b})', 9)} AS corr FROM wd")
+    return ctes(*oof_ctes()) + f"\n, wd AS (SELECT row_idx, {piv} FROM oof GROUP BY row_idx)\n" + "\nUNION ALL\n".join(sels)
+
+
+# ---------------------------------------------------------------- contracts
+def _sub_ctes(kind: str) -> list[str]:
+    label = "y_reg" if kind == "regression" else "y_bin"
+    if kind == "regression":
+        value = (f"CASE WHEN id % 65 = 0 THEN NULL WHEN id % 85 = 0 THEN CAST('inf' AS DOUBLE) "
+                 f"ELSE {D(150000.0)} + (id % 1000) * {D(10.0)} END")
+        extra = D(1.0)
+    elif kind == "probability":
+        value = f"CASE WHEN id % 65 = 0 THEN NULL ELSE (id % 23) / {D(20.0)} END"
+        extra = D(0.5)
+    else:
+        value = "CAST(CASE WHEN id % 65 = 0 THEN NULL ELSE id % 3 END AS INTEGER)"
+        extra = "CAST(1 AS INTEGER)"
+    return [f"tmpl AS (SELECT id FROM test)",
+            f"""pred AS (SELECT id, {value} AS {label} FROM test WHERE id % 35 <> 0
+  UNION ALL SELECT id, {extra} FROM test WHERE id % 45 = 0
+  UNION ALL SELECT id + 1, {extra} FROM test WHERE id % 55 = 0)"""]
+
+
+def _violations(kind: str) -> str:
+    label = "y_reg" if kind == "regression" else "y_bin"
+    p = f"pred.{label}"
+    rows = [f"SELECT 'null_predictions' AS \"check\", CAST(count(*) FILTER (WHERE {p} IS NULL) AS BIGINT) AS violations FROM pred"]
+    if kind in ("regression", "probability"):
+        rows.append(f"SELECT 'non_finite_predictions', CAST(count(*) FILTER (WHERE {p} IS NOT NULL AND NOT isfinite({p})) AS BIGINT) FROM pred")
+    if kind == "probability":
+        rows.append(f"SELECT 'out_of_range', CAST(count(*) FILTER (WHERE isfinite({p}) AND ({p} < 0 OR {p} > 1)) AS BIGINT) FROM pred")
+    if kind == "label":
+        rows.append(f"SELECT 'unknown_labels', CAST(count(*) FILTER (WHERE {p} IS NOT NULL AND CAST({p} AS VARCHAR) NOT IN ('0', '1')) AS BIGINT) FROM pred")
+    rows += [
+        "SELECT 'duplicate_ids', CAST(count(*) AS BIGINT) FROM (SELECT id FROM pred GROUP BY id HAVING count(*) > 1)",
+        "SELECT 'missing_ids', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT id FROM tmpl WHERE id NOT IN (SELECT id FROM pred))",
+        "SELECT 'unknown_ids', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT id FROM pred WHERE id NOT IN (SELECT id FROM tmpl))",
+        "SELECT 'row_count_mismatch', CAST(abs((SELECT count(*) FROM pred) - (SELECT count(*) FROM tmpl)) AS BIGINT)",
+        "SELECT 'column_mismatch', CAST(0 AS BIGINT)",
+    ]
+    return ctes(*_sub_ctes(kind)) + "\n" + "\nUNION ALL\n".join(rows)
+
+
+QUERIES["submission_violations"] = _violations("regression")
+QUERIES["probability_violations"] = _violations("probability")
+QUERIES["label_violations"] = _violations("label")

@@ -47,9 +47,12 @@ def ranked(df: DataFrame, id_col: str, *, seed: int | None = 42, by: list[str] |
         order = [F.col("_h"), F.col(id_col)]
     else:
         parts = range_partitions or df.sparkSession.sparkContext.defaultParallelism
+        # Range bounds come from a sample seeded by the RDD id, so two executions
+        # can cut differently: materialise the partition numbers once (reliable
+        # checkpoint) so the counts and the in-partition ranks see the same cut.
         base = (df.repartitionByRange(parts, F.col(id_col))
-                .withColumn("_b", F.spark_partition_id().cast("string")))
-        base = base.withColumn("_b", F.lpad("_b", 10, "0"))
+                .withColumn("_b", F.lpad(F.spark_partition_id().cast("string"), 10, "0"))
+                .checkpoint(eager=True))
         order = [F.col(id_col)]
     counts = base.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     w_before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -146,3 +146,28 @@ def oof_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 def oof_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binary OOF scores with ties (one decimal), stratified folds."""
     return _oof(spark, sf_dir, "y_bin", "sfold", _bin_candidates)
+
+
+def submission_fixture(spark: SparkSession, sf_dir: str, kind: str = "regression"):
+    """(predictions, template) over the test ids, with defects injected by id rule:
+    every 7th test id missing, every 9th duplicated, every 11th followed by an
+    unknown id, every 13th null, every 17th non-finite (regression)."""
+    te = context(spark, sf_dir).where(F.col("split") == "test").select(ID)
+    i = F.col(ID)
+    label = "y_reg" if kind == "regression" else "y_bin"
+    template = te.select(i, (F.lit(0.0) if kind == "regression" else F.lit(0)).alias(label))
+    if kind == "regression":
+        value = (F.when(i % 65 == 0, F.lit(None).cast("double"))
+                 .when(i % 85 == 0, F.lit(float("inf")))
+                 .otherwise(F.lit(150000.0) + (i % 1000) * F.lit(10.0)))
+        extra = F.lit(1.0)
+    elif kind == "probability":
+        value = F.when(i % 65 == 0, F.lit(None).cast("double")).otherwise((i % 23) / F.lit(20.0))
+        extra = F.lit(0.5)
+    else:
+        value = F.when(i % 65 == 0, F.lit(None).cast("int")).otherwise((i % 3).cast("int"))
+        extra = F.lit(1)
+    base = te.where(i % 35 != 0).select(i, value.alias(label))
+    dups = te.where(i % 45 == 0).select(i, extra.alias(label))
+    unknown = te.where(i % 55 == 0).select((i + 1).alias(ID), extra.alias(label))
+    return base.unionByName(dups).unionByName(unknown), template
