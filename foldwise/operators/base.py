@@ -44,13 +44,17 @@ class Fitted:
 
 
 def expand_fits(df: DataFrame, k: int, fold_col: str = "fold") -> DataFrame:
-    """Each row once per fit fold 1..k, with its role in that fit
-    (train / valid / test). The fold table has k rows: a bounded broadcast."""
-    spark = df.sparkSession
-    fits = F.broadcast(spark.range(1, k + 1).select(F.col("id").cast("int").alias(FIT_FOLD)))
+    """Each row once per fit fold 1..k (``explode(sequence(1, k))``, no join),
+    with its role in that fit (train / valid / test)."""
     role = (F.when(F.col("split") == "test", "test")
             .when(F.col(fold_col) == F.col(FIT_FOLD), "valid").otherwise("train"))
-    return df.crossJoin(fits).withColumn("role", role)
+    return (df.withColumn(FIT_FOLD, F.explode(F.sequence(F.lit(1), F.lit(k))))
+            .withColumn("role", role))
+
+
+def outside_fold(fold_col: str, k: int):
+    """Fit folds a training row belongs to: every fold but its own."""
+    return F.explode(F.filter(F.sequence(F.lit(1), F.lit(k)), lambda f: f != F.col(fold_col)))
 
 
 def merge(*fitted: Fitted) -> Fitted:

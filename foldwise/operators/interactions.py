@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from foldwise.functions.scalar import BIN_PREFIX, CROSS_SEPARATOR, DEVIATION_EPSILON, MISSING_TOKEN, per_fold
 from foldwise.operators import stats as st
-from foldwise.operators.base import FIT_FOLD, Fitted
+from foldwise.operators.base import FIT_FOLD, Fitted, outside_fold
 from foldwise.operators.categorical import CategoryStats, low_cardinality, text
 from foldwise.operators.numeric import NumericStats, bin_edges, bin_index
 
@@ -105,9 +105,7 @@ def fit_cross_binned(ns: NumericStats, cs: CategoryStats, n_bins: int = 5, max_c
     eligible = low_cardinality(cs.nunique(), cs.cols, max_cardinality, fits)
     cats = [c for c in cs.cols if any(c in eligible[f] for f in fits)]
     edges = bin_edges(ns, n_bins)
-    spark = cs.train.sparkSession
-    fits_df = F.broadcast(st.fits_table(spark, cs.k))
-    comp_rows = cs.train.crossJoin(fits_df).where(F.col(cs.fold_col) != F.col(FIT_FOLD))
+    comp_rows = cs.train.withColumn(FIT_FOLD, outside_fold(cs.fold_col, cs.k))
     cols, lookups = {}, []
     for num in ns.cols:
         b = bin_index(ns.imputed(num), {f: edges[(num, f)] for f in fits})

@@ -340,12 +340,11 @@ def complement_groups(df: DataFrame, group_cols: list[str], k: int, partial: dic
     single-row complement exact, unlike total minus fold). Output: one row per
     (group, fit_fold) in which the group occurs, k rows per group at most.
     """
-    spark = df.sparkSession
+    from foldwise.operators.base import outside_fold
     parts = df.groupBy(*group_cols, F.col(fold_col).cast("int").alias("_fold")).agg(
         *[c.alias(n) for n, c in partial.items()])
     fns = {"sum": F.sum, "min": F.min, "max": F.max}
-    return (parts.crossJoin(F.broadcast(fits_table(spark, k)))
-            .where(F.col("_fold") != F.col("fit_fold"))
+    return (parts.withColumn("fit_fold", outside_fold("_fold", k))
             .groupBy(*group_cols, "fit_fold")
             .agg(*[fns[combine[n]](n).alias(n) for n in partial]))
 

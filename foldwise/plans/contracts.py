@@ -54,20 +54,26 @@ def submission_violations(pred: DataFrame, template: DataFrame, id_col: str, lab
         checks.append(F.count_if(p.isNotNull() & ~normalize_label(pred, label_col).isin(*[str(v) for v in labels]))
                       .alias("unknown_labels"))
     one = pred.agg(*checks)
+    names = [c for c in one.columns if c != "pred_rows"]
+    parts = [one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).cast("bigint").alias("violations"))
+                                          for n in names])))]
     per_id = pred.groupBy(id_col).agg(F.count(F.lit(1)).alias("c"))
-    dup = per_id.agg(F.count_if(F.col("c") > 1).alias("duplicate_ids"))
+    parts.append(per_id.agg(F.lit("duplicate_ids").alias("check"), F.count_if(F.col("c") > 1).cast("bigint").alias("violations")))
     tmpl = template.select(id_col).distinct()
-    missing = tmpl.join(pred.select(id_col), id_col, "left_anti").agg(F.count(F.lit(1)).alias("missing_ids"))
-    unknown = (pred.select(id_col).distinct().join(tmpl, id_col, "left_anti")
-               .agg(F.count(F.lit(1)).alias("unknown_ids")))
-    t_rows = template.agg(F.count(F.lit(1)).alias("template_rows"))
-    wide = one.crossJoin(dup).crossJoin(missing).crossJoin(unknown).crossJoin(t_rows)  # 1-row tables
-    names = [c for c in wide.columns if c not in ("pred_rows", "template_rows")]
-    stack = F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).cast("bigint").alias("violations")) for n in names],
-                    F.struct(F.lit("row_count_mismatch").alias("check"),
-                             F.abs(F.col("pred_rows") - F.col("template_rows")).cast("bigint").alias("violations")),
-                    F.struct(F.lit("column_mismatch").alias("check"), F.lit(1 - cols_ok).cast("bigint").alias("violations")))
-    return wide.select(F.inline(stack))
+    parts.append(tmpl.join(pred.select(id_col), id_col, "left_anti")
+                 .agg(F.lit("missing_ids").alias("check"), F.count(F.lit(1)).cast("bigint").alias("violations")))
+    parts.append(pred.select(id_col).distinct().join(tmpl, id_col, "left_anti")
+                 .agg(F.lit("unknown_ids").alias("check"), F.count(F.lit(1)).cast("bigint").alias("violations")))
+    # row counts of both tables, signed, summed: |pred rows - template rows|
+    counts = (pred.select(F.lit(1).alias("s")).unionByName(template.select(F.lit(-1).alias("s")))
+              .agg(F.lit("row_count_mismatch").alias("check"), F.abs(F.sum("s")).cast("bigint").alias("violations")))
+    parts.append(counts)
+    spark = pred.sparkSession
+    parts.append(spark.createDataFrame([("column_mismatch", 1 - cols_ok)], "check string, violations bigint"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def order_mismatches(pred: DataFrame, template: DataFrame, id_col: str, order_col: str = "row_idx") -> DataFrame:

@@ -108,14 +108,17 @@ def stratified_kfold(df: DataFrame, id_col: str, label_col: str, k: int = 5, *,
 
 
 def validate_folds(folds: DataFrame, id_col: str, k: int, fold_col: str = "fold") -> DataFrame:
-    """One-row violation summary (all zeros means valid)."""
+    """(check, violations) rows; all zero means every row is in exactly
+    one fold 1..k and every fold has rows on both sides."""
     per_id = folds.groupBy(id_col).agg(F.count(F.lit(1)).alias("c"))
-    dup = per_id.agg(F.count_if(F.col("c") > 1).alias("duplicate_ids"))
+    dup = per_id.agg(F.lit("duplicate_ids").alias("check"), F.count_if(F.col("c") > 1).cast("bigint").alias("violations"))
     sizes = folds.groupBy(fold_col).agg(F.count(F.lit(1)).alias("valid_rows"))
-    n = folds.count()
-    bad = sizes.agg(
-        F.count_if((F.col(fold_col) < 1) | (F.col(fold_col) > k) | F.col(fold_col).isNull()).alias("out_of_range"),
+    total = F.sum("valid_rows").over(Window.partitionBy())  # at most k + 1 rows
+    s = sizes.withColumn("n", total)
+    bad = s.agg(
+        F.count_if(F.col(fold_col).isNull() | (F.col(fold_col) < 1) | (F.col(fold_col) > k)).alias("out_of_range"),
         (F.lit(k) - F.count_if((F.col(fold_col) >= 1) & (F.col(fold_col) <= k))).alias("empty_folds"),
-        F.count_if(F.col("valid_rows") >= F.lit(n)).alias("empty_train_sides"),
-    )
-    return dup.crossJoin(bad)
+        F.count_if(F.col("valid_rows") >= F.col("n")).alias("empty_train_sides"))
+    arr = F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).cast("bigint").alias("violations"))
+                    for c in ("out_of_range", "empty_folds", "empty_train_sides")])
+    return dup.unionByName(bad.select(F.inline(arr)))
