@@ -358,3 +358,135 @@ def probability_violations(spark, sf_dir):
 def label_violations(spark, sf_dir):
     pred, tmpl = fx.submission_fixture(spark, sf_dir, "label")
     return ct.submission_violations(pred, tmpl, "id", "y_bin", "label", labels=(0, 1))
+
+
+# ---------------------------------------------------------------- run ledger
+import uuid  # noqa: E402
+
+from foldwise.plans import ledger as ld  # noqa: E402
+from foldwise.session import checkpoint_dir  # noqa: E402
+from foldwise.streaming import refresh as rf  # noqa: E402
+
+
+def _ledger(spark, sf_dir):
+    return fx.ledger_runs(spark, sf_dir), fx.ledger_artifacts(spark, sf_dir)
+
+
+@query("canonical_runs")
+def canonical_runs(spark, sf_dir):
+    return ld.canonical_lookup(*_ledger(spark, sf_dir))
+
+
+@query("ledger_search")
+def ledger_search(spark, sf_dir):
+    runs, _ = _ledger(spark, sf_dir)
+    return ld.search_runs(runs, run_kind="canonical", status="FINISHED", family="economy") \
+        .select("run_id", "candidate_id", "metric_value")
+
+
+@query("cv_config_runs")
+def cv_config_runs(spark, sf_dir):
+    runs, _ = _ledger(spark, sf_dir)
+    return ld.cv_config_filter(runs, 5, True, 42).select("run_id", "candidate_id")
+
+
+@query("ledger_audit")
+def ledger_audit(spark, sf_dir):
+    runs, _ = _ledger(spark, sf_dir)
+    return ld.audit(runs, "family", "run_kind")
+
+
+@query("status_counts")
+def status_counts(spark, sf_dir):
+    runs, _ = _ledger(spark, sf_dir)
+    return ld.status_counts(runs)
+
+
+@query("variant_compare")
+def variant_compare(spark, sf_dir):
+    runs, _ = _ledger(spark, sf_dir)
+    out = ld.variant_compare(runs, ["family", "recipe"], "variant", "cpu", "gpu")
+    return out.withColumn("delta", rnd("delta", 9))
+
+
+@query("trial_parents")
+def trial_parents(spark, sf_dir):
+    runs, _ = _ledger(spark, sf_dir)
+    return ld.trial_parents(runs)
+
+
+@query("optimization_summary")
+def optimization_summary(spark, sf_dir):
+    runs, _ = _ledger(spark, sf_dir)
+    trials = runs.where(F.col("run_kind") == "optimization_trial")
+    return ld.optimization_summary(trials, higher_is_better=False)
+
+
+# ---------------------------------------------------------------- submission refresh
+def _refresh_inputs(spark, sf_dir):
+    parsed = rf.parse_remote(fx.remote_submissions(spark, sf_dir))
+    events = fx.tracked_events(spark, sf_dir)
+    canon = ld.canonical_lookup(*_ledger(spark, sf_dir)).where(F.col("n_canonical") >= 1).select("candidate_id")
+    return parsed, events, canon
+
+
+@query("refresh_match")
+def refresh_match(spark, sf_dir):
+    parsed, events, _ = _refresh_inputs(spark, sf_dir)
+    return rf.match(parsed, events).select("submission_event_id", "kaggle_submitted_at", "kaggle_file_name",
+                                           "tracked_candidate_id", "remote_candidate_id", "candidate_mismatch")
+
+
+@query("refresh_orphans")
+def refresh_orphans(spark, sf_dir):
+    parsed, events, canon = _refresh_inputs(spark, sf_dir)
+    return rf.orphans(parsed, events, canon).select("submission_event_id", "kaggle_file_name",
+                                                    "remote_candidate_id", "recovery")
+
+
+def _appended(spark, sf_dir):
+    parsed, events, canon = _refresh_inputs(spark, sf_dir)
+    cands = rf.candidate_observations(parsed, events, canon)
+    return rf.new_observations(cands, fx.observation_history(spark, sf_dir)), parsed, events, cands
+
+
+@query("refresh_dedup")
+def refresh_dedup(spark, sf_dir):
+    new, *_ = _appended(spark, sf_dir)
+    return new.select(*rf.OBSERVATION_COLS, "candidate_id")
+
+
+@query("score_rollup")
+def score_rollup(spark, sf_dir):
+    new, *_ = _appended(spark, sf_dir)
+    hist = fx.observation_history(spark, sf_dir)
+    allobs = hist.unionByName(new.select(*rf.OBSERVATION_COLS).withColumn("observed_seq", F.lit(1)))
+    return rf.score_rollup(allobs, higher_is_better=False)
+
+
+@query("refresh_counters")
+def refresh_counters(spark, sf_dir):
+    new, parsed, events, cands = _appended(spark, sf_dir)
+    return rf.refresh_counters(parsed, events, cands, new)
+
+
+@query("event_id_duplicates")
+def event_id_duplicates(spark, sf_dir):
+    _, events, _ = _refresh_inputs(spark, sf_dir)
+    return rf.duplicate_event_ids(events).agg(F.count(F.lit(1)).alias("duplicate_event_ids"))
+
+
+@query("refresh_stream")
+def refresh_stream(spark, sf_dir):
+    """The same refresh as a file-source stream (available-now trigger) into a
+    fresh observation table seeded with the stored history; returns the rows the
+    stream appended."""
+    root = checkpoint_dir(spark).rstrip("/") + f"/refresh-{uuid.uuid4().hex}"
+    src, target, ck = f"{root}/landed", f"{root}/observations", f"{root}/_checkpoint"
+    remote = fx.remote_submissions(spark, sf_dir)
+    remote.repartition(3).write.mode("overwrite").json(src)
+    hist = fx.observation_history(spark, sf_dir).withColumn("candidate_id", F.lit(None).cast("string"))
+    hist.select(*[f.name for f in rf.observation_schema().fields]).write.mode("overwrite").parquet(target)
+    _, events, canon = _refresh_inputs(spark, sf_dir)
+    out = rf.run_stream(spark, src, target, ck, events, canon, seq=1)
+    return out.where(F.col("observed_seq") == 1).select(*rf.OBSERVATION_COLS, "candidate_id")

@@ -754,3 +754,155 @@ def _violations(kind: str) -> str:
 QUERIES["submission_violations"] = _violations("regression")
 QUERIES["probability_violations"] = _violations("probability")
 QUERIES["label_violations"] = _violations("label")
+
+
+# ---------------------------------------------------------------- run ledger
+REQ_PATHS = ["logs/runtime.log", "config/runtime_config.json", "context/competition.json", "context/folds.csv",
+             "candidate/candidate.json", "candidate/fold_metrics.csv", "candidate/oof_predictions.csv",
+             "candidate/test_predictions.csv"]
+
+
+def ledger_ctes() -> list[str]:
+    paths = ", ".join(f"({j}, '{p}')" for j, p in enumerate(REQ_PATHS + ["extra/notes.txt"]))
+    req = ", ".join(f"'{p}'" for p in REQ_PATHS)
+    return [f"""runs AS (SELECT 'run_' || CAST(p_partkey AS VARCHAR) AS run_id,
+  'cand_' || replace(p_brand, 'Brand#', '') AS candidate_id, lower(p_type) AS family,
+  split_part(p_name, ' ', 1) AS recipe,
+  CASE p_size % 4 WHEN 0 THEN 'screening' WHEN 1 THEN 'canonical' WHEN 2 THEN 'submission' ELSE 'optimization_trial' END AS run_kind,
+  CASE WHEN p_partkey % 10 = 0 THEN 'FAILED' WHEN p_partkey % 10 = 1 THEN 'RUNNING'
+       WHEN p_partkey % 10 = 2 THEN 'SCHEDULED' ELSE 'FINISHED' END AS status,
+  CASE WHEN p_size % 2 = 0 THEN 'cpu' ELSE 'gpu' END AS variant,
+  p_retailprice / {D(1000.0)} AS metric_value,
+  CASE WHEN p_size % 4 = 3 THEN 'run_' || CAST(p_partkey - p_partkey % 16 AS VARCHAR) END AS parent_run_id,
+  CASE WHEN p_size % 4 = 3 THEN CAST(p_partkey % 16 AS INTEGER) END AS trial_number,
+  CASE WHEN p_size % 3 = 0 THEN '3' ELSE '5' END AS cv_n_splits, 'true' AS cv_shuffle, '42' AS cv_random_state
+FROM part)""",
+            f"""arts AS (SELECT 'run_' || CAST(p_partkey AS VARCHAR) AS run_id, t.path FROM part
+  CROSS JOIN (VALUES {paths}) t(j, path) WHERE (p_partkey + t.j) % 13 <> 0 OR t.j = 8)""",
+            f"""inc AS (SELECT r.run_id FROM runs r LEFT JOIN (SELECT run_id, count(DISTINCT path) AS n FROM arts
+  WHERE path IN ({req}) GROUP BY run_id) a ON r.run_id = a.run_id WHERE coalesce(a.n, 0) < 8)""",
+            """can AS (SELECT * FROM runs WHERE run_kind = 'canonical' AND status = 'FINISHED'
+  AND run_id NOT IN (SELECT run_id FROM inc))""",
+            """lookup AS (SELECT c.candidate_id, CAST(coalesce(per.n, 0) AS BIGINT) AS n_canonical,
+  CAST(coalesce(act.n, 0) AS BIGINT) AS n_active,
+  CASE WHEN coalesce(per.n, 0) = 0 THEN 'missing' WHEN per.n = 1 THEN 'ok' ELSE 'ambiguous' END AS lookup_status,
+  CASE WHEN per.n = 1 THEN per.run_id END AS run_id
+  FROM (SELECT DISTINCT candidate_id FROM runs) c
+  LEFT JOIN (SELECT candidate_id, count(*) AS n, min(run_id) AS run_id FROM can GROUP BY 1) per ON per.candidate_id = c.candidate_id
+  LEFT JOIN (SELECT candidate_id, count(*) AS n FROM runs WHERE run_kind = 'canonical'
+    AND status IN ('RUNNING', 'SCHEDULED') GROUP BY 1) act ON act.candidate_id = c.candidate_id)"""]
+
+
+def lctes(*more: str) -> str:
+    return "WITH " + ",\n".join(ledger_ctes() + list(more))
+
+
+QUERIES["canonical_runs"] = lctes() + "\nSELECT * FROM lookup"
+QUERIES["ledger_search"] = lctes() + """
+SELECT run_id, candidate_id, metric_value FROM runs
+WHERE run_kind = 'canonical' AND status = 'FINISHED' AND family = 'economy'"""
+QUERIES["cv_config_runs"] = lctes() + """
+SELECT run_id, candidate_id FROM runs WHERE cv_n_splits = '5' AND cv_shuffle = 'true' AND cv_random_state = '42'"""
+QUERIES["ledger_audit"] = lctes() + """
+SELECT family, run_kind, count(*) AS n_runs, count(*) FILTER (WHERE status = 'FINISHED') AS n_finished,
+  count(*) FILTER (WHERE status = 'FAILED') AS n_failed FROM runs GROUP BY 1, 2"""
+QUERIES["status_counts"] = lctes() + "\nSELECT status, count(*) AS n_runs FROM runs GROUP BY 1"
+QUERIES["variant_compare"] = lctes() + f"""
+SELECT family, recipe, max(CASE WHEN variant = 'cpu' THEN metric_value END) AS best_cpu,
+  max(CASE WHEN variant = 'gpu' THEN metric_value END) AS best_gpu,
+  count(*) FILTER (WHERE variant = 'cpu') AS n_cpu, count(*) FILTER (WHERE variant = 'gpu') AS n_gpu,
+  {R("max(CASE WHEN variant = 'gpu' THEN metric_value END) - max(CASE WHEN variant = 'cpu' THEN metric_value END)", 9)} AS delta
+FROM runs WHERE status = 'FINISHED' GROUP BY 1, 2"""
+QUERIES["trial_parents"] = lctes() + """
+SELECT t.parent_run_id, t.run_id AS trial_run_id, t.metric_value AS trial_metric,
+  p.candidate_id AS parent_candidate_id, p.run_kind AS parent_kind
+FROM runs t JOIN runs p ON t.parent_run_id = p.run_id WHERE t.run_kind = 'optimization_trial'"""
+QUERIES["optimization_summary"] = lctes() + """
+, done AS (SELECT *, row_number() OVER (PARTITION BY parent_run_id ORDER BY metric_value, trial_number) AS rk,
+  count(*) OVER (PARTITION BY parent_run_id) AS n
+  FROM runs WHERE run_kind = 'optimization_trial' AND status = 'FINISHED')
+SELECT parent_run_id, n AS completed_trials, trial_number AS best_trial_number, metric_value AS best_metric_value
+FROM done WHERE rk = 1"""
+
+
+# ---------------------------------------------------------------- submission refresh
+def _tag(desc: str, tag: str) -> str:
+    lst = f"list_filter(string_split(coalesce({desc}, ''), ' | '), lambda x: starts_with(x, '{tag}='))"
+    return f"(CASE WHEN len({lst}) > 0 THEN trim(substr({lst}[-1], {len(tag) + 2})) END)"
+
+
+def _num(s: str) -> str:
+    return (f"(CASE WHEN {s} IS NULL OR lower(trim({s})) IN ('', 'none', 'nan') THEN NULL "
+            f"ELSE TRY_CAST(lower(trim({s})) AS DOUBLE) END)")
+
+
+SIG = ["submission_event_id", "kaggle_submitted_at", "kaggle_file_name", "kaggle_status", "public_score", "private_score"]
+
+
+def refresh_ctes() -> list[str]:
+    sub = _tag("kaggle_description", "submit")
+    cand = _tag("kaggle_description", "candidate")
+    return ledger_ctes() + [
+        """remote1 AS (SELECT event_id AS e, strftime(ts, '%Y-%m-%d %H:%M:%S') AS kaggle_submitted_at,
+  'submission_' || CAST(event_id AS VARCHAR) || '.csv' AS kaggle_file_name,
+  CASE WHEN event_id % 7 = 0 THEN 'submit=sub_' || CAST(event_id AS VARCHAR) || ' | metric=' || printf('%.6f', value)
+       ELSE 'candidate=cand_' || CAST(user_id % 30 AS VARCHAR) || ' | submit=sub_' || CAST(event_id AS VARCHAR)
+            || ' | metric=' || printf('%.6f', value) END AS kaggle_description,
+  CASE WHEN event_type = 'error' THEN 'error' ELSE 'complete' END AS kaggle_status,
+  CASE WHEN event_type = 'view' THEN '' WHEN event_type = 'signup' THEN 'nan' ELSE printf('%.4f', value) END AS public_score,
+  CASE WHEN event_type = 'purchase' THEN 'None' ELSE printf('%.4f', value * CAST(0.9 AS DOUBLE)) END AS private_score
+  FROM events)""",
+        "remote AS (SELECT * FROM remote1 UNION ALL SELECT * FROM remote1 WHERE e % 25 = 0)",
+        f"""parsed AS (SELECT CASE WHEN regexp_full_match({sub}, '[a-z0-9_-]+') THEN {sub} END AS submission_event_id,
+  CASE WHEN {cand} <> '' THEN {cand} END AS remote_candidate_id,
+  kaggle_submitted_at, kaggle_file_name, kaggle_description, kaggle_status,
+  {_num('public_score')} AS public_score, {_num('private_score')} AS private_score FROM remote)""",
+        """ev AS (SELECT 'sub_' || CAST(event_id AS VARCHAR) AS submission_event_id,
+  CASE WHEN event_id % 13 = 0 THEN 'cand_' || CAST((user_id + 1) % 30 AS VARCHAR)
+       ELSE 'cand_' || CAST(user_id % 30 AS VARCHAR) END AS candidate_id
+  FROM events WHERE event_id % 11 <> 0)""",
+        "canon AS (SELECT candidate_id FROM lookup WHERE n_canonical >= 1)",
+        """matched AS (SELECT p.*, ev.candidate_id AS tracked_candidate_id,
+  CAST(p.remote_candidate_id IS NOT NULL AND p.remote_candidate_id <> ev.candidate_id AS INTEGER) AS candidate_mismatch
+  FROM parsed p JOIN ev ON p.submission_event_id = ev.submission_event_id)""",
+        """orph AS (SELECT p.*, CASE WHEN p.remote_candidate_id IS NULL THEN 'missing_candidate_id'
+  WHEN p.remote_candidate_id NOT IN (SELECT candidate_id FROM canon) THEN 'no_canonical_candidate_run'
+  ELSE 'recovered' END AS recovery
+  FROM parsed p WHERE p.submission_event_id IS NOT NULL
+  AND p.submission_event_id NOT IN (SELECT submission_event_id FROM ev))""",
+        f"""cands AS (SELECT {', '.join(SIG)}, kaggle_description, tracked_candidate_id AS candidate_id FROM matched
+  WHERE candidate_mismatch = 0
+  UNION ALL SELECT {', '.join(SIG)}, kaggle_description, remote_candidate_id FROM orph WHERE recovery = 'recovered')""",
+        f"""hist AS (SELECT DISTINCT {', '.join(SIG)}, kaggle_description, 0 AS observed_seq FROM parsed
+  WHERE submission_event_id IN (SELECT 'sub_' || CAST(event_id AS VARCHAR) FROM events
+    WHERE event_id % 5 = 0 AND event_id % 11 <> 0))""",
+        f"""appended AS (SELECT DISTINCT * FROM cands c WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE
+  {' AND '.join(f'c.{s} IS NOT DISTINCT FROM h.{s}' for s in SIG)}))""",
+    ]
+
+
+def rctes(*more: str) -> str:
+    return "WITH " + ",\n".join(refresh_ctes() + list(more))
+
+
+QUERIES["refresh_match"] = rctes() + """
+SELECT submission_event_id, kaggle_submitted_at, kaggle_file_name, tracked_candidate_id, remote_candidate_id,
+  candidate_mismatch FROM matched"""
+QUERIES["refresh_orphans"] = rctes() + "\nSELECT submission_event_id, kaggle_file_name, remote_candidate_id, recovery FROM orph"
+QUERIES["refresh_dedup"] = rctes() + f"\nSELECT {', '.join(SIG)}, kaggle_description, candidate_id FROM appended"
+QUERIES["refresh_stream"] = QUERIES["refresh_dedup"]
+QUERIES["score_rollup"] = rctes(f"""allobs AS (SELECT {', '.join(SIG)}, kaggle_description, observed_seq FROM hist
+  UNION ALL SELECT {', '.join(SIG)}, kaggle_description, 1 FROM appended)""") + """
+SELECT submission_event_id, count(*) AS n_observations,
+  arg_max(public_score, (observed_seq, kaggle_submitted_at, kaggle_file_name)) FILTER (WHERE public_score IS NOT NULL) AS latest_public_score,
+  arg_max(private_score, (observed_seq, kaggle_submitted_at, kaggle_file_name)) FILTER (WHERE private_score IS NOT NULL) AS latest_private_score,
+  min(public_score) AS best_public_score, min(private_score) AS best_private_score
+FROM allobs GROUP BY 1"""
+QUERIES["refresh_counters"] = rctes() + """
+SELECT 'tracked_events' AS counter, CAST(count(DISTINCT submission_event_id) AS BIGINT) AS value FROM ev
+UNION ALL SELECT 'matched_events', CAST(count(DISTINCT submission_event_id) AS BIGINT) FROM cands
+UNION ALL SELECT 'appended_observations', CAST(count(*) AS BIGINT) FROM appended
+UNION ALL SELECT 'updated_candidates', CAST(count(DISTINCT candidate_id) AS BIGINT) FROM appended
+UNION ALL SELECT 'scanned_remote', CAST(count(*) AS BIGINT) FROM parsed"""
+QUERIES["event_id_duplicates"] = rctes() + """
+SELECT count(*) AS duplicate_event_ids FROM (SELECT submission_event_id FROM ev GROUP BY 1 HAVING count(*) > 1)"""

@@ -171,3 +171,94 @@ def submission_fixture(spark: SparkSession, sf_dir: str, kind: str = "regression
     dups = te.where(i % 45 == 0).select(i, extra.alias(label))
     unknown = te.where(i % 55 == 0).select((i + 1).alias(ID), extra.alias(label))
     return base.unionByName(dups).unionByName(unknown), template
+
+
+# ---------------------------------------------------------------- run ledger fixture (from part)
+def ledger_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run per part row: candidate from the brand, family from the type,
+    recipe from the first name word, kind / status / variant / CV params by rule."""
+    p = read_table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    kind = (F.when(F.col("p_size") % 4 == 0, "screening").when(F.col("p_size") % 4 == 1, "canonical")
+            .when(F.col("p_size") % 4 == 2, "submission").otherwise("optimization_trial"))
+    status = (F.when(k % 10 == 0, "FAILED").when(k % 10 == 1, "RUNNING").when(k % 10 == 2, "SCHEDULED")
+              .otherwise("FINISHED"))
+    is_trial = kind == "optimization_trial"
+    return p.select(
+        F.concat(F.lit("run_"), k.cast("string")).alias("run_id"),
+        F.concat(F.lit("cand_"), F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit(""))).alias("candidate_id"),
+        F.lower(F.col("p_type")).alias("family"),
+        F.split(F.col("p_name"), " ").getItem(0).alias("recipe"),
+        kind.alias("run_kind"),
+        status.alias("status"),
+        F.when(F.col("p_size") % 2 == 0, "cpu").otherwise("gpu").alias("variant"),
+        (F.col("p_retailprice") / F.lit(1000.0)).alias("metric_value"),
+        F.when(is_trial, F.concat(F.lit("run_"), (k - k % 16).cast("string"))).alias("parent_run_id"),
+        F.when(is_trial, (k % 16).cast("int")).alias("trial_number"),
+        F.when(F.col("p_size") % 3 == 0, "3").otherwise("5").alias("cv_n_splits"),
+        F.lit("true").alias("cv_shuffle"),
+        F.lit("42").alias("cv_random_state"),
+    )
+
+
+def ledger_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logged paths per run: the eight bundle paths, path j missing when
+    (partkey + j) % 13 == 0, plus one extra path."""
+    from foldwise.plans.ledger import REQUIRED_ARTIFACT_PATHS
+    p = read_table(spark, sf_dir, "part").select("p_partkey")
+    paths = F.array(*[F.lit(x) for x in REQUIRED_ARTIFACT_PATHS], F.lit("extra/notes.txt"))
+    ex = p.select("p_partkey", F.posexplode(paths).alias("j", "path"))
+    keep = ((F.col("p_partkey") + F.col("j")) % 13 != 0) | (F.col("j") == len(REQUIRED_ARTIFACT_PATHS))
+    return ex.where(keep).select(F.concat(F.lit("run_"), F.col("p_partkey").cast("string")).alias("run_id"), "path")
+
+
+# ---------------------------------------------------------------- submission refresh fixtures (from events)
+def remote_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remote listing rows as landed text: every 7th description lacks
+    candidate=, every 25th row is listed twice; 'view' scores pending (''),
+    'signup' public 'nan', 'purchase' private 'None'."""
+    ev = read_table(spark, sf_dir, "events")
+    e = F.col("event_id")
+    cand = F.concat(F.lit("cand_"), (F.col("user_id") % 30).cast("string"))
+    sub = F.concat(F.lit("sub_"), e.cast("string"))
+    metric = F.format_string("%.6f", F.col("value"))
+    desc = F.when(e % 7 == 0, F.concat_ws(" | ", F.concat(F.lit("submit="), sub), F.concat(F.lit("metric="), metric))) \
+        .otherwise(F.concat_ws(" | ", F.concat(F.lit("candidate="), cand), F.concat(F.lit("submit="), sub),
+                               F.concat(F.lit("metric="), metric)))
+    et = F.col("event_type")
+    rows = ev.select(
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("kaggle_submitted_at"),
+        F.concat(F.lit("submission_"), e.cast("string"), F.lit(".csv")).alias("kaggle_file_name"),
+        desc.alias("kaggle_description"),
+        F.when(et == "error", "error").otherwise("complete").alias("kaggle_status"),
+        F.when(et == "view", "").when(et == "signup", "nan").otherwise(F.format_string("%.4f", F.col("value")))
+        .alias("public_score"),
+        F.when(et == "purchase", "None").otherwise(F.format_string("%.4f", F.col("value") * F.lit(0.9)))
+        .alias("private_score"),
+        e.alias("_e"),
+    )
+    twice = rows.where(F.col("_e") % 25 == 0)
+    return rows.unionByName(twice).drop("_e")
+
+
+def tracked_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Our recorded submission events: every 11th event unknown (orphan); every
+    13th recorded under a different candidate (metadata mismatch)."""
+    ev = read_table(spark, sf_dir, "events")
+    e = F.col("event_id")
+    u = F.col("user_id")
+    cand = F.when(e % 13 == 0, F.concat(F.lit("cand_"), ((u + 1) % 30).cast("string"))) \
+        .otherwise(F.concat(F.lit("cand_"), (u % 30).cast("string")))
+    return ev.where(e % 11 != 0).select(F.concat(F.lit("sub_"), e.cast("string")).alias("submission_event_id"),
+                                        cand.alias("candidate_id"))
+
+
+def observation_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations already stored: every 5th tracked event was seen before with
+    exactly the current remote values (so a refresh must not append it again)."""
+    from foldwise.streaming import refresh as rf
+    remote = rf.parse_remote(remote_submissions(spark, sf_dir))
+    ev = read_table(spark, sf_dir, "events").where((F.col("event_id") % 5 == 0) & (F.col("event_id") % 11 != 0))
+    seen = ev.select(F.concat(F.lit("sub_"), F.col("event_id").cast("string")).alias("submission_event_id"))
+    return (remote.join(seen, "submission_event_id", "left_semi").dropDuplicates(list(rf.SIGNATURE))
+            .select(*rf.OBSERVATION_COLS).withColumn("observed_seq", F.lit(0)))
