@@ -55,8 +55,8 @@ def numeric_stats(spark, sf_dir, cols=None, fold_col="fold"):
     return _NS_CACHE[key]
 
 
-def transformed(spark, sf_dir, fitted, digits=6, keep=("id", "fit_fold", "role")):
-    out = fitted.transform(ctx(spark, sf_dir), K, list(keep))
+def transformed(spark, sf_dir, fitted, digits=6, keep=("id", "fit_fold", "role"), fold_col="fold"):
+    out = fitted.transform(ctx(spark, sf_dir), K, list(keep), fold_col=fold_col)
     vals = [rnd(n, digits).alias(n) if digits is not None else F.col(n) for n in fitted.names()]
     return out.select(*keep, *vals)
 
@@ -490,3 +490,81 @@ def refresh_stream(spark, sf_dir):
     _, events, canon = _refresh_inputs(spark, sf_dir)
     out = rf.run_stream(spark, src, target, ck, events, canon, seq=1)
     return out.where(F.col("observed_seq") == 1).select(*rf.OBSERVATION_COLS, "candidate_id")
+
+
+# ---------------------------------------------------------------- models and cross-validation
+from foldwise.operators import knn as kn  # noqa: E402
+from foldwise.plans import evaluate as ev  # noqa: E402
+from foldwise.plans import models as md  # noqa: E402
+
+
+def _features(spark, sf_dir, fold_col, label, with_target=True):
+    """Dense representation: standardized numerics + frequency (+ target) encodings."""
+    ns = numeric_stats(spark, sf_dir, fold_col=fold_col)
+    cs = category_stats(spark, sf_dir, fold_col=fold_col)
+    parts = [num.fit_standardize(ns), cat.fit_frequency(cs)]
+    if with_target:
+        parts.append(cat.fit_target(category_stats(spark, sf_dir, y_col=label, fold_col=fold_col), 1.0))
+    fitted = merge(*parts)
+    feat = fitted.transform(ctx(spark, sf_dir), K, ["id", "fit_fold", "role", label], fold_col=fold_col)
+    return feat, fitted.names()
+
+
+def _cv(family_name, task, label, fold_col, params=None, with_target=True):
+    def run(spark, sf_dir):
+        feat, names = _features(spark, sf_dir, fold_col, label, with_target)
+        preds = ev.cross_validate(feat, names, label, md.resolve(family_name, task), K, params)
+        o = ev.oof(preds)
+        return o.withColumn("y_pred", rnd("y_pred", 4 if task == "regression" else 9))
+    return run
+
+
+QUERIES["ridge_cv"] = _cv("ridge", "regression", "y_reg", "fold")
+QUERIES["logistic_cv"] = _cv("logistic_regression", "binary", "y_bin", "sfold")
+QUERIES["boosted_cv"] = _cv("gradient_boosted_trees", "regression", "y_reg", "fold",
+                            {"n_estimators": 20, "max_depth": 4})
+QUERIES["random_forest_cv"] = _cv("random_forest", "binary", "y_bin", "sfold", {"n_estimators": 30, "max_depth": 6})
+
+
+@query("gaussian_nb_cv")
+def gaussian_nb_cv(spark, sf_dir):
+    ns = numeric_stats(spark, sf_dir, fold_col="sfold")
+    fitted = num.fit_standardize(ns)
+    feat = fitted.transform(ctx(spark, sf_dir), K, ["id", "fit_fold", "role", "y_bin"], fold_col="sfold")
+    p = ev.gaussian_nb(feat, fitted.names(), "y_bin")
+    return ev.oof(p).withColumn("y_pred", rnd("y_pred", 9))
+
+
+@query("knn_join")
+def knn_join(spark, sf_dir):
+    emb = fx.fixture_table(spark, sf_dir, "embeddings")
+    out = kn.knn_join(emb, "vec_id", "embedding", k=5)
+    return out.withColumn("distance", rnd("distance", 6))
+
+
+@query("knn_cv")
+def knn_cv(spark, sf_dir):
+    """M9 on embeddings: label of a vector predicted from its 5 nearest others."""
+    emb = fx.fixture_table(spark, sf_dir, "embeddings")
+    nb = kn.knn_join(emb, "vec_id", "embedding", k=5)
+    pred = kn.knn_predict(nb, emb, "vec_id", "label")
+    return pred.select(F.col("query_id").alias("vec_id"), rnd("y_pred", 9).alias("y_pred"))
+
+
+@query("leaderboard")
+def leaderboard(spark, sf_dir):
+    """Flagship: ridge and random forest CV on the orders fixture plus their
+    equal-weight blend, ranked by mean fold RMSE."""
+    feat, names = _features(spark, sf_dir, "fold", "y_reg")
+    feat = feat.persist()
+    long = []
+    for cid, fam, params in (("ridge", "ridge", None),
+                             ("random_forest", "random_forest", {"n_estimators": 30, "max_depth": 6})):
+        p = ev.oof(ev.cross_validate(feat, names, "y_reg", md.resolve(fam, "regression"), K, params))
+        long.append(p.withColumn("candidate_id", F.lit(cid)))
+    allp = long[0].unionByName(long[1])
+    b = bl.blend(allp, bl.normalize_weights(["ridge", "random_forest"]), ["id"], carry=["y_true", "fold"])
+    allp = allp.unionByName(b.drop("n_components").withColumn("candidate_id", F.lit("blend__ridge_rf")))
+    s = mt.cv_summary(mt.fold_metrics(allp, "rmse"))
+    return s.select("candidate_id", "metric_name", rnd("cv_mean", 4).alias("cv_mean"),
+                    rnd("cv_std", 4).alias("cv_std"), "n_folds").orderBy("cv_mean")

@@ -906,3 +906,58 @@ UNION ALL SELECT 'updated_candidates', CAST(count(DISTINCT candidate_id) AS BIGI
 UNION ALL SELECT 'scanned_remote', CAST(count(*) AS BIGINT) FROM parsed"""
 QUERIES["event_id_duplicates"] = rctes() + """
 SELECT count(*) AS duplicate_event_ids FROM (SELECT submission_event_id FROM ev GROUP BY 1 HAVING count(*) > 1)"""
+
+
+# ---------------------------------------------------------------- models
+def _expanded_s() -> str:
+    return """expanded_s AS (SELECT ctx.*, fits.fit_fold,
+  CASE WHEN ctx.split = 'test' THEN 'test' WHEN ctx.sfold = fits.fit_fold THEN 'valid' ELSE 'train' END AS role
+  FROM ctx CROSS JOIN fits)"""
+
+
+@q("gaussian_nb_cv")
+def _():
+    parts = [_expanded_s()]
+    for c in NUMERIC:
+        parts.append(quantile_cte(f"meds_{c}", f"s.{c}", [0.5], fold="sfold"))
+        parts.append(f"""moms_{c} AS (SELECT fits.fit_fold, avg(coalesce(s.{c}, meds_{c}.q0)) AS mu,
+  stddev_pop(coalesce(s.{c}, meds_{c}.q0)) AS sd FROM train s CROSS JOIN fits
+  JOIN meds_{c} ON meds_{c}.fit_fold = fits.fit_fold WHERE s.sfold <> fits.fit_fold GROUP BY 1)""")
+    fcols = ", ".join(
+        f"(coalesce(e.{c}, meds_{c}.q0) - moms_{c}.mu) / (CASE WHEN moms_{c}.sd < {EPS10} THEN 1 ELSE moms_{c}.sd END) AS f{i}"
+        for i, c in enumerate(NUMERIC))
+    joins = " ".join(f"JOIN meds_{c} ON meds_{c}.fit_fold = e.fit_fold JOIN moms_{c} ON moms_{c}.fit_fold = e.fit_fold"
+                     for c in NUMERIC)
+    parts.append(f"feat AS (SELECT e.id, e.fit_fold, e.role, e.y_bin, {fcols} FROM expanded_s e {joins})")
+    d = len(NUMERIC)
+    parts.append("nbc AS (SELECT fit_fold, y_bin AS cls, count(*) AS n, "
+                 + ", ".join(f"avg(f{i}) AS mu_{i}, var_pop(f{i}) AS var_{i}" for i in range(d))
+                 + " FROM feat WHERE role = 'train' GROUP BY 1, 2)")
+    parts.append("allv AS (SELECT fit_fold, count(*) AS n_all, greatest("
+                 + ", ".join(f"var_pop(f{i})" for i in range(d)) + ") AS vmax FROM feat WHERE role = 'train' GROUP BY 1)")
+
+    def jll(c):
+        t = f"ln(c{c}.n / allv.n_all)"
+        for i in range(d):
+            v = f"(c{c}.var_{i} + 1e-9 * allv.vmax)"
+            t += f" - 0.5 * ln({D(2.0 * 3.141592653589793)} * {v}) - 0.5 * (f.f{i} - c{c}.mu_{i}) * (f.f{i} - c{c}.mu_{i}) / {v}"
+        return t
+    body = f"""SELECT f.id, f.fit_fold AS fold, CAST(f.y_bin AS DOUBLE) AS y_true,
+  {R(f'1.0 / (1.0 + exp(({jll(0)}) - ({jll(1)})))', 9)} AS y_pred
+FROM feat f JOIN allv ON allv.fit_fold = f.fit_fold
+JOIN nbc c0 ON c0.fit_fold = f.fit_fold AND c0.cls = 0 JOIN nbc c1 ON c1.fit_fold = f.fit_fold AND c1.cls = 1
+WHERE f.role = 'valid'"""
+    return ctes(*parts) + "\n" + body
+
+
+KNN_PAIRS = """pairs AS (SELECT a.vec_id AS query_id, b.vec_id AS neighbor_id,
+  sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding),
+    lambda t: (CAST(t[1] AS DOUBLE) - CAST(t[2] AS DOUBLE)) * (CAST(t[1] AS DOUBLE) - CAST(t[2] AS DOUBLE))))) AS distance
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY floor(distance * 1e9 + 0.5), neighbor_id) AS rank
+  FROM pairs)"""
+
+QUERIES["knn_join"] = f"WITH {KNN_PAIRS}\nSELECT query_id, neighbor_id, rank, {R('distance', 6)} AS distance FROM ranked WHERE rank <= 5"
+QUERIES["knn_cv"] = f"""WITH {KNN_PAIRS}
+SELECT r.query_id AS vec_id, {R('avg(CAST(e.label AS DOUBLE))', 9)} AS y_pred
+FROM ranked r JOIN embeddings e ON e.vec_id = r.neighbor_id WHERE r.rank <= 5 GROUP BY r.query_id"""
