@@ -1,6 +1,17 @@
-"""Exact k-nearest-neighbour join (J12, M9) with pivot pruning.
+"""Exact k-nearest-neighbour join.
 
-Brute force compares every pair. Instead:
+Two exact strategies:
+
+``blocked`` (default): rows are hashed into query blocks and reference blocks;
+every (query block, reference block) unit is one co-grouped task in which
+numpy computes the distances of that block pair and keeps the k best per
+query; a final window keeps the k best per query over its reference blocks
+(k x #blocks rows). No task holds more than two blocks, and only k rows per
+query and block leave a task. Work is the inherent n x m of exact search.
+
+``pivot``: triangle-inequality pruning, for low-dimensional or clustered data
+where it skips most pairs (on isotropic high-dimensional data, e.g. 64-d
+embeddings, it prunes almost nothing -- measured 0.4 % at 400 pivots).
 
 1. ``m`` pivot vectors (the rows with the smallest seeded hash -- a top-m, not
    a sample) are inlined into the plan as a literal matrix; every row gets its
@@ -32,9 +43,75 @@ def sq_dist(a: Column, b: Column) -> Column:
     return F.aggregate(diffs, F.lit(0.0), lambda acc, v: acc + v)
 
 
-def knn_join(data: DataFrame, id_col: str, vec_col: str, k: int = 5, *, seed: int = 42,
-             n_pivots: int | None = None, queries: DataFrame | None = None, exclude_self: bool = True,
-             tie_digits: int = 9) -> DataFrame:
+def knn_join(data: DataFrame, id_col: str, vec_col: str, k: int = 5, *, method: str = "blocked",
+             queries: DataFrame | None = None, exclude_self: bool = True, tie_digits: int = 9,
+             block_rows: int = 4096, seed: int = 42, n_pivots: int | None = None) -> DataFrame:
+    if method == "blocked":
+        return knn_blocked(data, id_col, vec_col, k, queries=queries, exclude_self=exclude_self,
+                           tie_digits=tie_digits, block_rows=block_rows)
+    return knn_pivot(data, id_col, vec_col, k, seed=seed, n_pivots=n_pivots, queries=queries,
+                     exclude_self=exclude_self, tie_digits=tie_digits)
+
+
+def knn_blocked(data: DataFrame, id_col: str, vec_col: str, k: int = 5, *, queries: DataFrame | None = None,
+                exclude_self: bool = True, tie_digits: int = 9, block_rows: int = 4096) -> DataFrame:
+    """Blocked exact kNN (see module doc)."""
+    import numpy as np
+    import pandas as pd
+
+    spark = data.sparkSession
+    queries = queries if queries is not None else data
+    n_ref, n_q = data.count(), queries.count()
+    par = spark.sparkContext.defaultParallelism
+    b_ref = max(1, -(-n_ref // block_rows))
+    b_q = max(par, -(-n_q // block_rows))
+    scale = float(10 ** tie_digits)
+    hq = F.abs(F.xxhash64(F.col(id_col), F.lit(17)))
+    hr = F.abs(F.xxhash64(F.col(id_col), F.lit(29)))
+    q = queries.select(F.col(id_col).alias("q_id"), F.col(vec_col).alias("q_vec"),
+                       (hq % b_q).cast("int").alias("qb"),
+                       F.explode(F.sequence(F.lit(0), F.lit(b_ref - 1))).alias("rb"))
+    r = data.select(F.col(id_col).alias("r_id"), F.col(vec_col).alias("r_vec"),
+                    (hr % b_ref).cast("int").alias("rb"),
+                    F.explode(F.sequence(F.lit(0), F.lit(b_q - 1))).alias("qb"))
+
+    def block(qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+        if qp.empty or rp.empty:
+            return pd.DataFrame({"q_id": pd.Series([], dtype="int64"), "r_id": pd.Series([], dtype="int64"),
+                                 "distance": pd.Series([], dtype="float64")})
+        Q = np.stack(qp["q_vec"].to_numpy()).astype(np.float64)
+        R = np.stack(rp["r_vec"].to_numpy()).astype(np.float64)
+        qid = qp["q_id"].to_numpy()
+        rid = rp["r_id"].to_numpy()
+        out_q, out_r, out_d = [], [], []
+        step = max(1, int(2_000_000 // max(1, R.shape[0] * R.shape[1])))
+        for s in range(0, Q.shape[0], step):
+            diff = Q[s:s + step, None, :] - R[None, :, :]
+            d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+            if exclude_self:
+                d = np.where(qid[s:s + step, None] == rid[None, :], np.inf, d)
+            key = np.floor(d * scale + 0.5)
+            for i in range(d.shape[0]):
+                order = np.lexsort((rid, key[i]))[:k]
+                order = order[np.isfinite(d[i, order])]
+                out_q.append(np.full(len(order), qid[s + i]))
+                out_r.append(rid[order])
+                out_d.append(d[i, order])
+        return pd.DataFrame({"q_id": np.concatenate(out_q).astype("int64"),
+                             "r_id": np.concatenate(out_r).astype("int64"),
+                             "distance": np.concatenate(out_d)})
+
+    pairs = (q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb"))
+             .applyInPandas(block, "q_id long, r_id long, distance double"))
+    pairs = pairs.withColumn("_dr", F.floor(F.col("distance") * F.lit(scale) + F.lit(0.5)))
+    w = Window.partitionBy("q_id").orderBy("_dr", "r_id")
+    return (pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .select(F.col("q_id").alias("query_id"), F.col("r_id").alias("neighbor_id"), "rank", "distance"))
+
+
+def knn_pivot(data: DataFrame, id_col: str, vec_col: str, k: int = 5, *, seed: int = 42,
+              n_pivots: int | None = None, queries: DataFrame | None = None, exclude_self: bool = True,
+              tie_digits: int = 9) -> DataFrame:
     """(query_id, neighbor_id, rank, distance) for the k nearest reference rows.
 
     ``queries`` defaults to ``data`` itself (self join, own row excluded).
