@@ -83,7 +83,9 @@ def context(spark: SparkSession, sf_dir: str, k: int = K, seed: int = SEED) -> D
     if hit is not None:
         return hit
     checkpoint_dir(spark)
-    df = orders_ml(spark, sf_dir)
+    # read by the size count, both fold assignments and the final union: keep it
+    # for the duration of the build (recomputable from lineage if lost)
+    df = orders_ml(spark, sf_dir).persist()
     train = df.where(F.col("split") == "train")
     test = df.where(F.col("split") == "test")
     kf = folds_mod.kfold(train.select(ID), ID, k, seed=seed)
@@ -93,6 +95,7 @@ def context(spark: SparkSession, sf_dir: str, k: int = K, seed: int = SEED) -> D
     test = (test.withColumn("fold", F.lit(None).cast("int"))
             .withColumn("sfold", F.lit(None).cast("int")))
     full = train.unionByName(test).checkpoint(eager=True)
+    df.unpersist()
     _CACHE[key] = full
     return full
 
