@@ -568,3 +568,40 @@ def leaderboard(spark, sf_dir):
     s = mt.cv_summary(mt.fold_metrics(allp, "rmse"))
     return s.select("candidate_id", "metric_name", rnd("cv_mean", 4).alias("cv_mean"),
                     rnd("cv_std", 4).alias("cv_std"), "n_folds").orderBy("cv_mean")
+
+
+# ---------------------------------------------------------------- representations
+from foldwise.operators.representation import Representation  # noqa: E402
+
+FULL_SPEC = Representation(
+    operators=["standardize_numeric", {"id": "target_encode_categoricals", "smoothing": 1.0},
+               {"id": "onehot_encode_low_cardinality_categoricals", "max_cardinality": 16},
+               "row_missing_count", "quantile_bin_numeric"],
+    pruners=[{"id": "high_correlation_prune", "threshold": 0.98}])
+
+
+@query("representation_cv")
+def representation_cv(spark, sf_dir):
+    """F22-F26 end to end: compile, fit (all folds), prune, materialise dense
+    + sparse into one vector, ridge per fold; out-of-fold predictions."""
+    c = ctx(spark, sf_dir)
+    numeric, categorical = pf.resolve_feature_types(c, fx.FEATURES, low_cardinality_int_threshold=20)
+    tr = train(spark, sf_dir)
+    fr = FULL_SPEC.fit(tr, numeric, categorical, K, "fold", "y_reg", raw_features=fx.FEATURES,
+                       card=cat.cardinalities(tr, categorical))
+    fr.fit_pruners(c)
+    out = fr.transform(c, ["id", "fit_fold", "role", "y_reg"]).persist()
+    vocab = fr.vocabulary(out)
+    data = fr.materialize(out.withColumn("label", F.col("y_reg")), vocab)
+    fam = md.resolve("ridge", "regression")
+    parts = []
+    for f in range(1, K + 1):
+        trf = data.where((F.col("fit_fold") == f) & (F.col("role") == "train"))
+        model = fam.build(trf, {}).fit(trf)
+        parts.append(model.transform(data.where((F.col("fit_fold") == f) & (F.col("role") == "valid")))
+                     .select("id", F.col("fit_fold").alias("fold"), F.col("y_reg").alias("y_true"),
+                             rnd("prediction", 4).alias("y_pred")))
+    res = parts[0]
+    for p in parts[1:]:
+        res = res.unionByName(p)
+    return res.withColumn("representation_id", F.lit(FULL_SPEC.id))

@@ -379,8 +379,8 @@ def conditional_ranks(df: DataFrame, key_col: str, order_col: str, flags: list[s
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The range cut is sampled with a seed tied to the RDD id; checkpoint it once so
     # both branches below (per-partition counts, in-partition ranks) agree.
-    r = (df.repartitionByRange(parts, key_col, order_col).withColumn("_b", F.spark_partition_id())
-         .checkpoint(eager=True))
+    from foldwise.session import cut_lineage
+    r = cut_lineage(df.repartitionByRange(parts, key_col, order_col).withColumn("_b", F.spark_partition_id()))
     counts = r.groupBy(key_col, "_b").agg(*[F.sum(F.col(f).cast("long")).alias(f) for f in flags])
     wb = Window.partitionBy(key_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(key_col, "_b", *[F.coalesce(F.sum(f).over(wb), F.lit(0)).alias(f"_off_{f}")

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foldwise.session import cut_lineage
+
 
 def hash_key(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
@@ -66,9 +68,8 @@ def ranked(df: DataFrame, id_col: str, *, seed: int | None = 42, by: list[str] |
         # Range bounds come from a sample seeded by the RDD id, so two executions
         # can cut differently: materialise the partition numbers once (reliable
         # checkpoint) so the counts and the in-partition ranks see the same cut.
-        base = (df.repartitionByRange(parts, F.col(id_col))
-                .withColumn("_b", F.lpad(F.spark_partition_id().cast("string"), 10, "0"))
-                .checkpoint(eager=True))
+        base = cut_lineage(df.repartitionByRange(parts, F.col(id_col))
+                           .withColumn("_b", F.lpad(F.spark_partition_id().cast("string"), 10, "0")))
         order = [F.col(id_col)]
     counts = base.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     w_before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -61,3 +61,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="foldwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def cut_lineage(df):
+    """Reliable checkpoint that runs the plan once.
+
+    ``checkpoint(eager=True)`` counts the rows and then writes the checkpoint
+    files in a second job that recomputes the plan unless it is cached; caching
+    first makes the write read the cached blocks. The cache is released once
+    the checkpoint files exist (later reads use the files, which survive
+    executor loss)."""
+    from pyspark import StorageLevel
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

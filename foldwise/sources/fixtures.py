@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from foldwise.plans import folds as folds_mod
 from foldwise.sources.tables import read_table
-from foldwise.session import checkpoint_dir
+from foldwise.session import checkpoint_dir, cut_lineage
 
 ID = "id"
 NUMERIC = ["acctbal", "avg_qty", "avg_discount", "const_num", "acctbal_copy"]
@@ -94,7 +94,7 @@ def context(spark: SparkSession, sf_dir: str, k: int = K, seed: int = SEED) -> D
     train = train.join(kf, ID).join(sk, ID)
     test = (test.withColumn("fold", F.lit(None).cast("int"))
             .withColumn("sfold", F.lit(None).cast("int")))
-    full = train.unionByName(test).checkpoint(eager=True)
+    full = cut_lineage(train.unionByName(test))
     df.unpersist()
     _CACHE[key] = full
     return full
