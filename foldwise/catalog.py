@@ -605,3 +605,65 @@ def representation_cv(spark, sf_dir):
     for p in parts[1:]:
         res = res.unionByName(p)
     return res.withColumn("representation_id", F.lit(FULL_SPEC.id))
+
+
+# ---------------------------------------------------------------- more folds, artifacts, tuning
+from foldwise.plans import tune as tn  # noqa: E402
+from foldwise.sources import artifacts as art  # noqa: E402
+from foldwise.plans import folds as fo  # noqa: E402
+
+
+@query("folds_kfold_ordered")
+def folds_kfold_ordered(spark, sf_dir):
+    """V1: unshuffled KFold in id order."""
+    return fo.kfold(train(spark, sf_dir).select("id"), "id", K, shuffle=False)
+
+
+@query("fold_validation")
+def fold_validation(spark, sf_dir):
+    """O7 / P20 on the prepared context's folds."""
+    return fo.validate_folds(train(spark, sf_dir).select("id", "fold"), "id", K)
+
+
+def _artifact_root(spark):
+    return checkpoint_dir(spark).rstrip("/") + f"/artifacts-{uuid.uuid4().hex}"
+
+
+@query("artifact_roundtrip")
+def artifact_roundtrip(spark, sf_dir):
+    """Write context and per-candidate tables, read three back."""
+    root = _artifact_root(spark)
+    oofl = fx.oof_long(spark, sf_dir).persist()
+    art.write_context(oofl.where(F.col("candidate_id") == "cand_a").select("row_idx", "fold"),
+                      {"k": K, "seed": fx.SEED, "shuffle": True}, root)
+    for cid in REG_CANDS:
+        o = oofl.where(F.col("candidate_id") == cid)
+        art.write_candidate(root, cid, o.select(*art.OOF_COLUMNS),
+                            o.select("id", F.col("y_pred").alias("y_reg")))
+    back = art.read_oof(spark, root, ["cand_a", "cand_c", "cand_e"])
+    return back.select("candidate_id", "row_idx", "y_true", "y_pred", "fold")
+
+
+@query("truth_check")
+def truth_check(spark, sf_dir):
+    """Stored OOF truth and folds against the context."""
+    ref = fx.oof_long(spark, sf_dir).where(F.col("candidate_id") == "cand_a").select("row_idx", "y_true", "fold")
+    return art.truth_mismatches(fx.oof_long(spark, sf_dir), ref)
+
+
+@query("tune_trials")
+def tune_trials(spark, sf_dir):
+    """Three random-search trials of a random forest, AUC, score-only CV."""
+    feat, names = _features(spark, sf_dir, "sfold", "y_bin")
+    fam = md.resolve("random_forest", "binary")
+    space = {"max_depth": ("int", 3, 8), "min_samples_leaf": ("int", 1, 20)}
+    return tn.tune(feat, names, "y_bin", fam, K, "roc_auc", n_trials=3, space=space,
+                   fixed={"n_estimators": 20})
+
+
+@query("bagged_ensemble")
+def bagged_ensemble(spark, sf_dir):
+    """Poisson-bootstrap bags of greedy selection, averaged (rows only)."""
+    w, score = bl.bagged_select(fx.oof_long(spark, sf_dir), REG_CANDS, ["row_idx"], n_bags=3, n_rounds=20)
+    return spark.createDataFrame([(c, float(v), float(score)) for c, v in w.items()],
+                                 "candidate_id string, weight double, score double")

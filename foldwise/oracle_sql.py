@@ -961,3 +961,30 @@ QUERIES["knn_join"] = f"WITH {KNN_PAIRS}\nSELECT query_id, neighbor_id, rank, {R
 QUERIES["knn_cv"] = f"""WITH {KNN_PAIRS}
 SELECT r.query_id AS vec_id, {R('avg(CAST(e.label AS DOUBLE))', 9)} AS y_pred
 FROM ranked r JOIN embeddings e ON e.vec_id = r.neighbor_id WHERE r.rank <= 5 GROUP BY r.query_id"""
+
+
+# ---------------------------------------------------------------- more folds, artifacts
+QUERIES["folds_kfold_ordered"] = with_ctx(f"""
+SELECT id, CAST(CASE WHEN r < (n % {K}) * (n // {K} + 1) THEN r // (n // {K} + 1)
+  ELSE (n % {K}) + (r - (n % {K}) * (n // {K} + 1)) // (n // {K}) END + 1 AS INTEGER) AS fold
+FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS r, count(*) OVER () AS n FROM train)""")
+
+QUERIES["fold_validation"] = with_ctx(f"""
+SELECT 'duplicate_ids' AS "check", CAST(count(*) AS BIGINT) AS violations FROM (SELECT id FROM train GROUP BY id HAVING count(*) > 1)
+UNION ALL SELECT 'out_of_range', CAST(count(*) FILTER (WHERE fold IS NULL OR fold < 1 OR fold > {K}) AS BIGINT)
+  FROM (SELECT DISTINCT fold FROM train)
+UNION ALL SELECT 'empty_folds', CAST({K} - count(DISTINCT fold) FILTER (WHERE fold BETWEEN 1 AND {K}) AS BIGINT) FROM train
+UNION ALL SELECT 'empty_train_sides', CAST(count(*) FILTER (WHERE c >= (SELECT count(*) FROM train)) AS BIGINT)
+  FROM (SELECT fold, count(*) AS c FROM train GROUP BY fold)""")
+
+QUERIES["artifact_roundtrip"] = ctes(*oof_ctes()) + """
+SELECT candidate_id, row_idx, y_true, y_pred, fold FROM oof WHERE candidate_id IN ('cand_a', 'cand_c', 'cand_e')"""
+
+QUERIES["truth_check"] = ctes(*oof_ctes()) + """
+, ref AS (SELECT row_idx, y_true AS ref_y, fold AS ref_fold FROM oof WHERE candidate_id = 'cand_a'),
+j AS (SELECT o.candidate_id, o.y_true, o.fold, r.ref_y, r.ref_fold FROM oof o FULL OUTER JOIN ref r ON o.row_idx = r.row_idx)
+SELECT candidate_id,
+  count(*) FILTER (WHERE NOT coalesce((y_true IS NULL AND ref_y IS NULL) OR abs(y_true - ref_y) <= 1e-8 + 1e-5 * abs(ref_y), false)) AS y_true_mismatches,
+  count(*) FILTER (WHERE fold <> ref_fold) AS fold_mismatches,
+  count(*) FILTER (WHERE ref_y IS NULL AND ref_fold IS NULL) AS unknown_rows
+FROM j GROUP BY candidate_id"""
