@@ -488,10 +488,23 @@ def refresh_stream(spark, sf_dir):
     hist = fx.observation_history(spark, sf_dir).withColumn("candidate_id", F.lit(None).cast("string"))
     hist.select(*[f.name for f in rf.observation_schema().fields]).write.mode("overwrite").parquet(target)
     _, events, canon = _refresh_inputs(spark, sf_dir)
-    out = rf.run_stream(spark, src, target, ck, events, canon, seq=1)
+    out = rf.run_stream(spark, src, target, ck, events, canon, seq=1, rollup_dir=f"{root}/rollup")
     return out.where(F.col("observed_seq") == 1).select(*rf.OBSERVATION_COLS, "candidate_id")
 
 
+@query("stream_rollup")
+def stream_rollup(spark, sf_dir):
+    """Score rollup kept current by the stream, for the events it touched."""
+    root = checkpoint_dir(spark).rstrip("/") + f"/refresh-{uuid.uuid4().hex}"
+    src, target, ck, roll = f"{root}/landed", f"{root}/observations", f"{root}/_checkpoint", f"{root}/rollup"
+    fx.remote_submissions(spark, sf_dir).repartition(3).write.mode("overwrite").json(src)
+    hist = fx.observation_history(spark, sf_dir).withColumn("candidate_id", F.lit(None).cast("string"))
+    hist.select(*[f.name for f in rf.observation_schema().fields]).write.mode("overwrite").parquet(target)
+    _, events, canon = _refresh_inputs(spark, sf_dir)
+    rf.run_stream(spark, src, target, ck, events, canon, seq=1, rollup_dir=roll)
+    return rf.current_rollup(spark, roll)
+
+
 # ---------------------------------------------------------------- models and cross-validation
 from foldwise.operators import knn as kn  # noqa: E402
 from foldwise.plans import evaluate as ev  # noqa: E402

@@ -988,3 +988,11 @@ SELECT candidate_id,
   count(*) FILTER (WHERE fold <> ref_fold) AS fold_mismatches,
   count(*) FILTER (WHERE ref_y IS NULL AND ref_fold IS NULL) AS unknown_rows
 FROM j GROUP BY candidate_id"""
+
+QUERIES["stream_rollup"] = rctes(f"""allobs AS (SELECT {', '.join(SIG)}, kaggle_description, observed_seq FROM hist
+  UNION ALL SELECT {', '.join(SIG)}, kaggle_description, 1 FROM appended)""") + """
+SELECT submission_event_id, count(*) AS n_observations,
+  arg_max(public_score, (observed_seq, kaggle_submitted_at, kaggle_file_name)) FILTER (WHERE public_score IS NOT NULL) AS latest_public_score,
+  arg_max(private_score, (observed_seq, kaggle_submitted_at, kaggle_file_name)) FILTER (WHERE private_score IS NOT NULL) AS latest_private_score,
+  min(public_score) AS best_public_score, min(private_score) AS best_private_score
+FROM allobs WHERE submission_event_id IN (SELECT submission_event_id FROM appended) GROUP BY 1"""

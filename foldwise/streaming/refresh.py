@@ -144,10 +144,15 @@ def refresh_batch(remote: DataFrame, events: DataFrame, canonical_candidates: Da
 
 
 def run_stream(spark, source_dir: str, target_dir: str, checkpoint: str, events: DataFrame,
-               canonical_candidates: DataFrame, seq: int = 1):
+               canonical_candidates: DataFrame, seq: int = 1, rollup_dir: str | None = None,
+               higher_is_better: bool = False):
     """File-source stream of landed listings; each micro-batch appends its new
     observations to ``target_dir`` (parquet). Trigger: available-now (drains and stops).
-    Dedup state is the target table itself, so no watermark is needed."""
+    Dedup state is the target table itself, so no watermark is needed.
+
+    X2: with ``rollup_dir``, each batch also recomputes the score rollup of the
+    events it touched and appends it tagged with the batch id; see
+    :func:`current_rollup`."""
     events = events.cache()
     canonical_candidates = canonical_candidates.cache()
 
@@ -156,9 +161,22 @@ def run_stream(spark, source_dir: str, target_dir: str, checkpoint: str, events:
             history = spark.read.parquet(target_dir)
         except Exception:  # noqa: BLE001 - first batch, no table yet
             history = spark.createDataFrame([], observation_schema())
-        new = refresh_batch(batch, events, canonical_candidates, history.select(*SIGNATURE))
-        new.select(*OBSERVATION_COLS, "candidate_id").withColumn("observed_seq", F.lit(seq)) \
-            .write.mode("append").parquet(target_dir)
+        new = (refresh_batch(batch, events, canonical_candidates, history.select(*SIGNATURE))
+               .select(*OBSERVATION_COLS, "candidate_id").withColumn("observed_seq", F.lit(seq))
+               .persist())
+        # Everything derived from ``history`` is re-cached once the target path is
+        # written (Spark refreshes plans reading a written path), so the rollup is
+        # built from the pre-append history plus the new rows and written first.
+        # A retried batch id re-runs idempotently: the anti join drops appended rows.
+        if rollup_dir is not None:
+            touched = new.select("submission_event_id").distinct()
+            cols = list(OBSERVATION_COLS) + ["observed_seq"]
+            obs = history.select(*cols).join(touched, "submission_event_id", "left_semi") \
+                .unionByName(new.select(*cols))
+            (score_rollup(obs, higher_is_better).withColumn("batch_id", F.lit(batch_id).cast("long"))
+             .write.mode("append").parquet(rollup_dir))
+        new.write.mode("append").parquet(target_dir)
+        new.unpersist()
 
     q = (spark.readStream.schema(REMOTE_SCHEMA).json(source_dir)
          .writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
@@ -167,6 +185,14 @@ def run_stream(spark, source_dir: str, target_dir: str, checkpoint: str, events:
     return spark.read.parquet(target_dir)
 
 
+def current_rollup(spark, rollup_dir: str) -> DataFrame:
+    """The latest rollup row per event (highest batch id)."""
+    r = spark.read.parquet(rollup_dir)
+    cols = [c for c in r.columns if c not in ("submission_event_id", "batch_id")]
+    latest = r.groupBy("submission_event_id").agg(F.max_by(F.struct(*cols), "batch_id").alias("s"))
+    return latest.select("submission_event_id", "s.*")
+
+
 def observation_schema() -> T.StructType:
     return T.StructType([
         T.StructField("submission_event_id", T.StringType()),
