@@ -73,12 +73,21 @@ def last_tagged_value(description, tag: str) -> Column:
 
 
 def per_fold(fold_col, values: dict, default=None) -> Column:
-    """CASE fold WHEN f THEN values[f] ... END over a small per-fold dict."""
+    """Per-fold constant: ``try_element_at(array(v_1, ..., v_k), fold)``.
+
+    The literal array folds into one constant, so each use is a single array
+    access in generated code (a CASE per fold per feature blows up method size
+    and falls out of JIT compilation on wide projections). Missing folds and
+    folds outside 1..k give ``default``.
+    """
     fold_col = col_(fold_col)
-    expr = None
-    for f, v in values.items():
-        lit = F.lit(v)
-        expr = F.when(fold_col == f, lit) if expr is None else expr.when(fold_col == f, lit)
-    if expr is None:
+    if not values:
         return F.lit(default)
-    return expr.otherwise(F.lit(default)) if default is not None else expr
+    if all(isinstance(f, int) and f >= 1 for f in values):
+        arr = F.array(*[F.lit(values.get(i)) for i in range(1, max(values) + 1)])
+        expr = F.try_element_at(arr, fold_col.cast("int"))
+    else:
+        expr = None
+        for f, v in values.items():
+            expr = F.when(fold_col == f, F.lit(v)) if expr is None else expr.when(fold_col == f, F.lit(v))
+    return F.coalesce(expr, F.lit(default)) if default is not None else expr

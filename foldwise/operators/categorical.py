@@ -230,6 +230,7 @@ def fit_rare_bucket(cs: CategoryStats, min_frequency: float = 0.01, op: str = "r
 
 def sparse_long(df: DataFrame, sparse_cols: list[str], keep: list[str]) -> DataFrame:
     """Hot-feature columns -> (keep..., feature, value) rows, value 1.0."""
-    arr = F.filter(F.array(*[F.col(c) for c in sparse_cols]), lambda x: x.isNotNull())
-    return (df.select(*keep, F.explode(arr).alias("feature"))
+    # explode then filter (a lambda filter over the array would leave whole-stage codegen)
+    return (df.select(*keep, F.explode(F.array(*[F.col(c) for c in sparse_cols])).alias("feature"))
+            .where(F.col("feature").isNotNull())
             .withColumn("value", F.lit(1.0).cast(T.DoubleType())))

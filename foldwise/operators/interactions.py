@@ -106,25 +106,32 @@ def fit_cross_binned(ns: NumericStats, cs: CategoryStats, n_bins: int = 5, max_c
     cats = [c for c in cs.cols if any(c in eligible[f] for f in fits)]
     edges = bin_edges(ns, n_bins)
     comp_rows = cs.train.withColumn(FIT_FOLD, outside_fold(cs.fold_col, cs.k))
+    bins = {num: bin_index(ns.imputed(num), {f: edges[(num, f)] for f in fits}) for num in ns.cols}
     cols, lookups = {}, []
-    for num in ns.cols:
-        b = bin_index(ns.imputed(num), {f: edges[(num, f)] for f in fits})
-        for c in cats:
-            folds = [f for f in fits if c in eligible[f]]
-            lk = f"_lk_xb_{num}_{c}"
-            seen = (comp_rows.select(text(cs.train, c, cs.missing).alias("v"), F.col(FIT_FOLD), b.alias("bin"))
-                    .groupBy("v", FIT_FOLD).agg(F.collect_set("bin").alias("bins"))
-                    .groupBy("v").agg(F.map_from_entries(F.collect_list(F.struct(FIT_FOLD, "bins"))).alias(lk))
-                    .withColumnRenamed("v", f"{lk}_k"))
-
-            def cond(df, t, c=c, lk=lk):
-                return text(cs.train, c, cs.missing) == t[f"{lk}_k"]
-            lookups.append((seen, cond, cs.broadcastable(c)))
-            hit = F.array_contains(F.element_at(F.col(lk), F.col(FIT_FOLD)), b)
+    for c in cats:
+        folds = [f for f in fits if c in eligible[f]]
+        lk = f"_lk_xb_{c}"
+        # one aggregate per categorical column: the set of bins seen with each
+        # category, per fit fold and numeric column (<= n_bins values each)
+        seen = (comp_rows.select(text(cs.train, c, cs.missing).alias("v"), F.col(FIT_FOLD),
+                                 *[b.alias(num) for num, b in bins.items()])
+                .groupBy("v", FIT_FOLD).agg(*[F.collect_set(num).alias(num) for num in ns.cols])
+                .groupBy("v").agg(F.map_from_entries(F.collect_list(
+                    F.struct(FIT_FOLD, F.struct(*ns.cols)))).alias(lk))
+                .withColumnRenamed("v", f"{lk}_k"))
+
+        def cond(df, t, c=c, lk=lk):
+            return text(cs.train, c, cs.missing) == t[f"{lk}_k"]
+        lookups.append((seen, cond, cs.broadcastable(c)))
+        hit_all = F.element_at(F.col(lk), F.col(FIT_FOLD))
+        for num, b in bins.items():
+            hit = F.array_contains(hit_all[num], b)
             label = F.concat(F.lit(f"{op}__{op}__{num}{CROSS_SEPARATOR}{c}_{BIN_PREFIX}"), b.cast("string"),
                              F.lit(CROSS_SEPARATOR), text(cs.train, c, cs.missing))
             cols[f"{op}__{num}__x__{c}"] = F.when(_eligible_in(folds) & F.coalesce(hit, F.lit(False)), label)
-    return Fitted(cols, lookups)
+    # keep the historical column order: numeric-major
+    order = [f"{op}__{num}__x__{c}" for num in ns.cols for c in cats]
+    return Fitted({n: cols[n] for n in order}, lookups)
 
 
 def fit_group_deviation(ns: NumericStats, cs: CategoryStats, max_cardinality: int = 20,

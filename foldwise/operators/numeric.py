@@ -133,15 +133,18 @@ def bin_edges(ns: NumericStats, n_bins: int = 5) -> dict:
 
 
 def bin_index(x, edges_by_fold: dict):
-    """Number of inner edges <= x, with the edges of the row's fit fold."""
-    expr = None
-    for f, edges in edges_by_fold.items():
-        inner = edges[1:-1]
-        count = F.lit(0)
-        for e in inner:
-            count = count + F.when(x >= F.lit(e), 1).otherwise(0)
-        expr = F.when(F.col(FIT_FOLD) == f, count) if expr is None else expr.when(F.col(FIT_FOLD) == f, count)
-    return expr.cast("int")
+    """Number of inner edges <= x, with the edges of the row's fit fold.
+
+    Inner edge j of each fold is a per-fold constant (folds with fewer inner
+    edges pad with +inf, which no value reaches), so the expression is a short
+    sum of comparisons whatever the number of folds."""
+    inner = {f: e[1:-1] for f, e in edges_by_fold.items()}
+    width = max((len(v) for v in inner.values()), default=0)
+    count = F.lit(0)
+    for j in range(width):
+        ej = per_fold(FIT_FOLD, {f: (v[j] if j < len(v) else float("inf")) for f, v in inner.items()})
+        count = count + F.when(x >= ej, 1).otherwise(0)
+    return F.when(F.col(FIT_FOLD).isin(*list(edges_by_fold)), count).cast("int")
 
 
 def fit_quantile_bin(ns: NumericStats, n_bins: int = 5, op: str = "quantile_bin_numeric") -> Fitted:

@@ -20,6 +20,9 @@ _DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Wide fold-wise projections generate big methods; above ~8000 bytes of
+    # bytecode the JVM stops JIT-compiling them, so let Spark split instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

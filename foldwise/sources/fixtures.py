@@ -73,6 +73,19 @@ def orders_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CACHE: dict = {}
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def context_partitions(spark: SparkSession, df: DataFrame) -> int:
+    """max(2 x default parallelism, estimated size / 128 MB) -- the estimate is
+    the optimizer's plan statistics, no job is run."""
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - statistics unavailable
+        est = 0
+    if est >= 1 << 50:          # "unknown" (Long.MaxValue-like) estimates after joins
+        est = 0
+    return int(min(max(2 * spark.sparkContext.defaultParallelism, -(-est // TARGET_PARTITION_BYTES)), 100_000))
 
 
 def context(spark: SparkSession, sf_dir: str, k: int = K, seed: int = SEED) -> DataFrame:
@@ -94,7 +107,11 @@ def context(spark: SparkSession, sf_dir: str, k: int = K, seed: int = SEED) -> D
     train = train.join(kf, ID).join(sk, ID)
     test = (test.withColumn("fold", F.lit(None).cast("int"))
             .withColumn("sfold", F.lit(None).cast("int")))
-    full = cut_lineage(train.unionByName(test))
+    full = train.unionByName(test)
+    # The prepared context is read by every operator: store it hash-partitioned by
+    # id with enough partitions for the cluster (AQE would otherwise coalesce a
+    # small final stage to a couple of partitions and serialise all later work).
+    full = cut_lineage(full.repartition(context_partitions(spark, full), ID))
     df.unpersist()
     _CACHE[key] = full
     return full
