@@ -173,3 +173,30 @@ def gather_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     shift = np.cumsum(lengths) - lengths
     return np.repeat(starts - shift, lengths) + np.arange(total)
+
+
+def join_words(words: Words, keep: np.ndarray) -> pa.Array:
+    """The kept words of each document of the block, joined by one space."""
+    starts, lengths = words.starts[keep], (words.ends - words.starts)[keep]
+    kept = np.concatenate([[0], np.cumsum(keep)])[words.first]
+    spaced = lengths + 1
+    last = kept[1:][kept[1:] > kept[:-1]] - 1
+    spaced[last] -= 1
+    at = np.concatenate([[0], np.cumsum(spaced)])
+    out = np.full(int(at[-1]), 0x20, dtype=np.uint8)
+    out[gather_ranges(at[:-1], lengths)] = words.data[gather_ranges(starts, lengths)]
+    return string_array(out, at[kept]).cast(pa.string())
+
+
+def record_batches(columns: dict[str, list], names: list[str], most_rows: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """Batches of bounded size from lists of equally long numpy arrays."""
+    arrays = [np.concatenate(columns[n]) if columns[n] else None for n in names]
+    if arrays[0] is None:
+        return
+    for lo in range(0, len(arrays[0]), most_rows):
+        yield pa.RecordBatch.from_arrays([pa.array(a[lo:lo + most_rows]) for a in arrays], names)
+
+
+def id_key(doc_id: str = "doc_id") -> Column:
+    """doc_id as a number that is never null: null is larger than every id."""
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit((1 << 63) - 1))

@@ -40,8 +40,8 @@ FROM placed
 
 OP6 = r"""
 WITH parsed AS (
-  SELECT page_id, coalesce(url, '') AS u, strpos(coalesce(url, ''), '://') AS at FROM pages),
-rest AS (SELECT page_id, CASE WHEN at > 0 THEN substr(u, at + 3) ELSE '' END AS r FROM parsed),
+  SELECT page_id, coalesce(url, '') AS u, strpos(coalesce(url, ''), '://') AS k FROM pages),
+rest AS (SELECT page_id, CASE WHEN k > 0 THEN substr(u, k + 3) ELSE '' END AS r FROM parsed),
 parts AS (
   SELECT page_id, regexp_extract(r, '^[^/?#]*') AS raw, r FROM rest),
 places AS (
@@ -56,7 +56,24 @@ SELECT a.page_id, a.host, a.path, f.rule, coalesce(f.v, 'allow') AS verdict
 FROM places a LEFT JOIN fits f ON a.page_id = f.page_id AND a.host = f.host AND a.path = f.path AND f.k = 1
 """
 
+OP10 = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, p, md5(array_to_string(list_slice(w, p, p + 49), ' ')) AS h
+  FROM words, unnest(range(1, len(w) - 48)) AS r(p) WHERE len(w) >= 50),
+marked AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY h) AS least FROM windows) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, p + k AS p FROM marked, unnest(range(0, 50)) AS r(k)),
+places AS (SELECT doc_id, p, w[p] AS word FROM words, unnest(range(1, len(w) + 1)) AS r(p)),
+kept AS (
+  SELECT a.doc_id, string_agg(a.word, ' ' ORDER BY a.p) AS t, count(*) AS n
+  FROM places a LEFT JOIN gone g ON a.doc_id = g.doc_id AND a.p = g.p WHERE g.p IS NULL GROUP BY a.doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM words d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
 QUERIES = {
     "op2_mix_sources": OP2,
     "op6_url_filter": OP6,
+    "op10_substring_dedup": OP10,
 }

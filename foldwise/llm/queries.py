@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .mixing import mix_sources
+from .substring_dedup import remove_repeats
 from .url_filter import filter_urls
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -24,7 +25,13 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(_read(spark, sf_dir, "documents"), window=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op6_url_filter": op6_url_filter,
+    "op10_substring_dedup": op10_substring_dedup,
 }
