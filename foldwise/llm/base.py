@@ -175,17 +175,21 @@ def gather_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - shift, lengths) + np.arange(total)
 
 
-def join_words(words: Words, keep: np.ndarray) -> pa.Array:
-    """The kept words of each document of the block, joined by one space."""
-    starts, lengths = words.starts[keep], (words.ends - words.starts)[keep]
-    kept = np.concatenate([[0], np.cumsum(keep)])[words.first]
+def join_ranges(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, first: np.ndarray, separator: int) -> pa.Array:
+    """One string per document: its byte ranges (first[i] up to first[i + 1]), joined by the separator byte."""
     spaced = lengths + 1
-    last = kept[1:][kept[1:] > kept[:-1]] - 1
+    last = first[1:][first[1:] > first[:-1]] - 1
     spaced[last] -= 1
     at = np.concatenate([[0], np.cumsum(spaced)])
-    out = np.full(int(at[-1]), 0x20, dtype=np.uint8)
-    out[gather_ranges(at[:-1], lengths)] = words.data[gather_ranges(starts, lengths)]
-    return string_array(out, at[kept]).cast(pa.string())
+    out = np.full(int(at[-1]), separator, dtype=np.uint8)
+    out[gather_ranges(at[:-1], lengths)] = data[gather_ranges(starts, lengths)]
+    return string_array(out, at[first]).cast(pa.string())
+
+
+def join_words(words: Words, keep: np.ndarray) -> pa.Array:
+    """The kept words of each document of the block, joined by one space."""
+    kept = np.concatenate([[0], np.cumsum(keep)])[words.first]
+    return join_ranges(words.data, words.starts[keep], (words.ends - words.starts)[keep], kept, 0x20)
 
 
 def record_batches(columns: dict[str, list], names: list[str], most_rows: int = 100_000) -> Iterator[pa.RecordBatch]:

@@ -56,6 +56,27 @@ SELECT a.page_id, a.host, a.path, f.rule, coalesce(f.v, 'allow') AS verdict
 FROM places a LEFT JOIN fits f ON a.page_id = f.page_id AND a.host = f.host AND a.path = f.path AND f.k = 1
 """
 
+LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP5 = f"""
+WITH n AS (SELECT doc_id, {LOW.format("coalesce(text, '')")} AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM n WINDOW same AS (PARTITION BY t)
+"""
+
+OP7 = f"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (
+  SELECT doc_id, p, l[p] AS line, {LOW.format("trim(l[p], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS k
+  FROM split, unnest(range(1, len(l) + 1)) AS r(p)),
+frequent AS (SELECT k FROM lines WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10),
+marked AS (SELECT *, k IN (SELECT k FROM frequent) AS gone FROM lines)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
 OP10 = r"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -74,6 +95,8 @@ FROM words d LEFT JOIN kept k ON d.doc_id = k.doc_id
 
 QUERIES = {
     "op2_mix_sources": OP2,
+    "op5_exact_dedup": OP5,
     "op6_url_filter": OP6,
+    "op7_line_dedup": OP7,
     "op10_substring_dedup": OP10,
 }

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .exact_dedup import dedup_exact
+from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .substring_dedup import remove_repeats
 from .url_filter import filter_urls
@@ -21,10 +23,19 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_exact(_read(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup_lines(_read(spark, sf_dir, "documents"), min_docs=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(_read(spark, sf_dir, "documents"), window=50)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
@@ -32,6 +43,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
+    "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filter": op6_url_filter,
+    "op7_line_dedup": op7_line_dedup,
     "op10_substring_dedup": op10_substring_dedup,
 }
