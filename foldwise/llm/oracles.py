@@ -58,6 +58,26 @@ FROM places a LEFT JOIN fits f ON a.page_id = f.page_id AND a.host = f.host AND
 
 LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP3 = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({LOW.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(list_slice(w, p, p + 3), ' ')) AS g
+  FROM words, unnest(range(1, greatest(len(w) - 2, 2))) AS r(p) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM sets a JOIN sets b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM common JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y WHERE 100 * k >= 85 * (s.n + t.n - k)),
+reach AS (
+  SELECT doc_id AS d, doc_id AS to_id FROM sizes
+  UNION
+  SELECT r.d, l.y FROM reach r JOIN links l ON r.to_id = l.x)
+SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.least, w.doc_id) AS component_id
+FROM words w LEFT JOIN sizes s USING (doc_id) LEFT JOIN (SELECT d, min(to_id) AS least FROM reach GROUP BY d) c ON c.d = w.doc_id
+"""
+
 OP5 = f"""
 WITH n AS (SELECT doc_id, {LOW.format("coalesce(text, '')")} AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -95,6 +115,7 @@ FROM words d LEFT JOIN kept k ON d.doc_id = k.doc_id
 
 QUERIES = {
     "op2_mix_sources": OP2,
+    "op3_ngram_jaccard": OP3,
     "op5_exact_dedup": OP5,
     "op6_url_filter": OP6,
     "op7_line_dedup": OP7,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import dedup_exact
+from .jaccard_join import jaccard_components
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .substring_dedup import remove_repeats
@@ -23,6 +24,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_components(_read(spark, sf_dir, "documents"), size=4, num=85, den=100)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_exact(_read(spark, sf_dir, "documents"))
 
@@ -43,6 +49,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,
