@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import find_contaminated
 from .exact_dedup import dedup_exact
 from .jaccard_join import jaccard_components
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
+from .quality import fit, score_documents
 from .substring_dedup import remove_repeats
 from .url_filter import filter_urls
 
@@ -29,6 +31,21 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def held_out():
+    """The fifth of the ids whose labels are never learned from. A row without an id is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+
+
+def quality_model(spark: SparkSession, sf_dir: str):
+    labels = _read(spark, sf_dir, "labels").where(~held_out())
+    return fit(_read(spark, sf_dir, "documents"), labels, "quality")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_documents(_read(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_exact(_read(spark, sf_dir, "documents"))
 
@@ -42,6 +59,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), rate=0.2)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(_read(spark, sf_dir, "documents"), window=50)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
@@ -50,8 +71,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_mix_sources": op2_mix_sources,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_quality": op4_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,
+    "op9_decontaminate": op9_decontaminate,
     "op10_substring_dedup": op10_substring_dedup,
 }
