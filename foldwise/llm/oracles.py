@@ -4,6 +4,22 @@ from __future__ import annotations
 
 WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
+OP1 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '\\|</?s>|\[/?(?:SYS|INST|ANS|ROLE)'))
+         + CASE role WHEN 'system' THEN 16 WHEN 'user' THEN 18 WHEN 'assistant' THEN 13
+           ELSE 19 + length(role) + len(regexp_extract_all(role, '\\|</?s>|\[/?(?:SYS|INST|ANS|ROLE)|\]')) END AS chars
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
 OP2 = rf"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, {WORDS}::BIGINT AS size,
@@ -113,11 +129,51 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(k.n, 0))::BIG
 FROM words d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
+def _spans(kind: str, pattern: str, good: str, least: str = "true") -> str:
+    """Confirmed spans of one kind: rows of (doc_id, kind, s, e); good and least see v, text, s and e."""
+    return rf"""
+  SELECT doc_id, '{kind}' AS kind, s, e FROM (
+    SELECT doc_id, text, v, e - length(v) AS s, e FROM (
+      SELECT doc_id, text, f[i] AS v, (list_sum(list_transform(g[1:i], lambda x: length(x))) + list_sum(list_transform(f[1:i], lambda x: length(x))))::BIGINT AS e
+      FROM (SELECT doc_id, text, regexp_extract_all(text, '{pattern}') AS f, string_split_regex(text, '{pattern}') AS g FROM docs), unnest(range(1, len(f) + 1)) AS r(i)))
+  WHERE {good} AND {least}"""
+
+
+_DIGITS = "regexp_replace({}, '[^0-9]', '', 'g')"
+_LUHN = """(length({d}) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length({d}) + 1), lambda k:
+    CASE WHEN k % 2 = 0 THEN 2 * substr({d}, length({d}) - k + 1, 1)::INT - CASE WHEN substr({d}, length({d}) - k + 1, 1)::INT > 4 THEN 9 ELSE 0 END
+         ELSE substr({d}, length({d}) - k + 1, 1)::INT END)) % 10 = 0)""".replace("{d}", _DIGITS.format("v"))
+_MOVED = "(substr(replace(v, ' ', ''), 5) || substr(replace(v, ' ', ''), 1, 4))"
+_MOD97 = f"""(length(replace(v, ' ', '')) BETWEEN 15 AND 34 AND list_reduce(list_transform(range(1, length({_MOVED}) + 1), lambda k: ascii(substr({_MOVED}, k, 1))),
+    lambda a, c: CASE WHEN c < 58 THEN (a * 10 + c - 48) % 97 ELSE (a * 100 + c - 55) % 97 END, 0) = 1)"""
+_NEAR = "regexp_matches(substr(text, greatest(s - 40, 0) + 1, s - greatest(s - 40, 0)) || ' ' || substr(text, e + 1, 40), '(?i)ssn|social|security|taxpayer')"
+
+OP8 = rf"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+found AS (
+  {_spans("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+", "true")}
+  UNION ALL {_spans("ip", "[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+", "len(list_filter(string_split(v, '.'), lambda p: length(ltrim(p, '0')) > 3 OR coalesce(try_cast(ltrim(p, '0') AS INT), 0) > 255)) = 0")}
+  UNION ALL {_spans("card", "[0-9](?:[ -]?[0-9])+", _LUHN)}
+  UNION ALL {_spans("phone", "[+][0-9][ ().0-9-]+[0-9]", f"length({_DIGITS.format('v')}) BETWEEN 9 AND 15")}
+  UNION ALL {_spans("iban", "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?", _MOD97)}
+  UNION ALL {_spans("ssn", "[0-9]{3}-[0-9]{2}-[0-9]{4}", "NOT regexp_matches(CASE WHEN s > 0 THEN substr(text, s, 1) ELSE '' END, '[0-9-]') AND NOT regexp_matches(substr(text, e + 1, 1), '[0-9-]') AND NOT regexp_matches(v, '^(000|666|9)|-00-|-0000$')", _NEAR)}),
+ranked AS (SELECT *, list_position(['email', 'ip', 'card', 'phone', 'iban', 'ssn'], kind) AS k, kind || ':' || s || ':' || e AS span FROM found),
+joined AS (
+  SELECT doc_id, count(*) FILTER (WHERE k = 1) AS n_email, count(*) FILTER (WHERE k = 2) AS n_ip, count(*) FILTER (WHERE k = 3) AS n_card, count(*) FILTER (WHERE k = 4) AS n_phone,
+         string_agg(span, ',' ORDER BY k, s) FILTER (WHERE k <= 4) AS base, string_agg(span, ',' ORDER BY k, s) AS spans
+  FROM ranked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs d LEFT JOIN joined j ON d.doc_id = j.doc_id
+"""
+
 QUERIES = {
+    "op1_chat_format": OP1,
     "op2_mix_sources": OP2,
     "op3_ngram_jaccard": OP3,
     "op5_exact_dedup": OP5,
     "op6_url_filter": OP6,
     "op7_line_dedup": OP7,
+    "op8_pii": OP8,
     "op10_substring_dedup": OP10,
 }

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat_format import conversation_digests, format_conversations
 from .decontaminate import find_contaminated
 from .exact_dedup import dedup_exact
 from .jaccard_join import jaccard_components
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
+from .pii import BASE, find_pii, span_text
 from .quality import fit, score_documents
 from .substring_dedup import remove_repeats
 from .url_filter import filter_urls
@@ -21,6 +23,13 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", marked), (-7, 1, "assistant", marked)], "conv_id long, turn long, role string, text string")
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return conversation_digests(format_conversations(turns))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(_read(spark, sf_dir, "documents"), weights=(1, 2, 3), most_epochs=3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -59,6 +68,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(_read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in BASE], F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), rate=0.2)
 
@@ -69,12 +85,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op2_mix_sources": op2_mix_sources,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_quality": op4_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,
+    "op8_pii": op8_pii,
     "op9_decontaminate": op9_decontaminate,
     "op10_substring_dedup": op10_substring_dedup,
 }
