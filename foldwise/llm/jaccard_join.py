@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import Words, blocks, cut, id_key, prepare, ranged_hash, record_batches, splitmix, text_buffers, text_key
+from .base import WORD, Words, blocks, cut, id_key, prepare, ranged_hash, record_batches, splitmix, text_buffers, text_key
 from .graph import components
 
 #: Groups up to this many sets are compared by bitmaps, larger ones with their whole sets.
@@ -312,7 +312,7 @@ def jaccard_links(docs: DataFrame, size: int, num: int, den: int) -> tuple[DataF
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One row per document: doc_id, text_key, n_shingles, class_id (set digest; null for empty sets), component_id, class_rep.
+    """One row per document: doc_id, text_key, n_shingles, class_id (set digest; null for empty sets), root_id (of the component), component_id.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a set is the distinct
     ``size``-word shingles, or the whole sequence of fewer words. Two sets link when
@@ -332,3 +332,18 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     out = rows.withColumn("class_id", F.when(F.col("n") > 0, F.col("sid"))).join(found, "class_id", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("_th").alias("text_key"), F.col("n").cast("long").alias("n_shingles"), "class_id", F.col("root").alias("root_id"), component.alias("component_id"))
+
+
+def keep_one_of_each(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of docs, all columns, without near duplicates: of each component the row with the smallest doc_id stays.
+
+    A null doc_id comes last, ties go by the text's digest, and of rows equal in id
+    and text one stays. Documents with empty sets all stay."""
+    found = jaccard_components(docs, size, num, den).where("class_id is not null")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("text_key"))
+    first = found.groupBy("root_id").agg(F.min(order).alias("f")).select(F.coalesce(F.col("f.doc_id"), F.lit((1 << 63) - 1)).alias("_id"), F.col("f.text_key").alias("_th"), F.lit(True).alias("_first"))
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
+    words = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
+    rows = docs.select(id_key().alias("_id"), text_key("text").alias("_th"), words.alias("_words"), row).join(first, ["_id", "_th"], "left")
+    again = F.row_number().over(Window.partitionBy("_id", "_th").orderBy(F.lit(0)))
+    return rows.withColumn("_again", again).where("not _words or (_first and _again = 1)").select("_row.*")

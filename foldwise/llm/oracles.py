@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 OP1 = r"""
@@ -177,3 +179,5 @@ QUERIES = {
     "op8_pii": OP8,
     "op10_substring_dedup": OP10,
 }
+if corpus_pipeline.ORACLE_SQL:
+    QUERIES["pipeline"] = corpus_pipeline.ORACLE_SQL

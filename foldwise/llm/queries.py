@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,4 +96,5 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_decontaminate": op9_decontaminate,
     "op10_substring_dedup": op10_substring_dedup,
+    "pipeline": corpus_pipeline.run,
 }
