@@ -6,7 +6,7 @@ is). So it is enough to hash windows of window-period+1 words at the cover
 positions of each document, about a fifth of all positions: every long match has
 an anchor that both documents emit. Anchors that only one document has are
 dropped; around the others the match is extended: all full windows that contain a
-shared anchor are hashed (128 bits), and those whose hash has a smaller document
+shared anchor are hashed (96 bits), and those whose hash has a smaller document
 mark their words.
 
 Hot anchors and windows: a Python task first combines its batch, so that of equal
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import Words, blocks, cut, id_key, join_words, prepare, ranged_hash, record_batches, splitmix, text_buffers, text_key
+from .base import Words, blocks, cut, join_words, prepare, ranged_hash, record_batches, splitmix, text_buffers, text_key
 
 
 @lru_cache
@@ -83,9 +83,6 @@ def _combined(out: dict[str, list]) -> Iterator[pa.RecordBatch]:
     own = splitmix(cols["_th"].astype(np.uint64) + splitmix(cols["_pos"].astype(np.uint64)))
     cols["_kind"] = kind
     cols["_deal"] = np.where(kind == 2, own, h).view(np.int64)
-    for name in ("_h", "_g"):
-        if name in cols:
-            cols[name] = cols[name].view(np.int64)
     yield from record_batches({k: [v] for k, v in cols.items()}, [k for k in cols if k != "_h"])
 
 
@@ -134,7 +131,7 @@ def _windows(batches, window: int, period: int):
             doc = w.doc_of()[at]
             h = w.hashes(0)
             out["_h"].append(ranged_hash(h, at, at + window, 1))
-            out["_g"].append(ranged_hash(h, at, at + window, 2))
+            out["_g"].append((ranged_hash(h, at, at + window, 2) >> np.uint64(32)).astype(np.uint32).view(np.int32))
             out["_id"].append(ids[lo:hi][doc])
             out["_th"].append(keys[lo:hi][doc])
             out["_pos"].append((at - w.first[doc]).astype(np.int32))
@@ -162,27 +159,31 @@ def remove_repeats(docs: DataFrame, window: int = 50, period: int = 31) -> DataF
 
     A word goes when a window of ``window`` consecutive words that covers it also
     starts in a document with a smaller doc_id. Words are ``[^\\x20\\x09-\\x0D]+``,
-    unchanged; null and empty texts have none and give an empty kept_text. A null
-    doc_id is larger than all others, and rows of one doc_id are one document for
-    the comparison, so repeated rows don't remove each other. Documents shorter
-    than the window keep everything. Only doc_id and text are read."""
+    unchanged; null and empty texts have none and give an empty kept_text. Rows
+    without a doc_id come after all others, ordered by a digest of their text.
+    Rows of one doc_id are one document for the comparison, so repeated rows don't
+    remove each other. Documents shorter than the window keep everything. Only
+    doc_id and text are read."""
     prepare(docs.sparkSession)
     if not 1 <= period <= window:
         raise ValueError("the period must be between 1 and the window")
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", id_key().alias("_id"), text_key("text").alias("_th"))
+    # A row's key is its id and 32 bits of its text; without an id, 40 more bits of the text stand for it.
+    no_id = F.lit((1 << 63) - 1) - text_key("text").bitwiseAND(F.lit((1 << 40) - 1))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col("doc_id").cast("long"), no_id).alias("_id"),
+                       F.shiftright(text_key("text"), 32).cast("int").alias("_th"))
     key = ["_id", "_th"]
-    whole = cut(base.select(*key, "text").mapInArrow(partial(_sequences, window=window), "_id long, _th long, _h long, _g long"))
+    whole = cut(base.select(*key, "text").mapInArrow(partial(_sequences, window=window), "_id long, _th int, _h long, _g long"))
     least = whole.groupBy("_h", "_g").agg(F.min("_id").alias("_least"), F.max("_id").alias("_most")).where("_least < _most")
     copies = cut(whole.join(least, ["_h", "_g"]).where("_id > _least").select(*key).distinct())
     placed = base.join(copies.withColumn("_copy", F.lit(True)), key, "left")
 
-    anchors = placed.where("_copy is null").select(*key, "text").mapInArrow(partial(_anchors, window=window, period=period), "_id long, _th long, _pos int, _kind byte, _deal long")
+    anchors = placed.where("_copy is null").select(*key, "text").mapInArrow(partial(_anchors, window=window, period=period), "_id long, _th int, _pos int, _kind byte, _deal long")
     by_hash = Window.partitionBy("_deal")
     shared = anchors.select("*", F.min("_id").over(by_hash).alias("_least"), F.max("_id").over(by_hash).alias("_most"), F.max("_kind").over(by_hash).alias("_any")).where("_least < _most or _any > 0")
     near = shared.groupBy(*key).agg(F.collect_set("_pos").alias("_at"))
 
     windows = placed.where("_copy is null").join(near, key).select(*key, "text", "_at").mapInArrow(
-        partial(_windows, window=window, period=period), "_g long, _id long, _th long, _pos int, _kind byte, _deal long")
+        partial(_windows, window=window, period=period), "_g int, _id long, _th int, _pos int, _kind byte, _deal long")
     same = Window.partitionBy("_deal", "_g")
     later = windows.select("*", F.min("_id").over(same).alias("_least")).where("_id > _least or _kind = 2")
     gone = later.groupBy(*key).agg(F.collect_set("_pos").alias("_at"))
