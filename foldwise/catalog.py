@@ -405,7 +405,7 @@ def status_counts(spark, sf_dir):
 @query("variant_compare")
 def variant_compare(spark, sf_dir):
     runs, _ = _ledger(spark, sf_dir)
-    out = ld.variant_compare(runs, ["family", "recipe"], "variant", "cpu", "gpu")
+    out = ld.variant_compare(runs, ["family", "recipe"], "variant", "cpu", "gpu", higher_is_better=True)
     return out.withColumn("delta", rnd("delta", 9))
 
 
@@ -489,7 +489,7 @@ def refresh_stream(spark, sf_dir):
     hist.select(*[f.name for f in rf.observation_schema().fields]).write.mode("overwrite").parquet(target)
     _, events, canon = _refresh_inputs(spark, sf_dir)
     out = rf.run_stream(spark, src, target, ck, events, canon, seq=1, rollup_dir=f"{root}/rollup")
-    return out.where(F.col("observed_seq") == 1).select(*rf.OBSERVATION_COLS, "candidate_id")
+    return out.where(F.col("observed_seq") >= 1).select(*rf.OBSERVATION_COLS, "candidate_id")
 
 
 @query("stream_rollup")
@@ -661,7 +661,7 @@ def artifact_roundtrip(spark, sf_dir):
 def truth_check(spark, sf_dir):
     """Stored OOF truth and folds against the context."""
     ref = fx.oof_long(spark, sf_dir).where(F.col("candidate_id") == "cand_a").select("row_idx", "y_true", "fold")
-    return art.truth_mismatches(fx.oof_long(spark, sf_dir), ref)
+    return art.truth_mismatches(fx.oof_long(spark, sf_dir), ref, REG_CANDS)
 
 
 @query("tune_trials")

@@ -64,12 +64,23 @@ def parse_optional_number(c) -> Column:
         t.try_cast("double"))
 
 
-def last_tagged_value(description, tag: str) -> Column:
-    """Value of the last ``tag=...`` segment of a ``a=1 | b=2`` description."""
-    parts = F.split(col_(description), r" \| ")
-    tagged = F.filter(parts, lambda p: p.startswith(tag + "="))
-    last = F.element_at(tagged, -1)
-    return F.when(F.size(tagged) > 0, F.substring(last, len(tag) + 2, 1 << 20))
+def malformed_number(c) -> Column:
+    """Whether a remote score text is neither a known null text nor a number."""
+    t = F.lower(F.trim(col_(c)))
+    return t.isNotNull() & ~t.isin(*NULL_SCORE_TEXTS) & t.try_cast("double").isNull()
+
+
+def close(a, b, rtol: float = 1e-5, atol: float = 1e-8) -> Column:
+    """|a - b| <= atol + rtol * |b|; NULL equals NULL only."""
+    a, b = col_(a), col_(b)
+    near = F.abs(a - b) <= F.lit(atol) + F.lit(rtol) * F.abs(b)
+    return (a.isNull() & b.isNull()) | F.coalesce(near | a.eqNullSafe(b), F.lit(False))
+
+
+def observed(c) -> Column:
+    """A numeric column with NaN read as NULL."""
+    c = col_(c).cast("double")
+    return F.when(~F.isnan(c), c)
 
 
 def per_fold(fold_col, values: dict, default=None) -> Column:

@@ -1,9 +1,9 @@
 """High-correlation pruner.
 
 Pairwise Pearson correlations of the dense training block of each fit come
-from one aggregate grouped by fit fold (``covar_pop`` / ``stddev_pop`` with a
-NULL-safe division: a constant column has no correlation and never causes a
-drop, and no ANSI divide-by-zero is raised). Column j is dropped when any
+from one aggregate grouped by fit fold (``covar_pop`` and ``stddev_pop`` over the rows
+where both columns are present, with a NULL-safe division: a constant column has no
+correlation and never causes a drop). Column j is dropped when any
 earlier column i has |corr| above the threshold -- also when i is itself
 dropped. Only the d x d matrix per fold reaches the driver.
 
@@ -28,7 +28,9 @@ def correlations(df: DataFrame, features: list[str], group_col: str = "fit_fold"
         aggs = []
         for i, j in chunk:
             a, b = F.col(features[i]), F.col(features[j])
-            aggs.append(F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)).alias(f"c_{i}_{j}"))
+            # both present: with NULLs, each pair has its own rows
+            x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+            aggs.append(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(f"c_{i}_{j}"))
         for r in df.groupBy(group_col).agg(*aggs).collect():
             for i, j in chunk:
                 out[(r[group_col], i, j)] = r[f"c_{i}_{j}"]

@@ -3,9 +3,9 @@
 Candidate predictions live in one long table ``(candidate_id, row key, ...,
 y_pred)``. Blends group by the row key instead of n-way joins; correlations
 and the greedy selection pivot the (small, configured) candidate list into
-columns so a single aggregate yields the whole Gram / moment matrix. After
-that aggregate, selection is arithmetic on an m x m matrix on the driver and
-never rescans the data.
+columns so a single aggregate yields the whole Gram / moment matrix. For squared
+errors, selection is then arithmetic on an m x m matrix on the driver; other
+metrics score all trial blends of a round in one pass.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.functions.scalar import ACCURACY_THRESHOLD
+from foldwise.functions.scalar import ACCURACY_THRESHOLD, close
+from foldwise.plans import metrics as mt
 
 
 def normalize_weights(candidate_ids: list[str], weights: list[float] | None = None) -> dict:
@@ -36,10 +37,15 @@ def normalize_weights(candidate_ids: list[str], weights: list[float] | None = No
     return {c: w / total for c, w in zip(candidate_ids, weights)}
 
 
-def blend_id(candidate_ids: list[str], weights: dict) -> str:
-    """``blend__<hash8>`` over components sorted by id."""
-    canon = json.dumps([[c, weights[c]] for c in sorted(candidate_ids)], separators=(",", ":"))
-    return "blend__" + hashlib.sha256(canon.encode()).hexdigest()[:8]
+def short_hash(payload: dict) -> str:
+    """First 8 hex digits of the SHA-256 of the payload as JSON with sorted keys."""
+    return hashlib.sha256(json.dumps(payload, sort_keys=True).encode("utf-8")).hexdigest()[:8]
+
+
+def blend_id(weights: dict, competition: dict) -> str:
+    """``blend__<hash8>`` of the competition's identity and the components, ordered by id."""
+    components = [{"candidate_id": c, "weight": weights[c]} for c in sorted(weights)]
+    return "blend__" + short_hash({"competition": competition, "components": components})
 
 
 def _weights_df(spark, weights: dict) -> DataFrame:
@@ -48,14 +54,18 @@ def _weights_df(spark, weights: dict) -> DataFrame:
 
 
 def blend(pred: DataFrame, weights: dict, key: list[str], carry: list[str] | None = None) -> DataFrame:
-    """B2 (J3/J4): weighted average per row key; ``n_components`` reports alignment."""
+    """B2 (J3/J4): weighted average per row key. A row that lacks a component, or has one
+    twice, is an error: re-weighting over what is there would be another blend."""
     carry = carry or []
     w = _weights_df(pred.sparkSession, weights)
     j = pred.join(w, "candidate_id")
-    return j.groupBy(*key).agg(
+    out = j.groupBy(*key).agg(
         *[F.first(c).alias(c) for c in carry],
         (F.sum(F.col("w") * F.col("y_pred")) / F.sum("w")).alias("y_pred"),
-        F.count(F.lit(1)).alias("n_components"))
+        F.count(F.lit(1)).alias("n_components"), F.count_distinct("candidate_id", "y_pred").alias("_m"))
+    whole = (F.col("n_components") == len(weights)) & (F.col("_m") == len(weights))
+    broken = F.raise_error(F.concat(F.lit("blend components do not align at row "), *[F.col(k).cast("string") for k in key])).cast("double")
+    return out.withColumn("y_pred", F.when(whole, F.col("y_pred")).otherwise(broken)).drop("_m")
 
 
 def finalize(blended: DataFrame, metric: str, positive=1, negative=0) -> DataFrame:
@@ -70,12 +80,18 @@ def finalize(blended: DataFrame, metric: str, positive=1, negative=0) -> DataFra
 
 
 def alignment_violations(pred: DataFrame, key: list[str], candidates: list[str], truth_cols=("y_true", "fold")):
-    """Rows missing a component, and rows whose truth / fold differ between components."""
+    """Rows that lack a component or repeat one, and rows whose truth / fold differ between
+    components (allclose for floating columns; NULL differs from a value)."""
     g = pred.where(F.col("candidate_id").isin(*candidates)).groupBy(*key).agg(
-        F.count_distinct("candidate_id").alias("m"),
-        *[F.count_distinct(c).alias(f"d_{c}") for c in truth_cols])
-    return g.agg(F.count_if(F.col("m") != len(candidates)).alias("misaligned_rows"),
-                 *[F.count_if(F.col(f"d_{c}") > 1).alias(f"inconsistent_{c}") for c in truth_cols])
+        F.count_distinct("candidate_id").alias("m"), F.count(F.lit(1)).alias("rows"),
+        *[F.count(c).alias(f"n_{c}") for c in truth_cols],
+        *[F.max_by(c, F.col("candidate_id") == candidates[0]).alias(f"ref_{c}") for c in truth_cols],
+        *[F.min(c).alias(f"lo_{c}") for c in truth_cols], *[F.max(c).alias(f"hi_{c}") for c in truth_cols])
+
+    def differs(c):
+        return ((F.col(f"n_{c}") != F.col("rows")) & (F.col(f"n_{c}") != 0)) | ~close(f"lo_{c}", f"ref_{c}") | ~close(f"hi_{c}", f"ref_{c}")
+    return g.agg(F.count_if((F.col("m") != len(candidates)) | (F.col("rows") != len(candidates))).alias("misaligned_rows"),
+                 *[F.count_if(differs(c)).alias(f"inconsistent_{c}") for c in truth_cols])
 
 
 def wide(pred: DataFrame, candidates: list[str], key: list[str], carry: list[str] | None = None) -> DataFrame:
@@ -114,68 +130,113 @@ def correlation_summary(corr: dict, candidates: list[str]) -> list[tuple]:
 
 
 # ---------------------------------------------------------------- greedy selection
-def gram(pred: DataFrame, candidates: list[str], key: list[str], row_weight=None) -> dict:
-    """One aggregate: sum_r w p_i p_j, sum_r w p_i y, sum_r w y^2, sum_r w."""
+QUADRATIC = ("mse", "rmse")
+
+
+def _aligned(pred: DataFrame, candidates: list[str], key: list[str]) -> DataFrame:
+    """The candidates' columns beside ``y_true``; a missing prediction is an error."""
     wd = wide(pred, candidates, key, carry=["y_true"])
-    wt = row_weight if row_weight is not None else F.lit(1.0)
-    aggs = [F.sum(wt).alias("n"), F.sum(wt * F.col("y_true") * F.col("y_true")).alias("yy")]
-    for i, a in enumerate(candidates):
-        aggs.append(F.sum(wt * F.col(a) * F.col("y_true")).alias(f"b|{i}"))
-        for j in range(i, len(candidates)):
-            aggs.append(F.sum(wt * F.col(a) * F.col(candidates[j])).alias(f"g|{i}|{j}"))
-    r = wd.agg(*aggs).collect()[0]
+    gap = F.raise_error(F.lit("candidate predictions do not cover the same rows")).cast("double")
+    return wd.select(*key, "y_true", *[F.coalesce(F.col(c), gap).alias(c) for c in candidates])
+
+
+def residual_grams(pred: DataFrame, candidates: list[str], key: list[str], row_weights: list | None = None) -> list[dict]:
+    """Per row weight (default one: every row once): sum of w r_i r_j over the residuals
+    r_i = p_i - y, and sum of w. All weights and pairs are columns of one aggregate.
+
+    Weights of a blend sum to 1, so a blend's residual is the blend of residuals;
+    residuals are small, which keeps close candidates apart in floating point."""
+    wd = _aligned(pred, candidates, key)
     m = len(candidates)
-    G = [[0.0] * m for _ in range(m)]
-    for i in range(m):
-        for j in range(i, m):
-            G[i][j] = G[j][i] = r[f"g|{i}|{j}"]
-    return {"G": G, "b": [r[f"b|{i}"] for i in range(m)], "yy": r["yy"], "n": r["n"]}
+    res = [F.col(c).cast("double") - F.col("y_true").cast("double") for c in candidates]
+    aggs = []
+    for w, wt in enumerate(row_weights or [F.lit(1.0)]):
+        aggs.append(F.sum(wt).alias(f"n|{w}"))
+        aggs += [F.sum(wt * res[i] * res[j]).alias(f"g|{w}|{i}|{j}") for i in range(m) for j in range(i, m)]
+    r = wd.agg(*aggs).collect()[0]
+    return [{"G": [[r[f"g|{w}|{min(i, j)}|{max(i, j)}"] for j in range(m)] for i in range(m)], "n": r[f"n|{w}"]}
+            for w in range(len(row_weights or [1]))]
 
 
-def _mse(stats: dict, counts: list[int]) -> float:
-    s = float(sum(counts))
-    G, b = stats["G"], stats["b"]
-    m = len(counts)
-    cross = sum(counts[i] * b[i] for i in range(m)) / s
-    quad = sum(counts[i] * counts[j] * G[i][j] for i in range(m) for j in range(m)) / (s * s)
-    return max((stats["yy"] - 2.0 * cross + quad) / stats["n"], 0.0)
+def gram(pred: DataFrame, candidates: list[str], key: list[str], row_weight=None) -> dict:
+    return residual_grams(pred, candidates, key, None if row_weight is None else [row_weight])[0]
 
 
-def greedy_select(stats: dict, candidates: list[str], n_rounds: int = 50, metric: str = "rmse",
-                  drop_non_improving: bool = False) -> tuple[dict, float]:
-    """Forward selection with replacement from the best single candidate.
+def _mse(stats: dict, weights: list[float]) -> float:
+    s, m, G = float(sum(weights)), len(weights), stats["G"]
+    return max(sum(weights[i] * weights[j] * G[i][j] for i in range(m) for j in range(m)) / (s * s) / stats["n"], 0.0)
+
+
+def _gram_losses(stats: dict, metric: str):
+    def losses(trials):
+        return [math.sqrt(_mse(stats, t)) if metric == "rmse" else _mse(stats, t) for t in trials]
+    return losses
 
-    Stops after the first round whose best gain is <= 0; that round's pick is
-    kept unless ``drop_non_improving``. Exact for mse / rmse from the Gram matrix.
-    """
-    m = len(candidates)
 
-    def score(counts):
-        v = _mse(stats, counts)
-        return math.sqrt(v) if metric == "rmse" else v
-    singles = [score([1 if j == i else 0 for j in range(m)]) for i in range(m)]
+def _scan_losses(wd: DataFrame, candidates: list[str], metric: str):
+    """Losses of trial blends by one pass over the aligned predictions, all trials at once."""
+    def losses(trials):
+        blends = [sum((F.col(c) * F.lit(w / float(sum(t))) for c, w in zip(candidates, t) if w), F.lit(0.0)) for t in trials]
+        rows = wd.select("y_true", F.inline(F.array(*[F.struct(F.lit(i).alias("trial"), b.alias("y_pred")) for i, b in enumerate(blends)])))
+        found = {r["trial"]: r["metric_value"] for r in mt.fold_metrics(rows, metric, group_cols=("trial",)).collect()}
+        sign = -1.0 if mt.greater_is_better(metric) else 1.0
+        return [sign * found[i] for i in range(len(trials))]
+    return losses
+
+
+def _forward(losses, m: int, n_rounds: int, drop_non_improving: bool) -> tuple[list[int], float]:
+    unit = [[int(i == j) for j in range(m)] for i in range(m)]
+    singles = losses(unit)
     best = min(range(m), key=lambda i: (singles[i], i))
-    counts = [0] * m
-    counts[best] = 1
-    current = singles[best]
+    counts, current = unit[best], singles[best]
     for _ in range(n_rounds):
-        gains = []
-        for i in range(m):
-            trial = list(counts)
-            trial[i] += 1
-            gains.append((current - score(trial), -i))
-        gain, neg_i = max(gains)
-        i = -neg_i
-        if gain <= 0 and drop_non_improving:
+        trials = [[c + u for c, u in zip(counts, unit[i])] for i in range(m)]
+        after = losses(trials)
+        i = min(range(m), key=lambda i: (after[i], i))
+        improves = after[i] < current
+        if not improves and drop_non_improving:
             break
-        counts[i] += 1
-        current = score(counts)
-        if gain <= 0:
+        counts, current = trials[i], after[i]
+        if not improves:
             break
+    return counts, current
+
+
+def greedy_select(stats: dict, candidates: list[str], n_rounds: int = 50, metric: str = "rmse",
+                  drop_non_improving: bool = False) -> tuple[dict, float]:
+    """B5 for mse / rmse, from residual Gram sums: forward selection with replacement from the
+    best single candidate, without another scan. Other metrics: :func:`select_ensemble`.
+
+    Stops after the first round without a gain; that round's pick is kept unless
+    ``drop_non_improving``."""
+    if metric not in QUADRATIC:
+        raise ValueError(f"'{metric}' cannot be computed from Gram sums; use select_ensemble")
+    counts, current = _forward(_gram_losses(stats, metric), len(candidates), n_rounds, drop_non_improving)
     total = float(sum(counts))
     return {c: counts[i] / total for i, c in enumerate(candidates)}, current
 
 
+def select_ensemble(pred: DataFrame, candidates: list[str], key: list[str], metric: str, n_rounds: int = 50,
+                    drop_non_improving: bool = False) -> tuple[dict, float]:
+    """B5 for every metric: mse and rmse from one Gram pass; mae, rmsle, log loss, accuracy and
+    AUC by one pass a round that scores all trial blends at once. The score is the metric's value."""
+    _known(metric)
+    if metric in QUADRATIC:
+        return greedy_select(gram(pred, candidates, key), candidates, n_rounds, metric, drop_non_improving)
+    wd = _aligned(pred, candidates, key).persist()  # read once a round; released below
+    try:
+        counts, current = _forward(_scan_losses(wd, candidates, metric), len(candidates), n_rounds, drop_non_improving)
+    finally:
+        wd.unpersist()
+    total = float(sum(counts))
+    return {c: counts[i] / total for i, c in enumerate(candidates)}, -current if mt.greater_is_better(metric) else current
+
+
+def _known(metric: str) -> None:
+    if metric not in mt.REGRESSION_METRICS + mt.BINARY_METRICS:
+        raise ValueError(f"unknown metric '{metric}'")
+
+
 def filter_correlated(corr: dict, candidates: list[str], threshold: float) -> tuple[list, list]:
     """While the largest signed pairwise correlation exceeds ``threshold``,
     drop the candidate with the highest mean absolute correlation (diagonal as 0)."""
@@ -208,14 +269,26 @@ def poisson_weight(key_col: str, seed: int, bag: int):
 
 def bagged_select(pred: DataFrame, candidates: list[str], key: list[str], n_bags: int = 5, n_rounds: int = 50,
                   metric: str = "rmse", seed: int = 42) -> tuple[dict, float]:
-    """Average of greedy weights over Poisson-bootstrap bags, scored on all rows."""
-    all_w = []
-    for bag in range(n_bags):
-        st = gram(pred, candidates, key, poisson_weight(key[0], seed, bag))
-        w, _ = greedy_select(st, candidates, n_rounds, metric)
-        all_w.append(w)
-    avg = {c: sum(w[c] for w in all_w) / n_bags for c in candidates}
-    full = gram(pred, candidates, key)
-    total = sum(avg.values())
-    v = _mse(full, [avg[c] / total for c in candidates])
-    return avg, math.sqrt(v) if metric == "rmse" else v
+    """Average of greedy weights over Poisson-bootstrap bags, scored on all rows.
+
+    For mse / rmse the Gram sums of all bags and of all rows are one aggregate over
+    one pivot; other metrics repeat each row of a bag by its weight."""
+    _known(metric)
+    weights = [poisson_weight(key[0], seed, bag) for bag in range(n_bags)]
+    if metric in QUADRATIC:
+        *bags, full = residual_grams(pred, candidates, key, [*weights, F.lit(1.0)])
+        picked = [greedy_select(st, candidates, n_rounds, metric)[0] for st in bags]
+        avg = {c: sum(w[c] for w in picked) / n_bags for c in candidates}
+        return avg, _gram_losses(full, metric)([[avg[c] for c in candidates]])[0]
+    wd = _aligned(pred, candidates, key).persist()
+    try:
+        picked = []
+        for wt in weights:
+            bag = wd.where(wt > 0).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), wt.cast("int"))))
+            counts, _ = _forward(_scan_losses(bag, candidates, metric), len(candidates), n_rounds, False)
+            picked.append([c / float(sum(counts)) for c in counts])
+        mean = [sum(w[i] for w in picked) / n_bags for i in range(len(candidates))]
+        loss = _scan_losses(wd, candidates, metric)([mean])[0]
+    finally:
+        wd.unpersist()
+    return dict(zip(candidates, mean)), -loss if mt.greater_is_better(metric) else loss

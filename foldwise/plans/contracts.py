@@ -7,31 +7,30 @@ show every problem at once instead of failing on the first.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-
-def label_text(c) -> Column:
-    """P10: canonical label text -- booleans and integral numbers as integer text."""
-    c = F.col(c) if isinstance(c, str) else c
-    return c.cast("string")
+from pyspark.sql import types as T
 
 
 def normalize_label(df: DataFrame, c: str) -> Column:
-    dt = df.schema[c].dataType.simpleString()
+    """P10: booleans and integral numbers as integer text, everything else as text."""
+    dt = df.schema[c].dataType
     col = F.col(c)
-    if dt == "boolean":
+    if isinstance(dt, T.BooleanType):
         return col.cast("int").cast("string")
-    if dt in ("double", "float") or dt.startswith("decimal"):
-        return F.when(col == F.floor(col), F.floor(col).cast("bigint").cast("string")).otherwise(col.cast("string"))
+    if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
+        whole = (col == F.floor(col)) & (F.abs(col) < F.lit(1e15))
+        return F.when(whole, F.floor(col).try_cast("bigint").cast("string")).otherwise(col.cast("string"))
     return col.cast("string")
 
 
-def close(a, b, rtol: float = 1e-5, atol: float = 1e-8) -> Column:
-    """NumPy allclose element rule, NULL == NULL."""
-    a = F.col(a) if isinstance(a, str) else a
-    b = F.col(b) if isinstance(b, str) else b
-    return (a.isNull() & b.isNull()) | (F.abs(a - b) <= F.lit(atol) + F.lit(rtol) * F.abs(b))
+def label_value(v) -> str:
+    """P10 for a label given in Python."""
+    if isinstance(v, bool) or (isinstance(v, (int, float, Decimal)) and v == int(v)):
+        return str(int(v))
+    return str(v)
 
 
 def submission_violations(pred: DataFrame, template: DataFrame, id_col: str, label_col: str,
@@ -51,7 +50,7 @@ def submission_violations(pred: DataFrame, template: DataFrame, id_col: str, lab
     if kind == "probability":
         checks.append(F.count_if(p.isNotNull() & finite & ((p < 0) | (p > 1))).alias("out_of_range"))
     if kind == "label":
-        checks.append(F.count_if(p.isNotNull() & ~normalize_label(pred, label_col).isin(*[str(v) for v in labels]))
+        checks.append(F.count_if(p.isNotNull() & ~normalize_label(pred, label_col).isin(*[label_value(v) for v in labels]))
                       .alias("unknown_labels"))
     one = pred.agg(*checks)
     names = [c for c in one.columns if c != "pred_rows"]

@@ -95,13 +95,14 @@ def audit(runs: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def variant_compare(runs: DataFrame, keys: list[str], variant_col: str, a: str, b: str,
-                    metric_col: str = "metric_value") -> DataFrame:
-    """Per key, best finished metric of variant a and of b, and the delta
-    (conditional aggregation instead of a self join)."""
+                    metric_col: str = "metric_value", higher_is_better: bool = False) -> DataFrame:
+    """Per key, best finished metric (by the metric's direction) of variant a and of b, and
+    the delta (conditional aggregation instead of a self join)."""
     fin = runs.where(F.col("status") == "FINISHED")
+    best = F.max if higher_is_better else F.min
     out = fin.groupBy(*keys).agg(
-        F.max(F.when(F.col(variant_col) == a, F.col(metric_col))).alias(f"best_{a}"),
-        F.max(F.when(F.col(variant_col) == b, F.col(metric_col))).alias(f"best_{b}"),
+        best(F.when(F.col(variant_col) == a, F.col(metric_col))).alias(f"best_{a}"),
+        best(F.when(F.col(variant_col) == b, F.col(metric_col))).alias(f"best_{b}"),
         F.count_if(F.col(variant_col) == a).alias(f"n_{a}"),
         F.count_if(F.col(variant_col) == b).alias(f"n_{b}"))
     return out.withColumn("delta", F.col(f"best_{b}") - F.col(f"best_{a}"))

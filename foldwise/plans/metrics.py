@@ -16,14 +16,15 @@ from pyspark.sql import functions as F
 from foldwise.functions.scalar import ACCURACY_THRESHOLD, PROBABILITY_EPSILON
 from foldwise.operators.stats import conditional_ranks
 
-# Metric names as given by users -> metric id, and direction.
-METRIC_ALIASES = {
-    "rmse": "rmse", "root_mean_squared_error": "rmse",
-    "mse": "mse", "mean_squared_error": "mse",
-    "mae": "mae", "mean_absolute_error": "mae",
-    "rmsle": "rmsle", "root_mean_squared_log_error": "rmsle",
-    "roc_auc": "roc_auc", "auc": "roc_auc",
-    "log_loss": "log_loss", "logloss": "log_loss", "binary_crossentropy": "log_loss",
+# Long metric names as given by users -> metric id (ids are names too), and direction.
+METRIC_NAMES = {
+    "root mean squared error": "rmse",
+    "mean squared error": "mse",
+    "root mean squared logarithmic error": "rmsle",
+    "mean absolute error": "mae",
+    "area under the roc curve": "roc_auc",
+    "roc auc score": "roc_auc",
+    "log loss": "log_loss",
     "accuracy": "accuracy",
 }
 REGRESSION_METRICS = ("rmse", "mse", "mae", "rmsle")
@@ -33,7 +34,9 @@ HIGHER_IS_BETTER = {"roc_auc", "accuracy"}
 
 def normalize_metric(name: str, task: str) -> str:
     """Canonical metric id valid for the task."""
-    m = METRIC_ALIASES.get(name.strip().lower())
+    given = name.strip().lower()
+    given = given if given in REGRESSION_METRICS + BINARY_METRICS else given.replace("_", " ")
+    m = given if given in REGRESSION_METRICS + BINARY_METRICS else METRIC_NAMES.get(given)
     if m is None:
         raise ValueError(f"unknown metric '{name}'")
     allowed = REGRESSION_METRICS if task == "regression" else BINARY_METRICS

@@ -187,26 +187,26 @@ def binary_label_pair(train: DataFrame, label: str) -> list:
     return vals
 
 
-SAFE_PAIRS = ((0, 1), (False, True), ("No", "Yes"))
-
-
-def positive_label(pair: list, dtype, configured=None):
-    """Configured label, or the positive of a safe typed pair."""
+# Label pairs whose positive member is known, by the type of the label column.
+KNOWN_LABELS = (
+    (T.BooleanType, False, True),
+    (T.IntegralType, 0, 1),
+    (T.StringType, "No", "Yes"),
+)
+PYTHON_LABELS = {bool: T.BooleanType(), int: T.LongType(), str: T.StringType()}
+
+
+def positive_label(pair: list, dtype: T.DataType | None = None, configured=None):
+    """The configured label, or the positive one where the label column's type and its two
+    values are a known pair. The type decides: 0.0 / 1.0 in a floating column is not known."""
     if configured is not None:
-        if configured not in pair:
+        if not any(type(configured) is type(v) and configured == v for v in pair):
             raise ValueError("configured positive label is not one of the observed labels")
         return configured
-
-    def sig(v):
-        if isinstance(v, bool):
-            return ("bool", v)
-        if isinstance(v, int):
-            return ("int", v)
-        if isinstance(v, str):
-            return ("str", v)
-        return (type(v).__name__, v)
-    observed = {sig(v) for v in pair}
-    for neg, pos in SAFE_PAIRS:
-        if observed == {sig(neg), sig(pos)}:
-            return pos
+    if dtype is None:  # no column at hand: the type that Spark gives such Python values
+        kinds = {type(v) for v in pair}
+        dtype = PYTHON_LABELS.get(kinds.pop()) if len(kinds) == 1 else None
+    for kind, negative, positive in KNOWN_LABELS:
+        if isinstance(dtype, kind) and set(pair) == {negative, positive}:
+            return positive
     raise ValueError(f"cannot infer the positive label from {pair}; configure it")

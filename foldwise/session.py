@@ -47,8 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediates.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or a directory already set on
-    the context); only when neither exists (tests, local runs) a scratch
-    folder is created and registered.
+    the context); only when neither exists and the master is local (tests) a
+    scratch folder is created and registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             conf_dir = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             conf_dir = None
+    if not conf_dir and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+        raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a folder that all its machines share")
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="foldwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)

@@ -21,6 +21,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foldwise.functions.scalar import close
+
 # The column contracts of the stored tables.
 OOF_COLUMNS = ["row_idx", "y_true", "y_pred", "fold"]
 FOLD_COLUMNS = ["row_idx", "fold"]
@@ -75,18 +77,21 @@ def read_test_predictions(spark: SparkSession, root: str, candidates: list[str],
     return df
 
 
-def truth_mismatches(oof: DataFrame, reference: DataFrame, key: str = "row_idx", rtol: float = 1e-5,
-                     atol: float = 1e-8) -> DataFrame:
-    """Per candidate, rows whose y_true or fold differ from the
-    reference (allclose rule, NULL == NULL), and rows missing on either side."""
-    ref = reference.select(key, F.col("y_true").alias("ref_y"), F.col("fold").alias("ref_fold"))
-    j = oof.join(ref, key, "full_outer")
-    close = (F.col("y_true").isNull() & F.col("ref_y").isNull()) | (
-        F.abs(F.col("y_true") - F.col("ref_y")) <= F.lit(atol) + F.lit(rtol) * F.abs(F.col("ref_y")))
-    return j.groupBy("candidate_id").agg(
-        F.count_if(~F.coalesce(close, F.lit(False))).alias("y_true_mismatches"),
-        F.count_if(F.col("fold") != F.col("ref_fold")).alias("fold_mismatches"),
-        F.count_if(F.col("ref_y").isNull() & F.col("ref_fold").isNull()).alias("unknown_rows"))
+def truth_mismatches(oof: DataFrame, reference: DataFrame, candidates: list[str], key: str = "row_idx") -> DataFrame:
+    """Per candidate, rows whose y_true or fold differ from the reference, rows
+    that the reference lacks, and reference rows that the candidate lacks.
+
+    The configured candidates (a short list) meet every reference row once; one
+    full outer join on (candidate, row) then shows what is absent on either side."""
+    ref = reference.select(key, F.col("y_true").alias("ref_y"), F.col("fold").alias("ref_fold"), F.lit(True).alias("_ref"),
+                           F.explode(F.array(*[F.lit(c) for c in candidates])).alias("candidate_id"))
+    own = oof.where(F.col("candidate_id").isin(*candidates)).withColumn("_own", F.lit(True))
+    both = F.col("_ref") & F.col("_own")
+    return own.join(ref, [key, "candidate_id"], "full_outer").groupBy("candidate_id").agg(
+        F.count_if(both & ~close("y_true", "ref_y")).alias("y_true_mismatches"),
+        F.count_if(both & ~F.col("fold").eqNullSafe(F.col("ref_fold"))).alias("fold_mismatches"),
+        F.count_if(F.col("_ref").isNull()).alias("unknown_rows"),
+        F.count_if(F.col("_own").isNull()).alias("missing_rows"))
 
 
 def write_history(events: DataFrame, observations: DataFrame, path: str, key: str = "candidate_id") -> None:

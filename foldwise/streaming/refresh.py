@@ -11,11 +11,12 @@ streaming version runs the same function per micro-batch (``foreachBatch``).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldwise.functions.scalar import parse_optional_number
+from foldwise.functions.scalar import malformed_number, parse_optional_number
 
 # Tag names in submission descriptions, the id alphabet and the
 # observation signature used for de-duplication.
@@ -57,57 +58,84 @@ def parse_remote(remote: DataFrame) -> DataFrame:
     )
 
 
+def malformed_scores(remote: DataFrame) -> DataFrame:
+    """Listing rows with a score text that is neither a number nor a known null text. A refresh
+    must not record them: reading them as NULL would hide a changed listing format."""
+    bad = malformed_number("public_score") | malformed_number("private_score")
+    return remote.where(bad).select("kaggle_submitted_at", "kaggle_file_name", "public_score", "private_score")
+
+
 def duplicate_event_ids(events: DataFrame) -> DataFrame:
     """Event ids recorded more than once (must be empty)."""
     return events.groupBy("submission_event_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def match(parsed: DataFrame, events: DataFrame) -> DataFrame:
-    """J6 + J7: remote rows of recorded events, with the candidate consistency flag."""
+def resolve(parsed: DataFrame, events: DataFrame, canonical_candidates: DataFrame) -> DataFrame:
+    """J6 + J7 in one plan: each listing row with an event id, once, with its outcome.
+
+    ``outcome``: matched, candidate_mismatch (tracked under another candidate), recovered
+    (unknown event of a candidate that has a canonical run), missing_candidate_id or
+    no_canonical_candidate_run. ``candidate_id`` is set for matched and recovered rows.
+    The listing is read once; matches, orphans and observations are filters of it."""
     ev = events.select("submission_event_id", F.col("candidate_id").alias("tracked_candidate_id"))
-    m = parsed.where(F.col("submission_event_id").isNotNull()).join(ev, "submission_event_id", "inner")
-    mismatch = F.col("remote_candidate_id").isNotNull() & (F.col("remote_candidate_id") != F.col("tracked_candidate_id"))
-    return m.withColumn("candidate_mismatch", mismatch.cast("int"))
+    can = canonical_candidates.select(F.col("candidate_id").alias("remote_candidate_id"), F.lit(True).alias("_has_run")).distinct()
+    rows = parsed.where(F.col("submission_event_id").isNotNull()).join(ev, "submission_event_id", "left").join(can, "remote_candidate_id", "left")
+    remote, tracked = F.col("remote_candidate_id"), F.col("tracked_candidate_id")
+    outcome = (F.when(tracked.isNotNull(), F.when(remote.isNotNull() & (remote != tracked), "candidate_mismatch").otherwise("matched"))
+               .when(remote.isNull(), "missing_candidate_id")
+               .when(F.col("_has_run").isNull(), "no_canonical_candidate_run").otherwise("recovered"))
+    rows = rows.withColumn("outcome", outcome).drop("_has_run")
+    return rows.withColumn("candidate_id", F.when(F.col("outcome") == "matched", tracked).when(F.col("outcome") == "recovered", remote))
+
+
+def match(parsed: DataFrame, events: DataFrame, canonical_candidates: DataFrame | None = None) -> DataFrame:
+    """Remote rows of recorded events, with the candidate consistency flag."""
+    none = events.select("candidate_id").limit(0) if canonical_candidates is None else canonical_candidates
+    rows = resolve(parsed, events, none).where(F.col("outcome").isin("matched", "candidate_mismatch"))
+    return rows.withColumn("candidate_mismatch", (F.col("outcome") == "candidate_mismatch").cast("int"))
 
 
 def orphans(parsed: DataFrame, events: DataFrame, canonical_candidates: DataFrame) -> DataFrame:
-    """J6 recovery: remote rows of unknown events; recovered when the description
-    names a candidate that has a canonical run."""
-    o = (parsed.where(F.col("submission_event_id").isNotNull())
-         .join(events.select("submission_event_id"), "submission_event_id", "left_anti"))
-    can = canonical_candidates.select(F.col("candidate_id").alias("remote_candidate_id")).distinct() \
-        .withColumn("_has_run", F.lit(True))
-    o = o.join(can, "remote_candidate_id", "left")
-    status = (F.when(F.col("remote_candidate_id").isNull(), "missing_candidate_id")
-              .when(F.col("_has_run").isNull(), "no_canonical_candidate_run").otherwise("recovered"))
-    return o.withColumn("recovery", status).drop("_has_run")
+    """Remote rows of unknown events; recovered when the description names a candidate that has a
+    canonical run."""
+    rows = resolve(parsed, events, canonical_candidates)
+    return rows.where(~F.col("outcome").isin("matched", "candidate_mismatch")).withColumnRenamed("outcome", "recovery")
 
 
 def candidate_observations(parsed: DataFrame, events: DataFrame, canonical_candidates: DataFrame) -> DataFrame:
     """Observations a refresh would record: consistent matches plus recovered orphans."""
-    m = match(parsed, events).where(F.col("candidate_mismatch") == 0) \
-        .select(*OBSERVATION_COLS, F.col("tracked_candidate_id").alias("candidate_id"))
-    r = orphans(parsed, events, canonical_candidates).where(F.col("recovery") == "recovered") \
-        .select(*OBSERVATION_COLS, F.col("remote_candidate_id").alias("candidate_id"))
-    return m.unionByName(r)
+    rows = resolve(parsed, events, canonical_candidates)
+    return rows.where(F.col("candidate_id").isNotNull()).select(*OBSERVATION_COLS, "candidate_id")
+
+
+def append_events(events: DataFrame, recovered: DataFrame) -> DataFrame:
+    """Recorded events plus one event per recovered orphan. An event id that is recorded twice,
+    or recovered under two candidates, is an error."""
+    new = recovered.select("submission_event_id", "candidate_id").distinct()
+    both = events.select("submission_event_id", "candidate_id").unionByName(new)
+    once = both.groupBy("submission_event_id").agg(F.count(F.lit(1)).alias("_n"), F.min("candidate_id").alias("candidate_id"))
+    twice = F.raise_error(F.concat(F.lit("submission event recorded twice: "), F.col("submission_event_id"))).cast("string")
+    return once.select("submission_event_id", F.when(F.col("_n") == 1, F.col("candidate_id")).otherwise(twice).alias("candidate_id"))
 
 
 def new_observations(candidates: DataFrame, history: DataFrame) -> DataFrame:
-    """O3: drop rows whose signature is stored (NULL scores compare equal), then
-    keep one row per signature."""
+    """O3: drop rows whose signature is stored (NULL scores compare equal), then keep one row per
+    signature: of several, the first by description and candidate."""
     cond = None
     for c in SIGNATURE:
         one = candidates[c].eqNullSafe(history[c])
         cond = one if cond is None else cond & one
     fresh = candidates.join(history, cond, "left_anti")
-    return fresh.dropDuplicates(list(SIGNATURE))
+    rest = [c for c in candidates.columns if c not in SIGNATURE]
+    return fresh.groupBy(*SIGNATURE).agg(F.min(F.struct(*rest)).alias("_first")).select(*SIGNATURE, "_first.*").select(*candidates.columns)
 
 
 def score_rollup(observations: DataFrame, higher_is_better: bool) -> DataFrame:
-    """Per event, observation count, latest non-null public / private score
-    (last appended: higher ``observed_seq``, then submitted time and file), and
-    the best scores by metric direction."""
-    order = F.struct("observed_seq", "kaggle_submitted_at", "kaggle_file_name")
+    """Per event, observation count, latest non-null public / private score, and the best
+    scores by metric direction. Latest is last appended: the highest ``observed_seq`` (each
+    appended batch has its own), then submitted time, file and the rest of the signature, so
+    that the order is total whatever the order of rows."""
+    order = F.struct("observed_seq", "kaggle_submitted_at", "kaggle_file_name", "kaggle_status", "public_score", "private_score")
     best = F.max if higher_is_better else F.min
     pub, priv = F.col("public_score"), F.col("private_score")
     return observations.groupBy("submission_event_id").agg(
@@ -118,6 +146,20 @@ def score_rollup(observations: DataFrame, higher_is_better: bool) -> DataFrame:
         best(priv).alias("best_private_score"))
 
 
+def candidate_scores(events: DataFrame, observations: DataFrame, higher_is_better: bool) -> DataFrame:
+    """A20 per candidate: number of its submission events (``submit_count``) beside the latest and
+    best scores of all its observations. observations has candidate_id."""
+    order = F.struct("observed_seq", "kaggle_submitted_at", "kaggle_file_name", "kaggle_status", "public_score", "private_score")
+    best = F.max if higher_is_better else F.min
+    pub, priv = F.col("public_score"), F.col("private_score")
+    counts = events.groupBy("candidate_id").agg(F.count(F.lit(1)).alias("submit_count"))
+    scores = observations.groupBy("candidate_id").agg(
+        F.max_by(pub, F.when(pub.isNotNull(), order)).alias("latest_public_score"), best(pub).alias("best_public_score"),
+        F.max_by(priv, F.when(priv.isNotNull(), order)).alias("latest_private_score"), best(priv).alias("best_private_score"))
+    out = counts.join(scores, "candidate_id", "full_outer")
+    return out.withColumn("submit_count", F.coalesce("submit_count", F.lit(0)).cast("bigint"))
+
+
 def refresh_counters(parsed: DataFrame, events: DataFrame, cands: DataFrame, appended: DataFrame) -> DataFrame:
     """Tracked, matched, appended, scanned, updated-candidate counts (one row)."""
     tracked = events.agg(F.count_distinct("submission_event_id").alias("tracked_events"))
@@ -137,8 +179,10 @@ def refresh_counters(parsed: DataFrame, events: DataFrame, cands: DataFrame, app
 
 def refresh_batch(remote: DataFrame, events: DataFrame, canonical_candidates: DataFrame,
                   history: DataFrame) -> DataFrame:
-    """Rows to append to the observation table for one landed batch."""
-    parsed = parse_remote(remote)
+    """Rows to append to the observation table for one landed batch. A malformed score is an error."""
+    bad = malformed_number("public_score") | malformed_number("private_score")
+    said = F.raise_error(F.concat(F.lit("malformed score in the listing of "), F.coalesce("kaggle_file_name", F.lit("?")))).cast("string")
+    parsed = parse_remote(remote.withColumn("public_score", F.when(bad, said).otherwise(F.col("public_score"))))
     cands = candidate_observations(parsed, events, canonical_candidates)
     return new_observations(cands, history)
 
@@ -147,22 +191,27 @@ def run_stream(spark, source_dir: str, target_dir: str, checkpoint: str, events:
                canonical_candidates: DataFrame, seq: int = 1, rollup_dir: str | None = None,
                higher_is_better: bool = False):
     """File-source stream of landed listings; each micro-batch appends its new
-    observations to ``target_dir`` (parquet). Trigger: available-now (drains and stops).
+    observations to ``target_dir`` (parquet), with ``observed_seq`` = seq + batch id, the append order. Trigger: available-now (drains and stops).
     Dedup state is the target table itself, so no watermark is needed.
 
     X2: with ``rollup_dir``, each batch also recomputes the score rollup of the
     events it touched and appends it tagged with the batch id; see
     :func:`current_rollup`."""
-    events = events.cache()
+    events = events.cache()  # read by every batch; released when the stream ends
     canonical_candidates = canonical_candidates.cache()
 
-    def handle(batch: DataFrame, batch_id: int):
+    def stored() -> DataFrame:
         try:
-            history = spark.read.parquet(target_dir)
-        except Exception:  # noqa: BLE001 - first batch, no table yet
-            history = spark.createDataFrame([], observation_schema())
+            return spark.read.parquet(target_dir)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise  # an unreadable table is not an empty one
+            return spark.createDataFrame([], observation_schema())
+
+    def handle(batch: DataFrame, batch_id: int):
+        history = stored()
         new = (refresh_batch(batch, events, canonical_candidates, history.select(*SIGNATURE))
-               .select(*OBSERVATION_COLS, "candidate_id").withColumn("observed_seq", F.lit(seq))
+               .select(*OBSERVATION_COLS, "candidate_id").withColumn("observed_seq", F.lit(seq + batch_id).cast("int"))
                .persist())
         # Everything derived from ``history`` is re-cached once the target path is
         # written (Spark refreshes plans reading a written path), so the rollup is
@@ -182,6 +231,8 @@ def run_stream(spark, source_dir: str, target_dir: str, checkpoint: str, events:
          .writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    events.unpersist()
+    canonical_candidates.unpersist()
     return spark.read.parquet(target_dir)
 
 
