@@ -175,17 +175,18 @@ def remove_repeats(docs: DataFrame, window: int = 50, period: int = 31) -> DataF
     whole = cut(base.select(*key, "text").mapInArrow(partial(_sequences, window=window), "_id long, _th int, _h long, _g long"))
     least = whole.groupBy("_h", "_g").agg(F.min("_id").alias("_least"), F.max("_id").alias("_most")).where("_least < _most")
     copies = cut(whole.join(least, ["_h", "_g"]).where("_id > _least").select(*key).distinct())
-    placed = base.join(copies.withColumn("_copy", F.lit(True)), key, "left")
+    placed = base.repartition(*key).join(copies.withColumn("_copy", F.lit(True)), key, "left")
 
-    anchors = placed.where("_copy is null").select(*key, "text").mapInArrow(partial(_anchors, window=window, period=period), "_id long, _th int, _pos int, _kind byte, _deal long")
+    # doc_id goes along in all three uses: with equal columns they share one exchange of the text
+    anchors = placed.where("_copy is null").select("doc_id", *key, "text").mapInArrow(partial(_anchors, window=window, period=period), "_id long, _th int, _pos int, _kind byte, _deal long")
     by_hash = Window.partitionBy("_deal")
     shared = anchors.select("*", F.min("_id").over(by_hash).alias("_least"), F.max("_id").over(by_hash).alias("_most"), F.max("_kind").over(by_hash).alias("_any")).where("_least < _most or _any > 0")
     near = shared.groupBy(*key).agg(F.collect_set("_pos").alias("_at"))
 
-    windows = placed.where("_copy is null").join(near, key).select(*key, "text", "_at").mapInArrow(
+    windows = placed.where("_copy is null").join(near, key).select("doc_id", *key, "text", "_at").mapInArrow(
         partial(_windows, window=window, period=period), "_g int, _id long, _th int, _pos int, _kind byte, _deal long")
     same = Window.partitionBy("_deal", "_g")
     later = windows.select("*", F.min("_id").over(same).alias("_least")).where("_id > _least or _kind = 2")
     gone = later.groupBy(*key).agg(F.collect_set("_pos").alias("_at"))
-    return placed.join(gone, key, "left").select("doc_id", "text", "_at", F.coalesce("_copy", F.lit(False)).alias("_copy")).mapInArrow(
+    return placed.join(gone, key, "left").select("doc_id", *key, "text", "_at", F.coalesce("_copy", F.lit(False)).alias("_copy")).mapInArrow(
         partial(_remove, window=window), "doc_id long, n_words long, n_removed long, kept_text string")
