@@ -319,7 +319,7 @@ def blend_labels(spark, sf_dir):
 
 @query("blend_alignment")
 def blend_alignment(spark, sf_dir):
-    return bl.alignment_violations(fx.oof_long(spark, sf_dir), ["row_idx"], REG_CANDS)
+    return bl.alignment_violations(fx.oof_defects(spark, sf_dir), ["row_idx"], REG_CANDS)
 
 
 @query("oof_correlation")
@@ -472,8 +472,38 @@ def refresh_counters(spark, sf_dir):
 
 @query("event_id_duplicates")
 def event_id_duplicates(spark, sf_dir):
+    """J8 on recorded events plus what a second recording of every 50th event would add."""
     _, events, _ = _refresh_inputs(spark, sf_dir)
-    return rf.duplicate_event_ids(events).agg(F.count(F.lit(1)).alias("duplicate_event_ids"))
+    again = events.where(F.substring_index("submission_event_id", "_", -1).cast("long") % 50 == 0)
+    return rf.duplicate_event_ids(events.unionByName(again)).agg(F.count(F.lit(1)).alias("duplicate_event_ids"))
+
+
+@query("event_append")
+def event_append(spark, sf_dir):
+    """Recorded events plus the recovered orphans of the listing."""
+    parsed, events, canon = _refresh_inputs(spark, sf_dir)
+    recovered = rf.orphans(parsed, events, canon).where(F.col("recovery") == "recovered")
+    return rf.append_events(events, recovered)
+
+
+@query("candidate_scores")
+def candidate_scores(spark, sf_dir):
+    """A20 per candidate: submission events, latest and best scores over stored and new observations."""
+    parsed, events, canon = _refresh_inputs(spark, sf_dir)
+    cands = rf.candidate_observations(parsed, events, canon)
+    hist = fx.observation_history(spark, sf_dir)
+    new = rf.new_observations(cands, hist).select(*rf.OBSERVATION_COLS, "candidate_id").withColumn("observed_seq", F.lit(1))
+    allev = rf.append_events(events, rf.orphans(parsed, events, canon).where(F.col("recovery") == "recovered"))
+    old = hist.join(allev, "submission_event_id").select(*rf.OBSERVATION_COLS, "candidate_id", "observed_seq")
+    return rf.candidate_scores(allev, old.unionByName(new), higher_is_better=False)
+
+
+@query("malformed_scores")
+def malformed_scores(spark, sf_dir):
+    """Rows of a listing in which every 31st event's public score reads 'n/a'."""
+    remote = fx.remote_submissions(spark, sf_dir)
+    event = F.regexp_extract("kaggle_file_name", r"_(\d+)\.csv", 1).cast("long")
+    return rf.malformed_scores(remote.withColumn("public_score", F.when(event % 31 == 0, "n/a").otherwise(F.col("public_score"))))
 
 
 @query("refresh_stream")
@@ -634,8 +664,10 @@ def folds_kfold_ordered(spark, sf_dir):
 
 @query("fold_validation")
 def fold_validation(spark, sf_dir):
-    """O7 / P20 on the prepared context's folds."""
-    return fo.validate_folds(train(spark, sf_dir).select("id", "fold"), "id", K)
+    """O7 / P20 on the context's folds, damaged: fold 5 renamed to 6, every 89th id twice, no fold on every 97th."""
+    folds, i = train(spark, sf_dir).select("id", "fold"), F.col("id")
+    fold = F.when(i % 97 == 0, F.lit(None)).when(F.col("fold") == 5, 6).otherwise(F.col("fold"))
+    return fo.validate_folds(folds.unionByName(folds.where(i % 89 == 0)).withColumn("fold", fold), "id", K)
 
 
 def _artifact_root(spark):
@@ -659,9 +691,9 @@ def artifact_roundtrip(spark, sf_dir):
 
 @query("truth_check")
 def truth_check(spark, sf_dir):
-    """Stored OOF truth and folds against the context."""
-    ref = fx.oof_long(spark, sf_dir).where(F.col("candidate_id") == "cand_a").select("row_idx", "y_true", "fold")
-    return art.truth_mismatches(fx.oof_long(spark, sf_dir), ref, REG_CANDS)
+    """OOF truth and folds of damaged tables against a context that lacks every 109th id."""
+    ref = fx.oof_long(spark, sf_dir).where((F.col("candidate_id") == "cand_a") & (F.col("id") % 109 != 0))
+    return art.truth_mismatches(fx.oof_defects(spark, sf_dir), ref.select("row_idx", "y_true", "fold"), REG_CANDS)
 
 
 @query("tune_trials")

@@ -54,11 +54,11 @@ raw AS (
   LEFT JOIN li ON li.l_orderkey = o.o_orderkey),
 ml AS (
   SELECT id, acctbal, avg_qty, avg_discount, n_items, const_num, acctbal_copy, c_mktsegment,
-    o_orderpriority, n_name, rare_cat, is_even,
+    o_orderpriority, n_name, CASE WHEN rare_cat = 'rare_b' AND id % 5 <> 0 THEN 'common' ELSE rare_cat END AS rare_cat, is_even,
     CASE WHEN id % 5 = 0 THEN NULL ELSE y_reg END AS y_reg,
     CASE WHEN id % 5 = 0 THEN NULL ELSE y_bin END AS y_bin,
     CASE WHEN id % 5 = 0 THEN 'test' ELSE 'train' END AS split
-  FROM raw WHERE id % 5 = 0 OR rare_cat <> 'rare_b'),
+  FROM raw),
 kf AS (
   SELECT id, row_number() OVER (ORDER BY {h}, id) - 1 AS r, count(*) OVER () AS n
   FROM ml WHERE split = 'train'),
@@ -692,15 +692,6 @@ b AS (SELECT row_idx, id, sum(w.w * oofb.y_pred) / sum(w.w) AS p FROM oofb JOIN
 SELECT row_idx, id, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS label, {R('p', 9)} AS probability FROM b"""
 
 
-@q("blend_alignment")
-def _():
-    return ctes(*oof_ctes()) + """
-, g AS (SELECT row_idx, count(DISTINCT candidate_id) AS m, count(DISTINCT y_true) AS dy, count(DISTINCT fold) AS df
-  FROM oof GROUP BY row_idx)
-SELECT count(*) FILTER (WHERE m <> 5) AS misaligned_rows, count(*) FILTER (WHERE dy > 1) AS inconsistent_y_true,
-  count(*) FILTER (WHERE df > 1) AS inconsistent_fold FROM g"""
-
-
 @q("oof_correlation")
 def _():
     cands = [c for c, _ in REG_CANDIDATES]
@@ -905,7 +896,22 @@ UNION ALL SELECT 'appended_observations', CAST(count(*) AS BIGINT) FROM appended
 UNION ALL SELECT 'updated_candidates', CAST(count(DISTINCT candidate_id) AS BIGINT) FROM appended
 UNION ALL SELECT 'scanned_remote', CAST(count(*) AS BIGINT) FROM parsed"""
 QUERIES["event_id_duplicates"] = rctes() + """
-SELECT count(*) AS duplicate_event_ids FROM (SELECT submission_event_id FROM ev GROUP BY 1 HAVING count(*) > 1)"""
+SELECT count(*) AS duplicate_event_ids FROM (
+  SELECT submission_event_id FROM (SELECT submission_event_id FROM ev
+    UNION ALL SELECT submission_event_id FROM ev WHERE CAST(substr(submission_event_id, 5) AS BIGINT) % 50 = 0) GROUP BY 1 HAVING count(*) > 1)"""
+ALL_EVENTS = """allev AS (SELECT submission_event_id, candidate_id FROM ev
+  UNION SELECT submission_event_id, remote_candidate_id FROM orph WHERE recovery = 'recovered')"""
+QUERIES["event_append"] = rctes(ALL_EVENTS) + "\nSELECT submission_event_id, candidate_id FROM allev"
+QUERIES["candidate_scores"] = rctes(ALL_EVENTS, f"""seen AS (
+  SELECT a.candidate_id, h.public_score, h.private_score, (0, kaggle_submitted_at, kaggle_file_name, kaggle_status) AS o FROM hist h JOIN allev a USING (submission_event_id)
+  UNION ALL SELECT candidate_id, public_score, private_score, (1, kaggle_submitted_at, kaggle_file_name, kaggle_status) FROM appended)""") + """
+SELECT a.candidate_id, a.submit_count, s.latest_public_score, s.best_public_score, s.latest_private_score, s.best_private_score
+FROM (SELECT candidate_id, count(*) AS submit_count FROM allev GROUP BY 1) a
+LEFT JOIN (SELECT candidate_id, arg_max(public_score, (o, public_score)) FILTER (WHERE public_score IS NOT NULL) AS latest_public_score, min(public_score) AS best_public_score,
+    arg_max(private_score, (o, private_score)) FILTER (WHERE private_score IS NOT NULL) AS latest_private_score, min(private_score) AS best_private_score
+  FROM seen GROUP BY 1) s USING (candidate_id)"""
+QUERIES["malformed_scores"] = rctes() + """
+SELECT kaggle_submitted_at, kaggle_file_name, 'n/a' AS public_score, private_score FROM remote WHERE e % 31 = 0"""
 
 
 # ---------------------------------------------------------------- models
@@ -970,24 +976,45 @@ SELECT id, CAST(CASE WHEN r < (n % {K}) * (n // {K} + 1) THEN r // (n // {K} + 1
 FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS r, count(*) OVER () AS n FROM train)""")
 
 QUERIES["fold_validation"] = with_ctx(f"""
-SELECT 'duplicate_ids' AS "check", CAST(count(*) AS BIGINT) AS violations FROM (SELECT id FROM train GROUP BY id HAVING count(*) > 1)
+, damaged AS (
+  SELECT id, CASE WHEN id % 97 = 0 THEN NULL WHEN fold = 5 THEN 6 ELSE fold END AS fold
+  FROM (SELECT id, fold FROM train UNION ALL SELECT id, fold FROM train WHERE id % 89 = 0))
+SELECT 'duplicate_ids' AS "check", CAST(count(*) AS BIGINT) AS violations FROM (SELECT id FROM damaged GROUP BY id HAVING count(*) > 1)
 UNION ALL SELECT 'out_of_range', CAST(count(*) FILTER (WHERE fold IS NULL OR fold < 1 OR fold > {K}) AS BIGINT)
-  FROM (SELECT DISTINCT fold FROM train)
-UNION ALL SELECT 'empty_folds', CAST({K} - count(DISTINCT fold) FILTER (WHERE fold BETWEEN 1 AND {K}) AS BIGINT) FROM train
-UNION ALL SELECT 'empty_train_sides', CAST(count(*) FILTER (WHERE c >= (SELECT count(*) FROM train)) AS BIGINT)
-  FROM (SELECT fold, count(*) AS c FROM train GROUP BY fold)""")
+  FROM (SELECT DISTINCT fold FROM damaged)
+UNION ALL SELECT 'empty_folds', CAST({K} - count(DISTINCT fold) FILTER (WHERE fold BETWEEN 1 AND {K}) AS BIGINT) FROM damaged
+UNION ALL SELECT 'empty_train_sides', CAST(count(*) FILTER (WHERE c >= (SELECT count(*) FROM damaged)) AS BIGINT)
+  FROM (SELECT fold, count(*) AS c FROM damaged GROUP BY fold)""")
 
 QUERIES["artifact_roundtrip"] = ctes(*oof_ctes()) + """
 SELECT candidate_id, row_idx, y_true, y_pred, fold FROM oof WHERE candidate_id IN ('cand_a', 'cand_c', 'cand_e')"""
 
-QUERIES["truth_check"] = ctes(*oof_ctes()) + """
-, ref AS (SELECT row_idx, y_true AS ref_y, fold AS ref_fold FROM oof WHERE candidate_id = 'cand_a'),
-j AS (SELECT o.candidate_id, o.y_true, o.fold, r.ref_y, r.ref_fold FROM oof o FULL OUTER JOIN ref r ON o.row_idx = r.row_idx)
-SELECT candidate_id,
-  count(*) FILTER (WHERE NOT coalesce((y_true IS NULL AND ref_y IS NULL) OR abs(y_true - ref_y) <= 1e-8 + 1e-5 * abs(ref_y), false)) AS y_true_mismatches,
-  count(*) FILTER (WHERE fold <> ref_fold) AS fold_mismatches,
-  count(*) FILTER (WHERE ref_y IS NULL AND ref_fold IS NULL) AS unknown_rows
-FROM j GROUP BY candidate_id"""
+OOF_DEFECTS = f"""
+, defects AS (
+  SELECT row_idx, id, candidate_id, y_pred,
+    CASE WHEN candidate_id = 'cand_c' AND id % 103 = 0 THEN y_true + 5.0 WHEN candidate_id = 'cand_e' AND id % 113 = 0 THEN NULL ELSE y_true END AS y_true,
+    CASE WHEN candidate_id = 'cand_d' AND id % 107 = 0 THEN fold % {K} + 1 ELSE fold END AS fold
+  FROM oof WHERE NOT (candidate_id = 'cand_b' AND id % 101 = 0))"""
+
+QUERIES["truth_check"] = ctes(*oof_ctes()) + OOF_DEFECTS + """
+, ref AS (SELECT row_idx, y_true AS ref_y, fold AS ref_fold FROM oof WHERE candidate_id = 'cand_a' AND id % 109 <> 0),
+names AS (SELECT DISTINCT candidate_id FROM oof)
+SELECT n.candidate_id,
+  (SELECT count(*) FROM defects o JOIN ref r ON o.row_idx = r.row_idx WHERE o.candidate_id = n.candidate_id
+     AND NOT coalesce(abs(o.y_true - r.ref_y) <= 1e-8 + 1e-5 * abs(r.ref_y), o.y_true IS NULL AND r.ref_y IS NULL)) AS y_true_mismatches,
+  (SELECT count(*) FROM defects o JOIN ref r ON o.row_idx = r.row_idx WHERE o.candidate_id = n.candidate_id AND o.fold IS DISTINCT FROM r.ref_fold) AS fold_mismatches,
+  (SELECT count(*) FROM defects o WHERE o.candidate_id = n.candidate_id AND o.row_idx NOT IN (SELECT row_idx FROM ref)) AS unknown_rows,
+  (SELECT count(*) FROM ref r WHERE r.row_idx NOT IN (SELECT row_idx FROM defects o WHERE o.candidate_id = n.candidate_id)) AS missing_rows
+FROM names n"""
+
+QUERIES["blend_alignment"] = ctes(*oof_ctes()) + OOF_DEFECTS + """
+, rows_ AS (SELECT row_idx, count(*) AS m, count(y_true) AS ny, min(fold) AS lo_f, max(fold) AS hi_f,
+    max(abs(y_true - ref)) AS gap, max(abs(ref)) AS size
+  FROM (SELECT *, max(CASE WHEN candidate_id = 'cand_a' THEN y_true END) OVER (PARTITION BY row_idx) AS ref FROM defects) GROUP BY row_idx)
+SELECT count(*) FILTER (WHERE m <> 5) AS misaligned_rows,
+  count(*) FILTER (WHERE ny <> m OR gap > 1e-8 + 1e-5 * size) AS inconsistent_y_true,
+  count(*) FILTER (WHERE lo_f <> hi_f) AS inconsistent_fold
+FROM rows_"""
 
 QUERIES["stream_rollup"] = rctes(f"""allobs AS (SELECT {', '.join(SIG)}, kaggle_description, observed_seq FROM hist
   UNION ALL SELECT {', '.join(SIG)}, kaggle_description, 1 FROM appended)""") + """

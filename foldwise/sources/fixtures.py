@@ -63,10 +63,11 @@ def orders_ml_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Adds ``split``; test rows lose their labels; ``rare_b`` is kept out of train."""
+    """Adds ``split``; test rows lose their labels. ``rare_b`` occurs in test only (train rows of it
+    are recoded to ``common``, so every order stays): a category that no fit has seen."""
     raw = orders_ml_raw(spark, sf_dir)
     is_test = F.col(ID) % 5 == 0
-    df = raw.where(is_test | (F.col("rare_cat") != "rare_b"))
+    df = raw.withColumn("rare_cat", F.when(~is_test & (F.col("rare_cat") == "rare_b"), "common").otherwise(F.col("rare_cat")))
     return (df.withColumn("split", F.when(is_test, "test").otherwise("train"))
             .withColumn("y_reg", F.when(is_test, F.lit(None).cast("double")).otherwise(F.col("y_reg")))
             .withColumn("y_bin", F.when(is_test, F.lit(None).cast("int")).otherwise(F.col("y_bin"))))
@@ -158,6 +159,15 @@ def oof_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _oof(spark, sf_dir, "y_reg", "fold", _reg_candidates)
 
 
+def oof_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``oof_long`` with defects by id rule: rows missing in cand_b (every 101st id), another truth in
+    cand_c (every 103rd), another fold in cand_d (every 107th), no truth in cand_e (every 113th)."""
+    o, i, c = oof_long(spark, sf_dir), F.col(ID), F.col("candidate_id")
+    truth = F.when((c == "cand_c") & (i % 103 == 0), F.col("y_true") + 5.0).when((c == "cand_e") & (i % 113 == 0), F.lit(None)).otherwise(F.col("y_true"))
+    fold = F.when((c == "cand_d") & (i % 107 == 0), F.col("fold") % K + 1).otherwise(F.col("fold"))
+    return o.where(~((c == "cand_b") & (i % 101 == 0))).withColumns({"y_true": truth, "fold": fold.cast("int")})
+
+
 def oof_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Binary OOF scores with ties (one decimal), stratified folds."""
     return _oof(spark, sf_dir, "y_bin", "sfold", _bin_candidates)
