@@ -549,7 +549,9 @@ def _features(spark, sf_dir, fold_col, label, with_target=True):
     if with_target:
         parts.append(cat.fit_target(category_stats(spark, sf_dir, y_col=label, fold_col=fold_col), 1.0))
     fitted = merge(*parts)
-    feat = fitted.transform(ctx(spark, sf_dir), K, ["id", "fit_fold", "role", label], fold_col=fold_col)
+
+    def feat(f):
+        return fitted.transform(ctx(spark, sf_dir), K, ["id", "fit_fold", "role", label], fold_col=fold_col, fit_fold=f)
     return feat, fitted.names()
 
 
@@ -599,7 +601,6 @@ def leaderboard(spark, sf_dir):
     """Flagship: ridge and random forest CV on the orders fixture plus their
     equal-weight blend, ranked by mean fold RMSE."""
     feat, names = _features(spark, sf_dir, "fold", "y_reg")
-    feat = feat.persist()
     long = []
     for cid, fam, params in (("ridge", "ridge", None),
                              ("random_forest", "random_forest", {"n_estimators": 30, "max_depth": 6})):
@@ -627,27 +628,16 @@ FULL_SPEC = Representation(
 def representation_cv(spark, sf_dir):
     """F22-F26 end to end: compile, fit (all folds), prune, materialise dense
     + sparse into one vector, ridge per fold; out-of-fold predictions."""
-    c = ctx(spark, sf_dir)
-    numeric, categorical = pf.resolve_feature_types(c, fx.FEATURES, low_cardinality_int_threshold=20)
-    tr = train(spark, sf_dir)
+    c, tr = ctx(spark, sf_dir), train(spark, sf_dir)
+    numeric, categorical = pf.resolve_feature_types(tr, fx.FEATURES, low_cardinality_int_threshold=20)
     fr = FULL_SPEC.fit(tr, numeric, categorical, K, "fold", "y_reg", raw_features=fx.FEATURES,
                        card=cat.cardinalities(tr, categorical))
     fr.fit_pruners(c)
-    out = fr.transform(c, ["id", "fit_fold", "role", "y_reg"]).persist()
-    vocab = fr.vocabulary(out)
-    data = fr.materialize(out.withColumn("label", F.col("y_reg")), vocab)
-    fam = md.resolve("ridge", "regression")
-    parts = []
-    for f in range(1, K + 1):
-        trf = data.where((F.col("fit_fold") == f) & (F.col("role") == "train"))
-        model = fam.build(trf, {}).fit(trf)
-        parts.append(model.transform(data.where((F.col("fit_fold") == f) & (F.col("role") == "valid")))
-                     .select("id", F.col("fit_fold").alias("fold"), F.col("y_reg").alias("y_true"),
-                             rnd("prediction", 4).alias("y_pred")))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res.withColumn("representation_id", F.lit(FULL_SPEC.id))
+    keep = ["id", "fit_fold", "role", "y_reg"]
+    vocab = fr.vocabulary(fr.transform(c, keep))
+    preds = ev.cross_validate(lambda f: fr.materialize(fr.transform(c, keep, f), vocab), None, "y_reg", md.resolve("ridge", "regression"), K, score_only=True)
+    fr.release()
+    return ev.oof(preds).select("id", "fold", "y_true", rnd("y_pred", 4).alias("y_pred"), F.lit(FULL_SPEC.id).alias("representation_id"))
 
 
 # ---------------------------------------------------------------- more folds, artifacts, tuning

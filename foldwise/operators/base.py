@@ -37,19 +37,30 @@ class Fitted:
     def project(self, df: DataFrame, keep: list[str]) -> DataFrame:
         return df.select(*keep, *[self.columns[n].alias(n) for n in self.names()])
 
-    def transform(self, rows: DataFrame, k: int, keep: list[str], fold_col: str = "fold") -> DataFrame:
+    def transform(self, rows: DataFrame, k: int, keep: list[str], fold_col: str = "fold", fit_fold: int | None = None) -> DataFrame:
         """Lookups join the unexpanded rows (one row per category and k values
-        per row), then rows are expanded by fit fold and projected once."""
-        return self.project(expand_fits(self.join_lookups(rows), k, fold_col), keep)
+        per row), then rows are projected: for every fit fold (k rows per row), or
+        for the given one, where the table keeps its size."""
+        joined = self.join_lookups(rows)
+        expanded = expand_fits(joined, k, fold_col) if fit_fold is None else one_fit(joined, fit_fold, fold_col)
+        return self.project(expanded, keep)
+
+
+def _role(fold_col: str):
+    return (F.when(F.col("split") == "test", "test")
+            .when(F.col(fold_col) == F.col(FIT_FOLD), "valid").otherwise("train"))
+
+
+def one_fit(df: DataFrame, fit_fold: int, fold_col: str = "fold") -> DataFrame:
+    """Each row once, with its role in the fit that leaves ``fit_fold`` out."""
+    return df.withColumn(FIT_FOLD, F.lit(fit_fold)).withColumn("role", _role(fold_col))
 
 
 def expand_fits(df: DataFrame, k: int, fold_col: str = "fold") -> DataFrame:
     """Each row once per fit fold 1..k (``explode(sequence(1, k))``, no join),
     with its role in that fit (train / valid / test)."""
-    role = (F.when(F.col("split") == "test", "test")
-            .when(F.col(fold_col) == F.col(FIT_FOLD), "valid").otherwise("train"))
     return (df.withColumn(FIT_FOLD, F.explode(F.sequence(F.lit(1), F.lit(k))))
-            .withColumn("role", role))
+            .withColumn("role", _role(fold_col)))
 
 
 def outside_fold(fold_col: str, k: int):

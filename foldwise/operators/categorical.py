@@ -4,8 +4,9 @@ Per-category statistics are computed once per (column, category, fold) and
 merged over the other folds (:func:`stats.complement_groups`). Each column's
 result becomes a lookup table ``category -> map(fit_fold -> value)`` that is
 joined to the *unexpanded* rows, so its size follows the number of categories,
-not rows. It is broadcast when the column's (HyperLogLog) cardinality is known
-to be small, otherwise joined by shuffle (AQE splits skewed categories).
+not rows. It is broadcast when its size, from the column's (HyperLogLog) cardinality
+and the bytes of an entry per fold, is at most BROADCAST_BYTES, otherwise joined by
+shuffle (AQE splits skewed categories).
 
 Sparse operators (one-hot, rare buckets) produce, per source column, the name
 of the hot output feature or NULL; :func:`sparse_long` turns them into the
@@ -22,7 +23,8 @@ from foldwise.functions.scalar import MISSING_TOKEN, category_text, per_fold
 from foldwise.operators import stats as st
 from foldwise.operators.base import FIT_FOLD, Fitted
 
-BROADCAST_MAX_CATEGORIES = 2_000_000
+#: Most bytes of one broadcast lookup, and what a category and one fold's entry of it take in memory.
+BROADCAST_BYTES, CATEGORY_BYTES, ENTRY_BYTES = 8 << 20, 96, 48
 
 
 def dtypes_of(df: DataFrame, cols: list[str]) -> dict:
@@ -66,9 +68,16 @@ class CategoryStats:
             partial["s"] = F.sum("y")
             combine["s"] = "sum"
         self.comp = st.complement_groups(lg, ["key", "v", "isnull"], k, partial, combine, "fold").persist()
+        self.cached = [self.comp]
+
+    def release(self) -> None:
+        """Free the cached statistics (plans that use them recompute them)."""
+        for df in self.cached:
+            df.unpersist()
 
     def broadcastable(self, c: str) -> bool:
-        return self.card.get(c, BROADCAST_MAX_CATEGORIES + 1) <= BROADCAST_MAX_CATEGORIES
+        """Whether a lookup of the column is small enough; an unknown cardinality is not."""
+        return c in self.card and self.card[c] * (CATEGORY_BYTES + self.k * ENTRY_BYTES) <= BROADCAST_BYTES
 
     def nunique(self, dropna: bool = True) -> dict:
         """{(col, f): distinct categories in the complement}."""
@@ -159,6 +168,7 @@ def fit_ordinal(cs: CategoryStats, op: str = "ordinal_encode_categoricals") -> F
         *[F.max(F.when(F.col("fit_fold") == f, F.lit(True)).otherwise(F.lit(False))).alias(p)
           for f, p in zip(range(1, k + 1), flags)])
     ranks = st.conditional_ranks(present, "key", "v", flags).persist()
+    cs.cached.append(ranks)
     mode_rows = {}
     wanted = [(c, f, v) for (c, f), v in modes.items()]
     if wanted:

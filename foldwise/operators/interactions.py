@@ -13,7 +13,7 @@ import itertools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.functions.scalar import BIN_PREFIX, CROSS_SEPARATOR, DEVIATION_EPSILON, MISSING_TOKEN, per_fold
+from foldwise.functions.scalar import BIN_PREFIX, CROSS_SEPARATOR, DEVIATION_EPSILON, MISSING_TOKEN, observed, per_fold
 from foldwise.operators import stats as st
 from foldwise.operators.base import FIT_FOLD, Fitted, outside_fold
 from foldwise.operators.categorical import CategoryStats, low_cardinality, text
@@ -60,7 +60,11 @@ class CrossPlan:
         self.names = [cross_name(a, b) for a, b in self.pairs]
         if self.pairs:
             crossed = with_crosses(cs.train, self.pairs, missing=cs.missing)
-            self.stats = CategoryStats(crossed, self.names, cs.k, cs.fold_col, None, cs.missing)
+            # a crossed value is a pair of categories, of which each side has at most max_cardinality
+            # non-null ones in some fold, so its number is bounded before anything is counted
+            per_side = 1 + cs.k * max_cardinality
+            self.stats = CategoryStats(crossed, self.names, cs.k, cs.fold_col, None, cs.missing,
+                                       card={name: per_side * per_side for name in self.names})
         else:
             self.stats = None
 
@@ -146,7 +150,7 @@ def fit_group_deviation(ns: NumericStats, cs: CategoryStats, max_cardinality: in
     shifts = {c: ns.moments[(c, 1)][0] for c in nums}
     cols, lookups = {}, []
     for c in cats:
-        g = cs.train.select(F.col(cs.fold_col), text(cs.train, c, cs.missing).alias("v"), *nums)
+        g = cs.train.select(F.col(cs.fold_col), text(cs.train, c, cs.missing).alias("v"), *[observed(x).alias(x) for x in nums])
         partial, combine = {"rows": F.count(F.lit(1))}, {"rows": "sum"}
         for x in nums:
             d = F.col(x) - F.lit(shifts[x])

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.functions.scalar import RATIO_EPSILON, per_fold, safe_div, signed_log
+from foldwise.functions.scalar import RATIO_EPSILON, observed, per_fold, safe_div, signed_log
 from foldwise.operators import stats as st
 from foldwise.operators.base import FIT_FOLD, Fitted
 
@@ -78,7 +78,7 @@ class NumericStats:
         return self._quantiles[key]
 
     def imputed(self, c: str):
-        return F.coalesce(F.col(c).cast("double"), per_fold(FIT_FOLD, self.median_of(c)))
+        return F.coalesce(observed(c), per_fold(FIT_FOLD, self.median_of(c)))
 
     def release(self):
         if self._long is not None:
@@ -90,8 +90,8 @@ def _scale(v: float) -> float:
 
 
 def fit_native_numeric(cols: list[str]) -> Fitted:
-    """pass-through, nulls kept."""
-    return Fitted({c: F.col(c).cast("double") for c in cols})
+    """pass-through, nulls kept (NaN is a null)."""
+    return Fitted({c: observed(c) for c in cols})
 
 
 def fit_standardize(ns: NumericStats, op: str = "standardize_numeric") -> Fitted:

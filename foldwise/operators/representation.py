@@ -9,11 +9,9 @@ training block of each fold.
 
 from __future__ import annotations
 
-import hashlib
-import json
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +20,7 @@ from foldwise.operators import interactions as ix
 from foldwise.operators import numeric as num
 from foldwise.operators import prune as pr
 from foldwise.operators.base import FIT_FOLD, Fitted, merge
+from foldwise.plans.blend import short_hash
 
 # operator id -> (output kind, allowed parameters)
 OPERATORS = {
@@ -97,11 +96,9 @@ class Representation:
 
     @property
     def id(self) -> str:
-        """'repr-' + first 8 hex of SHA-256 of the canonical spec (order kept)."""
-        canon = json.dumps({"operators": [{"id": o, **p} for o, p in self.ops],
-                            "pruners": [{"id": o, **p} for o, p in self.prs]}, sort_keys=True,
-                           separators=(",", ":"))
-        return "repr-" + hashlib.sha256(canon.encode()).hexdigest()[:8]
+        """'repr-' and the short hash of the components in order, each with its id and params."""
+        parts = {kind: [{"id": o, "params": p} for o, p in specs] for kind, specs in (("operators", self.ops), ("pruners", self.prs))}
+        return "repr-" + short_hash(parts)
 
     def matrix_kind(self) -> str:
         """native if any native operator (mixing with sparse is an error),
@@ -117,18 +114,27 @@ class Representation:
         """fit every generator for all folds, then the pruners."""
         fits = list(range(1, k + 1))
         ns = num.NumericStats(train, numeric, fits, fold_col) if numeric else None
-        cs = cat.CategoryStats(train, categorical, k, fold_col, card=card) if categorical else None
-        parts, sparse, prepare = [], [], []
+        by_token: dict = {}  # statistics are shared by the operators that use the same missing token
+
+        def stats(missing):
+            if missing not in by_token:
+                by_token[missing] = cat.CategoryStats(train, categorical, k, fold_col, missing=missing, card=card) if categorical else None
+            return by_token[missing]
+        parts, sparse, prepare, owned = [], [], [], []
         for op, p in self.ops:
             kind = OPERATORS[op][0]
-            f = self._one(op, p, train, ns, cs, numeric, categorical, k, fold_col, label, raw_features, card, prepare)
+            cs = stats(p.get("missing_value", cat.MISSING_TOKEN)) if "categor" in op or op == "groupwise_deviation_features" else None
+            f = self._one(op, p, train, ns, cs, numeric, categorical, k, fold_col, label, raw_features, card, prepare, owned)
             parts.append(f)
             if kind == "sparse":
                 sparse += f.names()
         fitted = merge(*parts)
-        return FittedRepresentation(self, fitted, sparse, k, fold_col, prepare)
+        native = [c for op, _ in self.ops if op == "native_categorical" for c in categorical]
+        numbers = [c for op, _ in self.ops if op == "native_numeric" for c in numeric]
+        return FittedRepresentation(self, fitted, sparse, k, fold_col, prepare, native=native, native_numeric=numbers,
+                                    shared=[x for x in [ns, *by_token.values(), *owned] if x is not None])
 
-    def _one(self, op, p, train, ns, cs, numeric, categorical, k, fold_col, label, raw, card, prepare) -> Fitted:
+    def _one(self, op, p, train, ns, cs, numeric, categorical, k, fold_col, label, raw, card, prepare, owned) -> Fitted:
         missing = p.get("missing_value", cat.MISSING_TOKEN)
         if op == "native_numeric":
             return num.fit_native_numeric(numeric)
@@ -152,6 +158,7 @@ class Representation:
             if label is None:
                 raise ValueError("target_encode_categoricals is supervised: a label is required")
             ts = cat.CategoryStats(train, categorical, k, fold_col, label, missing, card)
+            owned.append(ts)
             return cat.fit_target(ts, p.get("smoothing", 1.0))
         if op == "rare_category_bucket":
             return cat.fit_rare_bucket(cs, p.get("min_frequency", 0.01))
@@ -161,6 +168,8 @@ class Representation:
             return num.fit_pairs(ns, op)
         if op in ("cross_low_cardinality_categoricals", "frequency_encode_categorical_crosses"):
             plan = ix.CrossPlan(cs, p.get("max_cardinality", 10))
+            if plan.stats is not None:
+                owned.append(plan.stats)
             prepare.append(plan.prepare)
             return ix.fit_cross_categoricals(plan) if op.startswith("cross") else ix.fit_frequency_crosses(plan)
         if op == "cross_categorical_with_binned_numeric":
@@ -184,15 +193,24 @@ class FittedRepresentation:
     fold_col: str
     prepare: list
     dropped: dict = field(default_factory=dict)
+    native: list = field(default_factory=list)
+    native_numeric: list = field(default_factory=list)
+    shared: list = field(default_factory=list)
 
     @property
     def dense(self) -> list[str]:
-        return [n for n in self.fitted.names() if n not in self.sparse]
+        return [n for n in self.fitted.names() if n not in self.sparse and n not in self.native]
+
+    def release(self) -> None:
+        """Free the cached statistics; the fitted expressions and lookups stay usable."""
+        for s in self.shared:
+            s.release()
 
-    def transform(self, rows: DataFrame, keep: list[str]) -> DataFrame:
+    def transform(self, rows: DataFrame, keep: list[str], fit_fold: int | None = None) -> DataFrame:
+        """The features of every fit fold, or of one."""
         for p in self.prepare:
             rows = p(rows)
-        out = self.fitted.transform(rows, self.k, keep, self.fold_col)
+        out = self.fitted.transform(rows, self.k, keep, self.fold_col, fit_fold)
         if self.dropped:
             for n in self.dense:
                 folds = [f for f, names in self.dropped.items() if n in names]
@@ -211,36 +229,35 @@ class FittedRepresentation:
                 self.dropped.setdefault(f, set()).update(d)
         return self
 
-    def vocabulary(self, transformed: DataFrame, limit: int = 5000) -> list[str]:
-        """Sparse feature names seen on training rows (driver-side; bounded by ``limit``)."""
+    def vocabulary(self, transformed: DataFrame) -> list[str]:
+        """Sparse feature names seen on training rows: one entry per model coefficient."""
         if not self.sparse:
             return []
-        arr = F.filter(F.array(*[F.col(c) for c in self.sparse]), lambda x: x.isNotNull())
-        v = (transformed.where(F.col("role") == "train").select(F.explode(arr).alias("f")).distinct()
-             .orderBy("f").limit(limit + 1).collect())
-        if len(v) > limit:
-            raise ValueError(f"sparse vocabulary exceeds {limit} features; use an encoding instead")
-        return [r["f"] for r in v]
+        names = (transformed.where(F.col("role") == "train").select(F.explode(F.array(*self.sparse)).alias("f"))
+                 .where(F.col("f").isNotNull()).distinct())
+        return sorted(r["f"] for r in names.toLocalIterator())
 
     def materialize(self, transformed: DataFrame, vocabulary: list[str], out: str = "features") -> DataFrame:
-        """dense columns first, then one indicator per sparse feature;
-        VectorAssembler stores each row sparse or dense, whichever is smaller."""
-        inds = []
-        for i, name in enumerate(vocabulary):
-            hit = None
-            for c in self.sparse:
-                e = F.col(c) == F.lit(name)
-                hit = e if hit is None else hit | e
-            inds.append(F.coalesce(hit, F.lit(False)).cast("double").alias(f"_s{i}"))
-        # pruned (per fold) or ineligible dense outputs are NULL in that fold: they enter
-        # the vector as 0; native numeric columns keep their nulls (NaN in the vector)
-        native = set(num.fit_native_numeric([]).columns)
-        for op, _ in self.spec.ops:
-            if op == "native_numeric":
-                native = {c for c in self.dense if not c.startswith("_")}
-        dense = [F.col(c) if c in native else F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
-                 for c in self.dense]
+        """dense columns first, then one indicator per sparse feature, or one nominal position
+        per native categorical column.
+
+        The hot names of a row go through a fixed vocabulary into one sparse vector, so
+        the plan does not grow with the number of sparse features. Native categoricals
+        are indexed on the training rows (other values get an index of their own) and
+        keep their nominal metadata, which trees split by category. Pruned or ineligible
+        dense outputs enter as 0; native numerics keep their nulls (NaN)."""
+        dense = [F.col(c) if c in self.native_numeric else F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in self.dense]
         keep = [c for c in transformed.columns if c not in self.dense]
-        wide = transformed.select(*keep, *dense, *inds)
-        cols = self.dense + [f"_s{i}" for i in range(len(vocabulary))]
+        wide, cols = transformed.select(*keep, *dense), list(self.dense)
+        if vocabulary:
+            hot = F.array_compact(F.array(*self.sparse))
+            indicators = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_hot", outputCol="_sparse", binary=True)
+            wide = indicators.transform(wide.withColumn("_hot", hot)).drop("_hot")
+            cols.append("_sparse")
+        if self.native:
+            indexed = [f"_n_{c}" for c in self.native]
+            indexer = StringIndexer(inputCols=self.native, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc")
+            wide = indexer.fit(wide.where(F.col("role") == "train")).transform(wide)
+            cols += indexed
         return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(wide)
+

@@ -10,7 +10,9 @@ for each f. Instead of k scans:
   :func:`select_ranks`, an exact distributed selection: each pass is one
   aggregate of a bucket histogram over the rows still in play, grouped by
   (bracket, fold, bucket), so the complement for every fit fold falls out of
-  the same small table. No task ever holds a whole column or group, and the
+  the same small table. A bracket that spans several powers of two is cut by
+  sign and exponent, one inside a power of two linearly by BUCKETS: at most
+  PASSES passes resolve all 64 bits, whatever the distribution. No task ever holds a whole column or group, and the
   driver only sees a handful of rows per target and pass.
 
 Keys are strings (normally the column name); folds are 1..k; ``fit_fold = 0``
@@ -24,13 +26,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foldwise.functions.scalar import observed
+
 BUCKETS = 1024
-MAX_PASSES = 400
+#: One pass by sign and exponent, then the 52 bits of the fraction at log2(BUCKETS) = 10 a pass, and one to spare.
+PASSES = 8
 
 
 def long_numeric(df: DataFrame, cols: list[str], fold_col: str = "fold") -> DataFrame:
-    """(key, fold, x) for every non-null value of ``cols`` (one scan, stack)."""
-    arr = F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("x")) for c in cols])
+    """(key, fold, x) for every value of ``cols`` that is neither NULL nor NaN (one scan, stack)."""
+    arr = F.array(*[F.struct(F.lit(c).alias("key"), observed(c).alias("x")) for c in cols])
     return (df.select(F.col(fold_col).cast("int").alias("fold"), F.inline(arr))
             .where(F.col("x").isNotNull()))
 
@@ -85,7 +90,7 @@ def select_ranks(long_df: DataFrame, targets, summary: dict | None = None,
                               T.StructField("lo", T.DoubleType()), T.StructField("hi", T.DoubleType())])
     t_schema = T.StructType([T.StructField("tid", T.IntegerType()), T.StructField("bid", T.IntegerType()),
                              T.StructField("fit_fold", T.IntegerType()), T.StructField("rel", T.LongType())])
-    for _ in range(MAX_PASSES):
+    for _ in range(PASSES):
         active = [t for t in state if t not in result]
         if not active:
             break
@@ -100,8 +105,9 @@ def select_ranks(long_df: DataFrame, targets, summary: dict | None = None,
         # Both tables hold at most one row per target: broadcast is bounded.
         x, lo, hi = F.col("x"), F.col("lo"), F.col("hi")
         span = hi * 0.5 - lo * 0.5
-        bucket = F.when(span > 0, F.least(F.floor((x * 0.5 - lo * 0.5) / span * buckets),
+        linear = F.when(span > 0, F.least(F.floor((x * 0.5 - lo * 0.5) / span * buckets),
                                           F.lit(buckets - 1))).otherwise(F.lit(0))
+        bucket = F.when(_binade(lo) == _binade(hi), linear).otherwise(_binade(x))
         hist = (long_df.join(F.broadcast(br), (F.col("key") == F.col("bkey")) & x.between(lo, hi))
                 .groupBy("bid", "fold", bucket.alias("bucket"))
                 .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx")))
@@ -131,6 +137,12 @@ def select_ranks(long_df: DataFrame, targets, summary: dict | None = None,
     return result
 
 
+def _binade(x):
+    """Sign and exponent of a double as one ascending number; infinities beyond all, zero between."""
+    size = F.least(F.greatest(F.floor(F.log2(F.abs(x))), F.lit(-1075)), F.lit(1025)) + 1100
+    return F.when(x == 0, F.lit(0)).otherwise(F.signum(x).cast("long") * size)
+
+
 def linear_positions(n: int, p: float):
     """NumPy 'linear' quantile: (lower rank, upper rank, fraction)."""
     h = (n - 1) * p
@@ -235,7 +247,7 @@ def _count_around(long_df: DataFrame, points: dict) -> dict:
 
 def null_counts(df: DataFrame, cols: list[str], fold_col: str = "fold") -> dict:
     """{(col, fold): (rows, nulls)} -- one grouped aggregate."""
-    aggs = [F.count(F.lit(1)).alias("__rows")] + [F.count_if(F.col(c).isNull()).alias(c) for c in cols]
+    aggs = [F.count(F.lit(1)).alias("__rows")] + [F.count_if(observed(c).isNull()).alias(c) for c in cols]
     rows = df.groupBy(F.col(fold_col).cast("int").alias("fold")).agg(*aggs).collect()
     out = {}
     for r in rows:
@@ -287,7 +299,7 @@ def imputed_moments(df: DataFrame, cols: list[str], medians: dict, fit_folds: li
     aggs = []
     for c in cols:
         s = float(shifts.get(c, 0.0))
-        d = F.col(c).cast("double") - F.lit(s)
+        d = observed(c) - F.lit(s)
         aggs += [F.sum(d).alias(f"{c}__s1"), F.sum(d * d).alias(f"{c}__s2")]
     rows = df.groupBy(F.col(fold_col).cast("int").alias("fold")).agg(*aggs).collect()
     out = {}
@@ -311,20 +323,6 @@ def fit_folds_of(k: int) -> list[int]:
     return list(range(1, k + 1))
 
 
-def group_fold_sums(df: DataFrame, group_cols: list[str], value_cols: list[str], k: int,
-                    fold_col: str = "fold") -> DataFrame:
-    """Per group: count and sums of ``value_cols`` per fold as arrays of length k
-    plus totals -- one aggregate (map-side combined), one row per group."""
-    aggs = [F.count(F.lit(1)).alias("n_tot")]
-    aggs += [F.array(*[F.count_if(F.col(fold_col) == f) for f in range(1, k + 1)]).alias("n_fold")]
-    for v in value_cols:
-        aggs.append(F.sum(v).alias(f"{v}_tot"))
-        aggs.append(F.array(*[F.sum(F.when(F.col(fold_col) == f, F.col(v))) for f in range(1, k + 1)])
-                    .alias(f"{v}_fold"))
-    return df.groupBy(*group_cols).agg(*aggs)
-
-
-
 def fits_table(spark, k: int) -> DataFrame:
     """k rows (fit_fold 1..k); broadcast everywhere, its size is the fold count."""
     return spark.range(1, k + 1).select(F.col("id").cast("int").alias("fit_fold"))
@@ -349,12 +347,6 @@ def complement_groups(df: DataFrame, group_cols: list[str], k: int, partial: dic
             .agg(*[fns[combine[n]](n).alias(n) for n in partial]))
 
 
-def per_fold_map(comp: DataFrame, group_cols: list[str], value_cols: list[str], name: str = "m") -> DataFrame:
-    """(group..., map fit_fold -> struct(values)); at most k entries per group."""
-    entry = F.struct(F.col("fit_fold"), F.struct(*value_cols))
-    return comp.groupBy(*group_cols).agg(F.map_from_entries(F.collect_list(entry)).alias(name))
-
-
 def fold_totals(df: DataFrame, k: int, fold_col: str = "fold", y_col: str | None = None) -> dict:
     """{fit_fold: (rows, sum_y)} over the complement, from one k-row aggregate."""
     aggs = [F.count(F.lit(1)).alias("n")]

@@ -1,17 +1,19 @@
 """Cross-validated evaluation.
 
-The representation is fitted for every fold at once (fold-complement
-statistics), so the feature table is one projection over rows expanded by fit
-fold. Each fold's model is one Spark fit on that fold's training rows; folds
-run concurrently from a small driver thread pool (they are independent Spark
-jobs). Out-of-fold rows are predicted once; test rows once per fold and
-averaged.
+The representation is fitted for every fold at once (fold-complement statistics).
+A fold's model is fitted on one projection of the unexpanded rows with that fold's
+values, so a fold reads the table once and nothing is copied k times or cached.
+Folds run concurrently from a small driver thread pool (they are independent Spark
+jobs). Out-of-fold rows are predicted once; test rows once per fold and averaged.
 """
 
 from __future__ import annotations
 
 import math
+import time
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -27,31 +29,34 @@ def assemble(feat: DataFrame, names: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep").transform(feat)
 
 
-def cross_validate(feat: DataFrame, names: list[str], label: str, family: ModelFamily, k: int,
+def fold_rows(feat: DataFrame | Callable[[int], DataFrame], f: int) -> DataFrame:
+    """The features of fit fold f: from a function of the fold, or from a table of all folds."""
+    return feat(f) if callable(feat) else feat.where(F.col(FIT_FOLD) == f)
+
+
+def cross_validate(feat: DataFrame | Callable[[int], DataFrame], names: list[str] | None, label: str, family: ModelFamily, k: int,
                    params: dict | None = None, score_only: bool = False, parallel: int | None = None) -> DataFrame:
     """V5/V6/V8/V9: per-fold fit and predict.
 
-    ``feat``: (id, fit_fold, role, label, features...) from a fitted
-    representation. Returns (id, fit_fold, role, y_true, y_pred) for valid rows
+    ``feat``: (id, fit_fold, role, label, features...) of a fitted representation,
+    best as a function of the fit fold; with ``names`` None it has the vector column
+    ``features`` already. Returns (id, fit_fold, role, y_true, y_pred) for valid rows
     (and test rows unless ``score_only``). Binary families yield P(positive).
     """
-    data = assemble(feat.withColumn("label", F.col(label).cast("double")), names).select(
-        "id", FIT_FOLD, "role", "label", "features").persist()
-    params = params or {}
+    params = family.resolve_params(params)
+    roles = ["valid"] if score_only else ["valid", "test"]
 
     def one(f: int) -> DataFrame:
-        tr = data.where((F.col(FIT_FOLD) == f) & (F.col("role") == "train"))
-        model = family.build(tr, params).fit(tr)
-        roles = ["valid"] if score_only else ["valid", "test"]
-        scored = model.transform(data.where((F.col(FIT_FOLD) == f) & F.col("role").isin(*roles)))
-        if family.task == "binary":
-            if "probability" in scored.columns:
-                pred = vector_to_array("probability").getItem(1)
-            else:  # margin-only families: logistic link on the raw margin
-                pred = F.lit(1.0) / (F.lit(1.0) + F.exp(-vector_to_array("rawPrediction").getItem(1)))
+        data = fold_rows(feat, f).withColumn("label", F.col(label).cast("double"))
+        data = (assemble(data, names) if names is not None else data).select("id", "role", "label", "features")
+        tr, rows = data.where(F.col("role") == "train"), data.where(F.col("role").isin(*roles))
+        if family.scores is not None:
+            scored = family.scores(tr, rows, params)
         else:
-            pred = F.col("prediction")
-        return scored.select("id", FIT_FOLD, "role", F.col("label").alias("y_true"), pred.alias("y_pred"))
+            scored = family.build(tr, params).fit(tr).transform(rows)
+            binary = family.task == "binary"
+            scored = scored.withColumn("y_pred", vector_to_array("probability").getItem(1) if binary else F.col("prediction"))
+        return scored.select("id", F.lit(f).alias(FIT_FOLD), "role", F.col("label").alias("y_true"), "y_pred")
 
     with ThreadPoolExecutor(max_workers=parallel or k) as pool:
         parts = list(pool.map(one, range(1, k + 1)))
@@ -61,6 +66,42 @@ def cross_validate(feat: DataFrame, names: list[str], label: str, family: ModelF
     return out
 
 
+@dataclass(frozen=True)
+class Candidate:
+    """One configured candidate of a batch: a family with its parameters over a feature table."""
+
+    candidate_id: str
+    family: ModelFamily
+    params: dict
+    matrix_kind: str = "dense"
+
+
+def run_batch(candidates: list[Candidate], feat, names: list[str], label: str, k: int, metric: str, done: frozenset = frozenset(),
+              screening: bool = False) -> tuple[DataFrame | None, list[tuple]]:
+    """Candidates in order. Returns (OOF of those that ran, long by candidate_id, or None) and a
+    row (candidate_id, status, message, seconds) for each: a finished one is skipped, an incompatible
+    or failing one is recorded and the next runs. ``screening`` scores on the first two folds' models only."""
+    from foldwise.plans import metrics as mt
+    from foldwise.plans.models import check_compatibility
+    out, said = None, []
+    for c in candidates:
+        began = time.time()
+        if c.candidate_id in done:
+            said.append((c.candidate_id, "skipped", "exists already", 0.0))
+            continue
+        try:
+            check_compatibility(c.family, c.matrix_kind)
+            part = oof(cross_validate(feat, names, label, c.family, min(k, 2) if screening else k, c.params, score_only=True))
+            part = part.withColumn("candidate_id", F.lit(c.candidate_id))
+            mean = mt.cv_summary(mt.fold_metrics(part, metric)).first()["cv_mean"]
+        except Exception as e:  # noqa: BLE001 - one candidate's failure is recorded, the batch goes on
+            said.append((c.candidate_id, "failed", f"{type(e).__name__}: {e}"[:300], time.time() - began))
+            continue
+        said.append((c.candidate_id, "trained", f"{metric}={mean!r}", time.time() - began))
+        out = part if out is None else out.unionByName(part)
+    return out, said
+
+
 def oof(preds: DataFrame) -> DataFrame:
     """V6: each training row predicted by the model that did not see it."""
     return preds.where(F.col("role") == "valid").select("id", F.col(FIT_FOLD).alias("fold"), "y_true", "y_pred")
@@ -77,6 +118,15 @@ def test_predictions(preds: DataFrame, metric: str | None = None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- Gaussian naive Bayes
+def gaussian_nb_scores(train: DataFrame, rows: DataFrame, var_smoothing: float = 1e-9) -> DataFrame:
+    """M10 on a vector column ``features``: P(class 1) of rows, from the class statistics of train."""
+    d = len(train.select("features").first()["features"])
+    names = [f"x{i}" for i in range(d)]
+    wide = [df.select("id", "role", "label", *[vector_to_array("features").getItem(i).alias(n) for i, n in enumerate(names)], F.lit(0).alias(FIT_FOLD)) for df in (train, rows)]
+    both = wide[0].unionByName(wide[1])
+    return gaussian_nb(both, names, "label", var_smoothing).select("id", "role", F.col("y_true").alias("label"), "y_pred")
+
+
 def gaussian_nb(feat: DataFrame, names: list[str], label: str, var_smoothing: float = 1e-9) -> DataFrame:
     """Closed-form Gaussian NB per fit fold, fully in DataFrame expressions.
 

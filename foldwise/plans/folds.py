@@ -38,27 +38,16 @@ def _kfold_from_rank(rank: Column, n: Column, k: int) -> Column:
             .otherwise(rem + F.floor((rank - big) / q)) + 1).cast("int")
 
 
-ROWS_PER_BUCKET = 50_000
-
-
-def bucket_prefix_len(n_rows: int) -> int:
-    """Hex digits of the hash prefix so a bucket holds about ROWS_PER_BUCKET rows
-    (1 digit = 16 buckets ... 8 digits = 4.3e9 buckets)."""
-    need = max(1.0, n_rows / ROWS_PER_BUCKET)
-    digits = 1
-    while 16 ** digits < need and digits < 8:
-        digits += 1
-    return digits
+#: Hex digits of the hash prefix: 4096 buckets whatever the number of rows, so that the offsets table
+#: and its window are bounded. Buckets grow with the data and are sorted with spilling.
+PREFIX_LEN = 3
 
 
 def ranked(df: DataFrame, id_col: str, *, seed: int | None = 42, by: list[str] | None = None,
-           prefix_len: int | None = None, range_partitions: int | None = None) -> DataFrame:
+           prefix_len: int = PREFIX_LEN, range_partitions: int | None = None) -> DataFrame:
     """Adds ``_rank`` (0-based position in hashed or id order within ``by``) and
-    ``_n`` (rows within ``by``). ``prefix_len`` defaults to a size-based choice
-    (one count job)."""
+    ``_n`` (rows within ``by``)."""
     by = list(by or [])
-    if seed is not None and prefix_len is None:
-        prefix_len = bucket_prefix_len(df.count())
     if seed is not None:
         h = hash_key(id_col, seed)
         base = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, prefix_len))
@@ -87,7 +76,7 @@ def ranked(df: DataFrame, id_col: str, *, seed: int | None = 42, by: list[str] |
 
 
 def kfold(df: DataFrame, id_col: str, k: int = 5, *, shuffle: bool = True, seed: int = 42,
-          fold_col: str = "fold", prefix_len: int | None = None) -> DataFrame:
+          fold_col: str = "fold", prefix_len: int = PREFIX_LEN) -> DataFrame:
     """KFold (V1/V2): adds ``fold`` in 1..k."""
     r = ranked(df, id_col, seed=seed if shuffle else None, prefix_len=prefix_len)
     return r.withColumn(fold_col, _kfold_from_rank(F.col("_rank"), F.col("_n"), k)).drop("_rank", "_n")
@@ -101,7 +90,7 @@ def _count_congruent(start: Column, length: Column, j: int, k: int) -> Column:
 
 
 def stratified_kfold(df: DataFrame, id_col: str, label_col: str, k: int = 5, *, seed: int = 42,
-                     fold_col: str = "fold", prefix_len: int | None = None) -> DataFrame:
+                     fold_col: str = "fold", prefix_len: int = PREFIX_LEN) -> DataFrame:
     """StratifiedKFold (V3): adds ``fold`` in 1..k.
 
     Classes are ordered by label value; class ``c`` occupies positions

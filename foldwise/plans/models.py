@@ -1,8 +1,10 @@
-"""Model families (M1-M15) as pyspark.ml estimator factories.
+"""Model families.
 
-Each factory receives the fit's training rows (so parameter mappings that
-depend on the data -- row count, label spread -- are computed per fold) and
-returns an unfitted estimator reading ``features`` / ``label``.
+Most families are ``pyspark.ml`` estimators: a factory receives the fit's training
+rows (so parameter mappings that depend on the data -- row count, label spread --
+are computed per fold) and returns an unfitted estimator reading ``features`` /
+``label``. naive_bayes and knn are DataFrame plans (``scores``): they receive the
+training rows and the rows to score and return the scores.
 
 Parameter mappings to match the usual single-machine definitions:
 
@@ -11,20 +13,27 @@ Parameter mappings to match the usual single-machine definitions:
   ``regParam = alpha / n * std_pop(y)``.
 * elastic net: alpha, l1_ratio -> ``regParam = alpha * l1 + alpha * (1 - l1) * std_pop(y)``,
   ``elasticNetParam = alpha * l1 / regParam``.
-* logistic regression: C -> ``regParam = 1 / (C * n)`` (n = weight sum when
-  classes are balanced by weights).
+* logistic regression: C -> ``regParam = 1 / (C * n)``, n the sum of weights;
+  ``class_weight="balanced"`` weighs a row of class c by n / (2 n_c).
+
+The boosting ids all stand for the one gradient-boosted-tree family that Spark has;
+parameters it lacks are rejected, as are unknown ones of any family.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
-from typing import Callable
 
 from pyspark.ml import classification as mlc
 from pyspark.ml import regression as mlr
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+WEIGHT = "_weight"
+
 
 @dataclass(frozen=True)
 class ModelFamily:
@@ -32,12 +41,21 @@ class ModelFamily:
 
     name: str
     task: str                      # regression | binary
-    build: Callable[[DataFrame, dict], object]
+    build: Callable[[DataFrame, dict], object] | None = None
+    scores: Callable[[DataFrame, DataFrame, dict], DataFrame] | None = None
+    params: frozenset = frozenset()
     tunable: bool = True
     accepts_sparse: bool = True
     native_categorical: bool = False
     defaults: dict = field(default_factory=dict)
 
+    def resolve_params(self, overrides: dict | None) -> dict:
+        """Defaults with the overrides on top; a parameter that the family has not got is an error."""
+        unknown = set(overrides or {}) - self.params
+        if unknown:
+            raise ValueError(f"{self.name} ({self.task}) has no parameters {sorted(unknown)}; it has {sorted(self.params)}")
+        return {**self.defaults, **(overrides or {})}
+
 
 def _label_std_and_n(train: DataFrame, label: str = "label"):
     r = train.agg(F.stddev_pop(label).alias("s"), F.count(F.lit(1)).alias("n")).collect()[0]
@@ -58,15 +76,32 @@ def _elasticnet(train: DataFrame, p: dict):
     reg = alpha * l1 + alpha * (1 - l1) * (s if s > 0 else 1.0)
     return mlr.LinearRegression(featuresCol="features", labelCol="label", regParam=reg,
                                 elasticNetParam=(alpha * l1 / reg) if reg > 0 else 0.0,
-                                standardization=False, maxIter=int(p.get("max_iter", 1000)), tol=1e-8)
+                                standardization=False, maxIter=int(p.get("max_iter", 1000)), tol=float(p.get("tol", 1e-8)))
+
+
+class _Weighted:
+    """An estimator that is fitted with balanced class weights."""
+
+    def __init__(self, estimator, weights: dict):
+        self.estimator, self.weights = estimator, weights
+
+    def fit(self, train: DataFrame):
+        weight = F.when(F.col("label") == 1.0, self.weights[1.0]).otherwise(self.weights[0.0])
+        return self.estimator.fit(train.withColumn(WEIGHT, weight))
 
 
 def _logistic(train: DataFrame, p: dict):
-    c = float(p.get("C", 1.0))
-    n = train.count()
-    return mlc.LogisticRegression(featuresCol="features", labelCol="label", regParam=1.0 / (c * n),
-                                  elasticNetParam=float(p.get("l1_ratio", 0.0)), standardization=False,
-                                  maxIter=int(p.get("max_iter", 1000)), tol=1e-10)
+    weight = p.get("class_weight")
+    if weight not in (None, "balanced"):
+        raise ValueError("class_weight is None or 'balanced'")
+    counts = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = sum(counts.values())  # balanced weights sum to the number of rows as well
+    model = mlc.LogisticRegression(featuresCol="features", labelCol="label", regParam=1.0 / (float(p.get("C", 1.0)) * n),
+                                   elasticNetParam=float(p.get("l1_ratio", 0.0)), standardization=False,
+                                   maxIter=int(p.get("max_iter", 1000)), tol=float(p.get("tol", 1e-10)))
+    if weight is None:
+        return model
+    return _Weighted(model.setWeightCol(WEIGHT), {c: n / (2.0 * counts[c]) for c in (0.0, 1.0)})
 
 
 def _rf(task):
@@ -74,54 +109,121 @@ def _rf(task):
         cls = mlr.RandomForestRegressor if task == "regression" else mlc.RandomForestClassifier
         return cls(featuresCol="features", labelCol="label", numTrees=int(p.get("n_estimators", 100)),
                    maxDepth=int(p.get("max_depth", 8)), minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
+                   maxBins=_bins(train, p.get("max_bins", 32)),
                    featureSubsetStrategy=str(p.get("max_features", "auto")), seed=int(p.get("seed", 42)))
     return build
 
 
+def _bins(train: DataFrame, given) -> int:
+    """maxBins, at least the number of values of the widest nominal feature."""
+    attrs = (train.schema["features"].metadata or {}).get("ml_attr", {}).get("attrs", {})
+    widest = max((len(a.get("vals", [])) for a in attrs.get("nominal", [])), default=0)
+    return max(int(given), widest)
+
+
 def _gbt(task):
     def build(train, p):
         cls = mlr.GBTRegressor if task == "regression" else mlc.GBTClassifier
         return cls(featuresCol="features", labelCol="label", maxIter=int(p.get("n_estimators", 100)),
                    stepSize=float(p.get("learning_rate", 0.1)), maxDepth=int(p.get("max_depth", 5)),
-                   maxBins=int(p.get("max_bins", 64)), seed=int(p.get("seed", 42)))
+                   minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
+                   maxBins=_bins(train, p.get("max_bins", 64)), seed=int(p.get("seed", 42)))
     return build
 
 
+class _Calibrated:
+    """A margin classifier with a logistic link of one variable, fitted on its training margins."""
+
+    def __init__(self, estimator):
+        self.estimator = estimator
+
+    def fit(self, train: DataFrame):
+        margin = self.estimator.fit(train)
+        link = mlc.LogisticRegression(featuresCol="_margin", labelCol="label", probabilityCol="probability", rawPredictionCol="_link", predictionCol="_linked")
+        return _CalibratedModel(margin, link.fit(_CalibratedModel.margins(margin, train)))
+
+
+class _CalibratedModel:
+    def __init__(self, margin, link):
+        self.margin, self.link = margin, link
+
+    @staticmethod
+    def margins(model, rows: DataFrame) -> DataFrame:
+        scored = model.transform(rows).withColumn("_m", vector_to_array("rawPrediction").getItem(1))
+        return VectorAssembler(inputCols=["_m"], outputCol="_margin").transform(scored)
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return self.link.transform(self.margins(self.margin, rows))
+
+
 def _svc(train, p):
-    return mlc.LinearSVC(featuresCol="features", labelCol="label", regParam=float(p.get("reg_param", 0.01)),
-                         maxIter=int(p.get("max_iter", 200)))
+    return _Calibrated(mlc.LinearSVC(featuresCol="features", labelCol="label", regParam=float(p.get("reg_param", 0.01)),
+                                     maxIter=int(p.get("max_iter", 200))))
 
 
 def _mlp(train, p):
     n_features = len(train.select("features").first()["features"])
-    hidden = list(p.get("hidden", [32, 16]))
     return mlc.MultilayerPerceptronClassifier(featuresCol="features", labelCol="label",
-                                              layers=[n_features, *hidden, 2], maxIter=int(p.get("max_iter", 200)),
+                                              layers=[n_features, *p.get("hidden", [32, 16]), 2], maxIter=int(p.get("max_iter", 200)),
                                               seed=int(p.get("seed", 42)))
 
 
-REGISTRY: dict[str, ModelFamily] = {
-    "ridge": ModelFamily("ridge", "regression", _ridge, tunable=False),
-    "elasticnet": ModelFamily("elasticnet", "regression", _elasticnet, tunable=False),
-    "random_forest_regression": ModelFamily("random_forest", "regression", _rf("regression")),
-    "gradient_boosted_trees_regression": ModelFamily("gradient_boosted_trees", "regression", _gbt("regression"),
-                                                     native_categorical=True),
-    "logistic_regression": ModelFamily("logistic_regression", "binary", _logistic),
-    "random_forest_binary": ModelFamily("random_forest", "binary", _rf("binary")),
-    "gradient_boosted_trees_binary": ModelFamily("gradient_boosted_trees", "binary", _gbt("binary"),
-                                                 native_categorical=True),
-    "linear_svc": ModelFamily("svm", "binary", _svc),
-    "mlp": ModelFamily("realmlp", "binary", _mlp, accepts_sparse=False, native_categorical=True),
-}
+def _naive_bayes(train: DataFrame, rows: DataFrame, p: dict) -> DataFrame:
+    from foldwise.plans.evaluate import gaussian_nb_scores
+    return gaussian_nb_scores(train, rows, float(p.get("var_smoothing", 1e-9)))
+
+
+def _knn(train: DataFrame, rows: DataFrame, p: dict) -> DataFrame:
+    from foldwise.operators import knn as kn
+    if p.get("weights", "uniform") not in ("uniform", "distance"):
+        raise ValueError("weights is 'uniform' or 'distance'")
+    vectors = [df.select("id", "label", vector_to_array("features").alias("_v")) for df in (train, rows)]
+    near = kn.knn_join(vectors[0], "id", "_v", k=int(p.get("n_neighbors", 5)), queries=vectors[1], exclude_self=False)
+    found = kn.knn_predict(near, train, "id", "label", p.get("weights", "uniform"))
+    return rows.join(found.withColumnRenamed("query_id", "id"), "id").select("id", "role", "label", "y_pred")
+
+
+_FOREST = frozenset({"n_estimators", "max_depth", "min_samples_leaf", "max_features", "max_bins", "seed"})
+_BOOST = frozenset({"n_estimators", "learning_rate", "max_depth", "min_samples_leaf", "max_bins", "seed"})
+
+# The family ids of the surveyed project that one gradient-boosted-tree family stands for.
+BOOSTING_IDS = ("gradient_boosted_trees", "hist_gradient_boosting", "lightgbm", "xgboost", "catboost")
+#: (family, task) ids that Spark has no model for.
+NOT_BUILT = {("extra_trees", "regression"), ("extra_trees", "binary"), ("realmlp", "regression")}
+
+REGISTRY: dict[tuple[str, str], ModelFamily] = {}
+
+
+def register(family: ModelFamily) -> ModelFamily:
+    """Add a family under its name and task; a second one of both is an error."""
+    key = (family.name, family.task)
+    if key in REGISTRY:
+        raise ValueError(f"model family {key} is registered already")
+    REGISTRY[key] = family
+    return family
+
+
+register(ModelFamily("ridge", "regression", _ridge, params=frozenset({"alpha"}), tunable=False))
+register(ModelFamily("elasticnet", "regression", _elasticnet, params=frozenset({"alpha", "l1_ratio", "max_iter", "tol"}), tunable=False))
+register(ModelFamily("logistic_regression", "binary", _logistic, params=frozenset({"C", "l1_ratio", "class_weight", "max_iter", "tol"})))
+for _task in ("regression", "binary"):
+    register(ModelFamily("random_forest", _task, _rf(_task), params=_FOREST))
+    for _name in BOOSTING_IDS:
+        register(ModelFamily(_name, _task, _gbt(_task), params=_BOOST, accepts_sparse=_name != "hist_gradient_boosting",
+                             native_categorical=_name in ("gradient_boosted_trees", "catboost")))
+    register(ModelFamily("knn", _task, scores=_knn, params=frozenset({"n_neighbors", "weights"})))
+register(ModelFamily("naive_bayes", "binary", scores=_naive_bayes, params=frozenset({"var_smoothing"}), accepts_sparse=False))
+register(ModelFamily("svm", "binary", _svc, params=frozenset({"reg_param", "max_iter"})))
+register(ModelFamily("realmlp", "binary", _mlp, params=frozenset({"hidden", "max_iter", "seed"}), accepts_sparse=False, native_categorical=True))
 
 
 def resolve(name: str, task: str) -> ModelFamily:
     """Registry lookup by family name and task."""
-    for key in (name, f"{name}_{task}"):
-        fam = REGISTRY.get(key)
-        if fam is not None and fam.task == task:
-            return fam
-    raise ValueError(f"model family '{name}' is not available for task '{task}'")
+    family = REGISTRY.get((name, task))
+    if family is None:
+        why = "not built: Spark has no such model" if (name, task) in NOT_BUILT else "not available"
+        raise ValueError(f"model family '{name}' is {why} for task '{task}'")
+    return family
 
 
 def check_compatibility(family: ModelFamily, matrix_kind: str) -> None:
@@ -130,10 +232,3 @@ def check_compatibility(family: ModelFamily, matrix_kind: str) -> None:
         raise ValueError(f"{family.name} does not accept native categorical input")
     if matrix_kind == "sparse" and not family.accepts_sparse:
         raise ValueError(f"{family.name} does not accept sparse input")
-
-
-def merge_params(defaults: dict, overrides: dict | None) -> dict:
-    """Overrides win."""
-    out = dict(defaults)
-    out.update(overrides or {})
-    return out
