@@ -332,13 +332,17 @@ def oof_correlation(spark, sf_dir):
 
 @query("greedy_ensemble")
 def greedy_ensemble(spark, sf_dir):
-    """B5 + B6 (rows-only check; pytest compares with a brute-force selection)."""
+    """B5 + B6: correlated candidates dropped, then forward selection."""
     pred = fx.oof_long(spark, sf_dir)
     corr = bl.correlation_matrix(pred, REG_CANDS, ["row_idx"])
     kept, _ = bl.filter_correlated(corr, REG_CANDS, 0.999999)
-    w, score = bl.greedy_select(bl.gram(pred, kept, ["row_idx"]), kept, 50, "rmse")
-    return spark.createDataFrame([(c, float(v), float(score)) for c, v in w.items() if v > 0],
-                                 "candidate_id string, weight double, score double").orderBy(F.desc("weight"))
+    w, score = bl.select_ensemble(pred, kept, ["row_idx"], "rmse", 50)
+    return _weights_table(spark, {c: v for c, v in w.items() if v > 0}, score)
+
+
+def _weights_table(spark, weights, score):
+    rows = spark.createDataFrame([(c, float(v), float(score)) for c, v in weights.items()], "candidate_id string, weight double, score double")
+    return rows.select("candidate_id", rnd("weight", 9).alias("weight"), rnd("score", 6).alias("score"))
 
 
 # ---------------------------------------------------------------- contracts
@@ -698,7 +702,6 @@ def tune_trials(spark, sf_dir):
 
 @query("bagged_ensemble")
 def bagged_ensemble(spark, sf_dir):
-    """Poisson-bootstrap bags of greedy selection, averaged (rows only)."""
+    """Poisson-bootstrap bags of greedy selection, averaged."""
     w, score = bl.bagged_select(fx.oof_long(spark, sf_dir), REG_CANDS, ["row_idx"], n_bags=3, n_rounds=20)
-    return spark.createDataFrame([(c, float(v), float(score)) for c, v in w.items()],
-                                 "candidate_id string, weight double, score double")
+    return _weights_table(spark, w, score)

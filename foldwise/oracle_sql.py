@@ -1023,3 +1023,115 @@ SELECT submission_event_id, count(*) AS n_observations,
   arg_max(private_score, (observed_seq, kaggle_submitted_at, kaggle_file_name)) FILTER (WHERE private_score IS NOT NULL) AS latest_private_score,
   min(public_score) AS best_public_score, min(private_score) AS best_private_score
 FROM allobs WHERE submission_event_id IN (SELECT submission_event_id FROM appended) GROUP BY 1"""
+
+
+# ---------------------------------------------------------------- ensemble selection
+def _score(c: str, m: str = "m") -> str:
+    """Root mean squared error of the blend with counts c, from residual sums g and the row weight n."""
+    inner = f"list_sum(list_transform(range(1, {m} + 1), lambda j: {c}[i] * {c}[j] * g[i][j]))"
+    return f"sqrt(greatest(list_sum(list_transform(range(1, {m} + 1), lambda i: {inner})) / list_sum({c}) / list_sum({c}) / n, 0))"
+
+
+def _forward_ctes(rounds: int) -> str:
+    """fwd: forward selection per bag over grams(bag, n, g); ends with the first round that gains nothing, whose pick counts."""
+    return f""",
+sized AS (SELECT bag, n, g, len(g) AS m FROM grams),
+trials0 AS (SELECT bag, n, g, m, i, list_transform(range(1, m + 1), lambda k: CAST(k = i AS DOUBLE)) AS c FROM sized, unnest(range(1, m + 1)) AS u(i)),
+fwd AS (
+  SELECT 0 AS r, bag, n, g, m, arg_min(c, (s, i)) AS counts, min(s) AS score, false AS stop
+  FROM (SELECT *, {_score("c")} AS s FROM trials0) GROUP BY bag, n, g, m
+  UNION ALL
+  SELECT r + 1, bag, n, g, m, arg_min(c, (s, i)), min(s), NOT min(s) < score
+  FROM (SELECT *, {_score("c")} AS s FROM (
+    SELECT f.*, i, list_transform(range(1, m + 1), lambda k: counts[k] + CAST(k = i AS DOUBLE)) AS c FROM fwd f, unnest(range(1, m + 1)) AS u(i)
+    WHERE NOT stop AND r < {rounds})) GROUP BY r, bag, n, g, m, score),
+best AS (SELECT bag, arg_max(counts, r) AS counts, arg_max(score, r) AS score FROM fwd GROUP BY bag)"""
+
+
+def _recursive(sql: str) -> str:
+    return "WITH RECURSIVE " + sql[len("WITH "):]
+
+
+_RESIDUALS = """, res AS (SELECT row_idx, candidate_id, y_pred - y_true AS r, 1.0::DOUBLE AS w FROM oof)"""
+
+QUERIES["greedy_ensemble"] = _recursive(ctes(*oof_ctes())) + """
+, cm AS (SELECT a.candidate_id AS a, b.candidate_id AS b, corr(a.y_pred, b.y_pred) AS c
+  FROM oof a JOIN oof b ON a.row_idx = b.row_idx AND a.candidate_id <> b.candidate_id GROUP BY 1, 2),
+flt AS (
+  SELECT 0 AS n, ['cand_a', 'cand_b', 'cand_c', 'cand_d', 'cand_e'] AS ids
+  UNION ALL
+  SELECT n + 1, list_filter(ids, lambda x: x <> worst) FROM (
+    SELECT f.n, f.ids, max(s.mx) AS mx, arg_max(s.a, (floor(s.mean * 1e9 + 0.5), -ord)) AS worst
+    FROM flt f, LATERAL (SELECT a, max(c) AS mx, sum(abs(c)) / len(f.ids) AS mean, list_position(f.ids, a) AS ord
+      FROM cm WHERE list_contains(f.ids, a) AND list_contains(f.ids, b) GROUP BY a) s
+    GROUP BY f.n, f.ids) WHERE mx > 0.999999),
+kept AS (SELECT arg_max(ids, n) AS ids FROM flt),
+res AS (SELECT row_idx, candidate_id, y_pred - y_true AS r FROM oof WHERE list_contains((SELECT ids FROM kept), candidate_id)),
+pairs AS (SELECT a.candidate_id AS a, b.candidate_id AS b, sum(a.r * b.r) AS v, count(*) AS n FROM res a JOIN res b USING (row_idx) GROUP BY 1, 2),
+grams AS (SELECT 0 AS bag, max(n)::DOUBLE AS n, list(row_ ORDER BY a) AS g FROM (SELECT a, list(v ORDER BY b) AS row_, max(n) AS n FROM pairs GROUP BY a))""" + _forward_ctes(50) + f"""
+SELECT candidate_id, {R('w', 9)} AS weight, {R('score', 6)} AS score
+FROM (SELECT unnest(list_sort((SELECT ids FROM kept))) AS candidate_id, unnest(list_transform(counts, lambda x: x / list_sum(counts))) AS w, score FROM best) WHERE w > 0"""
+
+
+def _poisson_cdf() -> list[float]:
+    import math
+    out, cdf, p, k = [], 0.0, math.exp(-1.0), 0
+    while cdf < 1.0 - 1e-17 and k < 40:
+        cdf += p
+        out.append(cdf)
+        k += 1
+        p = p / k
+    return out
+
+
+QUERIES["bagged_ensemble"] = _recursive(ctes(*oof_ctes())) + f"""
+, bags AS (SELECT CAST(range AS INTEGER) AS bag FROM range(0, 3)),
+drawn AS (
+  SELECT row_idx, bag, list_reduce(list_transform(range(1, 14), lambda k: CAST(strpos('0123456789abcdef', substr(h, k, 1)) - 1 AS DOUBLE)), lambda x, y: x * 16 + y) / {float(16 ** 13)!r}::DOUBLE AS u
+  FROM (SELECT row_idx, bag, sha256('42:' || bag || ':' || row_idx) AS h FROM (SELECT DISTINCT row_idx FROM oof), bags)),
+weights AS (
+  SELECT row_idx, bag, len(list_filter({[c for c in _poisson_cdf()]!r}::DOUBLE[], lambda c: u >= c))::DOUBLE AS w FROM drawn
+  UNION ALL SELECT DISTINCT row_idx, 3, 1.0 FROM oof),
+res AS (SELECT row_idx, candidate_id, y_pred - y_true AS r FROM oof),
+pairs AS (SELECT w.bag, a.candidate_id AS a, b.candidate_id AS b, sum(w.w * a.r * b.r) AS v, sum(w.w) AS n
+  FROM weights w JOIN res a USING (row_idx) JOIN res b USING (row_idx) GROUP BY 1, 2, 3),
+allgrams AS (SELECT bag, max(n) AS n, list(row_ ORDER BY a) AS g FROM (SELECT bag, a, list(v ORDER BY b) AS row_, max(n) AS n FROM pairs GROUP BY bag, a) GROUP BY bag),
+grams AS (SELECT * FROM allgrams WHERE bag < 3)""" + _forward_ctes(20) + f""",
+mean AS (SELECT list_transform(range(1, 6), lambda k: list_avg(list_transform(cs, lambda c: c[k] / list_sum(c)))) AS c FROM (SELECT list(counts ORDER BY bag) AS cs FROM best)),
+total AS (SELECT c, g, n, 5 AS m FROM mean, allgrams WHERE bag = 3)
+SELECT unnest(['cand_a', 'cand_b', 'cand_c', 'cand_d', 'cand_e']) AS candidate_id, unnest(list_transform(c, lambda x: {R('x', 9)})) AS weight, {R(_score('c'), 6)} AS score FROM total"""
+
+
+# ---------------------------------------------------------------- ridge by elimination on the normal equations
+def _ridge(alpha: float, digits: int) -> str:
+    """Per fold: centred Gram matrix plus alpha on the diagonal, Gauss-Jordan steps as a recursion over lists, then the valid rows' predictions."""
+    mom = [f"""mom_{c} AS (
+  SELECT fits.fit_fold, avg(coalesce(s.{c}, med_{c}.q0)) AS mu, stddev_pop(coalesce(s.{c}, med_{c}.q0)) AS sd
+  FROM train s CROSS JOIN fits JOIN med_{c} ON med_{c}.fit_fold = fits.fit_fold WHERE s.fold <> fits.fit_fold GROUP BY fits.fit_fold)""" for c in NUMERIC]
+    gm = "(tot.sy / tot.n)"
+    x = [f"({imp(c)} - mom_{c}.mu) / (CASE WHEN mom_{c}.sd < {EPS10} THEN 1 ELSE mom_{c}.sd END)" for c in NUMERIC]
+    x += [f"coalesce(CAST(cnt_{c}.n AS DOUBLE) / tot.n, 0)" for c in CATEGORICAL]
+    x += [f"coalesce((cnt_{c}.sy + 1.0 * {gm}) / (cnt_{c}.n + 1.0), {gm})" for c in CATEGORICAL]
+    d = len(x)
+    joins = med_joins() + " " + " ".join(f"JOIN mom_{c} ON mom_{c}.fit_fold = e.fit_fold" for c in NUMERIC) + " JOIN tot ON tot.fit_fold = e.fit_fold " + " ".join(
+        f"LEFT JOIN cnt_{c} ON cnt_{c}.fit_fold = e.fit_fold AND cnt_{c}.v = {norm(c, 'e')}" for c in CATEGORICAL)
+    feat = f"feat AS (SELECT e.id, e.fit_fold, e.role, e.y_reg AS y, {', '.join(f'CAST({v} AS DOUBLE) AS x{i}' for i, v in enumerate(x))} FROM expanded e {joins} WHERE e.role <> 'test')"
+    means = "mu AS (SELECT fit_fold, count(*) AS n, avg(y) AS y, " + ", ".join(f"avg(x{i}) AS x{i}" for i in range(d)) + " FROM feat WHERE role = 'train' GROUP BY 1)"
+
+    def cross(i, j):
+        b = "(f.y - mu.y)" if j == d else f"(f.x{j} - mu.x{j})"
+        return f"sum((f.x{i} - mu.x{i}) * {b})" + (f" + {alpha}" if i == j else "")
+    rows = ", ".join("[" + ", ".join(cross(i, j) for j in range(d + 1)) + "]" for i in range(d))
+    solve = f"""gj AS (
+  SELECT f.fit_fold, 0 AS p, [{rows}] AS m FROM feat f JOIN mu ON mu.fit_fold = f.fit_fold WHERE f.role = 'train' GROUP BY f.fit_fold
+  UNION ALL
+  SELECT fit_fold, p + 1, list_transform(m, lambda row, i: CASE WHEN i = p + 1 THEN list_transform(row, lambda v: v / m[p + 1][p + 1])
+      ELSE list_transform(row, lambda v, k: v - row[p + 1] * m[p + 1][k] / m[p + 1][p + 1]) END) FROM gj WHERE p < {d}),
+w AS (SELECT fit_fold, list_transform(m, lambda row: row[{d + 1}]) AS w FROM gj WHERE p = {d})"""
+    pred = "mu.y + " + " + ".join(f"w.w[{i + 1}] * (f.x{i} - mu.x{i})" for i in range(d))
+    return _recursive(ctes(*median_ctes(), *mom, TOT, *[cnt_cte(c) for c in CATEGORICAL], feat, means, solve)) + f"""
+SELECT f.id, f.fit_fold AS fold, f.y AS y_true, {R(pred, digits)} AS y_pred
+FROM feat f JOIN mu ON mu.fit_fold = f.fit_fold JOIN w ON w.fit_fold = f.fit_fold WHERE f.role = 'valid'"""
+
+
+QUERIES["ridge_cv"] = _ridge(1.0, 4)

@@ -239,14 +239,15 @@ def _known(metric: str) -> None:
 
 def filter_correlated(corr: dict, candidates: list[str], threshold: float) -> tuple[list, list]:
     """While the largest signed pairwise correlation exceeds ``threshold``,
-    drop the candidate with the highest mean absolute correlation (diagonal as 0)."""
+    drop the candidate with the highest mean absolute correlation (diagonal as 0); means that
+    agree to nine digits are ties, which the first candidate takes."""
     ids = list(candidates)
     dropped = []
     while len(ids) > 1:
         pairs = [(corr[(a, b)] or 0.0) for a in ids for b in ids if a != b]
         if max(pairs) <= threshold:
             break
-        means = [sum(abs(corr[(a, b)] or 0.0) for b in ids if b != a) / len(ids) for a in ids]
+        means = [math.floor(sum(abs(corr[(a, b)] or 0.0) for b in ids if b != a) / len(ids) * 1e9 + 0.5) for a in ids]
         k = max(range(len(ids)), key=lambda i: (means[i], -i))
         dropped.append(ids.pop(k))
     return ids, dropped

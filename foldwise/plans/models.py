@@ -3,14 +3,13 @@
 Most families are ``pyspark.ml`` estimators: a factory receives the fit's training
 rows (so parameter mappings that depend on the data -- row count, label spread --
 are computed per fold) and returns an unfitted estimator reading ``features`` /
-``label``. naive_bayes and knn are DataFrame plans (``scores``): they receive the
+``label``. ridge, naive_bayes and knn are DataFrame plans (``scores``): they receive the
 training rows and the rows to score and return the scores.
 
 Parameter mappings to match the usual single-machine definitions:
 
-* ridge: minimise ||y - Xw||^2 + alpha ||w||^2. Spark's normal-equation solver
-  scales the penalty by the label's standard deviation, so
-  ``regParam = alpha / n * std_pop(y)``.
+* ridge: minimise ||y - Xw||^2 + alpha ||w||^2, solved directly; beyond DIRECT_FEATURES
+  by l-bfgs with ``regParam = alpha / n * std_samp(y)``.
 * elastic net: alpha, l1_ratio -> ``regParam = alpha * l1 + alpha * (1 - l1) * std_pop(y)``,
   ``elasticNetParam = alpha * l1 / regParam``.
 * logistic regression: C -> ``regParam = 1 / (C * n)``, n the sum of weights;
@@ -24,11 +23,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import classification as mlc
 from pyspark.ml import regression as mlr
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,12 +65,40 @@ def _label_std_and_n(train: DataFrame, label: str = "label"):
     return (r["s"] or 0.0), r["n"]
 
 
-def _ridge(train: DataFrame, p: dict):
+#: Widest design whose normal equations are solved directly: its cross products are 32 MB a task.
+DIRECT_FEATURES = 2000
+
+
+def _cross_products(batches, means):
+    """[x - mean, y - mean]' [x - mean, y - mean] of a partition, as bytes of one row."""
+    total = None
+    for batch in batches:
+        x = np.column_stack([np.stack(batch["_x"].to_numpy()), batch["label"].to_numpy()]) - means if len(batch) else None
+        if x is not None:
+            total = x.T @ x if total is None else total + x.T @ x
+    if total is not None:
+        yield pd.DataFrame({"g": [total.tobytes()]})
+
+
+def _ridge(train: DataFrame, rows: DataFrame, p: dict) -> DataFrame:
+    """M1 by the normal equations of the centred data: exact also where a feature is constant or
+    collinear, which the iterative solvers meet only to their tolerance. The cross products
+    of partitions are summed on the executors (tree reduce), so the driver gets one matrix."""
     alpha = float(p.get("alpha", 1.0))
-    s, n = _label_std_and_n(train)
-    return mlr.LinearRegression(featuresCol="features", labelCol="label", elasticNetParam=0.0,
-                                regParam=alpha / n * (s if s > 0 else 1.0), standardization=False,
-                                solver="normal", fitIntercept=True)
+    x = vector_to_array("features")
+    d = len(train.select("features").first()["features"])
+    if d > DIRECT_FEATURES:
+        r = train.agg(F.stddev_samp("label").alias("s"), F.count(F.lit(1)).alias("n")).first()
+        wide = mlr.LinearRegression(featuresCol="features", labelCol="label", elasticNetParam=0.0, regParam=alpha / r["n"] * (r["s"] or 1.0),
+                                    standardization=False, solver="l-bfgs", maxIter=1000, tol=1e-12)
+        return wide.fit(train).transform(rows).withColumnRenamed("prediction", "y_pred")
+    stats = train.select(Summarizer.mean(F.col("features")).alias("m"), F.avg("label").alias("y")).first()
+    means = np.append(stats["m"].toArray(), stats["y"])
+    parts = train.select(x.alias("_x"), "label").mapInPandas(partial(_cross_products, means=means), "g binary")
+    total = parts.rdd.map(lambda r: np.frombuffer(r["g"])).treeReduce(np.add).reshape(d + 1, d + 1)
+    w = np.linalg.solve(total[:d, :d] + alpha * np.eye(d), total[:d, d])
+    dot = F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in w]), lambda a, b: a * b), F.lit(float(means[d] - means[:d] @ w)), lambda s, v: s + v)
+    return rows.withColumn("y_pred", dot)
 
 
 def _elasticnet(train: DataFrame, p: dict):
@@ -203,7 +234,7 @@ def register(family: ModelFamily) -> ModelFamily:
     return family
 
 
-register(ModelFamily("ridge", "regression", _ridge, params=frozenset({"alpha"}), tunable=False))
+register(ModelFamily("ridge", "regression", scores=_ridge, params=frozenset({"alpha"}), tunable=False))
 register(ModelFamily("elasticnet", "regression", _elasticnet, params=frozenset({"alpha", "l1_ratio", "max_iter", "tol"}), tunable=False))
 register(ModelFamily("logistic_regression", "binary", _logistic, params=frozenset({"C", "l1_ratio", "class_weight", "max_iter", "tol"})))
 for _task in ("regression", "binary"):
