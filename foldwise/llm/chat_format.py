@@ -139,34 +139,93 @@ class _Digest:
         return self.conv, self.turns, self.turn_hash.hexdigest(), self.loss_chars, self.loss_hash.hexdigest(), self.chars
 
 
-def _digests(batches, names: list[str]):
-    now, done = None, []
+NAMES = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+#: Characters of one conversation that _settle holds until it knows whether the partition has all of it.
+HOLD_CHARS = 4 << 20
 
-    def flush():
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done, strict=True), kinds, strict=True)], names)
 
+def _rows(batches):
     for batch in batches:
-        for conv, text, loss in zip(batch.column("conv_id").to_pylist(), batch.column("text").to_pylist(), batch.column("loss").to_pylist(), strict=True):
-            if now is None or conv != now.conv:
+        columns = [batch.column(c).to_pylist() for c in batch.schema.names]
+        for values in zip(*columns, strict=True):
+            yield dict(zip(batch.schema.names, values, strict=True))
+
+
+def _batches(rows, schema: pa.Schema, most_chars: int = 8 << 20):
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 200 + len(row.get("text") or "")
+        if size >= most_chars:
+            yield pa.RecordBatch.from_pylist(held, schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema)
+
+
+_DIGEST_FIELDS = [("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
+_OPEN = pa.schema([("conv_id", pa.int64()), ("first_turn", pa.int64()), ("piece", pa.int64()), ("text", pa.string()),
+                   ("loss", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), *_DIGEST_FIELDS])
+_DONE = pa.schema([("conv_id", pa.int64()), *_DIGEST_FIELDS])
+
+
+def _digest_of(conv, pieces) -> dict:
+    digest = _Digest(conv)
+    for p in pieces:
+        digest.add(p["text"], p["loss"])
+    return dict(zip(NAMES, digest.row(), strict=True))
+
+
+def _settle(batches, hold: int):
+    """Digests of the conversations that lie inside a range partition; the pieces of its first and last
+    one, which neighbours may share, and of very long ones, pass on."""
+    def rows():
+        held, size, first, conv, begun = [], 0, True, None, False
+        for p in _rows(batches):
+            if begun and p["conv_id"] != conv:
+                if first or size > hold:
+                    yield from held
+                else:
+                    yield _digest_of(conv, held)
+                held, size, first = [], 0, False
+            conv, begun = p["conv_id"], True
+            held.append(p)
+            size += len(p["text"])
+            if size > hold:
+                yield from held
+                held = []
+        yield from held
+    yield from _batches(rows(), _OPEN)
+
+
+def _finish(batches):
+    def rows():
+        now = None
+        for p in _rows(batches):
+            if p["n_turns"] is not None:
+                yield {n: p[n] for n in NAMES}
+                continue
+            if now is None or p["conv_id"] != now.conv:
                 if now is not None:
-                    done.append(now.row())
-                now = _Digest(conv)
-            now.add(text, loss)
-        if len(done) >= 1000:
-            yield flush()
-            done = []
-    if now is not None:
-        done.append(now.row())
-    if done:
-        yield flush()
-
-
-def conversation_digests(pieces: DataFrame) -> DataFrame:
+                    yield dict(zip(NAMES, now.row(), strict=True))
+                now = _Digest(p["conv_id"])
+            now.add(p["text"], p["loss"])
+        if now is not None:
+            yield dict(zip(NAMES, now.row(), strict=True))
+    yield from _batches(rows(), _DONE)
+
+
+def conversation_digests(pieces: DataFrame, ranged: bool = False, hold_chars: int = HOLD_CHARS) -> DataFrame:
     """One row per conversation, read back from its pieces: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
 
+    ``ranged``: pieces is what format_conversations returned, still in its ranges; then
+    only conversations at the edges of a range, and very long ones, are dealt again.
     A conversation's hash needs its turns in order, so its pieces stream through one
-    task; the task holds one batch and the hash states, whatever the conversation's length."""
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    ordered = pieces.repartition("conv_id").sortWithinPartitions("conv_id", "first_turn", "piece").select("conv_id", "text", "loss")
-    return ordered.mapInArrow(partial(_digests, names=names), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    task; the task holds a batch and the hash states, whatever the conversation's length."""
+    kind = f"{PIECE}, {DIGEST.removeprefix('conv_id long, ')}"
+    if ranged:
+        pieces = pieces.mapInArrow(partial(_settle, hold=hold_chars), kind)
+    else:
+        pieces = pieces.select("conv_id", "first_turn", "piece", "text", "loss", *[F.lit(None).cast(t).alias(n) for n, t in (x.split() for x in DIGEST.split(", ")[1:])])
+    return pieces.repartition("conv_id").sortWithinPartitions("conv_id", "first_turn", "piece").mapInArrow(_finish, DIGEST)

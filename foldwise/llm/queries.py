@@ -28,7 +28,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", marked), (-7, 1, "assistant", marked)], "conv_id long, turn long, role string, text string")
     turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
-    return conversation_digests(format_conversations(turns))
+    return conversation_digests(format_conversations(turns), ranged=True)
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

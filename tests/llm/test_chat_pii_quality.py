@@ -35,6 +35,9 @@ def test_conversations_round_trip(spark):
     pieces = format_conversations(turns)
     got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in conversation_digests(pieces).collect()}
     assert got == digests_by_hand(rows)
+    for hold in (4 << 20, 100):  # in their ranges, where neighbours share conversations and long ones pass on
+        ranged = conversation_digests(format_conversations(turns), ranged=True, hold_chars=hold).collect()
+        assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in ranged} == got and len(ranged) == len(got)
     chars = {r.conv_id: r.formatted_chars for r in conversation_digests(pieces).collect()}
     held = pieces.collect()
     assert sum(len(r.text) for r in held) == sum(chars.values())
@@ -52,7 +55,8 @@ def test_escapes_leave_no_control_string():
 
 
 def test_chat_empty_and_clashing(spark):
-    assert conversation_digests(format_conversations(spark.createDataFrame([], TURNS))).count() == 0
+    for ranged in (False, True):
+        assert conversation_digests(format_conversations(spark.createDataFrame([], TURNS)), ranged).count() == 0
     rows = spark.createDataFrame([(1, 0, "user", "a", 5, "z")], TURNS + ", piece long, loss string")
     assert conversation_digests(format_conversations(rows)).first().n_turns == 1
 
