@@ -153,7 +153,7 @@ def rare_bucket_long(spark, sf_dir):
 # ---------------------------------------------------------------- interactions and pruning
 from foldwise.operators import interactions as ix  # noqa: E402
 from foldwise.operators import prune as pr  # noqa: E402
-from foldwise.operators.base import merge  # noqa: E402
+from foldwise.operators.base import merge, one_fit  # noqa: E402
 
 
 def long_dense(df, names, keep=("id", "fit_fold", "role"), digits=6):
@@ -365,8 +365,11 @@ def label_violations(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- run ledger
+import functools  # noqa: E402
 import uuid  # noqa: E402
 
+from pyspark.sql import types as T  # noqa: E402
+
 from foldwise.plans import ledger as ld  # noqa: E402
 from foldwise.session import checkpoint_dir  # noqa: E402
 from foldwise.streaming import refresh as rf  # noqa: E402
@@ -564,7 +567,7 @@ def _cv(family_name, task, label, fold_col, params=None, with_target=True):
         feat, names = _features(spark, sf_dir, fold_col, label, with_target)
         preds = ev.cross_validate(feat, names, label, md.resolve(family_name, task), K, params)
         o = ev.oof(preds)
-        return o.withColumn("y_pred", rnd("y_pred", 4 if task == "regression" else 9))
+        return o.withColumn("y_pred", rnd("y_pred", 2 if task == "regression" else 9))
     return run
 
 
@@ -705,3 +708,125 @@ def bagged_ensemble(spark, sf_dir):
     """Poisson-bootstrap bags of greedy selection, averaged."""
     w, score = bl.bagged_select(fx.oof_long(spark, sf_dir), REG_CANDS, ["row_idx"], n_bags=3, n_rounds=20)
     return _weights_table(spark, w, score)
+
+
+# ---------------------------------------------------------------- families, test side, stored tables
+from pyspark.ml.functions import array_to_vector  # noqa: E402
+
+
+@query("knn_fold_cv")
+def knn_fold_cv(spark, sf_dir):
+    """M9 as a fold model: label of each embedding from the five nearest of the other folds, weighted by 1 / distance."""
+    emb = fo.kfold(fx.fixture_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label"), "id", K)
+    rows = emb.select("id", "fold", F.col("label").alias("y"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features"), F.lit("train").alias("split"))
+
+    def feat(f):
+        return one_fit(rows, f)
+    found = ev.oof(ev.cross_validate(feat, None, "y", md.resolve("knn", "regression"), K, {"weights": "distance"}, score_only=True))
+    return found.withColumn("y_pred", rnd("y_pred", 6))
+
+
+@query("test_predictions")
+def test_predictions(spark, sf_dir):
+    """V7: ridge predictions of the test rows, averaged over the fold models."""
+    feat, names = _features(spark, sf_dir, "fold", "y_reg")
+    preds = ev.cross_validate(feat, names, "y_reg", md.resolve("ridge", "regression"), K)
+    return ev.test_predictions(preds, "rmse").select("id", rnd("y_pred", 2).alias("y_pred"))
+
+
+def _bounded(oof_rows, lo, hi):
+    """1 where a prediction is a number within the bounds (no bounds: finite)."""
+    p = F.col("y_pred")
+    ok = p.isNotNull() & ~F.isnan(p) & (F.abs(p) < float("inf"))
+    return oof_rows.select("id", "fold", "y_true", (ok if lo is None else ok & (p >= lo) & (p <= hi)).cast("int").alias("bounded"))
+
+
+@query("regression_families_oof")
+def regression_families_oof(spark, sf_dir):
+    """V5-V9, M2, M4-M8: every regression family over the folds: each training row once per family, with its truth;
+    averages of labels (trees) stay within the labels' range."""
+    feat, names = _features(spark, sf_dir, "fold", "y_reg")
+    r = train(spark, sf_dir).agg(F.min("y_reg"), F.max("y_reg")).first()
+    plan = [("elasticnet", {"alpha": 0.1, "max_iter": 50}, None), ("random_forest", {"n_estimators": 5, "max_depth": 4}, r)]
+    plan += [(b, {"n_estimators": 2, "max_depth": 3}, None) for b in md.BOOSTING_IDS]
+    parts = [_bounded(ev.oof(ev.cross_validate(feat, names, "y_reg", md.resolve(f, "regression"), K, p, score_only=True)), *(b or (None, None)))
+             .withColumn("family", F.lit(f)) for f, p, b in plan]
+    return functools.reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("binary_families_oof")
+def binary_families_oof(spark, sf_dir):
+    """Every binary family over the stratified folds; scores are probabilities."""
+    feat, names = _features(spark, sf_dir, "sfold", "y_bin")
+    plan = [("logistic_regression", {"class_weight": "balanced", "max_iter": 30}), ("random_forest", {"n_estimators": 5, "max_depth": 4}),
+            ("gradient_boosted_trees", {"n_estimators": 2, "max_depth": 3}), ("naive_bayes", {}), ("svm", {"max_iter": 10}), ("realmlp", {"hidden": [4], "max_iter": 10})]
+    parts = [_bounded(ev.oof(ev.cross_validate(feat, names, "y_bin", md.resolve(f, "binary"), K, p, score_only=True)), 0.0, 1.0)
+             .withColumn("family", F.lit(f)) for f, p in plan]
+    return functools.reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("native_trees_oof")
+def native_trees_oof(spark, sf_dir):
+    """Native numerics and nominal categories straight into boosted trees."""
+    c, tr = ctx(spark, sf_dir), train(spark, sf_dir)
+    numeric, categorical = pf.resolve_feature_types(tr, fx.FEATURES, low_cardinality_int_threshold=20)
+    spec = Representation(["native_numeric", "native_categorical"])
+    family = md.resolve("catboost", "regression")
+    md.check_compatibility(family, spec.matrix_kind())
+    fr = spec.fit(tr, numeric, categorical, K, "fold", "y_reg")
+    keep = ["id", "fit_fold", "role", "y_reg"]
+    preds = ev.cross_validate(lambda f: fr.materialize(fr.transform(c, keep, f), []), None, "y_reg", family, K, {"n_estimators": 2, "max_depth": 3}, score_only=True)
+    return _bounded(ev.oof(preds), None, None)
+
+
+@query("blend_summary")
+def blend_summary(spark, sf_dir):
+    """The 19 columns of a blend's summary, written and read back."""
+    w = bl.normalize_weights(["cand_a", "cand_b", "cand_c"], [2.0, 1.0, 1.0])
+    about = {c: {"candidate_type": "model", "run_id": f"run_{c}", "model_registry_key": "ridge", "estimator_name": "Ridge"} for c in w}
+    s = bl.blend_summary(fx.oof_long(spark, sf_dir), w, "rmse", "blend__abc", about, ["row_idx"])
+    root = _artifact_root(spark)
+    s.write.parquet(f"{root}/blend_summary")
+    back = spark.read.parquet(f"{root}/blend_summary")
+    return back.select(*[rnd(c, 6).alias(c) if t == "double" else F.col(c) for c, t in back.dtypes])
+
+
+@query("ledger_write")
+def ledger_write(spark, sf_dir):
+    """Runs appended in two batches to the ledger's four tables, read back per run."""
+    runs, arts = _ledger(spark, sf_dir)
+    root = _artifact_root(spark)
+    first = F.substring_index("run_id", "_", -1).cast("long") % 2 == 0
+    for batch in (first, ~first):
+        ld.write_runs(root, runs.where(batch), ["cv_n_splits", "cv_shuffle", "trial_number"], ["metric_value"], arts.where(batch))
+    t = ld.read_ledger(spark, root)
+    per = lambda name, c: t[name].groupBy("run_id").agg(F.count(F.lit(1)).alias(c))
+    out = t["runs"].select("run_id", "candidate_id", "status").join(per("run_params", "n_params"), "run_id", "left").join(per("run_artifacts", "n_artifacts"), "run_id", "left")
+    out = out.join(t["run_metrics"].where("key = 'metric_value'").select("run_id", F.col("value").alias("metric_value")), "run_id", "left")
+    trial = t["run_params"].where("key = 'trial_number'").select("run_id", F.col("value").alias("trial_json"))
+    return out.join(trial, "run_id", "left").withColumn("n_artifacts", F.coalesce("n_artifacts", F.lit(0)).cast("bigint"))
+
+
+@query("history_roundtrip")
+def history_roundtrip(spark, sf_dir):
+    """Events and stored observations per candidate, as history documents and back."""
+    _, events, _ = _refresh_inputs(spark, sf_dir)
+    obs = fx.observation_history(spark, sf_dir).join(events, "submission_event_id").drop("observed_seq")
+    path = _artifact_root(spark) + "/history"
+    art.write_history(events, obs, path)
+    kind = lambda df: T.StructType([f for f in df.schema.fields if f.name != "candidate_id"])
+    ev_back, ob_back = art.read_history(spark, path, kind(events), kind(obs))
+    a = ev_back.select("candidate_id", "submission_event_id", F.lit("event").alias("part"), F.lit(None).cast("double").alias("public_score"))
+    return a.unionByName(ob_back.select("candidate_id", "submission_event_id", F.lit("observation").alias("part"), "public_score"))
+
+
+@query("eda_reports")
+def eda_reports(spark, sf_dir):
+    """The report set as CSV files; the missingness report read back."""
+    root = _artifact_root(spark)
+    tr, te = eda_tables(spark, sf_dir)
+    for name, df in (("columns", pf.column_summary(tr)), ("missingness", pf.missingness(tr, te)), ("cardinality", pf.cardinality(tr, te)),
+                     ("target", pf.target_summary_numeric(tr, "y_reg")), ("run", pf.run_summary(tr, te, len(fx.FEATURES)))):
+        art.write_report(df, root, name)
+    kind = pf.missingness(tr, te).schema
+    return spark.read.schema(kind).option("header", "true").csv(f"{root}/missingness").withColumn("null_pct", rnd("null_pct", 9))

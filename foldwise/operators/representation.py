@@ -245,10 +245,12 @@ class FittedRepresentation:
         the plan does not grow with the number of sparse features. Native categoricals
         are indexed on the training rows (other values get an index of their own) and
         keep their nominal metadata, which trees split by category. Pruned or ineligible
-        dense outputs enter as 0; native numerics keep their nulls (NaN)."""
-        dense = [F.col(c) if c in self.native_numeric else F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in self.dense]
+        dense outputs enter as 0. The vectors of pyspark.ml hold no NaN: a native numeric's
+        null is 0 beside an indicator of its own."""
+        dense = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in self.dense]
+        dense += [F.col(c).isNull().cast("double").alias(f"_null_{c}") for c in self.native_numeric]
         keep = [c for c in transformed.columns if c not in self.dense]
-        wide, cols = transformed.select(*keep, *dense), list(self.dense)
+        wide, cols = transformed.select(*keep, *dense), [*self.dense, *(f"_null_{c}" for c in self.native_numeric)]
         if vocabulary:
             hot = F.array_compact(F.array(*self.sparse))
             indicators = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_hot", outputCol="_sparse", binary=True)

@@ -1103,7 +1103,7 @@ SELECT unnest(['cand_a', 'cand_b', 'cand_c', 'cand_d', 'cand_e']) AS candidate_i
 
 
 # ---------------------------------------------------------------- ridge by elimination on the normal equations
-def _ridge(alpha: float, digits: int) -> str:
+def _ridge(alpha: float, digits: int, test: bool = False) -> str:
     """Per fold: centred Gram matrix plus alpha on the diagonal, Gauss-Jordan steps as a recursion over lists, then the valid rows' predictions."""
     mom = [f"""mom_{c} AS (
   SELECT fits.fit_fold, avg(coalesce(s.{c}, med_{c}.q0)) AS mu, stddev_pop(coalesce(s.{c}, med_{c}.q0)) AS sd
@@ -1115,7 +1115,7 @@ def _ridge(alpha: float, digits: int) -> str:
     d = len(x)
     joins = med_joins() + " " + " ".join(f"JOIN mom_{c} ON mom_{c}.fit_fold = e.fit_fold" for c in NUMERIC) + " JOIN tot ON tot.fit_fold = e.fit_fold " + " ".join(
         f"LEFT JOIN cnt_{c} ON cnt_{c}.fit_fold = e.fit_fold AND cnt_{c}.v = {norm(c, 'e')}" for c in CATEGORICAL)
-    feat = f"feat AS (SELECT e.id, e.fit_fold, e.role, e.y_reg AS y, {', '.join(f'CAST({v} AS DOUBLE) AS x{i}' for i, v in enumerate(x))} FROM expanded e {joins} WHERE e.role <> 'test')"
+    feat = f"feat AS (SELECT e.id, e.fit_fold, e.role, e.y_reg AS y, {', '.join(f'CAST({v} AS DOUBLE) AS x{i}' for i, v in enumerate(x))} FROM expanded e {joins})"
     means = "mu AS (SELECT fit_fold, count(*) AS n, avg(y) AS y, " + ", ".join(f"avg(x{i}) AS x{i}" for i in range(d)) + " FROM feat WHERE role = 'train' GROUP BY 1)"
 
     def cross(i, j):
@@ -1129,9 +1129,62 @@ def _ridge(alpha: float, digits: int) -> str:
       ELSE list_transform(row, lambda v, k: v - row[p + 1] * m[p + 1][k] / m[p + 1][p + 1]) END) FROM gj WHERE p < {d}),
 w AS (SELECT fit_fold, list_transform(m, lambda row: row[{d + 1}]) AS w FROM gj WHERE p = {d})"""
     pred = "mu.y + " + " + ".join(f"w.w[{i + 1}] * (f.x{i} - mu.x{i})" for i in range(d))
-    return _recursive(ctes(*median_ctes(), *mom, TOT, *[cnt_cte(c) for c in CATEGORICAL], feat, means, solve)) + f"""
+    head = _recursive(ctes(*median_ctes(), *mom, TOT, *[cnt_cte(c) for c in CATEGORICAL], feat, means, solve))
+    if test:
+        return head + f"""
+SELECT id, {R('avg(p)', digits)} AS y_pred FROM (SELECT f.id, {pred} AS p FROM feat f JOIN mu ON mu.fit_fold = f.fit_fold JOIN w ON w.fit_fold = f.fit_fold WHERE f.role = 'test') GROUP BY id"""
+    return head + f"""
 SELECT f.id, f.fit_fold AS fold, f.y AS y_true, {R(pred, digits)} AS y_pred
 FROM feat f JOIN mu ON mu.fit_fold = f.fit_fold JOIN w ON w.fit_fold = f.fit_fold WHERE f.role = 'valid'"""
 
 
-QUERIES["ridge_cv"] = _ridge(1.0, 4)
+QUERIES["ridge_cv"] = _ridge(1.0, 2)
+
+QUERIES["test_predictions"] = _ridge(1.0, 2, test=True)
+
+
+# ---------------------------------------------------------------- families, stored tables
+def _families(names, label, fold):
+    values = ", ".join(f"('{n}')" for n in names)
+    return with_ctx(f"SELECT f.family, t.id, t.{fold} AS fold, CAST(t.{label} AS DOUBLE) AS y_true, 1::INTEGER AS bounded FROM train t, (VALUES {values}) AS f(family)")
+
+
+QUERIES["regression_families_oof"] = _families(["elasticnet", "random_forest", "gradient_boosted_trees", "hist_gradient_boosting", "lightgbm", "xgboost", "catboost"], "y_reg", "fold")
+QUERIES["binary_families_oof"] = _families(["logistic_regression", "random_forest", "gradient_boosted_trees", "naive_bayes", "svm", "realmlp"], "y_bin", "sfold")
+QUERIES["native_trees_oof"] = with_ctx("SELECT id, fold, y_reg AS y_true, 1::INTEGER AS bounded FROM train")
+
+QUERIES["knn_fold_cv"] = f"""WITH o AS (
+  SELECT vec_id, embedding, label, row_number() OVER (ORDER BY md5('{SEED}:' || CAST(vec_id AS VARCHAR)), vec_id) - 1 AS r, count(*) OVER () AS n FROM embeddings),
+v AS (SELECT vec_id, embedding, label, CAST(CASE WHEN r < (n % {K}) * (n // {K} + 1) THEN r // (n // {K} + 1)
+    ELSE (n % {K}) + (r - (n % {K}) * (n // {K} + 1)) // (n // {K}) END + 1 AS INTEGER) AS fold FROM o),
+pairs AS (SELECT a.vec_id AS q, b.vec_id AS nb, b.label, sqrt(list_sum(list_transform(list_zip(a.embedding, b.embedding),
+    lambda t: (CAST(t[1] AS DOUBLE) - CAST(t[2] AS DOUBLE)) * (CAST(t[1] AS DOUBLE) - CAST(t[2] AS DOUBLE))))) AS d FROM v a JOIN v b ON a.fold <> b.fold),
+near AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY floor(d * 1e9 + 0.5), nb) AS rk FROM pairs),
+pred AS (SELECT q, CASE WHEN count(*) FILTER (WHERE d = 0) > 0 THEN avg(label) FILTER (WHERE d = 0)
+    ELSE sum(label / nullif(d, 0)) / sum(1 / nullif(d, 0)) END AS p FROM near WHERE rk <= 5 GROUP BY q)
+SELECT v.vec_id AS id, v.fold, CAST(v.label AS DOUBLE) AS y_true, {R('p', 6)} AS y_pred FROM v JOIN pred ON pred.q = v.vec_id"""
+
+QUERIES["blend_summary"] = ctes(*oof_ctes()) + f"""
+, comp(candidate_id, rank_, w) AS (VALUES ('cand_a', 1, 0.5::DOUBLE), ('cand_b', 2, 0.25::DOUBLE), ('cand_c', 3, 0.25::DOUBLE)),
+own AS (SELECT 'blend__abc' AS candidate_id, row_idx, fold, any_value(y_true) AS y_true, sum(w * y_pred) AS y_pred FROM oof JOIN comp USING (candidate_id) GROUP BY row_idx, fold),
+fm AS (SELECT candidate_id, fold, sqrt(avg((y_true - y_pred) * (y_true - y_pred))) AS v
+  FROM (SELECT candidate_id, fold, y_true, y_pred FROM oof UNION ALL SELECT candidate_id, fold, y_true, y_pred FROM own) GROUP BY 1, 2),
+cv AS (SELECT candidate_id, avg(v) AS mean, stddev_pop(v) AS std FROM fm GROUP BY 1),
+cm AS (SELECT a.candidate_id, corr(a.y_pred, b.y_pred) AS c FROM oof a JOIN oof b ON a.row_idx = b.row_idx AND a.candidate_id <> b.candidate_id
+  WHERE a.candidate_id IN (SELECT candidate_id FROM comp) AND b.candidate_id IN (SELECT candidate_id FROM comp) GROUP BY a.candidate_id, b.candidate_id),
+cs AS (SELECT candidate_id, avg(c) AS a, min(c) AS lo, max(c) AS hi FROM cm GROUP BY 1)
+SELECT 'blend__abc' AS blend_candidate_id, 'blend_weighted_average' AS blend_registry_key, 'rmse' AS blend_metric_name, {R('b.mean', 6)} AS blend_metric_mean, {R('b.std', 6)} AS blend_metric_std,
+  CAST(rank_ AS INTEGER) AS component_rank, comp.candidate_id AS component_candidate_id, 'model' AS component_candidate_type, 'run_' || comp.candidate_id AS component_mlflow_run_id,
+  'ridge' AS component_model_registry_key, 'Ridge' AS component_estimator_name, NULL AS component_representation_id, NULL AS component_config_fingerprint,
+  {R('w', 6)} AS component_weight, {R('cv.mean', 6)} AS component_cv_metric_mean, {R('cv.std', 6)} AS component_cv_metric_std,
+  {R('cs.a', 6)} AS avg_oof_correlation_to_others, {R('cs.lo', 6)} AS min_oof_correlation_to_others, {R('cs.hi', 6)} AS max_oof_correlation_to_others
+FROM comp JOIN cv USING (candidate_id) JOIN cs USING (candidate_id), cv b WHERE b.candidate_id = 'blend__abc'"""
+
+QUERIES["ledger_write"] = lctes() + """
+SELECT r.run_id, r.candidate_id, r.status, 2 + CASE WHEN r.trial_number IS NULL THEN 0 ELSE 1 END AS n_params, coalesce(a.n, 0) AS n_artifacts, r.metric_value,
+  CAST(r.trial_number AS VARCHAR) AS trial_json
+FROM runs r LEFT JOIN (SELECT run_id, count(*) AS n FROM arts GROUP BY 1) a USING (run_id)"""
+QUERIES["history_roundtrip"] = rctes() + """
+SELECT candidate_id, submission_event_id, 'event' AS part, NULL::DOUBLE AS public_score FROM ev
+UNION ALL SELECT ev.candidate_id, h.submission_event_id, 'observation', h.public_score FROM hist h JOIN ev USING (submission_event_id)"""
+QUERIES["eda_reports"] = QUERIES["missingness"]

@@ -117,16 +117,36 @@ def correlation_matrix(pred: DataFrame, candidates: list[str], key: list[str]) -
     return out
 
 
-def correlation_summary(corr: dict, candidates: list[str]) -> list[tuple]:
-    """Per component, mean / min / max correlation with the other components."""
-    rows = []
-    for a in candidates:
-        others = [corr[(a, b)] for b in candidates if b != a and corr[(a, b)] is not None]
-        if others:
-            rows.append((a, sum(others) / len(others), min(others), max(others)))
-        else:
-            rows.append((a, None, None, None))
-    return rows
+# The columns of a blend summary, in order.
+BLEND_SUMMARY_COLUMNS = (
+    "blend_candidate_id", "blend_registry_key", "blend_metric_name", "blend_metric_mean", "blend_metric_std",
+    "component_rank", "component_candidate_id", "component_candidate_type", "component_mlflow_run_id",
+    "component_model_registry_key", "component_estimator_name", "component_representation_id",
+    "component_config_fingerprint", "component_weight", "component_cv_metric_mean", "component_cv_metric_std",
+    "avg_oof_correlation_to_others", "min_oof_correlation_to_others", "max_oof_correlation_to_others",
+)
+BLEND_REGISTRY_KEY = "blend_weighted_average"
+
+
+def blend_summary(pred: DataFrame, weights: dict, metric: str, candidate_id: str, components: dict[str, dict], key: list[str]) -> DataFrame:
+    """One row per component, in configured order: its metadata (``components``, by candidate id), weight,
+    CV metric and OOF correlations, beside the blend's own CV metric. pred is long: key, fold, y_true,
+    y_pred, candidate_id. Only one number per pair and per candidate reaches the driver."""
+    names = list(weights)
+    corr = correlation_matrix(pred, names, key)
+    own = blend(pred, weights, [*key, "fold"], carry=["y_true"]).drop("n_components").withColumn("candidate_id", F.lit(candidate_id))
+    rows = pred.where(F.col("candidate_id").isin(*names)).select(*key, "fold", "y_true", "y_pred", "candidate_id").unionByName(own)
+    cv = {r["candidate_id"]: r for r in mt.cv_summary(mt.fold_metrics(rows, metric)).collect()}
+    out = []
+    for rank, c in enumerate(names, start=1):
+        others = [corr[(c, b)] for b in names if b != c and corr[(c, b)] is not None]
+        about = components.get(c, {})
+        out.append((candidate_id, BLEND_REGISTRY_KEY, metric, cv[candidate_id]["cv_mean"], cv[candidate_id]["cv_std"], rank, c,
+                    *(about.get(k) for k in ("candidate_type", "run_id", "model_registry_key", "estimator_name", "representation_id", "config_fingerprint")),
+                    weights[c], cv[c]["cv_mean"], cv[c]["cv_std"],
+                    sum(others) / len(others) if others else None, min(others, default=None), max(others, default=None)))
+    kinds = ["string"] * 3 + ["double"] * 2 + ["int"] + ["string"] * 7 + ["double"] * 6
+    return pred.sparkSession.createDataFrame(out, ", ".join(f"{n} {k}" for n, k in zip(BLEND_SUMMARY_COLUMNS, kinds, strict=True)))
 
 
 # ---------------------------------------------------------------- greedy selection

@@ -30,10 +30,6 @@ REQUIRED_ARTIFACT_PATHS = (
 )
 
 
-def required_paths(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(p,) for p in REQUIRED_ARTIFACT_PATHS], "path string")
-
-
 def search_runs(runs: DataFrame, **equals) -> DataFrame:
     """Equality filters on tags (pushed down to the scan)."""
     out = runs
@@ -128,9 +124,31 @@ def optimization_summary(trials: DataFrame, higher_is_better: bool) -> DataFrame
         F.max_by("metric_value", key).alias("best_metric_value"))
 
 
-def params_table(run_id: str, params: dict) -> list[tuple]:
-    """Params as (run_id, key, JSON text) rows."""
-    return [(run_id, k, json.dumps(v, sort_keys=True)) for k, v in sorted(params.items())]
+LEDGER_TABLES = ("runs", "run_params", "run_metrics", "run_artifacts")
+
+
+def write_runs(root: str, runs: DataFrame, params: list[str], metrics: list[str], artifacts: DataFrame) -> None:
+    """Append finished or failed runs to the ledger's four tables under root: ``runs`` (id and tags),
+    ``run_params`` (run_id, key, JSON value), ``run_metrics`` (run_id, key, value) and ``run_artifacts``
+    (run_id, path). params and metrics name columns of runs; NULLs are not logged. The run rows are
+    written last, so a reader never meets a run whose tables are incomplete."""
+    def pairs(names, value, kind):
+        entries = F.array(*[F.struct(F.lit(c).alias("key"), value(F.col(c)).cast(kind).alias("value")) for c in names])
+        return runs.select("run_id", F.inline(entries)).where(F.col("value").isNotNull())
+    pairs(params, lambda c: F.when(c.isNotNull(), F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r"^\{\"v\":(.*)\}$", 1)), "string").write.mode("append").parquet(f"{root}/run_params")
+    pairs(metrics, lambda c: c, "double").write.mode("append").parquet(f"{root}/run_metrics")
+    artifacts.select("run_id", "path").write.mode("append").parquet(f"{root}/run_artifacts")
+    runs.drop(*params, *metrics).write.mode("append").parquet(f"{root}/runs")
+
+
+def read_ledger(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    return {t: spark.read.parquet(f"{root}/{t}") for t in LEDGER_TABLES}
+
+
+def submission_message(candidate_id: str, event_id: str, metric: str, value: float, prefix: str | None = None) -> str:
+    """The tagged description that a refresh parses back."""
+    parts = [prefix.strip()] if prefix else []
+    return " | ".join([*parts, f"candidate={candidate_id}", f"submit={event_id}", f"{metric}={value:.6f}"])
 
 
 def sweep_grid(recipes: list[str], families: list[str], options: list[dict]) -> list[tuple]:
