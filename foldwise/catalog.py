@@ -371,7 +371,7 @@ import uuid  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from foldwise.plans import ledger as ld  # noqa: E402
-from foldwise.session import checkpoint_dir  # noqa: E402
+from foldwise.session import checkpoint_dir, cut_lineage  # noqa: E402
 from foldwise.streaming import refresh as rf  # noqa: E402
 
 
@@ -556,16 +556,14 @@ def _features(spark, sf_dir, fold_col, label, with_target=True):
     if with_target:
         parts.append(cat.fit_target(category_stats(spark, sf_dir, y_col=label, fold_col=fold_col), 1.0))
     fitted = merge(*parts)
-
-    def feat(f):
-        return fitted.transform(ctx(spark, sf_dir), K, ["id", "fit_fold", "role", label], fold_col=fold_col, fit_fold=f)
-    return feat, fitted.names()
+    return ev.FoldFeatures(fitted, ctx(spark, sf_dir), K, ["id", "fit_fold", "role", label], fold_col), fitted.names()
 
 
 def _cv(family_name, task, label, fold_col, params=None, with_target=True):
     def run(spark, sf_dir):
         feat, names = _features(spark, sf_dir, fold_col, label, with_target)
-        preds = ev.cross_validate(feat, names, label, md.resolve(family_name, task), K, params)
+        preds = ev.cross_validate(feat, names, label, md.resolve(family_name, task), K, params, score_only=True)
+        feat.release()
         o = ev.oof(preds)
         return o.withColumn("y_pred", rnd("y_pred", 2 if task == "regression" else 9))
     return run
@@ -611,9 +609,11 @@ def leaderboard(spark, sf_dir):
     long = []
     for cid, fam, params in (("ridge", "ridge", None),
                              ("random_forest", "random_forest", {"n_estimators": 30, "max_depth": 6})):
-        p = ev.oof(ev.cross_validate(feat, names, "y_reg", md.resolve(fam, "regression"), K, params))
+        p = ev.oof(ev.cross_validate(feat, names, "y_reg", md.resolve(fam, "regression"), K, params, score_only=True))
         long.append(p.withColumn("candidate_id", F.lit(cid)))
-    allp = long[0].unionByName(long[1])
+    # scored once, read by the blend and by the metrics
+    allp = cut_lineage(long[0].unionByName(long[1]))
+    feat.release()
     b = bl.blend(allp, bl.normalize_weights(["ridge", "random_forest"]), ["id"], carry=["y_true", "fold"])
     allp = allp.unionByName(b.drop("n_components").withColumn("candidate_id", F.lit("blend__ridge_rf")))
     s = mt.cv_summary(mt.fold_metrics(allp, "rmse"))
@@ -731,6 +731,7 @@ def test_predictions(spark, sf_dir):
     """V7: ridge predictions of the test rows, averaged over the fold models."""
     feat, names = _features(spark, sf_dir, "fold", "y_reg")
     preds = ev.cross_validate(feat, names, "y_reg", md.resolve("ridge", "regression"), K)
+    feat.release()
     return ev.test_predictions(preds, "rmse").select("id", rnd("y_pred", 2).alias("y_pred"))
 
 

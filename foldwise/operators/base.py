@@ -34,6 +34,11 @@ class Fitted:
             df = df.join(t, cond(df, t) if callable(cond) else cond, "left")
         return df
 
+    def with_cached_lookups(self) -> tuple[Fitted, list[DataFrame]]:
+        """The same with its lookup tables persisted, for several actions over one fit, and those tables."""
+        tables = [t.persist() for t, _, _ in self.lookups]
+        return Fitted(self.columns, [(t, c, b) for t, (_, c, b) in zip(tables, self.lookups)], self.dropped), tables
+
     def project(self, df: DataFrame, keep: list[str]) -> DataFrame:
         return df.select(*keep, *[self.columns[n].alias(n) for n in self.names()])
 

@@ -21,14 +21,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.functions.scalar import ACCURACY_THRESHOLD
-from foldwise.operators.base import FIT_FOLD
-from foldwise.plans.models import ModelFamily
+from foldwise.operators.base import FIT_FOLD, Fitted
+from foldwise.plans.models import DIRECT_FEATURES, ModelFamily
 
 
 def assemble(feat: DataFrame, names: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep").transform(feat)
 
 
+class FoldFeatures:
+    """The features of one fit fold (call), or of all folds in one plan (``all_folds``), of a fitted operator
+    over a table. Lookup tables, sized by categories, stay cached until ``release``."""
+
+    def __init__(self, fitted: Fitted, rows: DataFrame, k: int, keep: list[str], fold_col: str = "fold"):
+        self.fitted, self.tables = fitted.with_cached_lookups()
+        self.rows, self.k, self.keep, self.fold_col = rows, k, keep, fold_col
+
+    def __call__(self, f: int) -> DataFrame:
+        return self.fitted.transform(self.rows, self.k, self.keep, self.fold_col, f)
+
+    def all_folds(self) -> DataFrame:
+        return self.fitted.transform(self.rows, self.k, self.keep, self.fold_col)
+
+    def release(self) -> None:
+        for t in self.tables:
+            t.unpersist()
+
+
 def fold_rows(feat: DataFrame | Callable[[int], DataFrame], f: int) -> DataFrame:
     """The features of fit fold f: from a function of the fold, or from a table of all folds."""
     return feat(f) if callable(feat) else feat.where(F.col(FIT_FOLD) == f)
@@ -46,9 +65,17 @@ def cross_validate(feat: DataFrame | Callable[[int], DataFrame], names: list[str
     params = family.resolve_params(params)
     roles = ["valid"] if score_only else ["valid", "test"]
 
+    def prepared(rows: DataFrame) -> DataFrame:
+        data = rows.withColumn("label", F.col(label).cast("double"))
+        return (assemble(data, names) if names is not None else data).select("id", FIT_FOLD, "role", "label", "features")
+
+    if family.all_folds and names is not None and len(names) <= DIRECT_FEATURES and (isinstance(feat, DataFrame) or hasattr(feat, "all_folds")):
+        data = prepared(feat if isinstance(feat, DataFrame) else feat.all_folds())
+        scored = family.scores(data.where(F.col("role") == "train"), data.where(F.col("role").isin(*roles)), params)
+        return scored.select("id", FIT_FOLD, "role", F.col("label").alias("y_true"), "y_pred")
+
     def one(f: int) -> DataFrame:
-        data = fold_rows(feat, f).withColumn("label", F.col(label).cast("double"))
-        data = (assemble(data, names) if names is not None else data).select("id", "role", "label", "features")
+        data = prepared(fold_rows(feat, f))
         tr, rows = data.where(F.col("role") == "train"), data.where(F.col("role").isin(*roles))
         if family.scores is not None:
             scored = family.scores(tr, rows, params)

@@ -21,20 +21,21 @@ parameters it lacks are rejected, as are unknown ones of any family.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import partial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import classification as mlc
 from pyspark.ml import regression as mlr
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foldwise.operators.base import FIT_FOLD
+
 WEIGHT = "_weight"
 
 
@@ -50,6 +51,7 @@ class ModelFamily:
     tunable: bool = True
     accepts_sparse: bool = True
     native_categorical: bool = False
+    all_folds: bool = False        # ``scores`` takes the rows of several fit folds at once
     defaults: dict = field(default_factory=dict)
 
     def resolve_params(self, overrides: dict | None) -> dict:
@@ -65,40 +67,64 @@ def _label_std_and_n(train: DataFrame, label: str = "label"):
     return (r["s"] or 0.0), r["n"]
 
 
-#: Widest design whose normal equations are solved directly: its cross products are 32 MB a task.
+#: Widest design whose normal equations are solved directly: its scatter matrix is 32 MB a task and fold.
 DIRECT_FEATURES = 2000
 
 
-def _cross_products(batches, means):
-    """[x - mean, y - mean]' [x - mean, y - mean] of a partition, as bytes of one row."""
-    total = None
+def _merge_moments(a: tuple, b: tuple) -> tuple:
+    """Row counts, means and scatter matrices of two parts as those of both (no uncentred sums)."""
+    if not a[0] or not b[0]:
+        return b if not a[0] else a
+    n, shift = a[0] + b[0], b[1] - a[1]
+    return n, a[1] + shift * (b[0] / n), a[2] + b[2] + np.outer(shift, shift) * (a[0] * b[0] / n)
+
+
+def _merge_folds(a: dict, b: dict) -> dict:
+    none = (0, None, None)
+    return {f: _merge_moments(a.get(f, none), b.get(f, none)) for f in {*a, *b}}
+
+
+def _fold_moments(batches):
+    """Moments of [x, y] per fit fold of a partition, as one row."""
+    held: dict[int, tuple] = {}
     for batch in batches:
-        x = np.column_stack([np.stack(batch["_x"].to_numpy()), batch["label"].to_numpy()]) - means if len(batch) else None
-        if x is not None:
-            total = x.T @ x if total is None else total + x.T @ x
-    if total is not None:
-        yield pd.DataFrame({"g": [total.tobytes()]})
+        if not batch.num_rows:
+            continue
+        x = batch.column("_x")
+        rows = np.column_stack([x.flatten().to_numpy().reshape(batch.num_rows, -1), batch.column("label").to_numpy()])
+        folds = batch.column(FIT_FOLD).to_numpy()
+        for f in np.unique(folds):
+            mine = rows[folds == f]
+            mean = mine.mean(axis=0)
+            held = _merge_folds(held, {int(f): (len(mine), mean, (mine - mean).T @ (mine - mean))})
+    if held:
+        yield pa.RecordBatch.from_pydict({"m": [pickle.dumps(held)]})
 
 
 def _ridge(train: DataFrame, rows: DataFrame, p: dict) -> DataFrame:
     """M1 by the normal equations of the centred data: exact also where a feature is constant or
-    collinear, which the iterative solvers meet only to their tolerance. The cross products
-    of partitions are summed on the executors (tree reduce), so the driver gets one matrix."""
+    collinear, which the iterative solvers meet only to their tolerance. train and rows hold
+    one or several fit folds (``fit_fold``): moments of all of them come from one pass, are
+    merged on the executors (tree reduce), and the driver gets one matrix a fold."""
     alpha = float(p.get("alpha", 1.0))
     x = vector_to_array("features")
     d = len(train.select("features").first()["features"])
     if d > DIRECT_FEATURES:
-        r = train.agg(F.stddev_samp("label").alias("s"), F.count(F.lit(1)).alias("n")).first()
+        r = train.agg(F.stddev_samp("label").alias("s"), F.count(F.lit(1)).alias("n"), F.count_distinct(FIT_FOLD).alias("k")).first()
+        if r["k"] > 1:
+            raise ValueError(f"more than {DIRECT_FEATURES} features are fitted one fold at a time")
         wide = mlr.LinearRegression(featuresCol="features", labelCol="label", elasticNetParam=0.0, regParam=alpha / r["n"] * (r["s"] or 1.0),
                                     standardization=False, solver="l-bfgs", maxIter=1000, tol=1e-12)
         return wide.fit(train).transform(rows).withColumnRenamed("prediction", "y_pred")
-    stats = train.select(Summarizer.mean(F.col("features")).alias("m"), F.avg("label").alias("y")).first()
-    means = np.append(stats["m"].toArray(), stats["y"])
-    parts = train.select(x.alias("_x"), "label").mapInPandas(partial(_cross_products, means=means), "g binary")
-    total = parts.rdd.map(lambda r: np.frombuffer(r["g"])).treeReduce(np.add).reshape(d + 1, d + 1)
-    w = np.linalg.solve(total[:d, :d] + alpha * np.eye(d), total[:d, d])
-    dot = F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in w]), lambda a, b: a * b), F.lit(float(means[d] - means[:d] @ w)), lambda s, v: s + v)
-    return rows.withColumn("y_pred", dot)
+    parts = train.select(FIT_FOLD, x.alias("_x"), "label").mapInArrow(_fold_moments, "m binary")
+    moments = parts.rdd.map(lambda r: pickle.loads(r["m"])).treeReduce(_merge_folds)
+    table = {}
+    for f, (_, mean, scatter) in moments.items():
+        w = np.linalg.solve(scatter[:d, :d] + alpha * np.eye(d), scatter[:d, d])
+        table[f] = F.array(*[F.lit(float(v)) for v in (*w, mean[d] - mean[:d] @ w)])
+    row_w = F.element_at(F.create_map(*[c for f in sorted(table) for c in (F.lit(f), table[f])]), F.col(FIT_FOLD))
+    with_one = F.concat(x, F.array(F.lit(1.0)))
+    return rows.withColumn("y_pred", F.aggregate(F.zip_with(with_one, row_w, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
 
 
 def _elasticnet(train: DataFrame, p: dict):
@@ -234,7 +260,7 @@ def register(family: ModelFamily) -> ModelFamily:
     return family
 
 
-register(ModelFamily("ridge", "regression", scores=_ridge, params=frozenset({"alpha"}), tunable=False))
+register(ModelFamily("ridge", "regression", scores=_ridge, params=frozenset({"alpha"}), tunable=False, all_folds=True))
 register(ModelFamily("elasticnet", "regression", _elasticnet, params=frozenset({"alpha", "l1_ratio", "max_iter", "tol"}), tunable=False))
 register(ModelFamily("logistic_regression", "binary", _logistic, params=frozenset({"C", "l1_ratio", "class_weight", "max_iter", "tol"})))
 for _task in ("regression", "binary"):
