@@ -117,6 +117,14 @@ def category_stats(spark, sf_dir, cols=None, y_col=None, fold_col="fold"):
     return _CS_CACHE[key]
 
 
+def release_statistics() -> None:
+    """Drop the statistics that queries of a session share."""
+    for cache in (_NS_CACHE, _CS_CACHE):
+        for stats in cache.values():
+            stats.release()
+        cache.clear()
+
+
 def sparse_query(spark, sf_dir, fitted):
     out = fitted.transform(ctx(spark, sf_dir), K, ["id", "fit_fold", "role"])
     return cat.sparse_long(out, fitted.names(), ["id", "fit_fold", "role"])
@@ -433,7 +441,7 @@ def optimization_summary(spark, sf_dir):
 def _refresh_inputs(spark, sf_dir):
     parsed = rf.parse_remote(fx.remote_submissions(spark, sf_dir))
     events = fx.tracked_events(spark, sf_dir)
-    canon = ld.canonical_lookup(*_ledger(spark, sf_dir)).where(F.col("n_canonical") >= 1).select("candidate_id")
+    canon = ld.canonical_runs(*_ledger(spark, sf_dir)).select("candidate_id").distinct()
     return parsed, events, canon
 
 

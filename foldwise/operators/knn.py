@@ -7,7 +7,9 @@ every (query block, reference block) unit is one co-grouped task in which
 numpy computes the distances of that block pair and keeps the k best per
 query; a final window keeps the k best per query over its reference blocks
 (k x #blocks rows). No task holds more than two blocks, and only k rows per
-query and block leave a task. Work is the inherent n x m of exact search.
+query and block leave a task. Blocks are sized by memory, so a vector travels once
+per block of the other side: n * m / block rows in all. Work is the inherent n x m
+of exact search.
 
 ``pivot``: triangle-inequality pruning, for low-dimensional or clustered data
 where it skips most pairs (on isotropic high-dimensional data, e.g. 64-d
@@ -37,6 +39,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Vectors of one block, as doubles; a task holds a query block and a reference block.
+BLOCK_BYTES = 32 << 20
+
+
 def sq_dist(a: Column, b: Column) -> Column:
     """Squared Euclidean distance of two numeric arrays (double arithmetic)."""
     diffs = F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))
@@ -45,7 +51,7 @@ def sq_dist(a: Column, b: Column) -> Column:
 
 def knn_join(data: DataFrame, id_col: str, vec_col: str, k: int = 5, *, method: str = "blocked",
              queries: DataFrame | None = None, exclude_self: bool = True, tie_digits: int = 9,
-             block_rows: int = 4096, seed: int = 42, n_pivots: int | None = None) -> DataFrame:
+             block_rows: int | None = None, seed: int = 42, n_pivots: int | None = None) -> DataFrame:
     if method == "blocked":
         return knn_blocked(data, id_col, vec_col, k, queries=queries, exclude_self=exclude_self,
                            tie_digits=tie_digits, block_rows=block_rows)
@@ -54,13 +60,16 @@ def knn_join(data: DataFrame, id_col: str, vec_col: str, k: int = 5, *, method:
 
 
 def knn_blocked(data: DataFrame, id_col: str, vec_col: str, k: int = 5, *, queries: DataFrame | None = None,
-                exclude_self: bool = True, tie_digits: int = 9, block_rows: int = 4096) -> DataFrame:
-    """Blocked exact kNN (see module doc)."""
+                exclude_self: bool = True, tie_digits: int = 9, block_rows: int | None = None) -> DataFrame:
+    """Blocked exact kNN (see module doc). block_rows defaults to what BLOCK_BYTES of vectors hold."""
     import numpy as np
     import pandas as pd
 
     spark = data.sparkSession
     queries = queries if queries is not None else data
+    if block_rows is None:
+        first = data.select(F.size(vec_col).alias("d")).first()
+        block_rows = max(1024, BLOCK_BYTES // (8 * max(1, first["d"] if first else 1)))
     n_ref, n_q = data.count(), queries.count()
     par = spark.sparkContext.defaultParallelism
     b_ref = max(1, -(-n_ref // block_rows))
@@ -91,8 +100,10 @@ def knn_blocked(data: DataFrame, id_col: str, vec_col: str, k: int = 5, *, queri
             if exclude_self:
                 d = np.where(qid[s:s + step, None] == rid[None, :], np.inf, d)
             key = np.floor(d * scale + 0.5)
+            kth = np.partition(key, k - 1, axis=1)[:, k - 1] if key.shape[1] > k else np.full(len(key), np.inf)
             for i in range(d.shape[0]):
-                order = np.lexsort((rid, key[i]))[:k]
+                near = np.flatnonzero(key[i] <= kth[i])  # the k nearest and their ties
+                order = near[np.lexsort((rid[near], key[i, near]))[:k]]
                 order = order[np.isfinite(d[i, order])]
                 out_q.append(np.full(len(order), qid[s + i]))
                 out_r.append(rid[order])

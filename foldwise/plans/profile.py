@@ -158,7 +158,10 @@ def run_summary(train: DataFrame, test: DataFrame, feature_count: int) -> DataFr
         r = df.agg(*aggs).collect()[0]
         rows = r["rows"]
         miss = sum(r[c] / rows for c in cols) / len(cols) if rows else 0.0
-        distinct_rows = df.distinct().count()
+        # rows that share 96 bits of hash are duplicates: two numbers a row are shuffled instead of the whole
+        # row; the hashes skip NULLs, so where they are is hashed too
+        nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols])
+        distinct_rows = df.select(F.xxhash64(nulls, *cols).alias("h"), F.hash(nulls, *cols).alias("g")).distinct().count()
         vals += [(f"{name}_rows", float(rows)), (f"{name}_cols", float(len(cols))),
                  (f"{name}_missing_pct", miss), (f"{name}_duplicate_rows", float(rows - distinct_rows))]
     vals.append(("model_feature_count", float(feature_count)))

@@ -242,7 +242,10 @@ def remote_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remote listing rows as landed text: every 7th description lacks
     candidate=, every 25th row is listed twice; 'view' scores pending (''),
     'signup' public 'nan', 'purchase' private 'None'."""
-    ev = read_table(spark, sf_dir, "events")
+    return _listing(read_table(spark, sf_dir, "events"))
+
+
+def _listing(ev: DataFrame) -> DataFrame:
     e = F.col("event_id")
     cand = F.concat(F.lit("cand_"), (F.col("user_id") % 30).cast("string"))
     sub = F.concat(F.lit("sub_"), e.cast("string"))
@@ -251,7 +254,8 @@ def remote_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat_ws(" | ", F.concat(F.lit("candidate="), cand), F.concat(F.lit("submit="), sub),
                                F.concat(F.lit("metric="), metric)))
     et = F.col("event_type")
-    rows = ev.select(
+    times = F.explode(F.sequence(F.lit(1), F.when(e % 25 == 0, 2).otherwise(1)))
+    return ev.select(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("kaggle_submitted_at"),
         F.concat(F.lit("submission_"), e.cast("string"), F.lit(".csv")).alias("kaggle_file_name"),
         desc.alias("kaggle_description"),
@@ -260,10 +264,8 @@ def remote_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("public_score"),
         F.when(et == "purchase", "None").otherwise(F.format_string("%.4f", F.col("value") * F.lit(0.9)))
         .alias("private_score"),
-        e.alias("_e"),
-    )
-    twice = rows.where(F.col("_e") % 25 == 0)
-    return rows.unionByName(twice).drop("_e")
+        times.alias("_time"),
+    ).drop("_time")
 
 
 def tracked_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,8 +284,6 @@ def observation_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations already stored: every 5th tracked event was seen before with
     exactly the current remote values (so a refresh must not append it again)."""
     from foldwise.streaming import refresh as rf
-    remote = rf.parse_remote(remote_submissions(spark, sf_dir))
     ev = read_table(spark, sf_dir, "events").where((F.col("event_id") % 5 == 0) & (F.col("event_id") % 11 != 0))
-    seen = ev.select(F.concat(F.lit("sub_"), F.col("event_id").cast("string")).alias("submission_event_id"))
-    return (remote.join(seen, "submission_event_id", "left_semi").dropDuplicates(list(rf.SIGNATURE))
+    return (rf.parse_remote(_listing(ev)).dropDuplicates(list(rf.SIGNATURE))
             .select(*rf.OBSERVATION_COLS).withColumn("observed_seq", F.lit(0)))
