@@ -20,32 +20,30 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import _IS_WORD, LOWER, _byte_values, blocks, cut, id_key, join_ranges, prepare, ranged_hash, record_batches, text_buffers, text_key
+from .base import SEPARATORS, cut, id_key, prepare, record_batches, text_key
 
+BLANK = bytes(SEPARATORS)
 SLOTS = 4
 KEY = ["_k1", "_k2"]
 
 
-def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(bytes, starts, ends, first line of each document, key digests 1 and 2, has a key) of a block of documents."""
-    at = int(offsets[0])
-    data, offsets = data[at:int(offsets[-1])], offsets - at
-    breaks = np.flatnonzero(data == 0x0A)
-    starts = np.sort(np.concatenate([offsets[:-1], breaks + 1]), kind="stable")
-    ends = np.sort(np.concatenate([breaks, offsets[1:]]), kind="stable")
-    # documents in order: each begins one line, every break one more
-    first = np.concatenate([[0], np.cumsum(1 + np.diff(np.searchsorted(breaks, offsets)))])
-    inner = np.flatnonzero(_IS_WORD[data])
-    lo, hi = np.searchsorted(inner, starts), np.searchsorted(inner, ends)
-    has = hi > lo
-    safe = np.concatenate([inner, [0]])
-    begin, end = np.where(has, safe[np.minimum(lo, len(inner))], 0), np.where(has, safe[hi - 1] + 1, 0)
-    low = LOWER[data]
-    k1, k2 = (ranged_hash(_byte_values(lane)[low], begin, end, lane).view(np.int64) for lane in (0, 1))
-    return data, starts, ends, first, k1, k2, has
+def line_keys(text: bytes) -> list[bytes]:
+    """The key of every line: A-Z lower-cased (bytes.lower does no more), separators stripped at both ends."""
+    return [line.strip(BLANK) for line in text.lower().split(b"\n")]
+
+
+def texts(column: pa.Array) -> list[bytes]:
+    """UTF-8 of a string column; null counts as empty."""
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+
+
+def digests(keys: list[bytes]) -> np.ndarray:
+    """128-bit digests as rows of two signed numbers."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, keys)), dtype=np.int64).reshape(-1, 2)
 
 
 class Cuckoo:
@@ -107,21 +105,15 @@ class Cuckoo:
 def _postings(batches, filters=None, shards: int = 1):
     """The distinct line keys of each document; with filters, only those that pass."""
     for batch in batches:
-        ids, keys = batch.column("_id").to_numpy(), batch.column("_th").to_numpy()
-        out = {n: [] for n in ("_id", "_th", *KEY)}
-        data, off = text_buffers(batch.column("text"))
-        for lo, hi in blocks(off):
-            _, _, _, first, k1, k2, has = lines(data, off[lo:hi + 1])
-            doc = np.repeat(np.arange(lo, hi), np.diff(first))
-            if filters is not None:
-                has = has & _probe(filters.value, shards, k1, k2)
-            k1, k2, doc = k1[has], k2[has], doc[has]
-            order = np.lexsort((k2, k1, doc))
-            k1, k2, doc = k1[order], k2[order], doc[order]
-            new = np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (doc[1:] != doc[:-1])][:len(doc)]
-            for name, x in (("_id", ids[doc]), ("_th", keys[doc]), ("_k1", k1), ("_k2", k2)):
-                out[name].append(x[new])
-        yield from record_batches(out, list(out))
+        ids, rows = batch.column("_id").to_numpy(), batch.column("_th").to_numpy()
+        keys = [set(line_keys(t)) - {b""} for t in texts(batch.column("text"))]
+        doc = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+        found = digests([key for of_doc in keys for key in of_doc])
+        k1, k2 = np.ascontiguousarray(found[:, 0]), np.ascontiguousarray(found[:, 1])
+        if filters is not None:
+            passed = _probe(filters.value, shards, k1, k2)
+            doc, k1, k2 = doc[passed], k1[passed], k2[passed]
+        yield from record_batches({"_id": [ids[doc]], "_th": [rows[doc]], "_k1": [k1], "_k2": [k2]}, ["_id", "_th", *KEY])
 
 
 def _probe(tables: dict[int, bytes], shards: int, k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
@@ -136,21 +128,23 @@ def _probe(tables: dict[int, bytes], shards: int, k1: np.ndarray, k2: np.ndarray
 
 def _rewrite(batches):
     for batch in batches:
-        data, off = text_buffers(batch.column("text"))
-        hot = batch.column("_hot")
-        for lo, hi in blocks(off):
-            part, starts, ends, first, k1, k2, has = lines(data, off[lo:hi + 1])
-            drop = np.zeros(len(starts), dtype=bool)
-            for i in range(lo, hi):
-                if hot[i].is_valid:
-                    a, b = first[i - lo], first[i - lo + 1]
-                    struct = hot[i].values
-                    drop[a:b] = has[a:b] & np.isin(k1[a:b], struct.field("_k1").to_numpy()) & np.isin(k2[a:b], struct.field("_k2").to_numpy())
-            kept = np.concatenate([[0], np.cumsum(~drop)])[first]
-            text = join_ranges(part, starts[~drop], (ends - starts)[~drop], kept, 0x0A)
-            total = np.diff(first)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in batch.schema.names if c not in ("text", "_hot")), pa.array(total), pa.array(total - np.diff(kept)), text],
-                                             [*(c for c in batch.schema.names if c not in ("text", "_hot")), "n_lines", "n_dropped", "kept_text"])
+        hot, total, dropped, kept = batch.column("_hot"), [], [], []
+        for i, text in enumerate(texts(batch.column("text"))):
+            total.append(text.count(b"\n") + 1)
+            if hot[i].is_valid:
+                struct = hot[i].values
+                numbers = zip(*(struct.field(k).to_pylist() for k in KEY), strict=True)
+                gone = {a.to_bytes(8, "little", signed=True) + b.to_bytes(8, "little", signed=True) for a, b in numbers}
+                lines = text.split(b"\n")
+                stay = [line for line, key in zip(lines, line_keys(text), strict=True) if not key or xxhash.xxh3_128_digest(key) not in gone]
+                text = b"\n".join(stay)
+                dropped.append(len(lines) - len(stay))
+            else:
+                dropped.append(0)
+            kept.append(text)
+        names = [c for c in batch.schema.names if c not in ("text", "_hot")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(total, pa.int64()), pa.array(dropped, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+                                         [*names, "n_lines", "n_dropped", "kept_text"])
 
 
 def _update(old: pd.DataFrame, change: pd.DataFrame) -> pd.DataFrame:
