@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foldwise.session import ship_package
+
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that one numpy pass handles; documents are never cut, so a longer one is a block by itself.
 BLOCK_BYTES = 1 << 20
@@ -30,7 +32,8 @@ LOWER[65:91] += 32
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches that go to Python, by rows and bytes, and make sure that a checkpoint folder is set."""
+    """Bound the Arrow batches that go to Python, by rows and bytes, send the package to the workers, and make sure that a checkpoint folder is set."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     shared_dir(spark)
