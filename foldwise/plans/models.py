@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.operators.base import FIT_FOLD
+from foldwise.session import ship_package
 
 WEIGHT = "_weight"
 
@@ -106,6 +107,7 @@ def _ridge(train: DataFrame, rows: DataFrame, p: dict) -> DataFrame:
     collinear, which the iterative solvers meet only to their tolerance. train and rows hold
     one or several fit folds (``fit_fold``): moments of all of them come from one pass, are
     merged on the executors (tree reduce), and the driver gets one matrix a fold."""
+    ship_package(train.sparkSession)
     alpha = float(p.get("alpha", 1.0))
     x = vector_to_array("features")
     d = len(train.select("features").first()["features"])
