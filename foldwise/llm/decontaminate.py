@@ -33,7 +33,11 @@ from .base import Words, blocks, prepare, ranged_hash, record_batches, splitmix,
 #: Words between the window starts of a document.
 STRIDE = 4
 #: (steps of the walk, sampled steps) of each walk's bands: short ones stand edits better, long ones are more selective.
-BANDS = ((8, 6), (14, 5), (22, 5))
+BANDS = ((8, 6), (14, 5), (22, 5), (4, 3))
+#: The last band is for items of fewer words than this only.
+SHORT_ITEM = 16
+#: From so many words on, some window start of an exact copy fits the first band's walk; shorter items are also looked up whole.
+SURE_WORDS = 8 + STRIDE - 1
 STEPS = max(t for t, _ in BANDS)
 MOST_WALKS = 12
 
@@ -51,11 +55,13 @@ class ItemTable:
     offset: np.ndarray
     seen: np.ndarray
     short: dict[int, tuple[np.ndarray, np.ndarray]]
+    bands: list[int]
 
 
-def band_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, walk: int):
+def band_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, walk: int, bands: list[int] | None = None):
     """(band key, whether the walk stayed inside its text until the band's last step) for each band of one walk."""
     rng = np.random.default_rng(1000 + walk)
+    wanted = range(len(BANDS)) if bands is None else bands
     picks = [np.sort(rng.choice(t, size=k, replace=False)) for t, k in BANDS]
     coins = splitmix(words ^ np.uint64(splitmix(np.array([walk + 1], np.uint64))[0]))
     padded = np.concatenate([words, [np.uint64(0)]])
@@ -63,14 +69,14 @@ def band_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, walk: int
     at = starts.copy()
     keys = [np.full(len(starts), (b + 1) * 0x9E3779B9 + walk, dtype=np.uint64) for b in range(len(BANDS))]
     inside = [np.ones(len(starts), dtype=bool) for _ in BANDS]
-    for step in range(STEPS):
+    for step in range(max((int(picks[b][-1]) + 1 for b in wanted), default=0)):
         here = padded[at]
-        for b, chosen in enumerate(picks):
-            if step in chosen:
+        for b in wanted:
+            if step in picks[b]:
                 keys[b] = keys[b] * np.uint64(0xD1342543DE82EF95) + here
                 inside[b] = at < ends
         at = np.minimum(at + ((coins[at] >> np.uint64(step)) & np.uint64(1)).astype(np.int64), ends)
-    return [splitmix(k) for k in keys], inside
+    return [splitmix(keys[b]) for b in wanted], [inside[b] for b in wanted]
 
 
 def infix_distance(item: np.ndarray, text: np.ndarray) -> int:
@@ -128,7 +134,8 @@ def plan_walks(words: list[np.ndarray], rate: float, recall: float, sample: int
             starts = np.arange(t % STRIDE, len(edited), STRIDE)
             theirs, inside = band_keys(w, np.arange(len(w)), np.full(len(w), len(w)), walk)
             ours, _ = band_keys(tail, starts, np.full(len(starts), len(tail)), walk)
-            found[t] = any(np.isin(a[ok], b).any() for a, ok, b in zip(theirs, inside, ours, strict=True))
+            use = len(BANDS) if len(w) < SHORT_ITEM else len(BANDS) - 1
+            found[t] = any(np.isin(a[ok], b).any() for a, ok, b in list(zip(theirs, inside, ours, strict=True))[:use])
         if found.mean() >= recall:
             return walk + 1
     return MOST_WALKS
@@ -142,14 +149,17 @@ def item_words(texts: list[str | None]) -> list[np.ndarray]:
 
 
 def build_table(ids: list, words: list[np.ndarray], rate: float, walks: int) -> ItemTable:
-    keys, item, offset = [], [], []
+    keys, item, offset, bands = [], [], [], set()
     for i, w in enumerate(words):
         if int(rate * len(w)) < 1:
             continue
         for walk in range(walks):
             found, inside = band_keys(w, np.arange(len(w)), np.full(len(w), len(w)), walk)
-            for k, ok in zip(found, inside, strict=True):
+            for b, (k, ok) in enumerate(zip(found, inside, strict=True)):
+                if b == len(BANDS) - 1 and len(w) >= SHORT_ITEM:
+                    continue
                 at = np.flatnonzero(ok)
+                bands.add(b)
                 keys.append(k[at])
                 item.append(np.full(len(at), i, dtype=np.int32))
                 offset.append(at.astype(np.int32))
@@ -159,12 +169,12 @@ def build_table(ids: list, words: list[np.ndarray], rate: float, walks: int) ->
     seen = np.zeros(1 << 20, dtype=bool)
     seen[(keys >> np.uint64(44)).astype(np.int64)] = True
     short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for n in sorted({len(w) for w in words if 0 < len(w) and int(rate * len(w)) < 1}):
+    for n in sorted({len(w) for w in words if 0 < len(w) and (int(rate * len(w)) < 1 or len(w) < SURE_WORDS)}):
         rows = np.array([i for i, w in enumerate(words) if len(w) == n], dtype=np.int32)
         h = np.array([ranged_hash(words[i], np.array([0]), np.array([n]), 1)[0] for i in rows], dtype=np.uint64)
         turn = np.argsort(h)
         short[n] = (h[turn], rows[turn])
-    return ItemTable(words, ids, walks, rate, keys[order], item, offset, seen, short)
+    return ItemTable(words, ids, walks, rate, keys[order], item, offset, seen, short, sorted(bands))
 
 
 def _equal_ranges(sorted_keys: np.ndarray, probe: np.ndarray):
@@ -192,7 +202,7 @@ def block_matches(w: Words, table: ItemTable) -> list[tuple[int, int, int]]:
         ends = w.first[doc_of[starts] + 1]
         hits = set()
         for walk in range(table.walks):
-            keys, _ = band_keys(h, starts, ends, walk)
+            keys, _ = band_keys(h, starts, ends, walk, table.bands)
             for k in keys:
                 maybe = np.flatnonzero(table.seen[(k >> np.uint64(44)).astype(np.int64)])
                 which, key = _equal_ranges(table.keys, k[maybe])
@@ -258,9 +268,9 @@ def _tables(items: DataFrame, rate: float, recall: float, max_table_bytes: int):
 def find_contaminated(docs: DataFrame, items: DataFrame, rate: float = 0.2, recall: float = 0.95, max_table_bytes: int = 256 << 20) -> DataFrame:
     """One row per document and item that it contains: doc_id, item_id, distance (word edits), item_words.
 
-    Documents and items that are null, empty or without words match nothing. Items
-    of fewer words than 1/rate must occur exactly and are found always; for the
-    others recall is the target, and no pair beyond the edit bound is ever
+    Documents and items that are null, empty or without words match nothing. Exact
+    copies are found always, and items of fewer words than 1/rate must be exact; for
+    edited copies recall is the target, and no pair beyond the edit bound is ever
     returned. Repeated documents and repeated items give a row each; a null
     doc_id or item_id is returned as null. Only doc_id, text and item_id, text
     are read. distance is the least found among the verified places."""

@@ -3,7 +3,7 @@ import random
 import re
 
 import pytest
-from conftest import documents, prose
+from llm_data import clashing, documents, nothing, odd, prose  # noqa: F401
 
 from foldwise.llm.chat_format import CONTROL, conversation_digests, format_conversations, read_back, unescape
 from foldwise.llm.pii import BASE, find_pii

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import documents, prose
+from llm_data import clashing, documents, nothing, odd, prose  # noqa: F401
 
 from foldwise.llm.exact_dedup import HashIndex, dedup_exact, directory
 from foldwise.llm.line_dedup import Cuckoo, LineIndex, dedup_lines

@@ -1,7 +1,7 @@
 import re
 
 import pytest
-from conftest import documents, prose
+from llm_data import clashing, documents, nothing, odd, prose  # noqa: F401
 
 from foldwise.llm.mixing import mix_sources
 from foldwise.llm.url_filter import DigestArray, filter_urls

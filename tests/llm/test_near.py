@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import documents, prose
+from llm_data import clashing, documents, nothing, odd, prose  # noqa: F401
 
 from foldwise.llm import jaccard_join
 from foldwise.llm.decontaminate import drop_contaminated, find_contaminated, infix_distance
