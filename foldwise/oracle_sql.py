@@ -645,7 +645,7 @@ SELECT candidate_id, fold, '{metric}' AS metric_name, {R(METRIC_SQL[metric], dig
 FROM {src} GROUP BY candidate_id, fold"""
 
 
-for _m, _d in (("rmse", 4), ("mse", 1), ("mae", 4), ("rmsle", 4)):
+for _m, _d in (("rmse", 4), ("mse", 1), ("mae", 2), ("rmsle", 4)):
     QUERIES[f"metric_{_m}"] = _fold_metric_sql("oof", _m, _d)
 QUERIES["metric_logloss"] = _fold_metric_sql("oofb", "log_loss", 9)
 QUERIES["metric_accuracy"] = _fold_metric_sql("oofb", "accuracy", 9)
