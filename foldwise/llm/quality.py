@@ -39,9 +39,8 @@ class Model:
     neighbours: int
     power: float
 
-    def project(self, counts: np.ndarray) -> np.ndarray:
-        rows = np.log1p(counts) * self.idf
-        out = rows @ self.axes
+    def project(self, logs: np.ndarray) -> np.ndarray:
+        out = (logs * self.idf) @ self.axes
         return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
     def score(self, counts: np.ndarray, block: int = 128) -> np.ndarray:
@@ -54,7 +53,7 @@ class Model:
         k = min(self.neighbours, len(self.labels))
         for lo in range(0, len(rows), block):
             part = rows[lo:lo + block]
-            near = self.project(counts[part]) @ self.vectors.T
+            near = self.project(np.log1p(counts[part])) @ self.vectors.T
             top = np.argpartition(near, len(self.labels) - k, axis=1)[:, -k:]
             weight = np.clip(np.take_along_axis(near, top, axis=1), 1e-6, 1).astype(np.float64) ** self.power
             out[part] = np.clip((weight * self.labels[top]).sum(axis=1) / weight.sum(axis=1), 0, 1)
@@ -94,7 +93,8 @@ def _train_rows(batches):
         data, off = text_buffers(batch.column("text"))
         for lo, hi in blocks(off):
             counts = term_counts(Words(data, off[lo:hi + 1]))
-            yield pa.RecordBatch.from_arrays([batch.column("label").slice(lo, hi - lo), batch.column("turn").slice(lo, hi - lo), pa.array([x.tobytes() for x in counts.astype(np.float16)], pa.binary())], ["label", "turn", "counts"])
+            logs = np.log1p(counts).astype(np.float16)  # counts themselves would be infinite from 65,520 on
+            yield pa.RecordBatch.from_arrays([batch.column("label").slice(lo, hi - lo), batch.column("turn").slice(lo, hi - lo), pa.array([x.tobytes() for x in logs], pa.binary())], ["label", "turn", "logs"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = 4000, dimensions: int = 48, neighbours: int = 25, power: float = 4.0) -> Model:
@@ -106,13 +106,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     chosen = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).select(F.col("doc_id"), F.col(label).cast("double").alias("label"), turn.alias("turn"))
     chosen = chosen.orderBy("turn", "doc_id", "label").limit(sample)  # at most sample rows: small enough to broadcast
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "turn", "text")
-    found = rows.mapInArrow(_train_rows, "label double, turn long, counts binary").toPandas().sort_values(["turn", "label"], kind="stable")
+    found = rows.mapInArrow(_train_rows, "label double, turn long, logs binary").toPandas().sort_values(["turn", "label"], kind="stable")
     if not len(found):
         return Model(np.ones(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), neighbours, power)
-    counts = np.stack([np.frombuffer(x, np.float16) for x in found["counts"]]).astype(np.float32)
+    logs = np.stack([np.frombuffer(x, np.float16) for x in found["logs"]]).astype(np.float32)
     y = found["label"].to_numpy(dtype=np.float64)
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 0.1
-    rows = np.log1p(counts) * idf
+    idf = np.log((1 + len(logs)) / (1 + (logs > 0).sum(axis=0))).astype(np.float32) + 0.1
+    rows = logs * idf
     rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
     # leading singular vectors by subspace iteration
     basis = np.random.default_rng(5).standard_normal((rows.shape[1], min(dimensions + 8, *rows.shape))).astype(np.float32)
@@ -121,7 +121,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     _, _, right = np.linalg.svd(rows @ basis, full_matrices=False)
     axes = (basis @ right.T)[:, :dimensions].astype(np.float32)
     model = Model(idf, axes, np.zeros((0, axes.shape[1]), np.float32), y, neighbours, power)
-    model.vectors = model.project(counts).astype(np.float32)
+    model.vectors = model.project(logs).astype(np.float32)
     return model
 
 

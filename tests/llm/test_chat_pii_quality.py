@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from llm_data import clashing, documents, nothing, odd, prose  # noqa: F401
 
@@ -157,3 +158,11 @@ def test_quality_odd_rows(spark, labelled, odd, nothing, clashing):
     assert score_documents(nothing, model).count() == 0
     blank = fit(docs, labels.where("false"))
     assert {r.score for r in score_documents(odd, blank).collect()} == {0.5}
+
+
+def test_very_long_labelled_document(spark, labelled):
+    docs, labels = labelled
+    long = documents(spark, ["word " * 100_000, " ".join(prose(50_000, 77).split() * 2)], [900, 901])
+    model = fit(docs.union(long), labels.union(spark.createDataFrame([(900, 0, None), (901, 1, None)], labels.schema)))
+    assert len(model.labels) == 162 and np.isfinite(model.vectors).all() and np.isfinite(model.axes).all()
+    assert all(0 <= r.score <= 1 for r in score_documents(docs.union(long), model).collect())
