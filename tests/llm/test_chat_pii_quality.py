@@ -166,3 +166,12 @@ def test_very_long_labelled_document(spark, labelled):
     model = fit(docs.union(long), labels.union(spark.createDataFrame([(900, 0, None), (901, 1, None)], labels.schema)))
     assert len(model.labels) == 162 and np.isfinite(model.vectors).all() and np.isfinite(model.axes).all()
     assert all(0 <= r.score <= 1 for r in score_documents(docs.union(long), model).collect())
+
+
+def test_repeated_rows_of_a_labelled_document(spark, labelled):
+    docs, labels = labelled
+    again = documents(spark, ["Another text. " + prose(40, 5)] + ["W8 " * 60] * 500, [8] * 501)
+    once, often = fit(docs, labels), fit(docs.union(again).repartition(7), labels)
+    assert len(once.labels) == len(often.labels) == 160
+    rows = [{r.doc_id: r.score for r in score_documents(docs, m).collect()} for m in (once, fit(docs.union(docs.where("doc_id = 8")), labels))]
+    assert all(abs(rows[0][i] - rows[1][i]) < 1e-4 for i in rows[0])
