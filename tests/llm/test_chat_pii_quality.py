@@ -175,3 +175,15 @@ def test_repeated_rows_of_a_labelled_document(spark, labelled):
     assert len(once.labels) == len(often.labels) == 160
     rows = [{r.doc_id: r.score for r in score_documents(docs, m).collect()} for m in (once, fit(docs.union(docs.where("doc_id = 8")), labels))]
     assert all(abs(rows[0][i] - rows[1][i]) < 1e-4 for i in rows[0])
+
+
+@pytest.mark.parametrize("good,bad", [("river stone winter garden letter window", "casino bonus cheap pills click winner"), ("река камень зима сад письмо окно", "казино бонус дёшево таблетки жми выигрыш"), ("河石冬园信窗山水", "赌奖药买赢钱点击")])
+def test_words_of_one_shape_are_told_apart(spark, good, bad):
+    rng, texts = random.Random(3), []
+    for i in range(120):
+        words = (good if i % 2 else bad).split()
+        texts.append("".join(rng.choices(words[0], k=50)) if len(words) == 1 else " ".join(rng.choices(words, k=40)))
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    rows = {r.doc_id: r.score for r in score_documents(docs, fit(docs, labels)).collect()}
+    assert all((rows[i] >= 0.5) == bool(i % 2) for i in range(80, 120))
