@@ -21,7 +21,7 @@ more items make more passes over the documents, with the same results.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,7 @@ MOST_WALKS = 12
 
 @dataclass
 class ItemTable:
-    """Items as word hashes, their band keys, and keys of whole items too short for an edit."""
+    """Items as word hashes, their band keys, keys of whole items too short for an edit, and by length the keys of pieces."""
 
     words: list[np.ndarray]
     ids: list
@@ -56,6 +56,7 @@ class ItemTable:
     seen: np.ndarray
     short: dict[int, tuple[np.ndarray, np.ndarray]]
     bands: list[int]
+    pieces: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def band_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, walk: int, bands: list[int] | None = None):
@@ -118,27 +119,33 @@ def _edited(words: np.ndarray, edits: int, rng) -> np.ndarray:
     return np.array(out, dtype=np.uint64)
 
 
-def plan_walks(words: list[np.ndarray], rate: float, recall: float, sample: int = 150) -> int:
-    """The least number of walks that finds the target share of edited items; simulated on up to ``sample`` items at every alignment."""
+@lru_cache(maxsize=None)
+def plan_walks(n: int, rate: float, recall: float) -> int:
+    """The least number of walks that finds the target share of edited items of n words, at every alignment; 0 if MOST_WALKS don't.
+
+    Simulated on random words, so the plan of a length is the same whatever items stand beside it."""
+    edits = int(rate * n)
     rng = np.random.default_rng(7)
-    texts = [w for w in words if int(rate * len(w)) >= 1][:sample]
-    if not texts:
-        return 1
-    trials = [(w, _edited(w, int(rate * len(w)), rng)) for w in texts for _ in range(2)]
-    found = np.zeros(len(trials), dtype=bool)
+    trials = min(max(20_000 // n, 50), 400)
+    items = [rng.integers(1, 1 << 63, size=n).astype(np.uint64) for _ in range(trials)]
+    edited = [_edited(w, edits, rng) for w in items]
+    words, at = np.concatenate(items), np.arange(trials * n)
+    size = np.array([len(x) for x in edited])
+    tails = rng.integers(1, 1 << 63, size=(trials, STEPS)).astype(np.uint64)
+    text = np.concatenate([part for x in zip(edited, tails, strict=True) for part in x])
+    first = np.cumsum(size + STEPS) - size - STEPS
+    trial = np.repeat(np.arange(trials), size)
+    place = np.arange(len(trial)) - (np.cumsum(size) - size)[trial]
+    found = np.zeros((trials, STRIDE), dtype=bool)
     for walk in range(MOST_WALKS):
-        for t, (w, edited) in enumerate(trials):
-            if found[t]:
-                continue
-            tail = np.concatenate([edited, rng.integers(1, 1 << 63, size=STEPS).astype(np.uint64)])
-            starts = np.arange(t % STRIDE, len(edited), STRIDE)
-            theirs, inside = band_keys(w, np.arange(len(w)), np.full(len(w), len(w)), walk)
-            ours, _ = band_keys(tail, starts, np.full(len(starts), len(tail)), walk)
-            use = len(BANDS) if len(w) < SHORT_ITEM else len(BANDS) - 1
-            found[t] = any(np.isin(a[ok], b).any() for a, ok, b in list(zip(theirs, inside, ours, strict=True))[:use])
+        theirs, inside = band_keys(words, at, (at // n + 1) * n, walk)
+        ours, _ = band_keys(text, first[trial] + place, (first + size + STEPS)[trial], walk)
+        for a, ok, b in list(zip(theirs, inside, ours, strict=True))[:len(BANDS) if n < SHORT_ITEM else len(BANDS) - 1]:
+            hit = np.isin(splitmix(b + trial.astype(np.uint64)), splitmix(a[ok] + (at[ok] // n).astype(np.uint64)))
+            found[trial[hit], place[hit] % STRIDE] = True
         if found.mean() >= recall:
             return walk + 1
-    return MOST_WALKS
+    return 0
 
 
 def item_words(texts: list[str | None]) -> list[np.ndarray]:
@@ -148,11 +155,19 @@ def item_words(texts: list[str | None]) -> list[np.ndarray]:
     return [h[a:b] for a, b in zip(w.first[:-1], w.first[1:], strict=True)]
 
 
-def build_table(ids: list, words: list[np.ndarray], rate: float, walks: int) -> ItemTable:
-    keys, item, offset, bands = [], [], [], set()
+def build_table(ids: list, words: list[np.ndarray], rate: float, recall: float) -> ItemTable:
+    keys, item, offset, bands, most = [], [], [], set(), 0
+    parts: dict[int, list[tuple[int, int, int]]] = {}
     for i, w in enumerate(words):
-        if int(rate * len(w)) < 1:
+        edits = int(rate * len(w))
+        if edits < 1:
             continue
+        walks = plan_walks(len(w), rate, recall)
+        most = max(most, walks)
+        if not walks:
+            cuts = np.linspace(0, len(w), min(edits + 1, len(w)) + 1).astype(np.int64).tolist()
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                parts.setdefault(b - a, []).append((int(ranged_hash(w, np.array([a]), np.array([b]), 1)[0]), i, a))
         for walk in range(walks):
             found, inside = band_keys(w, np.arange(len(w)), np.full(len(w), len(w)), walk)
             for b, (k, ok) in enumerate(zip(found, inside, strict=True)):
@@ -174,7 +189,11 @@ def build_table(ids: list, words: list[np.ndarray], rate: float, walks: int) ->
         h = np.array([ranged_hash(words[i], np.array([0]), np.array([n]), 1)[0] for i in rows], dtype=np.uint64)
         turn = np.argsort(h)
         short[n] = (h[turn], rows[turn])
-    return ItemTable(words, ids, walks, rate, keys[order], item, offset, seen, short, sorted(bands))
+    pieces = {}
+    for n, rows in parts.items():
+        rows.sort()
+        pieces[n] = np.array([x for x, _, _ in rows], np.uint64), np.array([x for _, x, _ in rows], np.int32), np.array([x for _, _, x in rows], np.int32)
+    return ItemTable(words, ids, most, rate, keys[order], item, offset, seen, short, sorted(bands), pieces)
 
 
 def _equal_ranges(sorted_keys: np.ndarray, probe: np.ndarray):
@@ -196,11 +215,15 @@ def block_matches(w: Words, table: ItemTable) -> list[tuple[int, int, int]]:
         for a, i in zip(at[which].tolist(), rows[key].tolist(), strict=True):
             if np.array_equal(h[a:a + n], table.words[i]):
                 best[int(doc_of[a]), i] = 0
+    hits = set()
+    for n, (keys, item, offset) in table.pieces.items():
+        at = w.window_starts(n)
+        which, key = _equal_ranges(keys, ranged_hash(h, at, at + n, 1))
+        hits.update(zip(doc_of[at[which]].tolist(), item[key].tolist(), (at[which] - offset[key]).tolist(), strict=True))
     if len(table.keys) and len(h):
         place = np.arange(len(h)) - w.first[doc_of]
         starts = np.flatnonzero(place % STRIDE == 0)
         ends = w.first[doc_of[starts] + 1]
-        hits = set()
         for walk in range(table.walks):
             keys, _ = band_keys(h, starts, ends, walk, table.bands)
             for k in keys:
@@ -208,15 +231,15 @@ def block_matches(w: Words, table: ItemTable) -> list[tuple[int, int, int]]:
                 which, key = _equal_ranges(table.keys, k[maybe])
                 at = starts[maybe[which]]
                 hits.update(zip(doc_of[at].tolist(), table.item[key].tolist(), (at - table.offset[key]).tolist(), strict=True))
-        for doc, i, begin in sorted(hits):
-            item = table.words[i]
-            most = int(table.rate * len(item))
-            if best.get((doc, i), most + 1) == 0:
-                continue
-            a, b = max(begin - most, int(w.first[doc])), min(begin + len(item) + most, int(w.first[doc + 1]))
-            distance = infix_distance(item, h[a:b])
-            if distance <= most:
-                best[doc, i] = min(distance, best.get((doc, i), distance))
+    for doc, i, begin in sorted(hits):
+        item = table.words[i]
+        most = int(table.rate * len(item))
+        if best.get((doc, i), most + 1) == 0:
+            continue
+        a, b = max(begin - most, int(w.first[doc])), min(begin + len(item) + most, int(w.first[doc + 1]))
+        distance = infix_distance(item, h[a:b])
+        if distance <= most:
+            best[doc, i] = min(distance, best.get((doc, i), distance))
     return [(doc, i, d) for (doc, i), d in sorted(best.items())]
 
 
@@ -246,13 +269,11 @@ def _clean(batches, table):
 def _tables(items: DataFrame, rate: float, recall: float, max_table_bytes: int):
     """The items in broadcast blocks of bounded size. items streams through the driver a block at a time."""
     spark = prepare(items.sparkSession)
-    held, size, walks, made = [], 0, None, False
+    held, size, made = [], 0, False
 
     def flush():
-        nonlocal walks
         words = item_words([t for _, t in held])
-        walks = walks or plan_walks(words, rate, recall)
-        return spark.sparkContext.broadcast(build_table([i for i, _ in held], words, rate, walks))
+        return spark.sparkContext.broadcast(build_table([i for i, _ in held], words, rate, recall))
 
     for row in items.select(F.col("item_id").cast("long").alias("item_id"), "text").toLocalIterator():
         need = 16 * (len(row["text"] or "") // 2 + 1) * len(BANDS) * MOST_WALKS
@@ -270,7 +291,7 @@ def find_contaminated(docs: DataFrame, items: DataFrame, rate: float = 0.2, reca
 
     Documents and items that are null, empty or without words match nothing. Exact
     copies are found always, and items of fewer words than 1/rate must be exact; for
-    edited copies recall is the target, and no pair beyond the edit bound is ever
+    edited copies of items of each length recall is the target, and no pair beyond the edit bound is ever
     returned. Repeated documents and repeated items give a row each; a null
     doc_id or item_id is returned as null. Only doc_id, text and item_id, text
     are read. distance is the least found among the verified places."""

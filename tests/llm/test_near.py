@@ -170,3 +170,28 @@ def test_decontaminate_odd_rows(spark, odd, nothing, clashing):
     assert find_contaminated(odd, none).count() == 0 and find_contaminated(nothing, bench).count() == 0
     assert drop_contaminated(odd, none).count() == odd.count()
     assert drop_contaminated(clashing(odd), bench).columns == clashing(odd).columns
+
+
+def test_short_items_behind_long_ones_reach_the_recall(spark):
+    rng = random.Random(4)
+    items = [prose(40, 100 + i, 10**6) for i in range(160)] + [prose(5 + i % 2, 500 + i, 10**6) for i in range(240)]
+    texts = []
+    for i, item in enumerate(items):
+        words = item.split(" ")
+        at, kind = rng.randrange(len(words)), i % 3
+        words[at:at + (kind != 1)] = [] if kind == 0 else ["edited"]
+        texts.append(f"{prose(rng.randrange(9), 900 + i, 10**6)} {' '.join(words)} {prose(30, 1500 + i, 10**6)}")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in find_contaminated(documents(spark, texts), bench).collect()}
+    assert all((i, i) in found for i in range(160, 400, 2))  # five words: by pieces, exactly
+    assert sum((i, i) in found for i in range(161, 400, 2)) >= 0.93 * 120 and len(found) <= 400
+
+
+@pytest.mark.parametrize("rate", [0.2, 0.5])
+def test_lengths_without_enough_walks_are_found_whole(spark, rate):
+    items = [prose(n, n, 30) for n in (4, 5, 6, 7, 12)]
+    texts = [prose(40, i, 30) for i in range(60)] + [edit(x, 1, i) for i, x in enumerate(items)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.distance for r in find_contaminated(documents(spark, texts), bench, rate=rate, recall=1.1).collect()}
+    want = {(d, i): infix_by_hand(x.split(), t.split()) for d, t in enumerate(texts) for i, x in enumerate(items)}
+    assert found == {p: n for p, n in want.items() if n <= int(rate * len(items[p[1]].split()))}
