@@ -297,7 +297,8 @@ def jaccard_links(docs: DataFrame, size: int, num: int, den: int) -> tuple[DataF
 
     needed = pairs.select(F.col("x").alias("sid")).union(pairs.select("y")).union(large.select("sid")).distinct()
     reps = needed.join(classes, "sid").select("sid", F.col("rep.a").alias("_id"), F.col("rep.b").alias("_th"))
-    sets = cut(base.select("_id", "_th", "text").join(reps, ["_id", "_th"]).select("sid", "text").mapInArrow(partial(_tokens, size=size), "sid long, tokens binary"))
+    once = base.groupBy("_id", "_th").agg(F.first("text").alias("text"))  # repeated rows meet before they are dealt, so each sid has one row
+    sets = cut(once.join(reps, ["_id", "_th"]).select("sid", "text").mapInArrow(partial(_tokens, size=size), "sid long, tokens binary"))
 
     checked = pairs.join(sets.select(F.col("sid").alias("x"), F.col("tokens").alias("tx")), "x").join(sets.select(F.col("sid").alias("y"), F.col("tokens").alias("ty")), "y")
     links = checked.mapInArrow(partial(_verify, num=num, den=den), "a long, b long")

@@ -79,6 +79,19 @@ def test_bitmap_classes_and_frequent_tokens(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in rows) == sorted(components_by_hand(ids, texts, 4, 85, 100))
 
 
+def test_repeated_rows_have_one_set(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(jaccard_join, "cut", lambda df, cut=jaccard_join.cut: made.append(cut(df)) or made[-1])
+    base = prose(60, 41, 10_000)
+    texts = [base] * 2000 + [edit(base, 1, 9)] * 300 + [edit(prose(80, 42, 10_000), k // 2, k) for k in range(80)] * 2
+    ids = [7] * 2000 + [None] * 300 + list(range(100, 180)) * 2
+    rows = jaccard_components(documents(spark, texts, ids).repartition(6), 4, 80, 100).collect()
+    assert sorted(map(str, {(r.doc_id, r.n_shingles, r.component_id) for r in rows})) == sorted(map(str, set(components_by_hand(ids[1999:2001] + ids[2300:2380], texts[1999:2001] + texts[2300:2380], 4, 80, 100))))
+    assert len(rows) == len(texts)
+    sets = next(df for df in made if df.columns == ["sid", "tokens"])
+    assert sets.count() == sets.select("sid").distinct().count() > 2
+
+
 def test_near_odd_rows(spark, odd, nothing, clashing):
     rows = odd.collect()
     got = jaccard_components(clashing(odd), 5, 80, 100).collect()
