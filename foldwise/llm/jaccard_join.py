@@ -173,8 +173,10 @@ def _small_pairs(batches, num: int, den: int):
             rows = np.flatnonzero(kind == c)
             row_at[rows] = np.arange(len(rows))
             width = 64 << int(c)
-            own[c] = data[off[rows][:, None] + np.arange(width)].view(np.uint64)
-            folded[c - 1] = own[c][:, :width // 16] ^ own[c][:, width // 16:]
+            own[c] = folded[c, c] = data[off[rows][:, None] + np.arange(width)].view(np.uint64)
+            for lower in range(c - 1, -1, -1):
+                half = folded[c, lower + 1].shape[1] // 2
+                folded[c, lower] = folded[c, lower + 1][:, :half] ^ folded[c, lower + 1][:, half:]
         out = {"x": [], "y": []}
         live = np.arange(len(n))
         for k in range(1, SMALL):
@@ -185,15 +187,13 @@ def _small_pairs(batches, num: int, den: int):
             i = live[role[live] & (n[live] * den >= num * n[live + k]) & (prev[live] != prev[live + k]) & (sid[live] != sid[live + k])]
             for c in np.unique(kind[i]):
                 a = i[kind[i] == c]
-                for higher in (0, 1):
-                    p = a[kind[a + k] == c + higher]
-                    if len(p):
-                        right = (folded[c] if higher else own[c])[row_at[p + k]]
-                        differ = np.bitwise_count(own[c][row_at[p]] ^ right).sum(axis=1).astype(np.int64)
-                        total = n[p] + n[p + k]
-                        p = p[(total - differ) * (num + den) >= 2 * num * total]
-                        out["x"].append(sid[p])
-                        out["y"].append(sid[p + k])
+                for higher in np.unique(kind[a + k]):
+                    p = a[kind[a + k] == higher]
+                    differ = np.bitwise_count(own[c][row_at[p]] ^ folded[higher, c][row_at[p + k]]).sum(axis=1).astype(np.int64)
+                    total = n[p] + n[p + k]
+                    p = p[(total - differ) * (num + den) >= 2 * num * total]
+                    out["x"].append(sid[p])
+                    out["y"].append(sid[p + k])
         yield from record_batches(out, ["x", "y"])
 
 

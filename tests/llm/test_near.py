@@ -92,6 +92,15 @@ def test_repeated_rows_have_one_set(spark, monkeypatch):
     assert sets.count() == sets.select("sid").distinct().count() > 2
 
 
+def test_links_between_distant_bitmap_classes(spark):
+    long = prose(4500, 61, 100_000).split(" ")
+    texts = [" ".join(long[:n]) for n in (900, 2100, 4500)]
+    rows = jaccard_components(documents(spark, texts), 4, 15, 100).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in rows) == sorted(components_by_hand([0, 1, 2], texts, 4, 15, 100))
+    rows = jaccard_components(documents(spark, [texts[0], texts[2]]), 4, 15, 100).collect()
+    assert {r.component_id for r in rows} == {0}
+
+
 def test_near_odd_rows(spark, odd, nothing, clashing):
     rows = odd.collect()
     got = jaccard_components(clashing(odd), 5, 80, 100).collect()
