@@ -229,11 +229,24 @@ def _verify(batches, num: int, den: int):
         yield pa.RecordBatch.from_arrays([batch.column("x").filter(pa.array(good)), batch.column("y").filter(pa.array(good))], ["a", "b"])
 
 
+def _marked(mark, code, first, rest) -> np.ndarray:
+    """How many codes of each set in rest, which ascends, are marked."""
+    lo, hi = rest[0], rest[-1] + 1
+    if 4 * len(rest) > hi - lo:
+        return np.add.reduceat(mark[code[first[lo]:first[hi]]], first[lo:hi] - first[lo])[rest - lo]
+    return np.array([mark[code[first[j]:first[j + 1]]].sum() for j in rest])
+
+
 def _forest(sid, n, prev, role, block, sets, num, den) -> list[tuple[int, int]]:
-    """Links of one group that span its components, found by exact counts of one set against all later ones at once."""
+    """Links of one group that span its components, found by the further orders and exact counts of one set against all later ones at once."""
     flat = np.concatenate(sets)
-    _, code = np.unique(flat, return_inverse=True)
+    vocabulary, code = np.unique(flat, return_inverse=True)
     first = np.concatenate([[0], np.cumsum(n)])
+    owner, depth = np.repeat(np.arange(len(n)), n), prefix_lengths(n, num, den)[0]
+    edge, fronts = np.concatenate([[0], np.cumsum(depth)]), []
+    for seed in ORDERS[1:]:
+        turn = np.lexsort((splitmix(vocabulary ^ np.uint64(seed))[code], owner))
+        fronts.append(code[turn[np.arange(len(code)) - first[owner] < depth[owner]]])
     label, links = np.arange(len(n)), []
     mark = np.zeros(int(code.max()) + 1, dtype=np.int32)
     for i in np.flatnonzero(role):
@@ -242,16 +255,16 @@ def _forest(sid, n, prev, role, block, sets, num, den) -> list[tuple[int, int]]:
         rest = rest[(label[rest] != label[i]) & (prev[rest] != prev[i]) & (sid[rest] != sid[i])]
         if block is not None:
             rest = rest[block[rest] != block[i]]
-        if not len(rest):
-            continue
-        mark[code[first[i]:first[i + 1]]] = 1
-        if 4 * len(rest) > hi - i:
-            counts = np.add.reduceat(mark[code[first[i + 1]:first[hi]]], first[i + 1:hi] - first[i + 1])[rest - i - 1]
-        else:
-            counts = np.array([mark[code[first[j]:first[j + 1]]].sum() for j in rest])
-        mark[code[first[i]:first[i + 1]]] = 0
-        for j in rest[counts * den >= num * (n[i] + n[rest] - counts)]:
-            if label[j] != label[i] and all(shares_prefix(sets[i], sets[j], seed, num, den) for seed in ORDERS[1:]):
+        for front, ends in ((fronts[0], edge), (fronts[1], edge), (code, first)):
+            if not len(rest):
+                break
+            mine = front[ends[i]:ends[i + 1]]
+            mark[mine] = 1
+            counts = _marked(mark, front, ends, rest)
+            mark[mine] = 0
+            rest = rest[counts > 0 if front is not code else counts * den >= num * (n[i] + n[rest] - counts)]
+        for j in rest:
+            if label[j] != label[i]:
                 links.append((sid[i], sid[j]))
                 label[label == label[j]] = label[i]
     return links

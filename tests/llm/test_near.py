@@ -101,6 +101,19 @@ def test_links_between_distant_bitmap_classes(spark):
     assert {r.component_id for r in rows} == {0}
 
 
+def test_large_groups_use_the_further_orders_before_counting(monkeypatch):
+    rng = np.random.default_rng(6)
+    sets = [np.unique(np.concatenate([np.arange(1, 3), rng.integers(9, 1 << 40, size=98)])).astype(np.uint64) for _ in range(100)]
+    sets[40] = sets[30].copy()
+    sets[40][-3:] += np.uint64(1)
+    n = np.array([len(x) for x in sets])
+    looked = []
+    monkeypatch.setattr(jaccard_join, "_marked", lambda mark, code, first, rest, f=jaccard_join._marked: looked.append((len(code), len(rest))) or f(mark, code, first, rest))
+    links = jaccard_join._forest(np.arange(100), n, np.arange(100), np.ones(100, bool), None, sets, 80, 100)
+    assert links == [(30, 40)]
+    assert sum(k for size, k in looked if size == n.sum()) < 4950 // 2
+
+
 def test_near_odd_rows(spark, odd, nothing, clashing):
     rows = odd.collect()
     got = jaccard_components(clashing(odd), 5, 80, 100).collect()
