@@ -169,6 +169,41 @@ SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coa
 FROM docs d LEFT JOIN joined j ON d.doc_id = j.doc_id
 """
 
+
+def _op13(rounds: int) -> str:
+    """Rounds of assignment and replacement over all pairs of parts and entries."""
+    steps = ["""
+kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS ints
+  FROM embeddings WHERE len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+pieces AS MATERIALIZED (
+  SELECT vec_id, part, ints[part * len(ints) // 4 + 1:(part + 1) * len(ints) // 4] AS v FROM kept, range(4) AS r(part)),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 256),
+books0 AS MATERIALIZED (SELECT part, entry, v FROM pieces JOIN first USING (vec_id))"""]
+    near = """
+near{0} AS MATERIALIZED (
+  SELECT vec_id, p.part, arg_min(entry, (d, entry)) AS entry, min(d) AS d
+  FROM (SELECT vec_id, p.part, entry, list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM pieces p JOIN books{0} b ON p.part = b.part) AS p GROUP BY vec_id, p.part)"""
+    for i in range(rounds):
+        steps += [near.format(i), f"""
+books{i + 1} AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM books{i} b LEFT JOIN (
+    SELECT part, entry, list(value ORDER BY pos) AS v FROM (
+      SELECT n.part, n.entry, u.pos, floor(sum(p.v[u.pos])::DOUBLE / count(*))::BIGINT AS value
+      FROM near{i} n JOIN pieces p ON n.vec_id = p.vec_id AND n.part = p.part, unnest(range(1, len(p.v) + 1)) AS u(pos) GROUP BY ALL)
+    GROUP BY part, entry) m ON b.part = m.part AND b.entry = m.entry)"""]
+    steps += [near.format(rounds), f"""
+coded AS (
+  SELECT vec_id, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM near{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) FROM books{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)"""]
+    return "WITH " + ",".join(steps)
+
+
+OP13 = _op13(4)
+
 QUERIES = {
     "op1_chat_format": OP1,
     "op2_mix_sources": OP2,
@@ -178,6 +213,7 @@ QUERIES = {
     "op7_line_dedup": OP7,
     "op8_pii": OP8,
     "op10_substring_dedup": OP10,
+    "op13_vector_codes": OP13,
 }
 if corpus_pipeline.ORACLE_SQL:
     QUERIES["pipeline"] = corpus_pipeline.ORACLE_SQL

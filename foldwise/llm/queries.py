@@ -1,4 +1,4 @@
-"""The ten operators applied to the given tables, each over its whole table, and the pipeline."""
+"""The operators applied to the given tables, each over its whole table, and the pipeline."""
 
 from __future__ import annotations
 
@@ -16,6 +16,7 @@ from .pii import BASE, find_pii, span_text
 from .quality import fit, score_documents
 from .substring_dedup import remove_repeats
 from .url_filter import filter_urls
+from .vector_codes import encode_vectors
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -85,6 +86,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = encode_vectors(_read(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024.0)
+    digest = books.sha256 if books else None
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(digest).cast("string").alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_mix_sources": op2_mix_sources,
@@ -96,5 +103,6 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_decontaminate": op9_decontaminate,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
