@@ -170,6 +170,64 @@ FROM docs d LEFT JOIN joined j ON d.doc_id = j.doc_id
 """
 
 
+def _op11() -> str:
+    """Every state's best (cost, audit, lines) to the end, carried from the last turn to the first."""
+    fit, kept = [3, 3, 4, 3], [[2, 3, 0], [0, 3, 0], [0, 0, 4], [0, 3, 0]]
+    role = {3: "user", 4: "assistant"}
+
+    def edit(cost, letter, lines, to, v):
+        return f"{{'c': {cost} + {v}[{to}].c, 'a': '{letter}' || {v}[{to}].a, 'o': {lines} || {v}[{to}].o}}"
+
+    def turn(q):
+        keeps = " ".join(f"WHEN '{r}' THEN [{edit('t', 'K', '[line]', kept[q][i], 'v')}]" for i, r in enumerate("sua") if kept[q][i])
+        rerole = edit("2 + t", "R", f"['{role[fit[q]]}:' || text]", fit[q], "v")
+        return f"list_min([{edit(3, 'D', 'none', q + 1, 'v')}] || CASE WHEN gone THEN [] ELSE [{rerole}] || CASE left(role, 1) {keeps} ELSE [] END END)"
+
+    def insert(q):
+        once, twice = fit[q], fit[fit[q] - 1]
+        one, two = f"['{role[once]}:']", f"['{role[once]}:', '{role[twice]}:']"
+        return f"list_min([w[{q + 1}], {edit(2, 'I', one, once, 'w')}, {edit(4, 'II', two, twice, 'w')}])"
+
+    return rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+bits AS (
+  SELECT *, flatten(list_transform(string_split(key, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])) AS bytes FROM keyed),
+hit AS (
+  SELECT *, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b: xor(xor(c, b) >> 1, 3988292384::BIGINT * (xor(c, b) & 1)))) % 20 AS kind FROM bits),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM hit, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS r(copy)),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+faulty AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+         NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS short, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM ordered),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (WHERE blank) AS blank,
+         count(*) FILTER (WHERE again AND NOT blank) AS duplicate, count(*) FILTER (WHERE short AND NOT again AND NOT blank) AS truncated,
+         count(*) FILTER (WHERE before || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM faulty GROUP BY conv_id),
+steps AS (
+  SELECT conv_id, n + 1 AS i, [{{'c': 0::BIGINT, 'a': '', 'o': []::VARCHAR[]}}, {{'c': 4::BIGINT, 'a': 'II', 'o': ['user:', 'assistant:']}},
+                               {{'c': 2::BIGINT, 'a': 'I', 'o': ['assistant:']}}, {{'c': 0::BIGINT, 'a': '', 'o': []::VARCHAR[]}}] AS v
+  FROM counted
+  UNION ALL
+  SELECT conv_id, i, [{", ".join(insert(q) for q in range(4))}] FROM (
+    SELECT conv_id, i, [{", ".join(turn(q) for q in range(4))}] AS w FROM (
+      SELECT s.conv_id, f.i, s.v, f.role, f.text, f.role || ':' || f.text AS line, f.blank OR f.again AS gone, (f.short)::BIGINT AS t, []::VARCHAR[] AS none
+      FROM steps s JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM s.conv_id AND f.i = s.i - 1))),
+best AS (SELECT conv_id, v[1] AS b FROM steps WHERE i = 1)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(b.c, 0) AS cost, coalesce(b.a, '') AS audit, sha256(coalesce(array_to_string(b.o, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counted d ON c.conv_id IS NOT DISTINCT FROM d.conv_id LEFT JOIN best e ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+OP11 = _op11()
+
+
 def _op13(rounds: int) -> str:
     """Rounds of assignment and replacement over all pairs of parts and entries."""
     steps = ["""
@@ -213,6 +271,7 @@ QUERIES = {
     "op7_line_dedup": OP7,
     "op8_pii": OP8,
     "op10_substring_dedup": OP10,
+    "op11_conversation_repair": OP11,
     "op13_vector_codes": OP13,
 }
 if corpus_pipeline.ORACLE_SQL:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat_format import conversation_digests, format_conversations
+from .conversation_repair import damage, repair_conversations, repair_digests
 from .decontaminate import find_contaminated
 from .exact_dedup import dedup_exact
 from .jaccard_join import jaccard_components
@@ -86,6 +87,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = repair_conversations(damage(_read(spark, sf_dir, "conversations")), copies="copies")
+    return repair_digests(pieces, ordered=True)
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = encode_vectors(_read(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024.0)
     digest = books.sha256 if books else None
@@ -103,6 +109,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_decontaminate": op9_decontaminate,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
