@@ -16,6 +16,7 @@ from .mixing import mix_sources
 from .pii import BASE, find_pii, span_text
 from .quality import fit, score_documents
 from .substring_dedup import remove_repeats
+from .toxicity import fit as fit_toxicity, score_toxicity
 from .url_filter import filter_urls
 from .vector_codes import encode_vectors
 
@@ -92,6 +93,16 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_digests(pieces, ordered=True)
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str):
+    labels = _read(spark, sf_dir, "labels").where(~held_out())
+    return fit_toxicity(_read(spark, sf_dir, "documents"), labels, "toxic")
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_toxicity(_read(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = encode_vectors(_read(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024.0)
     digest = books.sha256 if books else None
@@ -110,6 +121,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_toxicity": op12_toxicity,
     "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
