@@ -283,14 +283,13 @@ def target_stats_binary(spark, sf_dir):
 # ---------------------------------------------------------------- metrics
 def _fold_metric(fixture, metric, digits):
     def run(spark, sf_dir):
-        fm = mt.with_train_rows(mt.fold_metrics(fixture(spark, sf_dir), metric))
+        fm = mt.with_train_rows(mt.fold_metrics(fixture(spark, sf_dir), metric, decimals=4))
         return fm.withColumn("metric_value", rnd("metric_value", digits))
     return run
 
 
-# the mean of 2,400 amounts in cents often ends in half of the fourth digit, where the order of a sum decides
 for _m in ("rmse", "mse", "mae", "rmsle"):
-    QUERIES[f"metric_{_m}"] = _fold_metric(fx.oof_long, _m, {"mse": 1, "mae": 2}.get(_m, 4))
+    QUERIES[f"metric_{_m}"] = _fold_metric(fx.oof_long, _m, 1 if _m == "mse" else 4)
 QUERIES["metric_auc"] = _fold_metric(fx.oof_bin, "roc_auc", 9)
 QUERIES["metric_logloss"] = _fold_metric(fx.oof_bin, "log_loss", 9)
 QUERIES["metric_accuracy"] = _fold_metric(fx.oof_bin, "accuracy", 9)
@@ -554,18 +553,20 @@ def stream_rollup(spark, sf_dir):
 # ---------------------------------------------------------------- models and cross-validation
 from foldwise.operators import knn as kn  # noqa: E402
 from foldwise.plans import evaluate as ev  # noqa: E402
+from foldwise.plans import linear as ln  # noqa: E402
 from foldwise.plans import models as md  # noqa: E402
 
 
-def _features(spark, sf_dir, fold_col, label, with_target=True):
-    """Dense representation: standardized numerics + frequency (+ target) encodings."""
+def _features(spark, sf_dir, fold_col, label, with_target=True, stored=False):
+    """Dense representation: standardized numerics + frequency (+ target) encodings; ``stored``: written once for several models."""
     ns = numeric_stats(spark, sf_dir, fold_col=fold_col)
     cs = category_stats(spark, sf_dir, fold_col=fold_col)
     parts = [num.fit_standardize(ns), cat.fit_frequency(cs)]
     if with_target:
         parts.append(cat.fit_target(category_stats(spark, sf_dir, y_col=label, fold_col=fold_col), 1.0))
     fitted = merge(*parts)
-    return ev.FoldFeatures(fitted, ctx(spark, sf_dir), K, ["id", "fit_fold", "role", label], fold_col), fitted.names()
+    feat = ev.FoldFeatures(fitted, ctx(spark, sf_dir), K, ["id", "fit_fold", "role", label], fold_col)
+    return feat.store() if stored else feat, fitted.names()
 
 
 def _cv(family_name, task, label, fold_col, params=None, with_target=True):
@@ -614,7 +615,7 @@ def knn_cv(spark, sf_dir):
 def leaderboard(spark, sf_dir):
     """Flagship: ridge and random forest CV on the orders fixture plus their
     equal-weight blend, ranked by mean fold RMSE."""
-    feat, names = _features(spark, sf_dir, "fold", "y_reg")
+    feat, names = _features(spark, sf_dir, "fold", "y_reg", stored=True)
     long = []
     for cid, fam, params in (("ridge", "ridge", None),
                              ("random_forest", "random_forest", {"n_estimators": 30, "max_depth": 6})):
@@ -705,7 +706,7 @@ def truth_check(spark, sf_dir):
 @query("tune_trials")
 def tune_trials(spark, sf_dir):
     """Three random-search trials of a random forest, AUC, score-only CV."""
-    feat, names = _features(spark, sf_dir, "sfold", "y_bin")
+    feat, names = _features(spark, sf_dir, "sfold", "y_bin", stored=True)
     fam = md.resolve("random_forest", "binary")
     space = {"max_depth": ("int", 3, 8), "min_samples_leaf": ("int", 1, 20)}
     return tn.tune(feat, names, "y_bin", fam, K, "roc_auc", n_trials=3, space=space,
@@ -755,10 +756,10 @@ def _bounded(oof_rows, lo, hi):
 def regression_families_oof(spark, sf_dir):
     """V5-V9, M2, M4-M8: every regression family over the folds: each training row once per family, with its truth;
     averages of labels (trees) stay within the labels' range."""
-    feat, names = _features(spark, sf_dir, "fold", "y_reg")
+    feat, names = _features(spark, sf_dir, "fold", "y_reg", stored=True)
     r = train(spark, sf_dir).agg(F.min("y_reg"), F.max("y_reg")).first()
     plan = [("elasticnet", {"alpha": 0.1, "max_iter": 50}, None), ("random_forest", {"n_estimators": 5, "max_depth": 4}, r)]
-    plan += [(b, {"n_estimators": 2, "max_depth": 3}, None) for b in md.BOOSTING_IDS]
+    plan += [(b, {"n_estimators": 2, "max_depth": 3}, None) for b in ("gradient_boosted_trees", *md.BOOSTING)]
     parts = [_bounded(ev.oof(ev.cross_validate(feat, names, "y_reg", md.resolve(f, "regression"), K, p, score_only=True)), *(b or (None, None)))
              .withColumn("family", F.lit(f)) for f, p, b in plan]
     return functools.reduce(lambda a, b: a.unionByName(b), parts)
@@ -767,7 +768,7 @@ def regression_families_oof(spark, sf_dir):
 @query("binary_families_oof")
 def binary_families_oof(spark, sf_dir):
     """Every binary family over the stratified folds; scores are probabilities."""
-    feat, names = _features(spark, sf_dir, "sfold", "y_bin")
+    feat, names = _features(spark, sf_dir, "sfold", "y_bin", stored=True)
     plan = [("logistic_regression", {"class_weight": "balanced", "max_iter": 30}), ("random_forest", {"n_estimators": 5, "max_depth": 4}),
             ("gradient_boosted_trees", {"n_estimators": 2, "max_depth": 3}), ("naive_bayes", {}), ("svm", {"max_iter": 10}), ("realmlp", {"hidden": [4], "max_iter": 10})]
     parts = [_bounded(ev.oof(ev.cross_validate(feat, names, "y_bin", md.resolve(f, "binary"), K, p, score_only=True)), 0.0, 1.0)
@@ -777,7 +778,7 @@ def binary_families_oof(spark, sf_dir):
 
 @query("native_trees_oof")
 def native_trees_oof(spark, sf_dir):
-    """Native numerics and nominal categories straight into boosted trees."""
+    """Native numerics (missing values and all) and nominal categories straight into oblivious boosted trees."""
     c, tr = ctx(spark, sf_dir), train(spark, sf_dir)
     numeric, categorical = pf.resolve_feature_types(tr, fx.FEATURES, low_cardinality_int_threshold=20)
     spec = Representation(["native_numeric", "native_categorical"])
@@ -785,8 +786,56 @@ def native_trees_oof(spark, sf_dir):
     md.check_compatibility(family, spec.matrix_kind())
     fr = spec.fit(tr, numeric, categorical, K, "fold", "y_reg")
     keep = ["id", "fit_fold", "role", "y_reg"]
-    preds = ev.cross_validate(lambda f: fr.materialize(fr.transform(c, keep, f), []), None, "y_reg", family, K, {"n_estimators": 2, "max_depth": 3}, score_only=True)
-    return _bounded(ev.oof(preds), None, None)
+    preds = ev.cross_validate(lambda f: fr.materialize(fr.transform(c, keep, f), [], nulls=family.takes_nan), None, "y_reg", family, K,
+                              {"iterations": 2, "depth": 3, "border_count": 32, "learning_rate": 0.3}, score_only=True)
+    return ev.oof(preds).withColumn("y_pred", rnd("y_pred", 3))
+
+
+RAW_NUMERIC = ["acctbal", "avg_qty", "avg_discount", "n_items"]
+
+
+def _raw_features(spark, sf_dir, fold_col, label):
+    """Numeric columns as they are, with their nulls, for every fit fold."""
+    return expand_fits(ctx(spark, sf_dir), K, fold_col).select("id", "fit_fold", "role", label, *RAW_NUMERIC)
+
+
+@query("hist_boosting_cv")
+def hist_boosting_cv(spark, sf_dir):
+    """M7: two rounds of depth-wise histogram trees of all folds, on columns with missing values."""
+    params = {"n_estimators": 2, "max_depth": 2, "max_bin": 16, "learning_rate": 0.5}
+    preds = ev.cross_validate(_raw_features(spark, sf_dir, "fold", "y_reg"), RAW_NUMERIC, "y_reg", md.resolve("xgboost", "regression"), K, params, score_only=True)
+    return ev.oof(preds).withColumn("y_pred", rnd("y_pred", 3))
+
+
+@query("hist_boosting_binary_cv")
+def hist_boosting_binary_cv(spark, sf_dir):
+    """M8, V8: two rounds of oblivious histogram trees with logistic loss on the stratified folds."""
+    params = {"iterations": 2, "depth": 2, "border_count": 16, "learning_rate": 0.5}
+    preds = ev.cross_validate(_raw_features(spark, sf_dir, "sfold", "y_bin"), RAW_NUMERIC, "y_bin", md.resolve("catboost", "binary"), K, params, score_only=True)
+    return ev.oof(preds).withColumn("y_pred", rnd("y_pred", 7))
+
+
+#: (alpha, l1_ratio) of the elastic-net path, strongest first.
+PENALTIES = [(20000.0, 1.0), (2000.0, 0.9), (200.0, 0.5)]
+
+
+@query("elasticnet_path_cv")
+def elasticnet_path_cv(spark, sf_dir):
+    """M2: every fold's solutions along a path of penalties, from the moments of one scan; out-of-fold predictions."""
+    feat, names = _features(spark, sf_dir, "fold", "y_reg", with_target=False, stored=True)
+    table = feat.all_folds().withColumn("label", F.col("y_reg").cast("double"))
+    path = ln.elasticnet_path(ln.fold_moments(table.where("role = 'train'")), PENALTIES)
+    valid = table.where("role = 'valid'")
+    parts = [valid.select("id", F.col("fit_fold").alias("fold"), F.lit(a).alias("alpha"), F.lit(r).alias("l1_ratio"), F.col("label").alias("y_true"), ln.score(valid, w).alias("y_pred")) for (a, r), w in zip(PENALTIES, path, strict=True)]
+    return functools.reduce(lambda a, b: a.unionByName(b), parts).withColumn("y_pred", rnd("y_pred", 2))
+
+
+@query("logistic_newton_cv")
+def logistic_newton_cv(spark, sf_dir):
+    """M3, V8: logistic regression of all folds by Newton steps, balanced classes."""
+    feat, names = _features(spark, sf_dir, "sfold", "y_bin", with_target=False, stored=True)
+    preds = ev.cross_validate(feat, names, "y_bin", md.resolve("logistic_regression", "binary"), K, {"class_weight": "balanced"}, score_only=True)
+    return ev.oof(preds).withColumn("y_pred", rnd("y_pred", 7))
 
 
 @query("blend_summary")

@@ -237,7 +237,7 @@ class FittedRepresentation:
                  .where(F.col("f").isNotNull()).distinct())
         return sorted(r["f"] for r in names.toLocalIterator())
 
-    def materialize(self, transformed: DataFrame, vocabulary: list[str], out: str = "features") -> DataFrame:
+    def materialize(self, transformed: DataFrame, vocabulary: list[str], out: str = "features", nulls: bool = False) -> DataFrame:
         """dense columns first, then one indicator per sparse feature, or one nominal position
         per native categorical column.
 
@@ -245,12 +245,13 @@ class FittedRepresentation:
         the plan does not grow with the number of sparse features. Native categoricals
         are indexed on the training rows (other values get an index of their own) and
         keep their nominal metadata, which trees split by category. Pruned or ineligible
-        dense outputs enter as 0. The vectors of pyspark.ml hold no NaN: a native numeric's
-        null is 0 beside an indicator of its own."""
-        dense = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in self.dense]
-        dense += [F.col(c).isNull().cast("double").alias(f"_null_{c}") for c in self.native_numeric]
+        dense outputs enter as 0. A native numeric's null is NaN for models that learn a side for
+        it (``nulls``); most of pyspark.ml takes no NaN, so there it is 0 beside an indicator of its own."""
+        flags = [] if nulls else self.native_numeric
+        dense = [F.col(c).cast("double").alias(c) if nulls and c in self.native_numeric else F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in self.dense]
+        dense += [F.col(c).isNull().cast("double").alias(f"_null_{c}") for c in flags]
         keep = [c for c in transformed.columns if c not in self.dense]
-        wide, cols = transformed.select(*keep, *dense), [*self.dense, *(f"_null_{c}" for c in self.native_numeric)]
+        wide, cols = transformed.select(*keep, *dense), [*self.dense, *(f"_null_{c}" for c in flags)]
         if vocabulary:
             hot = F.array_compact(F.array(*self.sparse))
             indicators = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_hot", outputCol="_sparse", binary=True)

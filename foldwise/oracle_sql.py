@@ -630,7 +630,7 @@ def oof_ctes() -> list[str]:
 METRIC_SQL = {
     "rmse": "sqrt(avg((y_true - y_pred) * (y_true - y_pred)))",
     "mse": "avg((y_true - y_pred) * (y_true - y_pred))",
-    "mae": "avg(abs(y_true - y_pred))",
+    "mae": "CAST(sum(CAST(abs(y_true - y_pred) AS DECIMAL(28, 4))) AS DOUBLE) / count(*)",
     "rmsle": "sqrt(avg((ln(1 + y_true) - ln(1 + greatest(y_pred, 0))) * (ln(1 + y_true) - ln(1 + greatest(y_pred, 0)))))",
     "log_loss": ("-avg(y_true * ln(least(greatest(y_pred, 2.220446049250313e-16), 1 - 2.220446049250313e-16)) + "
                  "(1 - y_true) * ln(1 - least(greatest(y_pred, 2.220446049250313e-16), 1 - 2.220446049250313e-16)))"),
@@ -645,7 +645,7 @@ SELECT candidate_id, fold, '{metric}' AS metric_name, {R(METRIC_SQL[metric], dig
 FROM {src} GROUP BY candidate_id, fold"""
 
 
-for _m, _d in (("rmse", 4), ("mse", 1), ("mae", 2), ("rmsle", 4)):
+for _m, _d in (("rmse", 4), ("mse", 1), ("mae", 4), ("rmsle", 4)):
     QUERIES[f"metric_{_m}"] = _fold_metric_sql("oof", _m, _d)
 QUERIES["metric_logloss"] = _fold_metric_sql("oofb", "log_loss", 9)
 QUERIES["metric_accuracy"] = _fold_metric_sql("oofb", "accuracy", 9)
@@ -1143,6 +1143,135 @@ QUERIES["ridge_cv"] = _ridge(1.0, 2)
 QUERIES["test_predictions"] = _ridge(1.0, 2, test=True)
 
 
+# ---------------------------------------------------------------- elastic net, logistic regression
+def _dense(fold: str, label: str) -> list[str]:
+    """CTE feat(id, fit_fold, role, y, x0...): standardized numerics and category frequencies of every fit fold."""
+    side = "CASE WHEN ctx.split = 'test' THEN 'test' WHEN ctx.{} = fits.fit_fold THEN 'valid' ELSE 'train' END".format(fold)
+    mom = [f"""mom_{c} AS (
+  SELECT fits.fit_fold, avg(coalesce(s.{c}, med_{c}.q0)) AS mu, stddev_pop(coalesce(s.{c}, med_{c}.q0)) AS sd
+  FROM train s CROSS JOIN fits JOIN med_{c} ON med_{c}.fit_fold = fits.fit_fold WHERE s.{fold} <> fits.fit_fold GROUP BY fits.fit_fold)""" for c in NUMERIC]
+    cnt = [f"cnt_{c} AS (SELECT fits.fit_fold, {norm(c)} AS v, count(*) AS n FROM train s CROSS JOIN fits WHERE s.{fold} <> fits.fit_fold GROUP BY 1, 2)" for c in CATEGORICAL]
+    tot = f"tot AS (SELECT fits.fit_fold, count(*) AS n FROM train s CROSS JOIN fits WHERE s.{fold} <> fits.fit_fold GROUP BY 1)"
+    x = [f"({imp(c)} - mom_{c}.mu) / (CASE WHEN mom_{c}.sd < {EPS10} THEN 1 ELSE mom_{c}.sd END)" for c in NUMERIC]
+    x += [f"coalesce(CAST(cnt_{c}.n AS DOUBLE) / tot.n, 0)" for c in CATEGORICAL]
+    joins = med_joins() + " " + " ".join(f"JOIN mom_{c} ON mom_{c}.fit_fold = e.fit_fold" for c in NUMERIC) + " JOIN tot ON tot.fit_fold = e.fit_fold " + " ".join(
+        f"LEFT JOIN cnt_{c} ON cnt_{c}.fit_fold = e.fit_fold AND cnt_{c}.v = {norm(c, 'e')}" for c in CATEGORICAL)
+    rows = f"expanded_f AS (SELECT ctx.*, fits.fit_fold, {side} AS role FROM ctx CROSS JOIN fits)"
+    feat = f"feat AS MATERIALIZED (SELECT e.id, e.fit_fold, e.role, CAST(e.{label} AS DOUBLE) AS y, {', '.join(f'CAST({v} AS DOUBLE) AS x{i}' for i, v in enumerate(x))} FROM expanded_f e {joins})"
+    return [*median_ctes(fold=fold), *mom, tot, *cnt, rows, feat]
+
+
+DENSE = len(NUMERIC) + len(CATEGORICAL)
+
+
+@q("elasticnet_path_cv")
+def _():
+    """Cyclic coordinate descent on each fold's Gram matrix, a recursion of single steps (every penalty from zero)."""
+    d, sweeps = DENSE, 600
+    means = "mu AS (SELECT fit_fold, count(*) AS n, avg(y) AS y, " + ", ".join(f"avg(x{i}) AS x{i}" for i in range(d)) + " FROM feat WHERE role = 'train' GROUP BY 1)"
+    cross = lambda a, b: f"sum((f.{a} - mu.{a}) * (f.{b} - mu.{b})) / count(*)"
+    gram = ", ".join("[" + ", ".join(cross(f"x{i}", f"x{j}") for j in range(d)) + "]" for i in range(d))
+    grams = f"gram AS (SELECT f.fit_fold, [{gram}] AS g, [{', '.join(cross(f'x{i}', 'y') for i in range(d))}] AS t FROM feat f JOIN mu ON mu.fit_fold = f.fit_fold WHERE f.role = 'train' GROUP BY f.fit_fold)"
+    pen = "pen(alpha, l1_ratio) AS (VALUES (20000.0::DOUBLE, 1.0::DOUBLE), (2000.0, 0.9), (200.0, 0.5))"
+    pull = "t[j] - list_sum(list_transform(g[j], lambda v, k: v * w[k])) + g[j][j] * w[j]"
+    step = f"""cd AS (
+  SELECT fit_fold, alpha, l1_ratio, g, t, 0 AS n, 1 AS j, list_transform(range({d}), lambda k: 0.0::DOUBLE) AS w FROM gram, pen
+  UNION ALL
+  SELECT fit_fold, alpha, l1_ratio, g, t, n + 1, j % {d} + 1, list_transform(w, lambda v, k: CASE WHEN k <> j THEN v WHEN g[j][j] + alpha * (1 - l1_ratio) <= 1e-12 THEN 0
+      ELSE sign(p) * greatest(abs(p) - alpha * l1_ratio, 0) / (g[j][j] + alpha * (1 - l1_ratio)) END)
+  FROM (SELECT *, {pull} AS p FROM cd WHERE n < {sweeps * d})),
+w AS (SELECT fit_fold, alpha, l1_ratio, w FROM cd WHERE n = {sweeps * d})"""
+    pred = "mu.y + " + " + ".join(f"w.w[{i + 1}] * (f.x{i} - mu.x{i})" for i in range(d))
+    return _recursive(ctes(*_dense("fold", "y_reg"), means, grams, pen, step)) + f"""
+SELECT f.id, f.fit_fold AS fold, w.alpha, w.l1_ratio, f.y AS y_true, {R(pred, 2)} AS y_pred
+FROM feat f JOIN mu ON mu.fit_fold = f.fit_fold JOIN w ON w.fit_fold = f.fit_fold WHERE f.role = 'valid'"""
+
+
+@q("logistic_newton_cv")
+def _():
+    """Newton steps written out, each solved by Gauss-Jordan steps over lists."""
+    d, steps = DENSE, 8
+    x = [*(f"f.x{i}" for i in range(d)), "1.0"]
+    parts = ["v AS (SELECT fit_fold, count(*)::DOUBLE AS n, sum(y) AS n1 FROM feat WHERE role = 'train' GROUP BY 1)",
+             "w0 AS (SELECT fit_fold, list_transform(range(" + str(d + 1) + "), lambda k: 0.0::DOUBLE) AS w FROM v)"]
+    for s in range(steps):
+        dot = " + ".join(f"w.w[{i + 1}] * {v}" for i, v in enumerate(x))
+        parts.append(f"""p{s} AS MATERIALIZED (SELECT f.*, w.w, 1 / (1 + exp(-({dot}))) AS p, CASE WHEN f.y = 1 THEN v.n / (2 * v.n1) ELSE v.n / (2 * (v.n - v.n1)) END AS c
+  FROM feat f JOIN w{s} w ON w.fit_fold = f.fit_fold JOIN v ON v.fit_fold = f.fit_fold WHERE f.role = 'train')""")
+        rows = []
+        for i in range(d + 1):
+            row = [f"sum(c * p * (1 - p) * {x[i]} * {x[j]})" + (" + 1.0" if i == j and i < d else "") for j in range(d + 1)]
+            row.append(f"sum(c * (p - y) * {x[i]})" + (f" + any_value(w)[{i + 1}]" if i < d else ""))
+            rows.append("[" + ", ".join(row) + "]")
+        parts.append(f"""gj{s} AS (
+  SELECT f.fit_fold, 0 AS k, any_value(w) AS w, [{', '.join(rows)}] AS m FROM p{s} f GROUP BY f.fit_fold
+  UNION ALL
+  SELECT fit_fold, k + 1, w, list_transform(m, lambda row, i: CASE WHEN i = k + 1 THEN list_transform(row, lambda u: u / m[k + 1][k + 1])
+      ELSE list_transform(row, lambda u, j: u - row[k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END) FROM gj{s} WHERE k < {d + 1})""")
+        parts.append(f"w{s + 1} AS (SELECT fit_fold, list_transform(w, lambda u, i: u - m[i][{d + 2}]) AS w FROM gj{s} WHERE k = {d + 1})")
+    dot = " + ".join(f"w.w[{i + 1}] * {v}" for i, v in enumerate(x))
+    return _recursive(ctes(*_dense("sfold", "y_bin"), *parts)) + f"""
+SELECT f.id, f.fit_fold AS fold, f.y AS y_true, {R(f'1 / (1 + exp(-({dot})))', 7)} AS y_pred FROM feat f JOIN w{steps} w ON w.fit_fold = f.fit_fold WHERE f.role = 'valid'"""
+
+
+# ---------------------------------------------------------------- histogram boosting
+def _boosted(numeric: list[str], nominal: list[str], fold: str, label: str, task: str, oblivious: bool, depth: int, rounds: int, bins: int, rate: float, l2: float, least_h: float, digits: int) -> str:
+    """Trees level by level: histograms over all bins, both sides for missing values, the best split by gain (nine significant digits), feature, bin and side."""
+    d = len(numeric) + len(nominal)
+    side = f"CASE WHEN ctx.split = 'test' THEN 'test' WHEN ctx.{fold} = fits.fit_fold THEN 'valid' ELSE 'train' END"
+    probs = ", ".join(repr(i / bins) for i in range(1, bins))
+    parts = [f"rows AS (SELECT ctx.*, fits.fit_fold, {side} AS role FROM ctx CROSS JOIN fits)"]
+    parts += [f"ed_{c} AS (SELECT fit_fold, list_distinct(quantile_disc({c}, [{probs}])) AS e FROM rows WHERE role = 'train' AND {c} IS NOT NULL GROUP BY 1)" for c in numeric]
+    parts += [f"""no_{c} AS (SELECT fit_fold, v, row_number() OVER (PARTITION BY fit_fold ORDER BY v) AS code, count(*) OVER (PARTITION BY fit_fold) AS n FROM (
+  SELECT DISTINCT fit_fold, {norm(c, 's')} AS v FROM rows s WHERE role = 'train'))""" for c in nominal]
+    codes = [f"CASE WHEN r.{c} IS NULL THEN 0 ELSE 1 + len(list_filter(ed_{c}.e, lambda v: v < r.{c})) END" for c in numeric]
+    codes += [f"coalesce(no_{c}.code, (SELECT max(n) + 1 FROM no_{c} m WHERE m.fit_fold = r.fit_fold))" for c in nominal]
+    joins = " ".join(f"JOIN ed_{c} ON ed_{c}.fit_fold = r.fit_fold" for c in numeric) + " " + " ".join(f"LEFT JOIN no_{c} ON no_{c}.fit_fold = r.fit_fold AND no_{c}.v = {norm(c, 'r')}" for c in nominal)
+    start = "avg(y)" if task == "regression" else "ln(avg(y) / (1 - avg(y)))"
+    parts += [f"coded AS MATERIALIZED (SELECT r.id, r.fit_fold, r.role, CAST(r.{label} AS DOUBLE) AS y, [{', '.join(codes)}] AS code FROM rows r {joins} WHERE r.role <> 'test')",
+              f"base AS (SELECT fit_fold, {start} AS raw FROM coded WHERE role = 'train' GROUP BY 1)",
+              "s0 AS (SELECT c.*, b.raw FROM coded c JOIN base b ON b.fit_fold = c.fit_fold)"]
+    p = "raw" if task == "regression" else "(1 / (1 + exp(-raw)))"
+    h = "1.0::DOUBLE" if task == "regression" else f"({p} * (1 - {p}))"
+    score = lambda g, hs: f"(CASE WHEN {hs} + {l2} > 0 THEN {g} * {g} / ({hs} + {l2}) ELSE 0 END)"
+    for t in range(rounds):
+        parts.append(f"n{t}_0 AS MATERIALIZED (SELECT *, 1 AS node, {p} - y AS g, {h} AS h FROM s{t})")
+        for lv in range(depth):
+            a = f"{t}_{lv}"
+            parts.append(f"""h{a} AS MATERIALIZED (
+  SELECT n.fit_fold, n.node, j.j, n.code[j.j] AS code, sum(g) AS g, sum(h) AS h, count(*) AS n FROM n{a} n, range(1, {d + 1}) AS j(j) WHERE role = 'train' AND node >= {2 ** lv} GROUP BY ALL),
+grid{a} AS (SELECT k.fit_fold, k.node, j.j, b.code FROM (SELECT DISTINCT fit_fold, node FROM h{a}) k, range(1, {d + 1}) AS j(j), range({bins + 1}) AS b(code)),
+f{a} AS (SELECT k.*, coalesce(h.g, 0) AS g, coalesce(h.h, 0) AS h, coalesce(h.n, 0) AS n FROM grid{a} k LEFT JOIN h{a} h USING (fit_fold, node, j, code)),
+c{a} AS (SELECT fit_fold, node, j, code, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(n) OVER w AS nl,
+  sum(g) FILTER (WHERE code = 0) OVER z AS g0, sum(h) FILTER (WHERE code = 0) OVER z AS h0, sum(n) FILTER (WHERE code = 0) OVER z AS n0, sum(g) OVER z AS gt, sum(h) OVER z AS ht, sum(n) OVER z AS nt
+  FROM f{a} WINDOW z AS (PARTITION BY fit_fold, node, j), w AS (PARTITION BY fit_fold, node, j ORDER BY code)),
+o{a} AS (SELECT fit_fold, node, j, code, side, gl - side * g0 AS gl, hl - side * h0 AS hl, nl - side * n0 AS nl, gt, ht, nt FROM c{a}, range(2) AS s(side) WHERE code > 0)""")
+            gain = f"{score('gl', 'hl')} + {score('(gt - gl)', '(ht - hl)')} - {score('gt', 'ht')}"
+            coarse = lambda x: f"CASE WHEN {x} > 0 THEN round({x} / pow(10, floor(log10({x})) - 8)) * pow(10, floor(log10({x})) - 8) ELSE -1 END"
+            if oblivious:
+                parts.append(f"""b{a} AS (SELECT fit_fold, j, code, side FROM (
+  SELECT fit_fold, j, code, side, row_number() OVER (PARTITION BY fit_fold ORDER BY {coarse('gain')} DESC, j, code, side) AS rk, gain FROM (
+    SELECT fit_fold, j, code, side, sum({gain}) AS gain FROM o{a} GROUP BY ALL)) WHERE rk = 1 AND gain > 0)""")
+                on = f"b.fit_fold = n.fit_fold AND n.node >= {2 ** lv}"
+            else:
+                parts.append(f"""b{a} AS (SELECT fit_fold, node, j, code, side FROM (
+  SELECT fit_fold, node, j, code, side, row_number() OVER (PARTITION BY fit_fold, node ORDER BY {coarse('gain')} DESC, j, code, side) AS rk, gain FROM (
+    SELECT *, {gain} AS gain FROM o{a} WHERE nl >= 1 AND nt - nl >= 1 AND hl >= {least_h} AND ht - hl >= {least_h})) WHERE rk = 1 AND gain > 0)""")
+                on = "b.fit_fold = n.fit_fold AND b.node = n.node"
+            go = "CASE WHEN b.j IS NULL THEN n.node WHEN (n.code[b.j] = 0 AND b.side = 0) OR (n.code[b.j] > 0 AND n.code[b.j] <= b.code) THEN 2 * n.node ELSE 2 * n.node + 1 END"
+            parts.append(f"n{t}_{lv + 1} AS MATERIALIZED (SELECT n.* REPLACE ({go} AS node) FROM n{a} n LEFT JOIN b{a} b ON {on})")
+        parts.append(f"v{t} AS (SELECT fit_fold, node, -{rate} * sum(g) / (sum(h) + {l2}) AS v FROM n{t}_{depth} WHERE role = 'train' GROUP BY ALL)")
+        parts.append(f"s{t + 1} AS (SELECT n.* EXCLUDE (node, g, h) REPLACE (raw + coalesce(v.v, 0) AS raw) FROM n{t}_{depth} n LEFT JOIN v{t} v USING (fit_fold, node))")
+    return ctes(*parts) + f"\nSELECT id, fit_fold AS fold, y AS y_true, {R(p, digits)} AS y_pred FROM s{rounds} WHERE role = 'valid'"
+
+
+NATIVE_NUMERIC = ["acctbal", "avg_qty", "avg_discount", "const_num", "acctbal_copy"]
+NATIVE_NOMINAL = ["n_items", "c_mktsegment", "o_orderpriority", "n_name", "rare_cat", "is_even"]
+RAW_NUMERIC = ["acctbal", "avg_qty", "avg_discount", "n_items"]
+QUERIES["hist_boosting_cv"] = _boosted(RAW_NUMERIC, [], "fold", "y_reg", "regression", False, 2, 2, 16, 0.5, 1.0, 1.0, 3)
+QUERIES["hist_boosting_binary_cv"] = _boosted(RAW_NUMERIC, [], "sfold", "y_bin", "binary", True, 2, 2, 16, 0.5, 3.0, 0.0, 7)
+
+
 # ---------------------------------------------------------------- families, stored tables
 def _families(names, label, fold):
     values = ", ".join(f"('{n}')" for n in names)
@@ -1151,7 +1280,7 @@ def _families(names, label, fold):
 
 QUERIES["regression_families_oof"] = _families(["elasticnet", "random_forest", "gradient_boosted_trees", "hist_gradient_boosting", "lightgbm", "xgboost", "catboost"], "y_reg", "fold")
 QUERIES["binary_families_oof"] = _families(["logistic_regression", "random_forest", "gradient_boosted_trees", "naive_bayes", "svm", "realmlp"], "y_bin", "sfold")
-QUERIES["native_trees_oof"] = with_ctx("SELECT id, fold, y_reg AS y_true, 1::INTEGER AS bounded FROM train")
+QUERIES["native_trees_oof"] = _boosted(NATIVE_NUMERIC, NATIVE_NOMINAL, "fold", "y_reg", "regression", True, 3, 2, 32, 0.3, 3.0, 0.0, 3)
 
 QUERIES["knn_fold_cv"] = f"""WITH o AS (
   SELECT vec_id, embedding, label, row_number() OVER (ORDER BY md5('{SEED}:' || CAST(vec_id AS VARCHAR)), vec_id) - 1 AS r, count(*) OVER () AS n FROM embeddings),

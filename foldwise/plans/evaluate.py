@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import time
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from foldwise.functions.scalar import ACCURACY_THRESHOLD
 from foldwise.operators.base import FIT_FOLD, Fitted
 from foldwise.plans.models import DIRECT_FEATURES, ModelFamily
+from foldwise.session import checkpoint_dir
 
 
 def assemble(feat: DataFrame, names: list[str]) -> DataFrame:
@@ -47,6 +49,31 @@ class FoldFeatures:
         for t in self.tables:
             t.unpersist()
 
+    def store(self) -> StoredFeatures:
+        """The feature vectors of all folds, written once for many models: the lookups are joined once, and
+        models read the vectors of their fold only."""
+        table = assemble(self.all_folds(), self.fitted.names()).select(*self.keep, "features")
+        path = f"{checkpoint_dir(table.sparkSession).rstrip('/')}/features-{uuid.uuid4().hex}"
+        table.write.partitionBy(FIT_FOLD).parquet(path)
+        self.release()
+        return StoredFeatures(table.sparkSession.read.parquet(path).select(*self.keep, "features"), len(self.fitted.names()))
+
+
+class StoredFeatures:
+    """The vector column ``features`` of all folds in a table partitioned by fit fold."""
+
+    def __init__(self, table: DataFrame, width: int):
+        self.table, self.width = table, width
+
+    def __call__(self, f: int) -> DataFrame:
+        return self.table.where(F.col(FIT_FOLD) == f)
+
+    def all_folds(self) -> DataFrame:
+        return self.table
+
+    def release(self) -> None:
+        """Nothing is cached; the files stay as the results read them."""
+
 
 def fold_rows(feat: DataFrame | Callable[[int], DataFrame], f: int) -> DataFrame:
     """The features of fit fold f: from a function of the fold, or from a table of all folds."""
@@ -67,9 +94,10 @@ def cross_validate(feat: DataFrame | Callable[[int], DataFrame], names: list[str
 
     def prepared(rows: DataFrame) -> DataFrame:
         data = rows.withColumn("label", F.col(label).cast("double"))
-        return (assemble(data, names) if names is not None else data).select("id", FIT_FOLD, "role", "label", "features")
+        return (data if names is None or "features" in data.columns else assemble(data, names)).select("id", FIT_FOLD, "role", "label", "features")
 
     if family.all_folds and names is not None and len(names) <= DIRECT_FEATURES and (isinstance(feat, DataFrame) or hasattr(feat, "all_folds")):
+        # one plan for all folds
         data = prepared(feat if isinstance(feat, DataFrame) else feat.all_folds())
         scored = family.scores(data.where(F.col("role") == "train"), data.where(F.col("role").isin(*roles)), params)
         return scored.select("id", FIT_FOLD, "role", F.col("label").alias("y_true"), "y_pred")

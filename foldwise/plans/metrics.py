@@ -68,14 +68,20 @@ def _expr(metric: str, y: Column, p: Column) -> Column:
 
 
 def fold_metrics(pred: DataFrame, metric: str, group_cols=("candidate_id", "fold"),
-                 y_col: str = "y_true", p_col: str = "y_pred") -> DataFrame:
-    """(group..., metric_name, metric_value, valid_rows)."""
+                 y_col: str = "y_true", p_col: str = "y_pred", decimals: int | None = None) -> DataFrame:
+    """(group..., metric_name, metric_value, valid_rows).
+
+    ``decimals``: labels and predictions have that many decimals; mae then adds up exact numbers, and the order
+    in which tasks finish can't move its last digit."""
     group_cols = list(group_cols)
     y, p = F.col(y_col).cast("double"), F.col(p_col).cast("double")
     if metric == "roc_auc":
         return roc_auc(pred, group_cols, y_col, p_col)
+    value = _expr(metric, y, p)
+    if metric == "mae" and decimals is not None:
+        value = F.sum(F.abs(y - p).cast(f"decimal(28,{decimals})")).cast("double") / F.count(F.abs(y - p))
     return pred.groupBy(*group_cols).agg(
-        F.lit(metric).alias("metric_name"), _expr(metric, y, p).alias("metric_value"),
+        F.lit(metric).alias("metric_name"), value.alias("metric_value"),
         F.count(F.lit(1)).alias("valid_rows"))
 
 

@@ -3,30 +3,27 @@
 Most families are ``pyspark.ml`` estimators: a factory receives the fit's training
 rows (so parameter mappings that depend on the data -- row count, label spread --
 are computed per fold) and returns an unfitted estimator reading ``features`` /
-``label``. ridge, naive_bayes and knn are DataFrame plans (``scores``): they receive the
-training rows and the rows to score and return the scores.
+``label``. The linear and boosting families, naive_bayes and knn are DataFrame plans
+(``scores``): they receive the training rows and the rows to score and return the
+scores, the linear and boosting ones of all folds at once (plans/linear.py, plans/boosting.py).
 
-Parameter mappings to match the usual single-machine definitions:
+Linear families follow the usual single-machine definitions. Designs wider than
+DIRECT_FEATURES have no scatter matrix; they go to Spark's iterative solvers, fold by fold:
 
-* ridge: minimise ||y - Xw||^2 + alpha ||w||^2, solved directly; beyond DIRECT_FEATURES
-  by l-bfgs with ``regParam = alpha / n * std_samp(y)``.
-* elastic net: alpha, l1_ratio -> ``regParam = alpha * l1 + alpha * (1 - l1) * std_pop(y)``,
+* ridge: l-bfgs with ``regParam = alpha / n * std_samp(y)``.
+* elastic net: ``regParam = alpha * l1 + alpha * (1 - l1) * std_pop(y)``,
   ``elasticNetParam = alpha * l1 / regParam``.
-* logistic regression: C -> ``regParam = 1 / (C * n)``, n the sum of weights;
+* logistic regression: ``regParam = 1 / (C * n)``, n the sum of weights;
   ``class_weight="balanced"`` weighs a row of class c by n / (2 n_c).
 
-The boosting ids all stand for the one gradient-boosted-tree family that Spark has;
-parameters it lacks are rejected, as are unknown ones of any family.
+Parameters that a family has not got are rejected.
 """
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-import numpy as np
-import pyarrow as pa
 from pyspark.ml import classification as mlc
 from pyspark.ml import regression as mlr
 from pyspark.ml.feature import VectorAssembler
@@ -35,9 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.operators.base import FIT_FOLD
-from foldwise.session import ship_package
-
-WEIGHT = "_weight"
+from foldwise.plans import boosting as bo
+from foldwise.plans import linear as ln
 
 
 @dataclass(frozen=True)
@@ -53,6 +49,7 @@ class ModelFamily:
     accepts_sparse: bool = True
     native_categorical: bool = False
     all_folds: bool = False        # ``scores`` takes the rows of several fit folds at once
+    takes_nan: bool = False        # learns a side for missing values
     defaults: dict = field(default_factory=dict)
 
     def resolve_params(self, overrides: dict | None) -> dict:
@@ -63,104 +60,61 @@ class ModelFamily:
         return {**self.defaults, **(overrides or {})}
 
 
-def _label_std_and_n(train: DataFrame, label: str = "label"):
-    r = train.agg(F.stddev_pop(label).alias("s"), F.count(F.lit(1)).alias("n")).collect()[0]
-    return (r["s"] or 0.0), r["n"]
-
-
 #: Widest design whose normal equations are solved directly: its scatter matrix is 32 MB a task and fold.
 DIRECT_FEATURES = 2000
 
 
-def _merge_moments(a: tuple, b: tuple) -> tuple:
-    """Row counts, means and scatter matrices of two parts as those of both (no uncentred sums)."""
-    if not a[0] or not b[0]:
-        return b if not a[0] else a
-    n, shift = a[0] + b[0], b[1] - a[1]
-    return n, a[1] + shift * (b[0] / n), a[2] + b[2] + np.outer(shift, shift) * (a[0] * b[0] / n)
-
+def _width(train: DataFrame) -> int:
+    return len(train.select("features").first()["features"])
 
-def _merge_folds(a: dict, b: dict) -> dict:
-    none = (0, None, None)
-    return {f: _merge_moments(a.get(f, none), b.get(f, none)) for f in {*a, *b}}
 
-
-def _fold_moments(batches):
-    """Moments of [x, y] per fit fold of a partition, as one row."""
-    held: dict[int, tuple] = {}
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        x = batch.column("_x")
-        rows = np.column_stack([x.flatten().to_numpy().reshape(batch.num_rows, -1), batch.column("label").to_numpy()])
-        folds = batch.column(FIT_FOLD).to_numpy()
-        for f in np.unique(folds):
-            mine = rows[folds == f]
-            mean = mine.mean(axis=0)
-            held = _merge_folds(held, {int(f): (len(mine), mean, (mine - mean).T @ (mine - mean))})
-    if held:
-        yield pa.RecordBatch.from_pydict({"m": [pickle.dumps(held)]})
+def _wide(train: DataFrame, what: str) -> bool:
+    """Whether the design is too wide for its scatter matrix; then folds come one at a time."""
+    if _width(train) <= DIRECT_FEATURES:
+        return False
+    if train.select(FIT_FOLD).distinct().count() > 1:
+        raise ValueError(f"{what}: more than {DIRECT_FEATURES} features are fitted one fold at a time")
+    return True
 
 
 def _ridge(train: DataFrame, rows: DataFrame, p: dict) -> DataFrame:
-    """M1 by the normal equations of the centred data: exact also where a feature is constant or
-    collinear, which the iterative solvers meet only to their tolerance. train and rows hold
-    one or several fit folds (``fit_fold``): moments of all of them come from one pass, are
-    merged on the executors (tree reduce), and the driver gets one matrix a fold."""
-    ship_package(train.sparkSession)
+    """M1: train and rows hold one or several fit folds (``fit_fold``); all are solved from one scan's moments."""
     alpha = float(p.get("alpha", 1.0))
-    x = vector_to_array("features")
-    d = len(train.select("features").first()["features"])
-    if d > DIRECT_FEATURES:
-        r = train.agg(F.stddev_samp("label").alias("s"), F.count(F.lit(1)).alias("n"), F.count_distinct(FIT_FOLD).alias("k")).first()
-        if r["k"] > 1:
-            raise ValueError(f"more than {DIRECT_FEATURES} features are fitted one fold at a time")
+    if _wide(train, "ridge"):
+        r = train.agg(F.stddev_samp("label").alias("s"), F.count(F.lit(1)).alias("n")).first()
         wide = mlr.LinearRegression(featuresCol="features", labelCol="label", elasticNetParam=0.0, regParam=alpha / r["n"] * (r["s"] or 1.0),
                                     standardization=False, solver="l-bfgs", maxIter=1000, tol=1e-12)
         return wide.fit(train).transform(rows).withColumnRenamed("prediction", "y_pred")
-    parts = train.select(FIT_FOLD, x.alias("_x"), "label").mapInArrow(_fold_moments, "m binary")
-    moments = parts.rdd.map(lambda r: pickle.loads(r["m"])).treeReduce(_merge_folds)
-    table = {}
-    for f, (_, mean, scatter) in moments.items():
-        w = np.linalg.solve(scatter[:d, :d] + alpha * np.eye(d), scatter[:d, d])
-        table[f] = F.array(*[F.lit(float(v)) for v in (*w, mean[d] - mean[:d] @ w)])
-    row_w = F.element_at(F.create_map(*[c for f in sorted(table) for c in (F.lit(f), table[f])]), F.col(FIT_FOLD))
-    with_one = F.concat(x, F.array(F.lit(1.0)))
-    return rows.withColumn("y_pred", F.aggregate(F.zip_with(with_one, row_w, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
-
-
-def _elasticnet(train: DataFrame, p: dict):
-    alpha, l1 = float(p.get("alpha", 1.0)), float(p.get("l1_ratio", 0.5))
-    s, _ = _label_std_and_n(train)
-    reg = alpha * l1 + alpha * (1 - l1) * (s if s > 0 else 1.0)
-    return mlr.LinearRegression(featuresCol="features", labelCol="label", regParam=reg,
-                                elasticNetParam=(alpha * l1 / reg) if reg > 0 else 0.0,
-                                standardization=False, maxIter=int(p.get("max_iter", 1000)), tol=float(p.get("tol", 1e-8)))
-
+    weights = ln.ridge_weights(ln.fold_moments(train), alpha)
+    return rows.withColumn("y_pred", ln.score(rows, weights))
 
-class _Weighted:
-    """An estimator that is fitted with balanced class weights."""
 
-    def __init__(self, estimator, weights: dict):
-        self.estimator, self.weights = estimator, weights
-
-    def fit(self, train: DataFrame):
-        weight = F.when(F.col("label") == 1.0, self.weights[1.0]).otherwise(self.weights[0.0])
-        return self.estimator.fit(train.withColumn(WEIGHT, weight))
-
-
-def _logistic(train: DataFrame, p: dict):
-    weight = p.get("class_weight")
-    if weight not in (None, "balanced"):
-        raise ValueError("class_weight is None or 'balanced'")
+def _elasticnet(train: DataFrame, rows: DataFrame, p: dict) -> DataFrame:
+    """M2: coordinate descent on the Gram matrix of each fold, from one scan's moments."""
+    alpha, l1 = float(p.get("alpha", 1.0)), float(p.get("l1_ratio", 0.5))
+    steps, tol = int(p.get("max_iter", 1000)), float(p.get("tol", 1e-8))
+    if _wide(train, "elasticnet"):
+        s = train.agg(F.stddev_pop("label").alias("s")).first()["s"] or 1.0
+        reg = alpha * l1 + alpha * (1 - l1) * s
+        model = mlr.LinearRegression(featuresCol="features", labelCol="label", regParam=reg, elasticNetParam=(alpha * l1 / reg) if reg > 0 else 0.0,
+                                     standardization=False, maxIter=steps, tol=tol)
+        return model.fit(train).transform(rows).withColumnRenamed("prediction", "y_pred")
+    weights = ln.elasticnet_path(ln.fold_moments(train), [(alpha, l1)], steps, tol)[0]
+    return rows.withColumn("y_pred", ln.score(rows, weights))
+
+
+def _logistic(train: DataFrame, rows: DataFrame, p: dict) -> DataFrame:
+    """M3: Newton steps of all folds, a scan each."""
+    c, l1, balanced = float(p.get("C", 1.0)), float(p.get("l1_ratio", 0.0)), p.get("class_weight")
+    if not _wide(train, "logistic_regression"):
+        weights = ln.logistic_weights(train, c, l1, balanced, int(p.get("max_iter", 100)), float(p.get("tol", 1e-10)))
+        return rows.withColumn("y_pred", F.lit(1.0) / (F.lit(1.0) + F.exp(-ln.score(rows, weights))))
     counts = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n = sum(counts.values())  # balanced weights sum to the number of rows as well
-    model = mlc.LogisticRegression(featuresCol="features", labelCol="label", regParam=1.0 / (float(p.get("C", 1.0)) * n),
-                                   elasticNetParam=float(p.get("l1_ratio", 0.0)), standardization=False,
-                                   maxIter=int(p.get("max_iter", 1000)), tol=float(p.get("tol", 1e-10)))
-    if weight is None:
-        return model
-    return _Weighted(model.setWeightCol(WEIGHT), {c: n / (2.0 * counts[c]) for c in (0.0, 1.0)})
+    weight = F.when(F.col("label") == 1.0, n / (2.0 * counts[1.0])).otherwise(n / (2.0 * counts[0.0])) if balanced else F.lit(1.0)
+    model = mlc.LogisticRegression(featuresCol="features", labelCol="label", weightCol="_weight", regParam=1.0 / (c * n), elasticNetParam=l1,
+                                   standardization=False, maxIter=int(p.get("max_iter", 1000)), tol=float(p.get("tol", 1e-10)))
+    return model.fit(train.withColumn("_weight", weight)).transform(rows).withColumn("y_pred", vector_to_array("probability").getItem(1))
 
 
 def _rf(task):
@@ -242,11 +196,26 @@ def _knn(train: DataFrame, rows: DataFrame, p: dict) -> DataFrame:
     return rows.join(found.withColumnRenamed("query_id", "id"), "id").select("id", "role", "label", "y_pred")
 
 
+def _boosting(task: str, common: dict, names: dict):
+    """A boosting family: its own settings, and its own names of parameters beside the common ones."""
+    def scores(train: DataFrame, rows: DataFrame, p: dict) -> DataFrame:
+        given = {names.get(k, _BOOST_NAMES.get(k)): v for k, v in p.items() if names.get(k, _BOOST_NAMES.get(k))}
+        settings = bo.Settings(**{**common, **given})
+        return bo.score_boosting(rows, bo.fit_boosting(train, settings, task))
+    return scores
+
+
 _FOREST = frozenset({"n_estimators", "max_depth", "min_samples_leaf", "max_features", "max_bins", "seed"})
 _BOOST = frozenset({"n_estimators", "learning_rate", "max_depth", "min_samples_leaf", "max_bins", "seed"})
 
-# The family ids of the surveyed project that one gradient-boosted-tree family stands for.
-BOOSTING_IDS = ("gradient_boosted_trees", "hist_gradient_boosting", "lightgbm", "xgboost", "catboost")
+_BOOST_NAMES = {"n_estimators": "n_estimators", "learning_rate": "learning_rate", "max_depth": "max_depth", "min_samples_leaf": "min_samples", "max_bins": "bins"}
+# Ids, defaults and parameter names of the usual histogram boosting libraries.
+BOOSTING = {
+    "hist_gradient_boosting": ({"growth": "leaf", "min_samples": 20}, {"max_iter": "n_estimators", "max_leaf_nodes": "max_leaves", "l2_regularization": "l2"}),
+    "lightgbm": ({"growth": "leaf", "min_samples": 20, "min_hessian": 1e-3}, {"num_leaves": "max_leaves", "min_child_samples": "min_samples", "min_child_weight": "min_hessian", "reg_lambda": "l2", "min_split_gain": "min_gain", "max_bin": "bins"}),
+    "xgboost": ({"growth": "depth", "max_depth": 6, "learning_rate": 0.3, "min_hessian": 1.0, "l2": 1.0, "bins": 256}, {"min_child_weight": "min_hessian", "reg_lambda": "l2", "gamma": "min_gain", "max_bin": "bins"}),
+    "catboost": ({"growth": "oblivious", "max_depth": 6, "learning_rate": 0.03, "n_estimators": 1000, "l2": 3.0, "bins": 255}, {"iterations": "n_estimators", "depth": "max_depth", "l2_leaf_reg": "l2", "border_count": "bins"}),
+}
 #: (family, task) ids that Spark has no model for.
 NOT_BUILT = {("extra_trees", "regression"), ("extra_trees", "binary"), ("realmlp", "regression")}
 
@@ -263,13 +232,14 @@ def register(family: ModelFamily) -> ModelFamily:
 
 
 register(ModelFamily("ridge", "regression", scores=_ridge, params=frozenset({"alpha"}), tunable=False, all_folds=True))
-register(ModelFamily("elasticnet", "regression", _elasticnet, params=frozenset({"alpha", "l1_ratio", "max_iter", "tol"}), tunable=False))
-register(ModelFamily("logistic_regression", "binary", _logistic, params=frozenset({"C", "l1_ratio", "class_weight", "max_iter", "tol"})))
+register(ModelFamily("elasticnet", "regression", scores=_elasticnet, params=frozenset({"alpha", "l1_ratio", "max_iter", "tol"}), tunable=False, all_folds=True))
+register(ModelFamily("logistic_regression", "binary", scores=_logistic, all_folds=True, params=frozenset({"C", "l1_ratio", "class_weight", "max_iter", "tol"})))
 for _task in ("regression", "binary"):
     register(ModelFamily("random_forest", _task, _rf(_task), params=_FOREST))
-    for _name in BOOSTING_IDS:
-        register(ModelFamily(_name, _task, _gbt(_task), params=_BOOST, accepts_sparse=_name != "hist_gradient_boosting",
-                             native_categorical=_name in ("gradient_boosted_trees", "catboost")))
+    register(ModelFamily("gradient_boosted_trees", _task, _gbt(_task), params=_BOOST, native_categorical=True))
+    for _name, (_common, _names) in BOOSTING.items():
+        register(ModelFamily(_name, _task, scores=_boosting(_task, _common, _names), params=_BOOST | _names.keys(), all_folds=True, takes_nan=True,
+                             accepts_sparse=_name != "hist_gradient_boosting", native_categorical=_name in ("lightgbm", "catboost")))
     register(ModelFamily("knn", _task, scores=_knn, params=frozenset({"n_neighbors", "weights"})))
 register(ModelFamily("naive_bayes", "binary", scores=_naive_bayes, params=frozenset({"var_smoothing"}), accepts_sparse=False))
 register(ModelFamily("svm", "binary", _svc, params=frozenset({"reg_param", "max_iter"})))
