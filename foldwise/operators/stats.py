@@ -7,10 +7,11 @@ for each f. Instead of k scans:
   counts and target sums) are aggregated once by (key, fold) and the complement
   is ``total - fold``;
 * order statistics (medians, quartiles, bin edges) come from
-  :func:`select_ranks`, an exact distributed selection: each pass is one
-  aggregate of a bucket histogram over the rows still in play, grouped by
-  (bracket, fold, bucket), so the complement for every fit fold falls out of
-  the same small table. A bracket that spans several powers of two is cut by
+  :func:`select_ranks`, an exact distributed selection: the summary's quantile
+  sketches give each target a narrow bracket, and each pass is one
+  aggregate of a histogram of the brackets, grouped by (key, fold, bucket), so
+  the complement for every fit fold falls out of the same small table. Few values
+  are counted one by one; else a bracket that spans several powers of two is cut by
   sign and exponent, one inside a power of two linearly by BUCKETS: at most
   PASSES passes resolve all 64 bits, whatever the distribution. No task ever holds a whole column or group, and the
   driver only sees a handful of rows per target and pass.
@@ -22,6 +23,8 @@ means "no fold excluded" (statistics over all rows).
 from __future__ import annotations
 
 import math
+
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +34,11 @@ from foldwise.functions.scalar import observed
 BUCKETS = 1024
 #: One pass by sign and exponent, then the 52 bits of the fraction at log2(BUCKETS) = 10 a pass, and one to spare.
 PASSES = 8
+#: Quantiles that a fold's sketch gives, and its accuracy (rank errors of n / SKETCH).
+GRID = 200
+SKETCH = 10_000
+#: Values in all open segments up to which a pass counts them one by one.
+VALUES = 1_000_000
 
 
 def long_numeric(df: DataFrame, cols: list[str], fold_col: str = "fold") -> DataFrame:
@@ -40,12 +48,23 @@ def long_numeric(df: DataFrame, cols: list[str], fold_col: str = "fold") -> Data
             .where(F.col("x").isNotNull()))
 
 
-def fold_summary(long_df: DataFrame) -> dict:
-    """{(key, fold): (count, min, max)} -- one aggregate, #keys x k rows."""
+class Summary(dict):
+    """{(key, fold): (count, min, max)}, and in ``grid`` the sketched quantiles of each."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.grid: dict = {}
+
+
+def fold_summary(long_df: DataFrame) -> Summary:
+    """Counts, bounds and a quantile sketch of every (key, fold) -- one aggregate, #keys x k rows."""
+    points = [i / GRID for i in range(GRID + 1)]
     rows = (long_df.groupBy("key", "fold")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.percentile_approx("x", points, SKETCH).alias("q"))
             .collect())
-    return {(r["key"], r["fold"]): (r["n"], r["lo"], r["hi"]) for r in rows}
+    out = Summary({(r["key"], r["fold"]): (r["n"], r["lo"], r["hi"]) for r in rows})
+    out.grid = {(r["key"], r["fold"]): r["q"] for r in rows}
+    return out
 
 
 def complement(summary: dict, key: str, fit_fold: int):
@@ -60,20 +79,76 @@ def complement(summary: dict, key: str, fit_fold: int):
     return n, lo, hi
 
 
+class Ranks(dict):
+    """{target: value}, and the number of scans it took after the summary."""
+
+    passes = 0
+
+
+def _rank_bounds(summary: Summary, key: str, fit_fold: int):
+    """(values, at least so many are <= each, at most so many are < each) of a complement, by the folds' sketches."""
+    parts = [(np.array(q), summary[(k_, f)][0]) for (k_, f), q in summary.grid.items() if k_ == key and f != fit_fold]
+    values = np.unique(np.concatenate([q for q, _ in parts]))
+    least, most = np.zeros(len(values)), np.zeros(len(values))
+    for q, n in parts:
+        slack = math.ceil(n / SKETCH) + 1
+        least += np.clip((np.searchsorted(q, values, side="right") - 1) * n / GRID - slack, 0, n)
+        most += np.clip(np.searchsorted(q, values, side="left") * n / GRID + slack, 0, n)
+    return values, least, most
+
+
+def _first_brackets(summary: dict, targets: list) -> tuple[dict, float]:
+    """Where each target's value should lie, and about how many values lie in all brackets. Sketches may be wrong;
+    what falls outside is found by the counts."""
+    out, weight = {}, {}
+    bounds: dict = {}
+    for t in targets:
+        key, f, r = t
+        n, lo, hi = complement(summary, key, f)
+        if not getattr(summary, "grid", None):
+            out[t], weight[(key, lo, hi)] = (lo, hi), n
+            continue
+        if (key, f) not in bounds:
+            bounds[(key, f)] = _rank_bounds(summary, key, f)
+        values, least, most = bounds[(key, f)]
+        i, j = np.searchsorted(most, r, side="right") - 1, np.searchsorted(least, r + 1, side="left")
+        a, b = float(values[i]) if i >= 0 else lo, float(values[j]) if j < len(values) else hi
+        out[t] = (max(a, lo), min(b, hi))
+        weight[(key, *out[t])] = (least[j] if j < len(values) else n) - (most[i] if i >= 0 else 0)
+    return out, sum(max(0.0, w) for w in weight.values())
+
+
+def _segments(brackets) -> dict:
+    """{key: disjoint (lo, hi) in ascending order} that cover the brackets."""
+    out: dict = {}
+    for key, lo, hi in sorted(set(brackets)):
+        have = out.setdefault(key, [])
+        if have and lo <= have[-1][1]:
+            have[-1] = (have[-1][0], max(have[-1][1], hi))
+        else:
+            have.append((lo, hi))
+    return out
+
+
 def select_ranks(long_df: DataFrame, targets, summary: dict | None = None,
-                 buckets: int = BUCKETS) -> dict:
+                 buckets: int = BUCKETS) -> Ranks:
     """Exact order statistics of fold complements.
 
     ``targets``: iterable of (key, fit_fold, rank) with 0-based ``rank`` in the
     ascending multiset {x : key, fold != fit_fold}. Returns {target: value}.
+
+    The summary's sketches say where the values should lie. A pass counts what lies in those
+    segments, by bucket, or by value where few are left, and between them, per fold; running sums of the
+    complements give every target its bucket, exactly. What is not decided then goes on
+    within its bucket, so two passes do unless millions of values are that close.
     """
     spark = long_df.sparkSession
     targets = sorted(set(targets))
+    result = Ranks()
     if not targets:
-        return {}
+        return result
     summary = summary if summary is not None else fold_summary(long_df)
-    result: dict = {}
-    state: dict = {}
+    open_targets = []
     for t in targets:
         key, f, r = t
         n, lo, hi = complement(summary, key, f)
@@ -81,59 +156,55 @@ def select_ranks(long_df: DataFrame, targets, summary: dict | None = None,
             raise ValueError(f"rank {r} outside 0..{n - 1} for {key} (fit fold {f})")
         if lo == hi or r == 0:
             result[t] = lo
-            continue
-        if r == n - 1:
+        elif r == n - 1:
             result[t] = hi
-            continue
-        state[t] = {"lo": lo, "hi": hi, "below": 0}
-    br_schema = T.StructType([T.StructField("bid", T.IntegerType()), T.StructField("bkey", T.StringType()),
-                              T.StructField("lo", T.DoubleType()), T.StructField("hi", T.DoubleType())])
-    t_schema = T.StructType([T.StructField("tid", T.IntegerType()), T.StructField("bid", T.IntegerType()),
-                             T.StructField("fit_fold", T.IntegerType()), T.StructField("rel", T.LongType())])
+        else:
+            open_targets.append(t)
+    brackets, left = _first_brackets(summary, open_targets)
     for _ in range(PASSES):
-        active = [t for t in state if t not in result]
-        if not active:
-            break
-        bids: dict = {}
-        trows = []
-        for i, t in enumerate(active):
-            s = state[t]
-            b = bids.setdefault((t[0], s["lo"], s["hi"]), len(bids))
-            trows.append((i, b, t[1], t[2] - s["below"]))
-        br = spark.createDataFrame([(b, k, lo, hi) for (k, lo, hi), b in bids.items()], br_schema)
-        tt = spark.createDataFrame(trows, t_schema)
-        # Both tables hold at most one row per target: broadcast is bounded.
-        x, lo, hi = F.col("x"), F.col("lo"), F.col("hi")
+        if not brackets:
+            return result
+        result.passes += 1
+        segments = _segments((t[0], *b) for t, b in brackets.items())
+        by_value = left <= VALUES
+        # both tables hold a few numbers per target: broadcast is bounded
+        table = spark.createDataFrame([(k, [a for a, _ in v], [b for _, b in v]) for k, v in segments.items()], "skey string, los array<double>, his array<double>")
+        wanted: dict = {}
+        for key, f, r in brackets:
+            wanted.setdefault((key, f), []).append(r)
+        ranks = spark.createDataFrame([(k, f, r) for (k, f), r in wanted.items()], "skey string, fit_fold int, ranks array<long>")
+        x = F.col("x")
+        # the last segment that begins at or below x, and whether it reaches x
+        cell = long_df.join(F.broadcast(table), F.col("key") == F.col("skey")).withColumn("seg", F.size(F.filter("los", lambda v: v <= x)))
+        inside = (F.col("seg") > 0) & (x <= F.get("his", F.col("seg") - 1))
+        lo, hi = F.get("los", F.col("seg") - 1), F.get("his", F.col("seg") - 1)
         span = hi * 0.5 - lo * 0.5
-        linear = F.when(span > 0, F.least(F.floor((x * 0.5 - lo * 0.5) / span * buckets),
-                                          F.lit(buckets - 1))).otherwise(F.lit(0))
-        bucket = F.when(_binade(lo) == _binade(hi), linear).otherwise(_binade(x))
-        hist = (long_df.join(F.broadcast(br), (F.col("key") == F.col("bkey")) & x.between(lo, hi))
-                .groupBy("bid", "fold", bucket.alias("bucket"))
+        linear = F.when(span > 0, F.least(F.floor((x * 0.5 - lo * 0.5) / span * buckets), F.lit(buckets - 1))).otherwise(F.lit(0))
+        bucket = x if by_value else F.when(_binade(lo) == _binade(hi), linear).otherwise(_binade(x)).cast("double")
+        hist = (cell.select("key", "fold", "seg", F.coalesce(~inside, F.lit(True)).alias("gap"), F.when(inside, bucket).otherwise(F.lit(0.0)).alias("bucket"), "x")
+                .groupBy("key", "fold", "seg", "gap", "bucket")
                 .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx")))
-        per_target = (hist.join(F.broadcast(tt), "bid")
-                      .where(F.col("fold") != F.col("fit_fold"))
-                      .groupBy("tid", "rel", "bucket")
-                      .agg(F.sum("c").alias("c"), F.min("mn").alias("mn"), F.max("mx").alias("mx")))
-        w = Window.partitionBy("tid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-        picked = (per_target.withColumn("cum", F.sum("c").over(w))
-                  .where((F.col("cum") - F.col("c") <= F.col("rel")) & (F.col("rel") < F.col("cum")))
-                  .select("tid", "rel", "c", "mn", "mx", (F.col("cum") - F.col("c")).alias("before"))
-                  .collect())
+        comp = (hist.join(F.broadcast(ranks), F.col("key") == F.col("skey")).where(F.col("fold") != F.col("fit_fold"))
+                .groupBy("key", "fit_fold", "seg", "gap", "bucket")
+                .agg(F.sum("c").alias("c"), F.min("mn").alias("mn"), F.max("mx").alias("mx"), F.first("ranks").alias("ranks")))
+        w = Window.partitionBy("key", "fit_fold").orderBy("seg", "gap", "bucket").rowsBetween(Window.unboundedPreceding, 0)
+        cum = comp.withColumn("cum", F.sum("c").over(w))
+        hit = F.filter("ranks", lambda r: (r >= F.col("cum") - F.col("c")) & (r < F.col("cum")))
+        picked = cum.select("key", "fit_fold", F.explode(hit).alias("r"), (F.col("cum") - F.col("c")).alias("before"), "c", "mn", "mx").collect()
+        brackets, weight = {}, {}
         for row in picked:
-            t = active[row["tid"]]
-            s = state[t]
-            within = row["rel"] - row["before"]
+            t = (row["key"], row["fit_fold"], row["r"])
+            within = row["r"] - row["before"]
             if row["mn"] == row["mx"] or within == 0:
                 result[t] = row["mn"]
             elif within == row["c"] - 1:
                 result[t] = row["mx"]
             else:
-                s["below"] += row["before"]
-                s["lo"], s["hi"] = row["mn"], row["mx"]
-    missing = [t for t in targets if t not in result]
-    if missing:
-        raise RuntimeError(f"rank selection did not converge for {missing[:3]}")
+                brackets[t] = (row["mn"], row["mx"])
+                weight[(t[0], row["mn"], row["mx"])] = 2 * row["c"]
+        left = sum(weight.values())
+    if brackets:
+        raise RuntimeError(f"rank selection did not converge for {list(brackets)[:3]}")
     return result
 
 

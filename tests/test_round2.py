@@ -113,7 +113,7 @@ def test_alignment_and_truth_see_nulls_and_gaps(spark):
 
 
 @pytest.mark.parametrize("shape", ["heavy", "nan", "ties", "wide", "infinite"])
-def test_rank_selection_in_a_fixed_number_of_passes(spark, shape):
+def test_rank_selection_in_a_fixed_number_of_passes(spark, shape, monkeypatch):
     rng = np.random.default_rng(1)
     x = {"heavy": np.exp(40 * rng.normal(size=3000)), "ties": rng.integers(0, 3, 3000).astype(float),
          "nan": np.where(rng.random(3000) < 0.2, np.nan, rng.normal(size=3000)), "infinite": np.where(rng.random(3000) < 0.1, np.inf, rng.normal(size=3000)),
@@ -129,7 +129,15 @@ def test_rank_selection_in_a_fixed_number_of_passes(spark, shape):
             targets.append(("v", f, r))
             want[("v", f, r)] = rest[r]
     assert st.PASSES <= 8
-    assert st.select_ranks(long, targets) == want
+    found = st.select_ranks(long, targets)
+    assert found == want and found.passes <= 1
+    monkeypatch.setattr(st, "VALUES", 100)  # as if there were millions: buckets first
+    found = st.select_ranks(long, targets)
+    assert found == want and found.passes <= 2
+    assert st.select_ranks(long, targets, dict(st.fold_summary(long))) == want  # without sketches
+    wrong = st.fold_summary(long)
+    wrong.grid = {k: [v + 1e-3 for v in q] for k, q in wrong.grid.items()}  # sketches may mislead, not falsify
+    assert st.select_ranks(long, targets, wrong) == want
     assert all(v[1] == int(np.isnan(x[fold == k[1]]).sum()) for k, v in st.null_counts(df, ["v"]).items())
     long.unpersist()
 
