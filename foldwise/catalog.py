@@ -552,6 +552,7 @@ def stream_rollup(spark, sf_dir):
 
 # ---------------------------------------------------------------- models and cross-validation
 from foldwise.operators import knn as kn  # noqa: E402
+from foldwise.operators import knn_lsh as kl  # noqa: E402
 from foldwise.plans import evaluate as ev  # noqa: E402
 from foldwise.plans import linear as ln  # noqa: E402
 from foldwise.plans import models as md  # noqa: E402
@@ -602,6 +603,25 @@ def knn_join(spark, sf_dir):
     return out.withColumn("distance", rnd("distance", 6))
 
 
+def _order_vectors(spark, sf_dir):
+    """Four numbers an order, on like scales."""
+    c = ctx(spark, sf_dir)
+    parts = [F.coalesce("acctbal", F.lit(0.0)) / 3000, F.coalesce("avg_qty", F.lit(0.0)) / 10, F.coalesce("avg_discount", F.lit(0.0)) * 50, F.col("n_items").cast("double")]
+    return c.select("id", F.array(*parts).alias("v"))
+
+
+@query("knn_lsh_join")
+def knn_lsh_join(spark, sf_dir):
+    """J12 by planned tables of random projections: the orders whose id divides by 100 against all orders. How many pairs come
+    back, and whether they have 90 % of the exact neighbours (ids of equal distances count by their distance)."""
+    orders = _order_vectors(spark, sf_dir)
+    asked = orders.where("id % 100 = 0")
+    near = kl.knn_lsh_join(orders, "id", "v", k=5, queries=asked, tie_digits=6)
+    exact = kn.knn_join(orders, "id", "v", k=5, queries=asked, tie_digits=6)
+    both = exact.select("query_id", "rank", rnd("distance", 6).alias("d")).join(near.select("query_id", "rank", rnd("distance", 6).alias("found")), ["query_id", "rank"], "left")
+    return both.agg(F.count_distinct("query_id").alias("n_queries"), F.count("found").alias("n_pairs"), (F.avg((F.col("d") == F.col("found")).cast("int")) >= 0.9).cast("int").alias("recall_reached"))
+
+
 @query("knn_cv")
 def knn_cv(spark, sf_dir):
     """M9 on embeddings: label of a vector predicted from its 5 nearest others."""

