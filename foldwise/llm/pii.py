@@ -45,21 +45,44 @@ CONTEXT = {
 NEAR, AROUND, LEAST_SCORE = 0.3, 40, 0.5
 
 
+#: Matches whose positions are added up one after the other; an array grows to at most this size by single items.
+BLOCK = 256
+
+
+def _let(value: Column, body) -> Column:
+    """body(value), with value computed once however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def matches(text: Column, pattern: str) -> Column:
-    """Array of (start, end, value) of the leftmost non-overlapping matches; code points, end exclusive."""
+    """Array of (start, end, value) of the leftmost non-overlapping matches; code points, end exclusive.
+
+    Positions are sums of the lengths before: first over whole blocks of matches, then inside each block, so the
+    work stays in proportion to the matches."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
     parts = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(pieces) - 1).alias("gap"), found.alias("value"))
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
-    def step(state, part):
-        begin = state["at"] + F.length(part["gap"])
-        end = begin + F.length(part["value"])
-        span = F.struct(begin.alias("start"), end.alias("end"), part["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+    def spans(parts):
+        blocks = F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / BLOCK).cast("int"))
+        block = lambda b: F.slice(parts, b * BLOCK + 1, F.lit(BLOCK))
+
+        def total(state, b):
+            length = F.aggregate(block(b), F.lit(0), lambda n, p: n + F.length(p["gap"]) + F.length(p["value"]))
+            return F.struct((state["at"] + length).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out"))
 
-    return F.aggregate(parts, start, step, lambda state: state["out"])
+        def step(state, part):
+            begin = state["at"] + F.length(part["gap"])
+            end = begin + F.length(part["value"])
+            span = F.struct(begin.alias("start"), end.alias("end"), part["value"].alias("value"))
+            return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+
+        starts = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), total, lambda s: s["out"])
+        inside = lambda at, b: F.aggregate(block(b), F.struct(at.alias("at"), none.alias("out")), step, lambda s: s["out"])
+        return _let(starts, lambda at: F.flatten(F.transform(at, inside)))
+
+    return _let(parts, lambda p: F.when(F.size(p) > 0, spans(p)).otherwise(none))
 
 
 def digits(value: Column) -> Column:
@@ -89,7 +112,7 @@ def mod97(value: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), add) == 1
 
 
-def confirmed(kind: str, text: Column, span: Column) -> Column:
+def confirmed(kind: str, pieces: Column, span: Column) -> Column:
     value = span["value"]
     if kind == "ip":
         part = lambda p: F.regexp_replace(p, "^0+", "")
@@ -102,15 +125,26 @@ def confirmed(kind: str, text: Column, span: Column) -> Column:
         compact = F.replace(value, F.lit(" "), F.lit(""))
         return F.when(F.length(compact).between(15, 34), mod97(compact)).otherwise(False)
     if kind == "ssn":
-        before = F.when(span["start"] > 0, F.substring(text, span["start"], F.lit(1))).otherwise("")
-        after = F.substring(text, span["end"] + 1, F.lit(1))
+        before = F.when(span["start"] > 0, _around(pieces, span["start"] - 1, F.lit(1))).otherwise("")
+        after = _around(pieces, span["end"], F.lit(1))
         return ~before.rlike("[0-9-]") & ~after.rlike("[0-9-]") & ~value.rlike("^(000|666|9)|-00-|-0000$")
     return F.lit(True)
 
 
-def score(kind: str, text: Column, span: Column) -> Column:
+#: Code points of the pieces that contexts are read from, so that a span of a long text doesn't count through all that is before it.
+PIECE = 1024
+
+
+def _around(pieces: Column, start: Column, length: Column) -> Column:
+    """length (at most PIECE) code points from start on, of a text given as its pieces."""
+    at = F.floor(start / PIECE).cast("int")
+    near = F.concat(F.coalesce(F.get(pieces, at), F.lit("")), F.coalesce(F.get(pieces, at + 1), F.lit("")))
+    return F.substring(near, (start - at * PIECE + 1).cast("int"), length)
+
+
+def score(kind: str, pieces: Column, span: Column) -> Column:
     begin = F.greatest(span["start"] - AROUND, F.lit(0))
-    near = F.concat(F.substring(text, begin + 1, span["start"] - begin), F.lit(" "), F.substring(text, span["end"] + 1, F.lit(AROUND)))
+    near = F.concat(_around(pieces, begin, span["start"] - begin), F.lit(" "), _around(pieces, span["end"], F.lit(AROUND)))
     return F.least(F.lit(1.0), F.lit(SCORES[kind]) + F.when(near.rlike(CONTEXT[kind]), NEAR).otherwise(0.0))
 
 
@@ -125,18 +159,22 @@ def find_pii(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     found = docs.select(row, F.coalesce(F.col("text"), F.lit("")).alias("_text"))
     text = F.col("_text")
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    columns = []
     for kind, pattern in PATTERNS.items():
         has = text.rlike(pattern)
         if kind in NEEDS:
             has = text.contains(NEEDS[kind]) & has
-        found = found.withColumn(f"_{kind}", F.when(has, matches(text, pattern)).otherwise(none))
-    return found.select("_row.*", F.concat(*[_scored(kind, text, F.col(f"_{kind}")) for kind in PATTERNS]).alias("spans"))
+        columns.append(F.when(has, matches(text, pattern)).otherwise(none).alias(f"_{kind}"))
+    found = found.select("*", *columns)
+    some = sum((F.size(f"_{kind}") for kind in PATTERNS), F.lit(0)) > 0
+    found = found.withColumn("_pieces", F.when(some, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))).otherwise(F.array().cast("array<string>")))
+    return found.select("_row.*", _let(F.col("_pieces"), lambda pieces: F.concat(*[_scored(kind, pieces, F.col(f"_{kind}")) for kind in PATTERNS])).alias("spans"))
 
 
-def _scored(kind: str, text: Column, spans: Column) -> Column:
+def _scored(kind: str, pieces: Column, spans: Column) -> Column:
     """The confirmed spans of a kind with their scores; of a further kind, those with LEAST_SCORE."""
-    good = F.filter(spans, lambda s: confirmed(kind, text, s))
-    out = F.transform(good, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), score(kind, text, s).alias("score")))
+    good = F.filter(spans, lambda s: confirmed(kind, pieces, s))
+    out = F.transform(good, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), score(kind, pieces, s).alias("score")))
     return out if kind in BASE else F.filter(out, lambda s: s["score"] >= LEAST_SCORE)
 
 
