@@ -77,8 +77,11 @@ class DigestArray:
 
 
 def write_rules(rules: list[tuple[str, str, str]], folder: str) -> str:
-    """The rules' arrays in one file; returns its path. Of equal (host, path) the last rule counts."""
-    last = {(h.lower(), p): v for h, p, v in rules}
+    """The rules' arrays in one file; returns its path. Of rules with equal (host, path), a block counts."""
+    last: dict[tuple[str, str], str] = {}
+    for h, p, v in rules:
+        place = "".join(c.lower() if "A" <= c <= "Z" else c for c in h), p
+        last[place] = max(last.get(place, v), v)  # "block" is above "allow"
     hosts: dict[bytes, set[int]] = {}
     for host, path in last:
         hosts.setdefault(host.encode(), set()).add(len(path))
@@ -152,23 +155,35 @@ def _mapped(name: str) -> Rules:
     return _MAPPED[name]
 
 
+VERDICTS = ("allow", "block")
+
+
+def _known(verdicts) -> None:
+    if unknown := {v for v in verdicts if v not in VERDICTS}:
+        raise ValueError(f"verdicts are {VERDICTS}, not {unknown}")
+
+
 def filter_urls(urls: DataFrame, rules: list[tuple[str, str, str]] | DataFrame, key: str = "page_id", url: str = "url",
                 default: str = "allow", max_file_bytes: int = 256 << 20) -> DataFrame:
     """One row per row of urls: key, url, host, path, rule (host + path of the longest fitting rule, else null), verdict.
 
     Null urls, and urls without ``://``, have an empty host and path; no rule has an
     empty host, so they get the default verdict. Rules with a null or empty host
-    are ignored, a null path is an empty one. Repeated urls and repeated keys are
+    are ignored, a null path is an empty one, A-Z of hosts are lower-cased; of rules with the same host and
+    path a block counts, and a verdict other than allow or block raises ValueError. Repeated urls and repeated keys are
     judged row by row; no row is dropped. Other columns are not read."""
     spark = prepare(urls.sparkSession)
     host, path = split_url(url)
     parsed = urls.select(F.col(key), F.col(url), host.alias("host"), path.alias("path"))
     if isinstance(rules, DataFrame):
+        rules = rules.where(F.length("host") > 0).select("host", "path", "verdict")
+        _known(r["verdict"] for r in rules.select("verdict").distinct().limit(len(VERDICTS) + 1).collect())
         size = rules.select(F.sum(F.octet_length("host") + F.octet_length(F.coalesce("path", F.lit(""))) + 64)).first()[0] or 0
         if size > max_file_bytes:
             return _joined(parsed, rules, key, url, default)
         rules = [(r["host"], r["path"] or "", r["verdict"]) for r in rules.select("host", "path", "verdict").toLocalIterator()]
     rules = [(h, p or "", v) for h, p, v in rules if h]
+    _known(v for _, _, v in rules)
     # The driver's file is only what addFile ships; executors map their own copy of it.
     file = write_rules(rules, tempfile.mkdtemp(prefix="url-rules-"))
     spark.sparkContext.addFile(file)
@@ -187,7 +202,8 @@ def filter_urls(urls: DataFrame, rules: list[tuple[str, str, str]] | DataFrame,
 
 def _joined(parsed: DataFrame, rules: DataFrame, key: str, url: str, default: str) -> DataFrame:
     """The same by a join on the host, for rule tables beyond the size bound: each distinct (host, path) once."""
-    rules = rules.where(F.length("host") > 0).select(F.lower("host").alias("_h"), F.coalesce("path", F.lit("")).alias("_p"), F.col("verdict").alias("_v")).dropDuplicates(["_h", "_p"])
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    rules = rules.groupBy(F.translate("host", upper, upper.lower()).alias("_h"), F.coalesce("path", F.lit("")).alias("_p")).agg(F.max("verdict").alias("_v"))
     labels = F.split("host", r"\.")
     places = parsed.select("host", "path").distinct()
     suffixes = places.select("host", "path", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))).alias("_h"))

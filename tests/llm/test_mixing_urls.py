@@ -93,3 +93,17 @@ def test_digest_array_tells_collisions_apart(monkeypatch):
     monkeypatch.setattr(url_filter, "digest", lambda keys: np.array([7 for _ in keys], dtype=np.uint64))
     table = DigestArray(*DigestArray.arrays({b"one": 1, b"two": 2}))
     assert table.find([b"two", b"one", b"three"]).tolist() == [2, 1, -1]
+
+
+@pytest.mark.parametrize("bound", [1 << 30, 0])
+def test_repeated_and_unknown_rules_on_both_paths(spark, bound):
+    pages = spark.createDataFrame([(1, "http://A.com/x"), (2, "http://ä.com/x"), (3, "http://b.com/")], "page_id long, url string")
+    rules = [("a.com", "/x", "block"), ("A.COM", "/x", "allow"), ("Ä.com", "", "block"), ("b.com", None, "allow"), ("b.com", "", "allow"), (None, "", "odd")]
+    kind = "host string, path string, verdict string"
+    for order in (rules, rules[::-1]):
+        got = filter_urls(pages, spark.createDataFrame(order, kind), default="allow", max_file_bytes=bound)
+        assert {r.page_id: (r.rule, r.verdict) for r in got.collect()} == {1: ("a.com/x", "block"), 2: (None, "allow"), 3: ("b.com", "allow")}
+    with pytest.raises(ValueError, match="review"):
+        filter_urls(pages, spark.createDataFrame([("a.com", "/x", "review")], kind), max_file_bytes=bound)
+    long = spark.createDataFrame([(1, "http://" + "a." * 3000 + "com/" + "x" * 200_000)], "page_id long, url string")
+    assert filter_urls(long, spark.createDataFrame([("com", "/" + "x" * 1000, "block")], kind), max_file_bytes=bound).first().verdict == "block"
