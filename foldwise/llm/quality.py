@@ -221,14 +221,13 @@ def learn(terms: Terms, y: np.ndarray, dimensions: int, neighbours: int, power:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = 4000, dimensions: int = 48, neighbours: int = 25, power: float = 4.0) -> Model:
     """Fit on up to ``sample`` labelled documents, the first by a hash of their id; labels has doc_id and the label (0 or 1).
 
-    Rows with a null label or id are ignored. Of the rows of one id, the text with the
-    smallest digest is learned from, so no more than ``sample`` rows reach the driver.
+    Rows with a null label or id are ignored, and an id counts once, with the smallest of its labels. Of the
+    rows of one id, the text with the smallest digest is learned from, so no more than ``sample`` rows reach the driver.
     The caller keeps held-out rows out of labels."""
     prepare(docs.sparkSession)
-    turn = F.xxhash64(F.col("doc_id"), F.lit(17))
-    chosen = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).select(F.col("doc_id"), F.col(label).cast("double").alias("label"), turn.alias("turn"))
-    chosen = chosen.orderBy("turn", "doc_id", "label").limit(sample)  # at most sample rows: small enough to broadcast
-    wanted = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(F.col(label).cast("double")).alias("label"))
+    chosen = known.withColumn("turn", F.xxhash64(F.col("doc_id"), F.lit(17))).orderBy("turn", "doc_id").limit(sample)  # at most sample rows: small enough to broadcast
+    wanted = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")
     texts = wanted.groupBy("doc_id").agg(F.min(F.struct(text_key("text").alias("digest"), "text")).alias("first"))
     rows = texts.join(F.broadcast(chosen), "doc_id").select("label", "turn", F.col("first.text").alias("text"))
     found = rows.mapInArrow(_train_rows, "label double, turn long, terms binary, logs binary").toPandas().sort_values(["turn", "label"], kind="stable")

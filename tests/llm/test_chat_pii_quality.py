@@ -187,3 +187,67 @@ def test_words_of_one_shape_are_told_apart(spark, good, bad):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(80)], "doc_id long, quality int, toxic int")
     rows = {r.doc_id: r.score for r in score_documents(docs, fit(docs, labels)).collect()}
     assert all((rows[i] >= 0.5) == bool(i % 2) for i in range(80, 120))
+
+
+def test_very_many_matches_in_one_text(spark):
+    """Positions stay exact over blocks of matches, and the work stays in proportion."""
+    import time
+
+    from foldwise.llm.pii import find_pii
+    n = 40_000
+    text = "".join(f"é{i % 7}@a.bc ," + " " * (i % 3) for i in range(n))
+    began = time.time()
+    spans = find_pii(documents(spark, [text, "x@y.zz", ""])).collect()[0].spans
+    assert time.time() - began < 60
+    want = [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", text)]
+    assert [(s.start, s.end) for s in spans if s.kind == "email"] == want and len(want) == n
+
+
+def test_votes_as_by_dense_matrices(spark):
+    """Scores against dense weights, all cosines and a full sort; axes against the singular vectors of the dense matrix."""
+    import numpy as np
+
+    from foldwise.llm import quality as ql
+    texts = [prose(20 + i % 40, i) + (" !!" if i % 4 == 0 else ".") for i in range(200)]
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(160)], "doc_id long, quality int")
+    model = ql.fit(docs, labels, neighbours=7, dimensions=16)
+    assert len(model.labels) == 160
+
+    def dense(some):
+        import pyarrow as pa
+        terms = ql.count_terms(ql.Words(*ql.text_buffers(pa.array(some))))
+        out = np.zeros((len(some), ql.TERMS))
+        for i in range(len(some)):
+            at = slice(terms.first[i], terms.first[i + 1])
+            out[i, terms.term[at]] = terms.log[at] * model.idf[terms.term[at]]
+        for view in (slice(0, ql.SHAPES), slice(ql.SHAPES, ql.TERMS)):
+            out[:, view] /= np.maximum(np.linalg.norm(out[:, view], axis=1, keepdims=True), 1e-9)
+        return out
+
+    order = {r.doc_id: r.turn for r in labels.selectExpr("doc_id", "xxhash64(doc_id, 17) AS turn").collect()}
+    learned = sorted(order, key=lambda i: order[i])
+    train = dense([texts[i] for i in learned])
+    singular = np.linalg.svd(train, compute_uv=False)[:16]
+    caught = np.linalg.norm(train @ model.axes, axis=0)
+    caught = np.sort(caught)[::-1]
+    # the axes that stand out are found; of nearly equal ones any mixture does
+    assert np.allclose(caught[:3], singular[:3], rtol=1e-3) and (caught ** 2).sum() > 0.95 * (singular ** 2).sum()
+    unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
+    near = unit(dense(texts) @ model.axes) @ unit(train @ model.axes).T
+    y = np.array([int(i % 4 != 0) for i in learned])
+    want = []
+    for row in near:
+        top = np.argsort(-row, kind="stable")[:7]
+        weight = np.clip(row[top], 1e-6, 1) ** model.power
+        want.append((weight * y[top]).sum() / weight.sum())
+    got = {r.doc_id: r.score for r in ql.score_documents(docs, model).collect()}
+    assert np.allclose([got[i] for i in range(200)], want, atol=2e-3)
+
+
+def test_repeated_labels_take_one_place_each(spark):
+    from foldwise.llm import quality as ql
+    docs = documents(spark, [prose(30, i) for i in range(400)])
+    rows = [(i, i % 2) for i in range(400)] + [(5, 1)] * 3000 + [(6, 0), (6, 1)] * 20
+    model = ql.fit(docs, spark.createDataFrame(rows, "doc_id long, quality int"), sample=300)
+    assert len(model.labels) == 300 and len(np.unique(model.vectors, axis=0)) == 300 and 0.3 < model.labels.mean() < 0.7
