@@ -119,8 +119,17 @@ def _edited(words: np.ndarray, edits: int, rng) -> np.ndarray:
     return np.array(out, dtype=np.uint64)
 
 
-@lru_cache(maxsize=None)
+#: Lengths from which on items are planned in classes, and from which on as one: longer items are found by fewer walks.
+CLASS_FROM, CLASS_STEP, CLASS_TO = 64, 16, 400
+
+
 def plan_walks(n: int, rate: float, recall: float) -> int:
+    """The walks for an item of n words: those that the shortest length of its class needs; 0 if MOST_WALKS don't find the target share."""
+    return _plan_walks(n if n < CLASS_FROM else min(n - n % CLASS_STEP, CLASS_TO), rate, recall)
+
+
+@lru_cache(maxsize=None)
+def _plan_walks(n: int, rate: float, recall: float) -> int:
     """The least number of walks that finds the target share of edited items of n words, at every alignment; 0 if MOST_WALKS don't.
 
     Simulated on random words, so the plan of a length is the same whatever items stand beside it."""

@@ -352,12 +352,12 @@ def keep_one_of_each(docs: DataFrame, size: int = 5, num: int = 80, den: int = 1
     """The rows of docs, all columns, without near duplicates: of each component the row with the smallest doc_id stays.
 
     A null doc_id comes last, ties go by the text's digest, and of rows equal in id
-    and text one stays. Documents with empty sets all stay."""
+    and text the one with the smallest digest of all its columns stays. Documents with empty sets all stay."""
     found = jaccard_components(docs, size, num, den).where("class_id is not null")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("text_key"))
     first = found.groupBy("root_id").agg(F.min(order).alias("f")).select(F.coalesce(F.col("f.doc_id"), F.lit((1 << 63) - 1)).alias("_id"), F.col("f.text_key").alias("_th"), F.lit(True).alias("_first"))
-    row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     words = F.coalesce(F.col("text"), F.lit("")).rlike(WORD)
     rows = docs.select(id_key().alias("_id"), text_key("text").alias("_th"), words.alias("_words"), row).join(first, ["_id", "_th"], "left")
-    again = F.row_number().over(Window.partitionBy("_id", "_th").orderBy(F.lit(0)))
+    again = F.row_number().over(Window.partitionBy("_id", "_th").orderBy(F.xxhash64("_row")))
     return rows.withColumn("_again", again).where("not _words or (_first and _again = 1)").select("_row.*")

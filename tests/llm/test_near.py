@@ -230,3 +230,16 @@ def test_lengths_without_enough_walks_are_found_whole(spark, rate):
     found = {(r.doc_id, r.item_id): r.distance for r in find_contaminated(documents(spark, texts), bench, rate=rate, recall=1.1).collect()}
     want = {(d, i): infix_by_hand(x.split(), t.split()) for d, t in enumerate(texts) for i, x in enumerate(items)}
     assert found == {p: n for p, n in want.items() if n <= int(rate * len(items[p[1]].split()))}
+
+
+def test_of_equal_rows_the_same_one_stays(spark):
+    from pyspark.sql import functions as F
+    rows = documents(spark, [prose(40, 1)] * 60, ids=[5] * 60, sources=[f"s{i}" for i in range(60)]).withColumn("a b", F.col("source"))
+    kept = [keep_one_of_each(rows.repartition(n)).collect() for n in (1, 3, 7)]
+    assert all(len(k) == 1 for k in kept) and len({str(k) for k in kept}) == 1
+
+
+def test_walks_are_planned_in_classes():
+    from foldwise.llm import decontaminate as dc
+    assert dc.plan_walks(79, 0.2, 0.95) == dc._plan_walks(64, 0.2, 0.95)
+    assert dc.plan_walks(50_000, 0.2, 0.95) == dc._plan_walks(400, 0.2, 0.95) == 1
