@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .base import SEPARATORS, cut, id_key, prepare, record_batches, text_key
 
@@ -217,9 +218,11 @@ class LineIndex:
             made = cut(made.where("table is not null").unionByName(keys.join(full, "shard").groupBy("shard").applyInPandas(_rebuild, kind)))
         return LineIndex(self.counts, made, self.min_docs, self.shards)
 
-    def apply(self, docs: DataFrame, carry: list[str] | None = None, max_filter_bytes: int = 64 << 20) -> DataFrame:
+    def apply(self, docs: DataFrame, carry: list[str] | None = None, max_filter_bytes: int = 64 << 20, as_row: bool = False) -> DataFrame:
         """One row per row of docs: the columns of carry (default doc_id), n_lines, n_dropped, kept_text.
 
+        ``as_row``: the carried columns are one struct, ``_row``, and may have any names; else names of the result's own columns raise ValueError.
+
         Frequent lines lose all their occurrences in every document. A line's key
         is the line without ``[\\x20\\x09-\\x0D]`` at its ends, A-Z lower-cased; lines
         with an empty key always stay. Null and empty texts have one, empty, line.
@@ -233,11 +236,13 @@ class LineIndex:
         frequent = self.counts.where(F.col("n_docs") >= self.min_docs).select(*KEY)
         hot = maybe.distinct().join(frequent, KEY).groupBy("_id", "_th").agg(F.collect_list(F.struct(*KEY)).alias("_hot"))
         carry = carry or ["doc_id"]
-        row = F.struct(*[F.col(c) for c in carry]).alias("_row")
+        if not as_row and (clash := {"n_lines", "n_dropped", "kept_text"} & set(carry)):
+            raise ValueError(f"columns {sorted(clash)} can only be carried as_row")
+        row = F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_row")
         joined = _rows(docs, row).join(hot, ["_id", "_th"], "left").select("_row", "text", "_hot")
-        fields = docs.select(row).schema.simpleString()[7:-1].replace("_row:", "_row ")
-        out = joined.mapInArrow(_rewrite, f"{fields}, n_lines long, n_dropped long, kept_text string")
-        return out.select("_row.*", "n_lines", "n_dropped", "kept_text")
+        kind = StructType(joined.select("_row").schema.fields).add("n_lines", "long").add("n_dropped", "long").add("kept_text", "string")
+        out = joined.mapInArrow(_rewrite, kind)
+        return out if as_row else out.select("_row.*", "n_lines", "n_dropped", "kept_text")
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -245,6 +250,6 @@ def _counted(docs: DataFrame) -> DataFrame:
     return keys.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 10, carry: list[str] | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 10, carry: list[str] | None = None, as_row: bool = False) -> DataFrame:
     """Index all docs and apply the index to them; see LineIndex.apply."""
-    return LineIndex.build(docs, min_docs).apply(docs, carry)
+    return LineIndex.build(docs, min_docs).apply(docs, carry, as_row=as_row)

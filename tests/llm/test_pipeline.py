@@ -83,3 +83,19 @@ def test_empty_corpus(spark, corpus, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, folder)
         assert docs.count() == 0
+
+
+def test_odd_rows_and_clashing_columns_through_every_stage(spark, corpus):
+    """Nulls in every column, empty and very long texts, repeated rows, and extra columns named like the operators' own."""
+    from pyspark.sql import functions as F
+    folder, _, _ = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 200")
+    odd = documents(spark, [None, "", " \n ", "x" * 100_000, prose(20_000, 7), "same same", "same same", None], ids=[2001, 2002, 2003, 2004, 2005, 2006, 2006, None], sources=[None, "src1", None, "src2", "src3", "src1", "src1", None])
+    names = ["n_lines", "n_dropped", "kept_text", "_row", "_id", "a b", "score", "_first", "taken"]
+    rows = docs.unionByName(odd).select("*", *[F.lit("clash").alias(n) for n in names])
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = rows.columns
+        rows = stage(spark, rows, folder)
+        assert rows.columns == before or k == 4, name
+        rows = spark.createDataFrame(rows.collect(), rows.schema)
+    assert rows.count() and all(r.taken > 0 for r in rows.collect())
