@@ -32,9 +32,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row, its text without the lines that at least 10 documents have; n_chars follows the text."""
-    kept = dedup_lines(docs, min_docs=10, carry=[c for c in docs.columns if c != "text"])
+    kept = dedup_lines(docs, min_docs=10, carry=[c for c in docs.columns if c != "text"], as_row=True)
     text = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
-    return kept.select(*[text[c].alias(c) if c in text else F.col(c) for c in docs.columns])
+    return kept.select(*[text[c].alias(c) if c in text else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,6 +66,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over documents: doc_id, text, lang, source, n_chars, size, source_size, target, taken.
+
+    Null and empty texts have the score of a text without words, one line and no shingle or benchmark passage, and the mix takes
+    nothing of them; rows without an id are rows like others, rows equal in id and text are one from the third stage on. An
+    empty table gives no rows. Extra columns go along, whatever their names, up to the mix, which returns its own and those of documents."""
     prepare(spark)
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
