@@ -360,6 +360,19 @@ def submission_violations(spark, sf_dir):
     return ct.submission_violations(pred, tmpl, "id", "y_reg", "regression")
 
 
+@query("violation_previews")
+def violation_previews(spark, sf_dir):
+    """The first ten duplicate, missing and unknown ids of a damaged submission."""
+    pred, tmpl = fx.submission_fixture(spark, sf_dir, "regression")
+    return ct.violation_previews(pred, tmpl, "id")
+
+
+@query("probability_contracts")
+def probability_contracts(spark, sf_dir):
+    """Label contracts of candidates whose probabilities an accuracy blend would read."""
+    return ct.probability_contracts(fx.probability_manifests(spark, sf_dir), 1, 0, (0, 1))
+
+
 @query("probability_violations")
 def probability_violations(spark, sf_dir):
     pred, tmpl = fx.submission_fixture(spark, sf_dir, "probability")
@@ -379,6 +392,7 @@ import uuid  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from foldwise.plans import ledger as ld  # noqa: E402
+from foldwise.sources import tables as src  # noqa: E402
 from foldwise.session import checkpoint_dir, cut_lineage  # noqa: E402
 from foldwise.streaming import refresh as rf  # noqa: E402
 
@@ -493,6 +507,13 @@ def event_id_duplicates(spark, sf_dir):
     return rf.duplicate_event_ids(events.unionByName(again)).agg(F.count(F.lit(1)).alias("duplicate_event_ids"))
 
 
+@query("event_ids")
+def event_ids(spark, sf_dir):
+    """An id for every event from its time and key."""
+    ev = fx.fixture_table(spark, sf_dir, "events")
+    return rf.event_ids(ev, "ts", ["event_id", "user_id"]).select("event_id", "submission_event_id")
+
+
 @query("event_append")
 def event_append(spark, sf_dir):
     """Recorded events plus the recovered orphans of the listing."""
@@ -521,6 +542,26 @@ def malformed_scores(spark, sf_dir):
     return rf.malformed_scores(remote.withColumn("public_score", F.when(event % 31 == 0, "n/a").otherwise(F.col("public_score"))))
 
 
+@query("quarantined_rows")
+def quarantined_rows(spark, sf_dir):
+    """A landed listing whose every 29th line is cut off and every 31st has a number for an object: kept and quarantined lines, per file name."""
+    path = checkpoint_dir(spark).rstrip("/") + f"/damaged-{uuid.uuid4().hex}"
+    remote = fx.remote_submissions(spark, sf_dir)
+    event = F.regexp_extract("kaggle_file_name", r"_(\d+)\.csv", 1).cast("long")
+    line = F.to_json(F.struct(*remote.columns))
+    remote.select(F.when(event % 29 == 0, F.substring(line, 1, 60)).when(event % 31 == 0, event.cast("string")).otherwise(line).alias("value")).write.text(path)
+    kept, bad = src.read_checked(spark, path, rf.REMOTE_SCHEMA, "json")
+    a = kept.select(F.lit("kept").alias("part"), F.col("kaggle_file_name").alias("what"))
+    return a.unionByName(bad.select(F.lit("quarantined").alias("part"), F.col("line").alias("what"))).groupBy("part", "what").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("canonical_manifests")
+def canonical_manifests(spark, sf_dir):
+    """Canonical runs of which the manifest can be read too, with a typed value out of it."""
+    runs, arts = _ledger(spark, sf_dir)
+    return ld.canonical_runs(runs, arts, fx.ledger_manifests(spark, sf_dir)).select("run_id", "candidate_id", "n_splits")
+
+
 @query("refresh_stream")
 def refresh_stream(spark, sf_dir):
     """The same refresh as a file-source stream (available-now trigger) into a
@@ -550,6 +591,32 @@ def stream_rollup(spark, sf_dir):
     return rf.current_rollup(spark, roll)
 
 
+def _keyed_stream(spark, sf_dir):
+    """Two landings of the listing, the second by a restarted stream, over state seeded with the stored history."""
+    root = checkpoint_dir(spark).rstrip("/") + f"/refresh-{uuid.uuid4().hex}"
+    remote = fx.remote_submissions(spark, sf_dir)
+    hist = fx.observation_history(spark, sf_dir).withColumn("candidate_id", F.lit(None).cast("string"))
+    hist.select(*[f.name for f in rf.observation_schema().fields]).write.parquet(f"{root}/history")
+    _, events, canon = _refresh_inputs(spark, sf_dir)
+    first = F.crc32(F.col("kaggle_file_name")) % 2 == 0
+    for half in (first, ~first):
+        remote.where(half).write.mode("append").json(f"{root}/landed")
+        rf.run_keyed_stream(spark, f"{root}/landed", f"{root}/out", f"{root}/_checkpoint", events, canon, f"{root}/history")
+    return f"{root}/out"
+
+
+@query("refresh_keyed_stream")
+def refresh_keyed_stream(spark, sf_dir):
+    """X1 on keyed state: the observations that two landings and a restart appended."""
+    return spark.read.parquet(f"{_keyed_stream(spark, sf_dir)}/observations").select(*rf.OBSERVATION_COLS, "candidate_id")
+
+
+@query("keyed_rollup")
+def keyed_rollup(spark, sf_dir):
+    """X2 on keyed state: the current rollup of every event that the stream touched."""
+    return rf.current_rollup(spark, f"{_keyed_stream(spark, sf_dir)}/rollup")
+
+
 # ---------------------------------------------------------------- models and cross-validation
 from foldwise.operators import knn as kn  # noqa: E402
 from foldwise.operators import knn_lsh as kl  # noqa: E402

@@ -743,6 +743,16 @@ def _violations(kind: str) -> str:
 
 
 QUERIES["submission_violations"] = _violations("regression")
+QUERIES["violation_previews"] = ctes(*_sub_ctes("regression")) + """
+, bad AS (SELECT 'duplicate_ids' AS "check", id FROM pred GROUP BY id HAVING count(*) > 1
+  UNION ALL SELECT 'missing_ids', id FROM (SELECT DISTINCT id FROM tmpl WHERE id NOT IN (SELECT id FROM pred))
+  UNION ALL SELECT 'unknown_ids', id FROM (SELECT DISTINCT id FROM pred WHERE id NOT IN (SELECT id FROM tmpl)))
+SELECT "check", CAST(position AS INTEGER) AS position, CAST(id AS VARCHAR) AS id FROM (SELECT *, row_number() OVER (PARTITION BY "check" ORDER BY id) AS position FROM bad) WHERE position <= 10"""
+QUERIES["probability_contracts"] = """
+SELECT 'cand_' || p_partkey AS candidate_id, CASE WHEN p_partkey % 23 = 0 THEN 'unreadable' WHEN p_partkey % 13 = 0 OR (p_partkey % 19 = 0 AND p_partkey % 17 <> 0) THEN 'missing_contract'
+  WHEN p_partkey % 11 = 0 THEN 'rule_mismatch' WHEN p_partkey % 17 = 0 THEN 'label_mismatch' ELSE 'ok' END AS contract FROM part"""
+QUERIES["event_ids"] = """
+SELECT event_id, 'sub_' || strftime(ts, '%Y%m%dt%H%M%S%f') || '_' || left(md5(event_id::VARCHAR || '|' || coalesce(user_id::VARCHAR, '')), 6) AS submission_event_id FROM events"""
 QUERIES["probability_violations"] = _violations("probability")
 QUERIES["label_violations"] = _violations("label")
 
@@ -789,6 +799,12 @@ def lctes(*more: str) -> str:
 
 
 QUERIES["canonical_runs"] = lctes() + "\nSELECT * FROM lookup"
+QUERIES["canonical_manifests"] = lctes("""manifest AS (SELECT run_id, CASE WHEN k % 19 = 0 THEN left(t, 25) WHEN k % 23 = 0 THEN '[' || t || ']' ELSE t END AS text FROM (
+  SELECT run_id, CAST(substr(run_id, 5) AS BIGINT) AS k, '{"candidate_id": "' || CASE WHEN CAST(substr(run_id, 5) AS BIGINT) % 29 = 0 THEN 'cand_0' ELSE candidate_id END
+    || '", "cv": {"n_splits": ' || CASE WHEN CAST(substr(run_id, 5) AS BIGINT) % 31 = 0 THEN '"many"' ELSE cv_n_splits END || '}}' AS t FROM runs))""") + """
+SELECT c.run_id, c.candidate_id, TRY_CAST(json_extract(m.text, '$.cv.n_splits') AS INTEGER) AS n_splits
+FROM can c JOIN (SELECT * FROM manifest WHERE json_valid(text)) m ON m.run_id = c.run_id
+WHERE json_type(m.text) = 'OBJECT' AND json_extract_string(m.text, '$.candidate_id') = c.candidate_id"""
 QUERIES["ledger_search"] = lctes() + """
 SELECT run_id, candidate_id, metric_value FROM runs
 WHERE run_kind = 'canonical' AND status = 'FINISHED' AND family = 'economy'"""
@@ -1025,8 +1041,16 @@ SELECT submission_event_id, count(*) AS n_observations,
   arg_max(private_score, (observed_seq, kaggle_submitted_at, kaggle_file_name)) FILTER (WHERE private_score IS NOT NULL) AS latest_private_score,
   min(public_score) AS best_public_score, min(private_score) AS best_private_score
 FROM allobs WHERE submission_event_id IN (SELECT submission_event_id FROM appended) GROUP BY 1"""
+QUERIES["keyed_rollup"] = QUERIES["stream_rollup"]
 
 
+_LINE = """to_json({'kaggle_submitted_at': kaggle_submitted_at, 'kaggle_file_name': kaggle_file_name, 'kaggle_description': kaggle_description, 'kaggle_status': kaggle_status,
+  'public_score': public_score, 'private_score': private_score})::VARCHAR"""
+QUERIES["quarantined_rows"] = rctes() + f"""
+SELECT CASE WHEN e % 29 = 0 OR e % 31 = 0 THEN 'quarantined' ELSE 'kept' END AS part,
+  CASE WHEN e % 29 = 0 THEN left({_LINE}, 60) WHEN e % 31 = 0 THEN e::VARCHAR ELSE kaggle_file_name END AS what, count(*) AS n FROM remote GROUP BY ALL"""
+QUERIES["refresh_keyed_stream"] = QUERIES["refresh_dedup"]
+
 # ---------------------------------------------------------------- ensemble selection
 def _score(c: str, m: str = "m") -> str:
     """Root mean squared error of the blend with counts c, from residual sums g and the row weight n."""

@@ -48,6 +48,11 @@ def blend_id(weights: dict, competition: dict) -> str:
     return "blend__" + short_hash({"competition": competition, "components": components})
 
 
+def model_candidate_id(family: str, representation_id: str, payload: dict) -> str:
+    """``<family>-<representation>-<hash8>`` of what else makes the candidate."""
+    return f"{family}-{representation_id}-{short_hash(payload)}"
+
+
 def _weights_df(spark, weights: dict) -> DataFrame:
     # one row per configured component: bounded by the blend definition
     return F.broadcast(spark.createDataFrame(list(weights.items()), "candidate_id string, w double"))

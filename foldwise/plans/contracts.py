@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,7 +82,58 @@ def order_mismatches(pred: DataFrame, template: DataFrame, id_col: str, order_co
     return a.join(b, id_col).agg(F.count_if(F.col("p_pos") != F.col("t_pos")).alias("order_mismatches"))
 
 
-def raise_on_violations(violations: DataFrame) -> None:
+#: Values that a message shows of each kind.
+PREVIEW = 10
+
+
+def violation_previews(pred: DataFrame, template: DataFrame, id_col: str, most: int = PREVIEW) -> DataFrame:
+    """(check, position, id): the first ids, in ascending order, that are duplicate, missing or unknown. Each is a top-k, not a sort."""
+    ids, wanted = pred.select(id_col), template.select(id_col)
+    found = {"duplicate_ids": ids.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(id_col),
+             "missing_ids": wanted.distinct().join(ids, id_col, "left_anti"), "unknown_ids": ids.distinct().join(wanted, id_col, "left_anti")}
+    out = None
+    for check, df in found.items():
+        first = df.orderBy(id_col).limit(most).select(F.lit(check).alias("check"), F.col(id_col).cast("string").alias("id"), F.col(id_col).alias("_o"))
+        out = first if out is None else out.unionByName(first)
+    place = F.row_number().over(Window.partitionBy("check").orderBy("_o"))  # at most `most` rows a check
+    return out.select("check", place.alias("position"), "id")
+
+
+def raise_on_violations(violations: DataFrame, previews: DataFrame | None = None) -> None:
+    """ValueError that names every violated check, with the ids of ``previews``."""
     bad = [(r["check"], r["violations"]) for r in violations.where(F.col("violations") > 0).collect()]
-    if bad:
-        raise ValueError("submission contract violated: " + ", ".join(f"{c}={n}" for c, n in bad))
+    if not bad:
+        return
+    shown: dict[str, list[str]] = {}
+    for r in previews.orderBy("check", "position").collect() if previews is not None else []:
+        shown.setdefault(r["check"], []).append(r["id"])
+    raise ValueError("submission contract violated: " + ", ".join(f"{c}={n}" + (f" {shown[c]}" if c in shown else "") for c, n in bad))
+
+
+#: Fixed value: the rule by which base candidates of an accuracy blend wrote their probabilities.
+PROBABILITY_RULE = "average_fold_probabilities_then_threshold"
+
+
+def probability_contracts(manifests: DataFrame, positive, negative, pair: tuple, rule: str = PROBABILITY_RULE) -> DataFrame:
+    """(candidate_id, contract) of manifests (candidate_id, text): ok, unreadable, missing_contract (no rule, path, labels or pair),
+    rule_mismatch or label_mismatch. Labels are compared as canonical text whatever their JSON type."""
+    v = F.try_parse_json("text")
+    get = lambda path: F.try_variant_get("m", path, "string")
+
+    def label(path):
+        # numbers: integral ones without a fraction; text as it is
+        number = F.try_variant_get("m", path, "double")
+        quoted = F.schema_of_variant(F.try_variant_get("m", path, "variant")) == "STRING"
+        whole = (number == F.floor(number)) & (F.abs(number) < 1e15)
+        truth = F.schema_of_variant(F.try_variant_get("m", path, "variant")) == "BOOLEAN"
+        return F.when(truth, F.initcap(get(path))).when(~quoted & whole, F.floor(number).cast("bigint").cast("string")).otherwise(get(path))
+
+    def named(value) -> str:
+        return str(value) if isinstance(value, bool) else label_value(value)
+
+    read = manifests.select("candidate_id", F.when(F.schema_of_variant(v).startswith("OBJECT"), v).alias("m"))
+    fields = read.select("candidate_id", "m", get("$.binary_accuracy_blend_rule").alias("rule"), get("$.binary_accuracy_test_probability_path").alias("path"), label("$.positive_label").alias("pos"), label("$.negative_label").alias("neg"),
+                         label("$.observed_label_pair[0]").alias("a"), label("$.observed_label_pair[1]").alias("b"), F.try_variant_get("m", "$.observed_label_pair[2]", "variant").isNull().alias("two"))
+    absent = F.col("rule").isNull() | (F.coalesce("path", F.lit("")) == "") | F.col("pos").isNull() | F.col("neg").isNull() | F.col("a").isNull() | F.col("b").isNull() | ~F.col("two")
+    same = (F.col("pos") == named(positive)) & (F.col("neg") == named(negative)) & (F.col("a") == named(pair[0])) & (F.col("b") == named(pair[1]))
+    return fields.select("candidate_id", F.when(F.col("m").isNull(), "unreadable").when(absent, "missing_contract").when(F.col("rule") != rule, "rule_mismatch").when(~same, "label_mismatch").otherwise("ok").alias("contract"))

@@ -20,6 +20,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from foldwise.functions.scalar import ACCURACY_THRESHOLD
 from foldwise.operators.base import FIT_FOLD, Fitted
@@ -114,7 +115,8 @@ def cross_validate(feat: DataFrame | Callable[[int], DataFrame], names: list[str
         return scored.select("id", F.lit(f).alias(FIT_FOLD), "role", F.col("label").alias("y_true"), "y_pred")
 
     with ThreadPoolExecutor(max_workers=parallel or k) as pool:
-        parts = list(pool.map(one, range(1, k + 1)))
+        # the folds' jobs belong to the caller's job group and pool
+        parts = list(pool.map(inheritable_thread_target(one), range(1, k + 1)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -47,11 +47,24 @@ def incomplete_runs(runs: DataFrame, artifacts: DataFrame) -> DataFrame:
             .select("run_id"))
 
 
-def canonical_runs(runs: DataFrame, artifacts: DataFrame) -> DataFrame:
-    """Canonical-kind, FINISHED runs with every required artifact."""
+def read_manifests(manifests: DataFrame) -> DataFrame:
+    """Manifests (run_id, text) as VARIANT: ``manifest`` is null where the text is no JSON object; candidate_id and n_splits are its typed fields, null where absent or of another kind."""
+    v = F.try_parse_json("text")
+    parsed = manifests.select("run_id", F.when(F.schema_of_variant(v).startswith("OBJECT"), v).alias("manifest"))
+    return parsed.select("run_id", "manifest", F.try_variant_get("manifest", "$.candidate_id", "string").alias("candidate_id"), F.try_variant_get("manifest", "$.cv.n_splits", "int").alias("n_splits"))
+
+
+def canonical_runs(runs: DataFrame, artifacts: DataFrame, manifests: DataFrame | None = None) -> DataFrame:
+    """Canonical-kind, FINISHED runs with every required artifact; with ``manifests`` (run_id, text) also
+    with one readable manifest that names the run's candidate, and its ``n_splits``."""
     bad = incomplete_runs(runs.where(F.col("run_kind") == "canonical"), artifacts)
-    return (runs.where((F.col("run_kind") == "canonical") & (F.col("status") == "FINISHED"))
+    good = (runs.where((F.col("run_kind") == "canonical") & (F.col("status") == "FINISHED"))
             .join(bad, "run_id", "left_anti"))
+    if manifests is None:
+        return good
+    read = read_manifests(manifests).where("manifest is not null").select("run_id", "candidate_id", "n_splits")
+    once = read.groupBy("run_id").agg(F.count(F.lit(1)).alias("_n"), F.min("candidate_id").alias("candidate_id"), F.min("n_splits").alias("n_splits")).where("_n = 1").drop("_n")
+    return good.join(once, ["run_id", "candidate_id"])
 
 
 def canonical_lookup(runs: DataFrame, artifacts: DataFrame) -> DataFrame:

@@ -77,6 +77,21 @@ def read_test_predictions(spark: SparkSession, root: str, candidates: list[str],
     return df
 
 
+def read_probabilities(spark: SparkSession, root: str, candidates: list[str], id_col: str, label_col: str, contracts: DataFrame) -> DataFrame:
+    """The probabilities of an accuracy blend's candidates, [id, label] columns; every candidate must have a table and an ok contract
+    (``contracts``: candidate_id, contract)."""
+    said = {r["candidate_id"]: r["contract"] for r in contracts.where(F.col("candidate_id").isin(*candidates)).collect()}  # the configured candidates
+    bad = {c: said.get(c, "missing_contract") for c in candidates if said.get(c) != "ok"}
+    if bad:
+        raise ValueError(f"probability blends need candidates with a fitting label contract: {bad}")
+    df = spark.read.parquet(os.path.join(root, "test_probabilities")).where(F.col("candidate_id").isin(*candidates))
+    _check_columns(df.select(*[c for c in df.columns if c != "candidate_id"]), [id_col, label_col], "test probabilities")
+    there = {r["candidate_id"] for r in df.select("candidate_id").distinct().collect()}
+    if missing := sorted(set(candidates) - there):
+        raise ValueError(f"no test probabilities of {missing}")
+    return df
+
+
 def truth_mismatches(oof: DataFrame, reference: DataFrame, candidates: list[str], key: str = "row_idx") -> DataFrame:
     """Per candidate, rows whose y_true or fold differ from the reference, rows
     that the reference lacks, and reference rows that the candidate lacks.

@@ -237,6 +237,31 @@ def ledger_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ex.where(keep).select(F.concat(F.lit("run_"), F.col("p_partkey").cast("string")).alias("run_id"), "path")
 
 
+def ledger_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One manifest a run as JSON text; every 19th is cut off, every 23rd a list, every 29th names another candidate,
+    every 31st has its number of splits as a word."""
+    runs = ledger_runs(spark, sf_dir).select("run_id", "candidate_id", "cv_n_splits")
+    k = F.substring_index("run_id", "_", -1).cast("long")
+    name = F.when(k % 29 == 0, F.lit("cand_0")).otherwise(F.col("candidate_id"))
+    splits = F.when(k % 31 == 0, F.lit('"many"')).otherwise(F.col("cv_n_splits"))
+    text = F.concat(F.lit('{"candidate_id": "'), name, F.lit('", "cv": {"n_splits": '), splits, F.lit("}}"))
+    return runs.select("run_id", F.when(k % 19 == 0, F.substring(text, 1, 25)).when(k % 23 == 0, F.concat(F.lit("["), text, F.lit("]"))).otherwise(text).alias("text"))
+
+
+def probability_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One manifest a part as (candidate_id, text): labels as numbers, fractions or text in turn; some name another rule, swapped or
+    absent labels, no path, a third label, or are cut off."""
+    k = F.col("p_partkey")
+    one, zero = (F.when(k % 3 == 0, F.lit(n)).when(k % 3 == 1, F.lit(f"{n}.0")).otherwise(F.lit(f'"{n}"')) for n in ("1", "0"))
+    rule = F.when(k % 11 == 0, F.lit("vote")).otherwise(F.lit("average_fold_probabilities_then_threshold"))
+    path = F.when(k % 13 == 0, F.lit("")).otherwise(F.lit("p.csv"))
+    pair = F.when(k % 17 == 0, F.concat(one, F.lit(", "), zero)).when(k % 19 == 0, F.concat(zero, F.lit(", "), one, F.lit(", 2"))).otherwise(F.concat(zero, F.lit(", "), one))
+    text = F.concat(F.lit('{"binary_accuracy_blend_rule": "'), rule, F.lit('", "binary_accuracy_test_probability_path": "'), path, F.lit('", "positive_label": '), one,
+                    F.lit(', "negative_label": '), zero, F.lit(', "observed_label_pair": ['), pair, F.lit("]}"))
+    text = F.when(k % 23 == 0, F.substring(text, 1, 40)).otherwise(text)
+    return read_table(spark, sf_dir, "part").select(F.concat(F.lit("cand_"), k.cast("string")).alias("candidate_id"), text.alias("text"))
+
+
 # ---------------------------------------------------------------- submission refresh fixtures (from events)
 def remote_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remote listing rows as landed text: every 7th description lacks

@@ -6,6 +6,8 @@ import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -27,6 +29,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, fmt: str = "parquet"
         raise FileNotFoundError(f"table '{name}' not found at {path}") from exc
 
 
+def read_checked(spark: SparkSession, path: str, schema: StructType, fmt: str = "json", header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1 for text formats (json lines, csv): (rows that fit the schema, the other lines as ``line``).
+
+    Kept and quarantined rows together are the file's lines; nothing is silently read as null. Blank lines, and csv lines
+    that are the header, are none; a csv record is one line."""
+    whole = StructType([*schema.fields, StructField("_corrupt", StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    if fmt == "json":
+        row = F.from_json("value", whole, options)
+    else:
+        lines = lines.where(F.col("value") != ",".join(schema.names)) if header else lines
+        row = F.from_csv("value", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.fields), options)
+    rows = lines.select("value", row.alias("row"))
+    fits = F.col("row").isNotNull() & F.col("row._corrupt").isNull()
+    return rows.where(fits).select(*[F.col(f"row.`{n}`").alias(n) for n in schema.names]), rows.where(~fits).select(F.col("value").alias("line"))
+
+
 @dataclass(frozen=True)
 class DatasetContext:
     """Train / test / template tables plus the resolved id and label names."""

@@ -65,6 +65,14 @@ def malformed_scores(remote: DataFrame) -> DataFrame:
     return remote.where(bad).select("kaggle_submitted_at", "kaggle_file_name", "public_score", "private_score")
 
 
+def event_ids(rows: DataFrame, at: str, key: list[str]) -> DataFrame:
+    """Rows with ``submission_event_id``: sub_<time in UTC to the microsecond>_<six hex digits of the key's digest>. The same row
+    gets the same id when a task runs again; ids fit SUBMIT_ID_PATTERN."""
+    digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]))
+    stamp = F.date_format(F.col(at), "yyyyMMdd't'HHmmssSSSSSS")
+    return rows.withColumn("submission_event_id", F.concat(F.lit("sub_"), stamp, F.lit("_"), F.substring(digest, 1, 6)))
+
+
 def duplicate_event_ids(events: DataFrame) -> DataFrame:
     """Event ids recorded more than once (must be empty)."""
     return events.groupBy("submission_event_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
@@ -236,6 +244,109 @@ def run_stream(spark, source_dir: str, target_dir: str, checkpoint: str, events:
     return spark.read.parquet(target_dir)
 
 
+# ------------------------------------------------------------------ the same with keyed state
+KEYED_OUT = T.StructType([
+    T.StructField("kind", T.StringType()), *[T.StructField(c, T.DoubleType() if c.endswith("_score") else T.StringType()) for c in OBSERVATION_COLS],
+    T.StructField("candidate_id", T.StringType()), T.StructField("outcome", T.StringType()), T.StructField("n_observations", T.LongType()),
+    *[T.StructField(c, T.DoubleType()) for c in ("latest_public_score", "latest_private_score", "best_public_score", "best_private_score")]])
+KEYED_STATE = T.StructType([T.StructField("seen", T.ArrayType(T.StringType())), T.StructField("n", T.LongType()),
+                            *[T.StructField(c, T.DoubleType()) for c in ("latest_public", "latest_private", "best_public", "best_private")]])
+_ROLLUP_COLS = ("submission_event_id", "n_observations", "latest_public_score", "latest_private_score", "best_public_score", "best_private_score")
+
+
+def _plain(value):
+    """None for every missing value of pandas."""
+    return None if value is None or value != value else value
+
+
+def _ranked(values):
+    """Order of values with missing ones first."""
+    return tuple((v is not None, v if v is not None else 0) for v in values)
+
+
+def observe_event(key, frames, state, higher_is_better: bool):
+    """State of one submission event: the signatures seen (128 bits each) and its score rollup. Yields the observations
+    that are new, each signature once, and the rollup as it is then. Seeds (outcome 'stored') only enter the state."""
+    import hashlib
+
+    import pandas as pd
+    rows = [{c: _plain(v) for c, v in zip(f.columns, r, strict=True)} for f in frames for r in f.itertuples(index=False, name=None)]
+    if state.exists:
+        seen, n, *scores = state.get
+        seen, scores = set(seen), [_plain(v) for v in scores]
+    else:
+        seen, n, scores = set(), 0, [None] * 4
+    bad = [r for r in rows if r["outcome"] == "malformed"]
+    rest = [r for r in rows if r["outcome"] != "malformed"]
+    rest.sort(key=lambda r: (r["outcome"] != "stored", r["observed_seq"] or 0, _ranked(r[c] for c in SIGNATURE[1:]), _ranked((r["kaggle_description"], r["candidate_id"]))))
+    best, new = max if higher_is_better else min, []
+    for r in rest:
+        digest = hashlib.md5(repr([r[c] for c in SIGNATURE]).encode()).hexdigest()
+        if digest in seen:
+            continue
+        seen.add(digest)
+        n += 1
+        for at, column in enumerate(("public_score", "private_score")):
+            if r[column] is not None:
+                scores[at] = r[column]  # rows come in the order in which they were appended
+                scores[2 + at] = r[column] if scores[2 + at] is None else best(scores[2 + at], r[column])
+        if r["outcome"] != "stored":
+            new.append(r)
+    state.update((sorted(seen), n, *scores))
+    out = [{"kind": "malformed", **{c: r[c] for c in OBSERVATION_COLS}} for r in bad]
+    out += [{"kind": "observation", **{c: r[c] for c in (*OBSERVATION_COLS, "candidate_id", "outcome")}} for r in new]
+    if new:
+        out.append({"kind": "rollup", "submission_event_id": key[0], "n_observations": n, **dict(zip(_ROLLUP_COLS[2:], scores, strict=True))})
+    if out:
+        frame = pd.DataFrame(out, columns=KEYED_OUT.names)
+        frame["n_observations"] = frame["n_observations"].astype("Int64")
+        yield frame
+
+
+def run_keyed_stream(spark, source_dir: str, out_dir: str, checkpoint: str, events: DataFrame, canonical_candidates: DataFrame,
+                     history_dir: str | None = None, seq: int = 1, higher_is_better: bool = False) -> list[dict]:
+    """X1 + X2 on a state store keyed by submission event: a batch reads its landed files, never the observations before.
+
+    The state is seeded by the stored history (``history_dir``), a second file source whose files are read once.
+    Writes per batch, under out_dir: ``observations`` (with observed_seq = seq + batch id), ``rollup`` (of the events
+    touched), ``events`` (recovered orphans) and ``quarantine`` (rows with a malformed score, which end up there and don't
+    stop the stream). A batch that runs again overwrites its own folders. Trigger: available-now. An event's
+    state grows with its distinct observations. Returns the progress of the batches (rows read per source)."""
+    from functools import partial
+
+    from foldwise.session import ship_package
+    ship_package(spark)
+    events, canonical_candidates = events.cache(), canonical_candidates.cache()
+    listing = spark.readStream.schema(REMOTE_SCHEMA).json(source_dir)
+    bad = malformed_number("public_score") | malformed_number("private_score")
+    fresh = resolve(parse_remote(listing.where(~F.coalesce(bad, F.lit(False)))), events, canonical_candidates).where(F.col("candidate_id").isNotNull())
+    none = F.lit(None).cast("int")
+    rows = fresh.select(*OBSERVATION_COLS, "candidate_id", "outcome", none.alias("observed_seq"))
+    odd = listing.where(bad).select(F.lit("").alias("submission_event_id"), "kaggle_submitted_at", "kaggle_file_name", "kaggle_status", F.lit(None).cast("double").alias("public_score"), F.lit(None).cast("double").alias("private_score"),
+                                    F.concat_ws(" | ", "kaggle_description", F.concat(F.lit("public_score="), "public_score"), F.concat(F.lit("private_score="), "private_score")).alias("kaggle_description"))
+    rows = rows.unionByName(odd.select(*OBSERVATION_COLS, F.lit(None).cast("string").alias("candidate_id"), F.lit("malformed").alias("outcome"), none.alias("observed_seq")))
+    if history_dir is not None:
+        stored = spark.readStream.schema(observation_schema()).parquet(history_dir)
+        rows = rows.unionByName(stored.select(*OBSERVATION_COLS, "candidate_id", F.lit("stored").alias("outcome"), "observed_seq"))
+    found = rows.groupBy("submission_event_id").applyInPandasWithState(partial(observe_event, higher_is_better=higher_is_better), KEYED_OUT, KEYED_STATE, "append", "NoTimeout")
+
+    def handle(batch: DataFrame, batch_id: int):
+        batch = batch.persist()
+        new = batch.where("kind = 'observation'")
+        parts = {"observations": new.select(*OBSERVATION_COLS, "candidate_id", F.lit(seq + batch_id).cast("int").alias("observed_seq")),
+                 "events": new.where("outcome = 'recovered'").select("submission_event_id", "candidate_id").distinct(),
+                 "rollup": batch.where("kind = 'rollup'").select(*_ROLLUP_COLS), "quarantine": batch.where("kind = 'malformed'").select(*OBSERVATION_COLS[1:4], "kaggle_description")}
+        for name, part in parts.items():
+            part.write.mode("overwrite").parquet(f"{out_dir}/{name}/batch_id={batch_id}")
+        batch.unpersist()
+
+    q = found.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    events.unpersist()
+    canonical_candidates.unpersist()
+    return [{"batch_id": p["batchId"], "rows": {x["description"]: x["numInputRows"] for x in p["sources"]}} for p in q.recentProgress]
+
+
 def current_rollup(spark, rollup_dir: str) -> DataFrame:
     """The latest rollup row per event (highest batch id)."""
     r = spark.read.parquet(rollup_dir)
