@@ -6,8 +6,9 @@ split by the next bit of the key, until every bucket fits or holds a single key,
 whose entries are chained. The directory is kept as the sorted lowest keys of the
 buckets, as many as the data fill. Owner tasks get contiguous bucket ranges, sort
 them by key and text, compare bytes, and number the different texts of one key (a
-collision chain). Their files on the shared folder are the index; later batches are
-looked up in it by bucket.
+collision chain). Their files on the shared folder are the index. Later batches are looked up
+in it, or inserted: a bucket that overflows is split by further bits of the key (the directory doubles where
+its depth doesn't reach), and the owners chain the new texts behind those that the index has.
 
 Scan tasks combine each batch before the shuffle: a text travels once a batch,
 with the list of its documents, however many copies the batch holds.
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 from .base import LOWER, cut, prepare, shared_dir, text_buffers
 
 _SIGN = 1 << 63
+_PIECE = "bucket int, h long, text binary, sha256 string, ids array<long>"
+_ENTRY = "bucket int, h long, chain int, piece long, text binary, sha256 string, ids array<long>"
 
 
 def _normal(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,6 +95,37 @@ def _chained(batches):
                                           batch.column("sha256"), batch.column("ids")], ["bucket", "h", "chain", "piece", "text", "sha256", "ids"])
 
 
+def _extended(batches, generation: int):
+    """Chain numbers of new pieces: rows come by key, the texts that the index has (chain set) before the new ones, these by text."""
+    key, chains, text, n = None, {}, None, generation << 40
+    for batch in batches:
+        column, known = batch.column("text"), batch.column("chain").to_pylist()
+        rows, numbers, first = [], [], []
+        for i, h in enumerate(batch.column("h").to_pylist()):
+            now = column[i].as_py()
+            if h != key:
+                key, chains = h, {}
+            if known[i] is not None:
+                chains[now] = known[i]
+                continue
+            rows.append(i)
+            first.append(now not in chains)
+            numbers.append(chains.setdefault(now, max(chains.values(), default=-1) + 1))
+        if rows:
+            at = pa.array(rows, pa.int64())
+            texts = pa.compute.if_else(pa.array(first), column.take(at), pa.scalar(None, column.type))
+            yield pa.RecordBatch.from_arrays([batch.column("bucket").take(at), batch.column("h").take(at), pa.array(numbers, pa.int32()), pa.array(np.arange(n, n + len(rows))), texts,
+                                              batch.column("sha256").take(at), batch.column("ids").take(at)], ["bucket", "h", "chain", "piece", "text", "sha256", "ids"])
+            n += len(rows)
+
+
+def _bucketed(batches, starts: np.ndarray):
+    """Rows with their bucket in the directory."""
+    for batch in batches:
+        bucket = (np.searchsorted(starts, batch.column("h").to_numpy(), side="right") - 1).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(bucket) if n == "bucket" else batch.column(n) for n in batch.schema.names], batch.schema.names)
+
+
 def directory(keys: DataFrame, bucket_bytes: int) -> np.ndarray:
     """Lowest keys of the buckets, ascending; keys has h and bytes.
 
@@ -128,27 +162,50 @@ def directory(keys: DataFrame, bucket_bytes: int) -> np.ndarray:
 
 @dataclass
 class HashIndex:
-    """Files of (bucket, h, chain, piece, text, sha256, ids) under path, and the directory."""
+    """Files of (bucket, h, chain, piece, text, sha256, ids) under path, a folder a generation, and the directory.
+
+    bucket is that of the directory as it was when the row was written; h gives the bucket of today."""
 
     path: str
     starts: np.ndarray
     spark: SparkSession
+    bucket_bytes: int
+    most_owners: int
+    generation: int = 0
 
     @classmethod
     def build(cls, docs: DataFrame, bucket_bytes: int = 32 << 20, most_owners: int = 20_000, path: str | None = None) -> HashIndex:
         spark = prepare(docs.sparkSession)
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         starts = directory(cut(rows.select("text").mapInArrow(_keys, "h long, bytes long")), bucket_bytes)
-        owners = min(len(starts), most_owners)
-        pieces = rows.mapInArrow(partial(_pieces, starts=starts), "bucket int, h long, text binary, sha256 string, ids array<long>")
-        owner = F.expr(f"cast(bucket * {owners}L div {len(starts)}L as int)")
-        dealt = pieces.repartitionById(owners, owner).sortWithinPartitions("bucket", "h", "text")
         path = path or f"{shared_dir(spark)}/hash-index-{uuid.uuid4().hex}"
-        dealt.mapInArrow(_chained, "bucket int, h long, chain int, piece long, text binary, sha256 string, ids array<long>").write.parquet(path)
-        return cls(path, starts, spark)
+        index = cls(path, starts, spark, bucket_bytes, most_owners)
+        pieces = rows.mapInArrow(partial(_pieces, starts=starts), _PIECE)
+        index._owned(pieces).sortWithinPartitions("bucket", "h", "text").mapInArrow(_chained, _ENTRY).write.parquet(f"{path}/generation=0")
+        return index
+
+    def _owned(self, rows: DataFrame) -> DataFrame:
+        """rows dealt to the owners of contiguous ranges of buckets."""
+        owners = min(len(self.starts), self.most_owners)
+        return rows.repartitionById(owners, F.expr(f"cast(bucket * {owners}L div {len(self.starts)}L as int)"))
+
+    def insert(self, docs: DataFrame) -> HashIndex:
+        """The index with docs added. Buckets that overflow are split first; only new pieces are written, as a further generation."""
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        held = self.table().where("text is not null").select("h", F.octet_length("text").cast("long").alias("bytes"))
+        starts = np.union1d(self.starts, directory(cut(held.unionByName(rows.select("text").mapInArrow(_keys, "h long, bytes long"))), self.bucket_bytes))
+        after = HashIndex(self.path, starts, self.spark, self.bucket_bytes, self.most_owners, self.generation + 1)
+        new = rows.mapInArrow(partial(_pieces, starts=starts), _PIECE).withColumn("chain", F.lit(None).cast("int"))
+        # the texts that the index has, of keys that come in
+        keys = cut(new.select("h").distinct())
+        known = self.table().where("text is not null").join(keys, "h", "left_semi").select("bucket", "h", "text", "sha256", "ids", "chain")
+        known = known.mapInArrow(partial(_bucketed, starts=starts), known.schema)
+        both = after._owned(known.unionByName(new)).sortWithinPartitions("bucket", "h", F.col("chain").isNull(), "text")
+        both.mapInArrow(partial(_extended, generation=after.generation), _ENTRY).write.parquet(f"{self.path}/generation={after.generation}")
+        return after
 
     def table(self) -> DataFrame:
-        return self.spark.read.schema("bucket int, h long, chain int, piece long, text binary, sha256 string, ids array<long>").parquet(self.path)
+        return self.spark.read.schema(_ENTRY).parquet(*[f"{self.path}/generation={g}" for g in range(self.generation + 1)])
 
     def members(self) -> DataFrame:
         """One row per indexed document: doc_id, keep_id, group_size, kept, text_sha256."""
@@ -159,13 +216,13 @@ class HashIndex:
         return rows.select("doc_id", "keep_id", F.col("group_size").cast("long"), ((F.col("piece") == F.col("_keeper")) & (F.col("_at") == 0)).alias("kept"), F.col("sha256").alias("text_sha256"))
 
     def lookup(self, docs: DataFrame) -> DataFrame:
-        """doc_id and keep_id (null: not indexed) of further documents; only their buckets' files are joined, bytes decide."""
+        """doc_id and keep_id (null: not indexed) of further documents; entries of their keys are joined, bytes decide."""
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        new = rows.mapInArrow(partial(_pieces, starts=self.starts), "bucket int, h long, text binary, sha256 string, ids array<long>")
+        new = rows.mapInArrow(partial(_pieces, starts=self.starts), _PIECE)
         known = self.table()
         best = known.groupBy("h", "chain").agg(F.max(F.get("ids", F.lit(0))).alias("keep_id"))
-        texts = known.where("text is not null").select("bucket", "h", "chain", "text").join(best, ["h", "chain"])
-        return new.join(texts, ["bucket", "h", "text"], "left").select(F.explode("ids").alias("doc_id"), "keep_id")
+        texts = known.where("text is not null").select("h", "chain", "text").join(best, ["h", "chain"])
+        return new.join(texts, ["h", "text"], "left").select(F.explode("ids").alias("doc_id"), "keep_id")
 
 
 def dedup_exact(docs: DataFrame, bucket_bytes: int = 32 << 20) -> DataFrame:

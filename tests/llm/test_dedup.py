@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -71,6 +72,38 @@ def test_exact_lookup_and_colliding_keys(spark, monkeypatch):
     assert out.column("chain").to_pylist() == [0, 0, 1, 0] and out.column("text").to_pylist() == [b"a", None, b"b", b"a"]
 
 
+def test_exact_inserts_split_buckets_and_chain(spark, tmp_path):
+    """Batches inserted one by one give what one build gives; overfull buckets are split and the directory grows."""
+    texts = [prose(8, i % 30) for i in range(90)] + ["HOT"] * 40 + [None, "É", "é"]
+    ids = [None if i % 17 == 5 else (i * 7) % 211 for i in range(len(texts))]
+    order = list(range(len(texts)))
+    random.Random(4).shuffle(order)
+    parts = [order[:20], order[20:70], order[70:], []]
+    take = lambda at: documents(spark, [texts[i] for i in at], [ids[i] for i in at]).repartition(3)
+    index = HashIndex.build(take(parts[0]), 300, path=str(tmp_path / "index"))
+    sizes = [len(index.starts)]
+    for part in parts[1:]:
+        index = index.insert(take(part))
+        sizes.append(len(index.starts))
+    assert sizes[0] < sizes[1] < sizes[2] == sizes[3] and (np.diff(index.starts) > 0).all()
+    check_exact(index.members().collect(), ids, texts)
+    found = {r.doc_id: r.keep_id for r in index.lookup(documents(spark, ["hot", "nowhere"], [900, 901])).collect()}
+    assert found[900] == max(i for i, t in zip(ids, texts, strict=True) if t == "HOT" and i is not None) and found[901] is None
+    chains = index.table().groupBy("h").agg({"chain": "max"}).collect()
+    assert all(r[1] == 0 for r in chains)
+
+
+def test_new_texts_are_chained_behind_known_ones():
+    import pyarrow as pa
+
+    from foldwise.llm.exact_dedup import _extended
+    batch = pa.RecordBatch.from_pydict({"bucket": pa.array([0] * 6, pa.int32()), "h": [9, 9, 9, 9, 9, 10], "text": pa.array([b"b", b"z", b"a", b"b", b"c", b"a"]), "sha256": ["x"] * 6,
+                                        "ids": [[1], [2], [3], [4], [5], [6]], "chain": pa.array([0, 1, None, None, None, None], pa.int32())})
+    out = next(_extended(iter([batch]), 2))
+    assert out.column("chain").to_pylist() == [2, 0, 3, 0] and out.column("text").to_pylist() == [b"a", None, b"c", b"a"]
+    assert out.column("piece").to_pylist() == [(2 << 40) + i for i in range(4)] and out.column("ids").to_pylist() == [[3], [4], [5], [6]]
+
+
 # line dedup
 
 def lines_by_hand(texts, counted, least):
