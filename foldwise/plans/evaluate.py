@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
@@ -115,8 +115,9 @@ def cross_validate(feat: DataFrame | Callable[[int], DataFrame], names: list[str
         return scored.select("id", F.lit(f).alias(FIT_FOLD), "role", F.col("label").alias("y_true"), "y_pred")
 
     with ThreadPoolExecutor(max_workers=parallel or k) as pool:
-        # the folds' jobs belong to the caller's job group and pool
-        parts = list(pool.map(inheritable_thread_target(one), range(1, k + 1)))
+        # the folds' jobs belong to the caller's job group and pool; every thread has properties of its own
+        started = [pool.submit(inheritable_thread_target(SparkSession.active())(one), f) for f in range(1, k + 1)]
+        parts = [s.result() for s in started]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
