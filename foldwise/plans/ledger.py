@@ -39,9 +39,13 @@ def search_runs(runs: DataFrame, **equals) -> DataFrame:
 
 
 def incomplete_runs(runs: DataFrame, artifacts: DataFrame) -> DataFrame:
-    """Runs missing at least one required artifact path."""
-    present = (artifacts.where(F.col("path").isin(*REQUIRED_ARTIFACT_PATHS))
-               .groupBy("run_id").agg(F.count_distinct("path").alias("n_present")))
+    """Runs missing at least one required artifact path. The listing is dealt by run before it is counted: a few large
+    files would else be counted by as many tasks, each with all of its runs in one hash table."""
+    flag = F.lit(0)
+    for at, path in enumerate(REQUIRED_ARTIFACT_PATHS):
+        flag = F.when(F.col("path") == path, F.lit(1 << at)).otherwise(flag)
+    present = (artifacts.where(F.col("path").isin(*REQUIRED_ARTIFACT_PATHS)).select("run_id", flag.alias("flag")).repartition("run_id")
+               .groupBy("run_id").agg(F.bit_count(F.bit_or("flag")).alias("n_present")))
     return (runs.select("run_id").join(present, "run_id", "left")
             .where(F.coalesce(F.col("n_present"), F.lit(0)) < len(REQUIRED_ARTIFACT_PATHS))
             .select("run_id"))
@@ -62,7 +66,7 @@ def canonical_runs(runs: DataFrame, artifacts: DataFrame, manifests: DataFrame |
             .join(bad, "run_id", "left_anti"))
     if manifests is None:
         return good
-    read = read_manifests(manifests).where("manifest is not null").select("run_id", "candidate_id", "n_splits")
+    read = read_manifests(manifests).where("manifest is not null").select("run_id", "candidate_id", "n_splits").repartition("run_id")
     once = read.groupBy("run_id").agg(F.count(F.lit(1)).alias("_n"), F.min("candidate_id").alias("candidate_id"), F.min("n_splits").alias("n_splits")).where("_n = 1").drop("_n")
     return good.join(once, ["run_id", "candidate_id"])
 
