@@ -87,8 +87,10 @@ def finalize(blended: DataFrame, metric: str, positive=1, negative=0) -> DataFra
 def alignment_violations(pred: DataFrame, key: list[str], candidates: list[str], truth_cols=("y_true", "fold")):
     """Rows that lack a component or repeat one, and rows whose truth / fold differ between
     components (allclose for floating columns; NULL differs from a value)."""
+    # the configured candidates are counted by a flag each: a distinct count would keep every (row, candidate) pair
+    present = [F.max(F.when(F.col("candidate_id") == c, 1)) for c in candidates]
     g = pred.where(F.col("candidate_id").isin(*candidates)).groupBy(*key).agg(
-        F.count_distinct("candidate_id").alias("m"), F.count(F.lit(1)).alias("rows"),
+        F.size(F.array_compact(F.array(*present))).alias("m"), F.count(F.lit(1)).alias("rows"),
         *[F.count(c).alias(f"n_{c}") for c in truth_cols],
         *[F.max_by(c, F.col("candidate_id") == candidates[0]).alias(f"ref_{c}") for c in truth_cols],
         *[F.min(c).alias(f"lo_{c}") for c in truth_cols], *[F.max(c).alias(f"hi_{c}") for c in truth_cols])
