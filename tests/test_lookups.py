@@ -21,3 +21,20 @@ def test_lookup_is_an_array_by_fit_fold(spark):
     mean = {1: 5.0, 2: 13.0 / 3, 3: 2.0}
     assert [r[2] for r in got] == [(5.0 + mean[1]) / 2, (5.0 + mean[2]) / 2, mean[3]]
     cs.release()
+
+
+def test_tree_families_read_stored_features(spark, monkeypatch):
+    from foldwise import catalog
+    from foldwise.plans import evaluate as ev
+    given = []
+
+    def look(feat, *_, **__):
+        given.append(type(feat))
+        raise InterruptedError
+    monkeypatch.setattr(ev, "cross_validate", look)
+    for name in ("random_forest_cv", "boosted_cv"):
+        try:
+            catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+        except InterruptedError:
+            pass
+    assert given == [ev.StoredFeatures] * 2
